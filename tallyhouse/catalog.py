@@ -377,12 +377,13 @@ def instalment_rows(s: Samples) -> DataFrame:
 
 @query
 def purchase_order_lookup(s: Samples) -> DataFrame:
-    """Even-quantity lines know their order by transaction, all orders by tag."""
+    """Paid lines know their order by transaction, orders that stand by tag."""
     by_tx = s.receivables().filter("rec_status = 'paid'").join(s.orders().select("order_id", "order_number"), "order_id").select(
         F.col("rec_id").alias("transaction_id"), "order_number"
     )
     by_order = s.orders().filter("not is_canceled").select("order_id", "order_number")
-    return receivables.purchase_order_data(s.purchases(), by_tx, by_order, _workspace_defaults(s))
+    out = receivables.purchase_order_data(s.purchases(), by_tx, by_order, _workspace_defaults(s))
+    return out.withColumn("order_number", F.coalesce("order_number", F.lit(-1)))
 
 
 @query
@@ -403,15 +404,20 @@ def freight_order_list(s: Samples) -> DataFrame:
     return freight.freight_orders(s.orders(), s.freight_close())
 
 
+def _reconciled(s: Samples) -> DataFrame:
+    return freight.reconcile(freight.postings(s.freight_close()), freight_order_list(s), *HALF)
+
+
 @query
 def freight_reconciliation(s: Samples) -> DataFrame:
     """Sheet rows posted in one half month against orders made in it."""
-    return freight.reconcile(freight.postings(s.freight_close()), freight_order_list(s), *HALF)
+    text_of = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("is_canceled", "has_label")}
+    return _reconciled(s).withColumns(text_of)
 
 
 @query
 def freight_reconciliation_summary(s: Samples) -> DataFrame:
-    return freight.reconcile_summary(freight_reconciliation(s))
+    return freight.reconcile_summary(_reconciled(s))
 
 
 @query
