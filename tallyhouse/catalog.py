@@ -70,8 +70,8 @@ def order_union_multiset(s: Samples) -> DataFrame:
 @query
 def owned_receivables(s: Samples) -> DataFrame:
     registry = s.companies().select("company_id", F.col("domain_id").cast("string").alias("domain_id"))
-    rows = s.receivables().select("rec_id", "company_id", "domain_id", "gross")
-    return orders.owned_records(rows, registry).groupBy("owner_id").agg(F.count("*").alias("lines"), F.sum("gross").alias("gross"))
+    rows = s.receivables().groupBy("company_id", "domain_id").agg(F.count("*").alias("lines"), F.sum("gross").alias("gross"))
+    return orders.owned_records(rows, registry).groupBy("owner_id").agg(F.sum("lines").alias("lines"), F.sum("gross").alias("gross"))
 
 
 @query
@@ -87,7 +87,7 @@ def three_month_average(s: Samples) -> DataFrame:
 
 @query
 def three_month_average_card_first(s: Samples) -> DataFrame:
-    return orders.three_month_average(s.orders(), AS_OF_ORDERS, how="left")
+    return orders.three_month_average(s.orders(), AS_OF_ORDERS, keep_pix_only=False)
 
 
 @query
@@ -356,8 +356,7 @@ def duplicate_payment_orders(s: Samples) -> DataFrame:
 
 @query
 def duplicate_payment_totals(s: Samples) -> DataFrame:
-    rows = receivables.valid_purchases(s.purchases())
-    return receivables.duplicate_totals(rows, receivables.duplicate_orders(rows))
+    return receivables.duplicate_totals(receivables.valid_purchases(s.purchases()))
 
 
 @query
@@ -662,7 +661,7 @@ def _months(s: Samples) -> DataFrame:
         F.lit(0).cast("long").alias("links"), F.sum("shared_links").alias("clicks")
     )
     activity = shared.unionByName(clicked).groupBy("domain_id", "month").agg(F.sum("links").alias("links"), F.sum("clicks").alias("clicks"))
-    return mart.month_table(monthly_domain_kpis(s), payment_split_by_month(s), activity)
+    return mart.month_table(orders.merchant_months(s.orders(), max_total=MAX_TOTAL), activity)
 
 
 @query
@@ -676,14 +675,14 @@ def global_month_series(s: Samples) -> DataFrame:
 
 
 def _mart(s: Samples) -> DataFrame:
-    kpis, split = monthly_domain_kpis(s), payment_split_by_month(s)
+    months = orders.merchant_months(s.orders(), max_total=MAX_TOTAL)
     buckets = billing.status_buckets(_unique(s).join(s.customer_bridge(), "customer_id"), "domain_id")
     plans = s.companies().select(
         "company_id", F.col("social_name").alias("plan"), F.when(F.col("status") == 2, F.lit(99)).cast("decimal(18,2)").alias("total")
     )
     stage = F.when(F.col("status") == 2, "Parado").otherwise("Fila")
     tickets = s.companies().select("company_id", stage.alias("stage"))
-    return mart.company_mart(_register(s), kpis, split, buckets, freight_charge(s), plans, tickets, AS_OF_ORDERS)
+    return mart.company_mart(_register(s), months, buckets, freight_charge(s), plans, tickets, AS_OF_ORDERS)
 
 
 MART_COLUMNS = [
@@ -720,3 +719,257 @@ def table_profile(s: Samples) -> DataFrame:
 @query
 def value_counts(s: Samples) -> DataFrame:
     return quality.value_counts(s.raw("documents"), "source")
+
+
+# --- column rules, sheets and exports ---------------------------------------------
+
+
+@query
+def money_texts(s: Samples) -> DataFrame:
+    """Line values written in four ways and read back."""
+    whole, part = "cast(floor(l_extendedprice) as bigint)", "lpad(cast(cast(l_quantity as int) as string), 2, '0')"
+    grouped = f"translate(format_number({whole}, 0), ',', '.')"
+    text_of = (
+        f"case l_linenumber when 1 then concat('R$ ', {grouped}, ',', {part}) when 2 then concat({whole}, '.', {part}, ' BRL')"
+        f" when 3 then concat({whole}, ',', {part}) when 4 then concat({whole}, '.', {part}) when 5 then 'a combinar' else concat(' ', {grouped}, ',', {part}, ' ') end"
+    )
+    rows = s.raw("lineitem").select("l_linenumber", F.expr(text_of).alias("text"))
+    return rows.groupBy("l_linenumber").agg(F.count(money.money_br(F.col("text"))).alias("read"), F.sum(money.money_br(F.col("text"))).alias("value"))
+
+
+@query
+def date_texts(s: Samples) -> DataFrame:
+    """Order days written as ISO, dd/mm/yyyy, dd/mm/yy, sheet serial and epoch milliseconds."""
+    text_of = (
+        "case o_orderpriority when '1-URGENT' then date_format(o_orderdate, 'yyyy-MM-dd') when '2-HIGH' then date_format(o_orderdate, 'dd/MM/yyyy')"
+        " when '3-MEDIUM' then date_format(o_orderdate, 'dd/MM/yyyy') when '4-NOT SPECIFIED' then cast(datediff(o_orderdate, date'1899-12-30') as string)"
+        " else cast(unix_millis(cast(o_orderdate as timestamp)) as string) end"
+    )
+    rows = s.raw("orders").select("o_orderpriority", dates.parse_day(F.expr(text_of)).alias("day"))
+    return rows.groupBy("o_orderpriority", "day").agg(F.count("*").alias("orders"))
+
+
+@query
+def status_labels(s: Samples) -> DataFrame:
+    """Codes with a label, others as they are."""
+    labels = s.spark.createDataFrame([("F", "Concluído"), ("O", "Fila")], "code string, label string")
+    rows = s.raw("orders").groupBy(F.col("o_orderstatus").alias("stage")).agg(F.count("*").alias("orders"))
+    return groups.labelled(rows, "stage", labels)
+
+
+@query
+def register_overlay(s: Samples) -> DataFrame:
+    """Empty names filled from a second source, whose status always wins."""
+    from .operators.joins import overlay
+
+    base = s.companies().select("company_id", "company_name", F.col("status").cast("string").alias("status"))
+    other = s.companies().select(
+        "company_id", F.col("social_name").alias("company_name"), F.when(F.col("domain_id") < 100, "9").otherwise("").alias("status")
+    )
+    return overlay(base, other, "company_id", fill=["company_name"], force=["status"])
+
+
+@query
+def values_from_previous(s: Samples) -> DataFrame:
+    """Missing names taken from the previous run."""
+    new = s.companies().select("company_id", "company_name")
+    return quality.or_previous(new, s.companies().select("company_id", F.lower("social_name").alias("company_name")), "company_id", ["company_name"])
+
+
+@query
+def mart_patched(s: Samples) -> DataFrame:
+    """Links and clicks written over a table that lacks them."""
+    base = s.companies().select("company_id", "domain_id", F.lit(0).cast("long").alias("links"))
+    patch = s.links().groupBy("company_id").agg(F.count("*").alias("links"))
+    return mart.patch_columns(base, patch, "company_id", ["links"])
+
+
+@query
+def monthly_fee_precedence(s: Samples) -> DataFrame:
+    acct = money.money(F.col("c_acctbal"))
+    rows = s.raw("customer").select(
+        F.col("c_custkey"), F.when(F.col("c_nationkey") < 5, acct).alias("manual_fee"), (acct - 3000).alias("billed_total"),
+        F.col("c_nationkey").cast("decimal(18,2)").alias("plan_value"),
+    )
+    return mart.fee_precedence(rows).select("c_custkey", F.coalesce("monthly_fee", F.lit(0)).alias("monthly_fee"))
+
+
+@query
+def invoices_waiting(s: Samples) -> DataFrame:
+    rows = s.invoices().withColumn("has_automatic", F.col("item_id") == "2")
+    return billing.invoices_of_class(rows, "waiting").select("invoice_id", "item_id", "due_at", "total_cents")
+
+
+@query
+def payment_key_register(s: Samples) -> DataFrame:
+    """Keys by part name; the part with the largest key is the company."""
+    keys = s.raw("part").groupBy(F.upper("p_name").alias("brand")).agg(
+        F.min(F.format_string("%011d", F.col("p_partkey"))).alias("payment_key")
+    ).withColumn("payment_key", text.payment_key(F.col("payment_key")))
+    companies = s.raw("part").select(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("company_id"), F.col("p_size").alias("domain_id"))
+    return receivables.payment_key_register(keys, companies)
+
+
+@query
+def payment_key_lookup(s: Samples) -> DataFrame:
+    """Keys by tax id for some companies, by name for the rest."""
+    rows = s.companies().select("company_id", F.col("tax_document").alias("tax_id"), "social_name")
+    by_tax = s.companies().filter("status = 2").groupBy(F.col("tax_document").alias("tax_id")).agg(F.concat(F.lit("tax-"), F.min("company_id")).alias("payment_key"))
+    by_name = s.companies().filter("company_name is not null").groupBy(text.light_normalise(F.col("company_name")).alias("name_key")).agg(
+        F.concat(F.lit("name-"), F.min("company_id")).alias("payment_key")
+    )
+    return receivables.keyed_by_tax_or_name(rows, by_tax, by_name, text.light_normalise(F.col("social_name")))
+
+
+@query
+def csat_form_answers(s: Samples) -> DataFrame:
+    forms = s.raw("part").select(
+        F.expr("case when p_size = 1 then 'Teste' when p_size = 2 then ' ' else p_brand end").alias("brand"),
+        F.expr("case when p_size < 30 then concat('nota ', p_size div 5, ',5 de 10') else 'sem nota' end").alias("score_text"),
+        F.expr("case when p_size < 45 then cast(p_size as string) end").alias("second_text"),
+        F.expr("1700000000000 + p_partkey * 3600000").alias("submitted_ms"),
+    )
+    return crm.csat_answers(forms, ["teste"])
+
+
+@query
+def nps_survey_rows(s: Samples) -> DataFrame:
+    answers = s.raw("customer").select(
+        F.col("c_name").alias("name"), F.expr("case when c_nationkey = 3 then ' ' else concat(' ', c_mktsegment) end").alias("comment"),
+        F.expr("case when c_nationkey = 4 then 'sem dominio' when c_nationkey > 12 then concat(c_custkey, '.0') else cast(c_custkey as string) end").alias("domain"),
+        F.when(F.col("c_acctbal") > 0, (F.col("c_nationkey") % 11).cast("int")).alias("score"),
+        F.lit(None).cast("date").alias("filled_on"),
+    )
+    rows = crm.nps_rows(answers).drop("filled_on")
+    return rows.withColumns({"domain_id": F.coalesce("domain_id", F.lit(-1)), "comment": F.coalesce("comment", F.lit("-"))})
+
+
+@query
+def manual_postings(s: Samples) -> DataFrame:
+    """Postings without an order: those of the new sheet, then old ones it lacks."""
+    rows = s.raw("lineitem").select(
+        F.expr("case when l_quantity > 25 then concat('c', l_orderkey) else '' end").alias("internal_code"),
+        F.to_date("l_shipdate").alias("posted_on"), F.col("l_suppkey").cast("string").alias("invoice_no"),
+        F.col("l_quantity").cast("int").alias("posting"), "l_returnflag",
+    )
+    new = rows.filter("l_returnflag = 'A'").drop("l_returnflag")
+    return freight.manual_postings(new, rows.filter("l_returnflag = 'R'").drop("l_returnflag"))
+
+
+@query
+def sheet_total_row(s: Samples) -> DataFrame:
+    """The total row among the rows of a sheet."""
+    rows = s.freight_close().select("volume_code", F.col("volume_code").alias("order_number"), "posting_text")
+    total = s.raw("lineitem").agg(F.concat(F.lit("R$ "), F.sum(F.col("l_quantity").cast("int")).cast("string"), F.lit(",00")).alias("posting_text"))
+    total = total.select(F.lit("").alias("volume_code"), F.lit(None).cast("string").alias("order_number"), "posting_text")
+    return freight.sheet_total(rows.unionByName(total))
+
+
+@query
+def latest_sheet_lines(s: Samples) -> DataFrame:
+    """Plan lines of the newest of several monthly sheets, named in three ways."""
+    from .sources.readers import latest_sheet
+
+    name = F.expr(
+        "case when p_size = 50 then 'Planos 07-2024' when p_size > 40 then 'Planos 06-2024' when p_size > 20 then concat('Planos 0', p_size % 5 + 1, '2024') else 'Planos 1223' end"
+    )
+    return latest_sheet(s.raw("part").select("p_partkey", "p_name", name.alias("sheet")))
+
+
+@query
+def plan_fallback_source(s: Samples) -> DataFrame:
+    """Plans of a rich source by tax id, the poorer source for the rest."""
+    from .sources.readers import with_fallback
+
+    main = groups.plan_per_tax_id(s.plan_lines()).filter("lines = 1").select("tax_id", "plan", "total")
+    poorer = groups.plan_per_tax_id(s.plan_lines()).select("tax_id", "plan")
+    return with_fallback(main, poorer, "tax_id").withColumn("total", F.coalesce("total", F.lit(0)))
+
+
+@query
+def export_chunk_map(s: Samples) -> DataFrame:
+    from .sources.sinks import chunk_map
+
+    return chunk_map(s.orders().groupBy("company_id").agg(F.count("*").alias("orders")))
+
+
+@query
+def month_vectors(s: Samples) -> DataFrame:
+    """Export vectors with all values in hundredths, as one text."""
+    rows = mart.month_vectors(_months(s))
+    cents = F.transform("vector", lambda v: F.round(v * 100).cast("long").cast("string"))
+    return rows.select("domain_id", "month", F.array_join(cents, ",").alias("vector"))
+
+
+@query
+def panel_vectors(s: Samples) -> DataFrame:
+    rows = panel.month_vector(s.domain_month())
+    cents = F.transform("vector", lambda v: F.round(v * 100).cast("long").cast("string"))
+    return rows.select("domain_id", "month", F.array_join(cents, ",").alias("vector"))
+
+
+@query
+def domain_freight_audit(s: Samples) -> DataFrame:
+    """Freight orders of the domain with most postings against the sheet."""
+    sheet = freight.postings(s.freight_close())
+    busiest = sheet.groupBy("domain_id").agg(F.count("*").alias("n")).agg(F.min(F.struct((-F.col("n")).alias("n"), "domain_id"))["domain_id"])
+    whole = freight.reconcile(sheet, freight.freight_orders(s.orders(), s.freight_close()), dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+    return freight.domain_audit(whole, busiest.scalar()).select("domain_id", "order_number", "sheet_posting", "system_posting", "outcome")
+
+
+@query
+def panel_stats_kept(s: Samples) -> DataFrame:
+    """Larger measures of two runs of the assistant panel."""
+    rows = s.ai_orders()
+    new = rows.filter("ts >= timestamp'2024-01-15'").groupBy("brand").agg(F.count("*").alias("orders"), F.sum("total").alias("sales"))
+    old = rows.filter("ts < timestamp'2024-01-15'").groupBy("brand").agg(F.count("*").alias("orders"), F.sum("total").alias("sales"))
+    return crm.keep_larger(new, old, "brand", ["orders", "sales"])
+
+
+@query
+def people_of_two_sources(s: Samples) -> DataFrame:
+    return crm.people((s.raw("nation"), "n_name"), (s.raw("customer"), "c_mktsegment"))
+
+
+@query
+def local_days(s: Samples) -> DataFrame:
+    """Events per local day, month label and business day."""
+    local = F.to_date(dates.to_local(F.col("ts")))
+    rows = s.raw("events").groupBy(local.alias("day")).agg(F.count("*").alias("events"))
+    return rows.select("day", "events", dates.month_label(F.col("day")).alias("label"), dates.next_business_day(F.col("day")).alias("business_day"))
+
+
+@query
+def years_scanned(s: Samples) -> DataFrame:
+    """Month totals of two years out of one scan."""
+    from .sources.readers import years_of
+
+    rows = years_of(s.orders(), "created_at", [1999, 2000])
+    return rows.groupBy(F.trunc("created_at", "MM").alias("month")).agg(F.count("*").alias("orders"), F.sum("total").alias("value"))
+
+
+@query
+def assistant_last_months(s: Samples) -> DataFrame:
+    """Latest three months of each merchant's monthly table."""
+    return crm.last_months(monthly_domain_kpis(s), "domain_id", 3).select("domain_id", "month", "orders")
+
+
+@query
+def risk_counts(s: Samples) -> DataFrame:
+    return mart.risk_counts(churn_score(s))
+
+
+@query
+def weekly_event_maps(s: Samples) -> DataFrame:
+    """Event counts per week as one text per brand."""
+    rows = crm.event_map(crm.event_weeks(s.ai_events()))
+    parts = F.transform(F.map_entries("events"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return rows.select("brand", "week", F.array_join(parts, ",").alias("events"))
+
+
+@query
+def club_month_maps(s: Samples) -> DataFrame:
+    """Month maps of the club, orders per month as one text."""
+    rows = cohorts.month_map(cohorts.month_club(s.orders(), dt.date(1998, 1, 1), dt.date(2001, 1, 1), 3, MAX_TOTAL))
+    parts = F.transform(F.map_entries("months"), lambda e: F.concat_ws("=", e["key"], e["value"]["orders"].cast("string")))
+    return rows.select("domain_id", F.array_join(parts, ",").alias("months"))

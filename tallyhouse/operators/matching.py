@@ -11,6 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+from .skew import spread_join
+
 
 def substrings(c: Column, min_len: int = 1) -> Column:
     """Distinct substrings of at least `min_len` letters."""
@@ -96,7 +99,7 @@ def _points(asked: Column, offered: Column) -> Column:
     return F.aggregate(F.transform(asked, one), F.lit(0), lambda s, x: s + x)
 
 
-def word_scored(asked: DataFrame, offered: DataFrame, accept: int = 2, hot: int = 1000) -> DataFrame:
+def word_scored(asked: DataFrame, offered: DataFrame, accept: int = 2, hot: int = 200) -> DataFrame:
     """(name, pick, score): offer with most word points, smallest pick on ties.
 
     Words of more than `hot` offered names are never joined on. Offers that
@@ -107,45 +110,41 @@ def word_scored(asked: DataFrame, offered: DataFrame, accept: int = 2, hot: int
     """
     asked = asked.withColumn("aw", _words(F.col("name"))).filter(F.size("aw") > 0)
     offered = offered.withColumn("ow", _words(F.col("name"))).filter(F.size("ow") > 0)
-    vocabulary = (
-        offered.select(F.explode(F.array_distinct("ow")).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
+    spelled = offered.select("name", "pick", "ow", F.explode(F.array_distinct("ow")).alias("word"))
+    vocabulary = cut_lineage(
+        spelled.groupBy("word").agg((F.count("*") > hot).alias("hot"))
     )
-    hot_words = vocabulary.filter(F.col("n") > hot).select("word")
+    carriers = spread_join(spelled, vocabulary, "word", F.col("name")).withColumnRenamed("name", "offer_name")
 
     # Word-level relation: equal words, or one the start of the other.
-    seen = asked.select(F.explode(F.array_distinct("aw")).alias("asked_word")).distinct()
-    longer = vocabulary.select("word", F.explode(prefixes(F.col("word"), 3)).alias("asked_word"))
+    askers = asked.select("name", "aw", F.explode(F.array_distinct("aw")).alias("asked_word"))
+    seen = askers.select("asked_word").distinct()
+    longer = vocabulary.select("word", "hot", F.explode(prefixes(F.col("word"), 3)).alias("asked_word"))
     shorter = seen.select("asked_word", F.explode(prefixes(F.col("asked_word"), 3)).alias("word"))
     related = (
-        seen.join(longer, "asked_word", "inner").select("asked_word", "word")
-        .unionByName(shorter.join(vocabulary, "word").select("asked_word", "word"))
+        seen.join(longer, "asked_word").select("asked_word", "word", "hot")
+        .unionByName(shorter.join(vocabulary, "word").select("asked_word", "word", "hot"))
         .distinct()
     )
+    wanted = cut_lineage(askers.join(related, "asked_word").select("name", "aw", "word", "hot").distinct())
 
     # Offers reached through a rarer word, scored on their whole names.
-    rare = related.join(hot_words, "word", "left_anti")
-    carriers = offered.select("pick", F.col("name").alias("offer_name"), "ow", F.explode(F.array_distinct("ow")).alias("word"))
-    askers = asked.select("name", "aw", F.explode(F.array_distinct("aw")).alias("asked_word"))
-    pairs = askers.join(rare, "asked_word").join(carriers.join(hot_words, "word", "left_anti"), "word")
+    pairs = wanted.filter("not hot").drop("hot").join(carriers.filter("not hot"), "word")
     by_rare = pairs.select("name", "aw", "offer_name", "pick", "ow").distinct().select(
         "name", "pick", _points(F.col("aw"), F.col("ow")).alias("score")
     )
 
-    # Offers reached through hot words only: one stand-in per set of hot words.
-    hot_carriers = carriers.join(hot_words, "word", "left_semi").select("offer_name", "pick", "word", "ow")
+    # Offers reached through hot words only: one stand-in per list of hot words.
     hot_sets = (
-        hot_carriers.groupBy("offer_name", "pick", "ow")
-        .agg(F.sort_array(F.collect_set("word")).alias("hot_set"))
+        carriers.filter("hot").groupBy("offer_name", "pick", "ow")
+        .agg(F.collect_set("word").alias("hot_set"))
         .select("pick", F.sort_array(F.filter("ow", lambda w: F.array_contains("hot_set", w))).alias("hot_ow"))
         .groupBy("hot_ow")
         .agg(F.min("pick").alias("pick"))
     )
     set_words = hot_sets.select("hot_ow", "pick", F.explode(F.array_distinct("hot_ow")).alias("word"))
-    asked_hot = askers.join(related.join(hot_words, "word", "left_semi"), "asked_word")
     by_hot = (
-        asked_hot.join(set_words, "word")
+        wanted.filter("hot").drop("hot").join(set_words, "word")
         .select("name", "aw", "hot_ow", "pick").distinct()
         .select("name", "pick", _points(F.col("aw"), F.col("hot_ow")).alias("score"))
     )

@@ -724,6 +724,85 @@ select order_id, D[coalesce(ap, np)] posting, DAY[coalesce(d, day)] as day, coal
   D[case when ap is not null then greatest(quoted, cast(ap * 1.10 as decimal(18,2))) when np is not null then greatest(quoted, cast(np * 1.10 as decimal(18,2))) else quoted end] as final,
   case when ap is not null then 'sheet' when np is not null then 'close' else '' end posting_source from j"""
 
+_BODIES |= {
+    # Line 5 has no number in its text.
+    "money_texts": """
+select l_linenumber, count(*) filter (l_linenumber <> 5) as read,
+  D[sum(case when l_linenumber <> 5 then cast(floor(l_extendedprice) as bigint) * 100 + cast(l_quantity as integer) end)] / 100 as value
+from lineitem group by 1""",
+    "date_texts": "select o_orderpriority, DAY[o_orderdate] as day, count(*) orders from orders group by o_orderpriority, o_orderdate",
+    "status_labels": """
+select o_orderstatus stage, count(*) orders, case o_orderstatus when 'F' then 'Concluído' when 'O' then 'Fila' else o_orderstatus end label from orders group by 1""",
+    "register_overlay": """
+select company_id, social_name company_name, case when domain_id < 100 then '9' else cast(status as varchar) end status from v_companies""",
+    "values_from_previous": "select company_id, coalesce(company_name, lower(social_name)) company_name from v_companies",
+    "mart_patched": """
+select company_id, domain_id, coalesce(n, 0) links from v_companies left join (
+  select cast(user_id as varchar) company_id, count(*) n from events where event_type = 'signup' group by 1) using (company_id)""",
+    "monthly_fee_precedence": """
+select c_custkey, case when c_nationkey < 5 and c_acctbal > 0 then D[cast(c_acctbal as decimal(18,2))] when cast(c_acctbal as decimal(18,2)) > 3000 then D[cast(c_acctbal as decimal(18,2)) - 3000]
+  when c_nationkey > 0 then D[c_nationkey] else 0 end monthly_fee from customer""",
+    "invoices_waiting": "select invoice_id, item_id, TS[due_at] due_at, total_cents from v_invoices where status = 'pending'",
+    "payment_key_register": """
+with k as (select upper(p_name) brand, '+55' || min(lpad(cast(p_partkey as varchar), 11, '0')) payment_key from part group by 1),
+c as (select *, row_number() over (partition by p_name order by p_size desc, cast(p_partkey as varchar) desc) rn from part)
+select brand, payment_key, cast(p_partkey as varchar) company_id, p_size domain_id from k join c on lower(brand) = p_name and rn = 1""",
+    "payment_key_lookup": """
+with t as (select tax_document, 'tax-' || min(company_id) k from v_companies where status = 2 group by 1),
+n as (select lower(company_name) nm, 'name-' || min(company_id) k from v_companies where company_name is not null group by 1)
+select company_id, c.tax_document tax_id, social_name, coalesce(t.k, n.k) payment_key from v_companies c left join t on t.tax_document = c.tax_document left join n on n.nm = lower(c.social_name)""",
+    "csat_form_answers": """
+select case when p_size = 2 then null else p_brand end brand, D[case when p_size < 30 then p_size // 5 + 0.5 else p_size end] score,
+  strftime(epoch_ms(1700000000000 + p_partkey * 3600000), '%Y-%m-%d') as day from part where p_size < 45 and p_size <> 1""",
+    "nps_survey_rows": """
+select c_name as name, case when c_nationkey = 3 then '-' else c_mktsegment end as comment, case when c_nationkey = 4 then -1 else c_custkey end domain_id,
+  c_nationkey % 11 score from customer where c_acctbal > 0""",
+    "manual_postings": """
+with r as (select case when l_quantity > 25 then 'c' || l_orderkey else '' end internal_code, strftime(l_shipdate, '%Y-%m-%d') posted_on, cast(l_suppkey as varchar) invoice_no,
+    cast(l_quantity as integer) posting, l_returnflag, case when l_quantity > 25 then 'c' || l_orderkey else concat_ws('_', strftime(l_shipdate, '%Y-%m-%d'), l_suppkey, cast(l_quantity as integer)) end k from lineitem)
+select internal_code, posted_on, invoice_no, posting from r where l_returnflag = 'A'
+union all select internal_code, posted_on, invoice_no, posting from (
+  select *, row_number() over (partition by k order by internal_code, posted_on, invoice_no, posting) rn from r
+  where l_returnflag = 'R' and k not in (select k from r where l_returnflag = 'A')) where rn = 1""",
+    "sheet_total_row": "select D[sum(cast(l_quantity as integer))] sheet_total from lineitem",
+    "latest_sheet_lines": "select p_partkey, p_name, 'Planos 07-2024' sheet from part where p_size = 50",
+    "plan_fallback_source": "select tax_id, plan, case when lines = 1 then D[total] else 0 end total from v_plan_main",
+    "export_chunk_map": """
+select company_id, cast((row_number() over (order by n desc, company_id) - 1) // 50 as integer) chunk from (select company_id, count(*) n from v_orders group by 1)""",
+    "month_vectors": """
+select domain_id, strftime(month, '%Y-%m') as month, concat_ws(',', orders * 100, paid * 100, canceled * 100, pending * 100, cast(value * 100 as bigint), cast(paid_value * 100 as bigint),
+  cast(canceled_value * 100 as bigint), cast(pending_value * 100 as bigint), card_orders * 100, pix_orders * 100, cast(card_value * 100 as bigint), cast(pix_value * 100 as bigint),
+  cast(links * 100 as bigint), cast(clicks * 100 as bigint)) vector from v_months""",
+    "panel_vectors": """
+select domain_id, strftime(month, '%Y-%m') as month, concat_ws(',', n * 100, cast(gmv * 100 as bigint), 100 * (n >= 2)::int, 100 * (n >= 3)::int, 100 * (p > 0)::int, 100 * (k > 0)::int,
+  100 * (p > 0 and k > 0)::int, 100 * (p > 1)::int, 100 * (x > 0)::int, 100 * (x > 1)::int, 100 * (p > 0 and x > 0)::int, 100 * (k > 0 and x > 0)::int, 100 * (x = n)::int) vector
+from v_domain_month""",
+    "domain_freight_audit": """
+with f as (select * from v_freight where day between (select min(posted_on) from v_postings) and (select max(posted_on) from v_postings)),
+j as (select coalesce(s.domain_id, f.domain_id) domain_id, coalesce(s.order_number, f.order_number) order_number, s.posting sp, f.posting fp, f.is_canceled, s.order_number is not null in_s,
+    f.order_number is not null in_f from v_postings s full join f on s.domain_id = f.domain_id and s.order_number = f.order_number)
+select domain_id, order_number, D[sp] sheet_posting, D[fp] system_posting, case when in_s and in_f then (case when is_canceled then 'different' else 'ok' end)
+  when in_s then 'only_sheet' when is_canceled then 'ignored' else 'only_system' end outcome from j
+where domain_id = (select domain_id from v_postings group by 1 order by count(*) desc, domain_id limit 1)""",
+    "panel_stats_kept": """
+with a as (select brand, ts >= timestamp '2024-01-15' late, count(*) n, sum(total) s from v_ai_orders group by 1, 2)
+select brand, max(n) orders, D[max(s)] sales from a group by 1""",
+    "people_of_two_sources": "select n_name as name from nation union select c_mktsegment from customer",
+    "local_days": """
+with e as (select cast(ts - interval 3 hour as date) d, count(*) events from events group by 1)
+select DAY[d] as day, events, (case month(d) when 1 then 'jan' when 12 then 'dez' end) || '/' || strftime(d, '%y') label,
+  strftime(d + (case dayofweek(d) when 6 then 2 when 0 then 1 else 0 end), '%Y-%m-%d') business_day from e""",
+    "years_scanned": """
+select DAY[m] as month, count(*) orders, D[sum(total)] as value from (select date_trunc('month', created_at) m, total from v_orders where year(created_at) in (1999, 2000)) group by m""",
+    "assistant_last_months": """
+select domain_id, DAY[month] as month, orders from (select *, row_number() over (partition by domain_id order by month desc) rn from v_monthly) where rn <= 3""",
+    "weekly_event_maps": f"""
+select brand, week, string_agg(event_type || '=' || n, ',' order by event_type) as events from (
+  select user_id brand, {_WEEK} as week, event_type, count(*) n from events group by 1, 2, 3) group by 1, 2""",
+    "club_month_maps": "select domain_id, string_agg(strftime(month, '%Y-%m') || '=' || orders, ',' order by month) as months from v_club group by 1",
+}
+_BODIES["risk_counts"] = f"select risk, count(*) companies from ({_BODIES['churn_score']}) group by 1"
+
 
 def _nested(body: str) -> str:
     """A body that starts with its own CTEs becomes a subquery behind the views."""

@@ -41,9 +41,11 @@ def _inside(month: Column, start: dt.date, as_of: dt.date) -> Column:
 def plan_churn(plans: DataFrame, as_of: dt.date, start: dt.date, months: int = 3, inclusive: bool = False) -> DataFrame:
     """Plans that stopped, by churn month, flagged when the whole domain stopped."""
     marked = _with_stop(plans, as_of, months, inclusive)
-    whole = marked.groupBy("domain_id").agg(F.bool_and("stopped").alias("total_churn"))
-    rows = marked.filter("stopped").withColumn("churn_month", _churn_month(F.col("last_paid")))
-    return rows.filter(_inside(F.col("churn_month"), start, as_of)).join(whole, "domain_id")
+    # A domain has few plans, so the window runs over the small plan table.
+    whole = F.bool_and("stopped").over(Window.partitionBy("domain_id"))
+    rows = marked.withColumn("total_churn", whole).filter("stopped")
+    dated = rows.withColumn("churn_month", _churn_month(F.col("last_paid")))
+    return dated.filter(_inside(F.col("churn_month"), start, as_of))
 
 
 def plan_churn_pivot(churn: DataFrame) -> DataFrame:
@@ -114,14 +116,14 @@ def value_lost(churned: DataFrame, orders: DataFrame) -> DataFrame:
     nil = F.lit(0).cast(MONEY)
     monthly = (
         orders.filter(pix | card)
-        .join(churned.select("domain_id", "last_payment"), "domain_id")
-        .filter(F.col("created_at") < F.trunc("last_payment", "MM").cast("timestamp"))
         .groupBy("domain_id", F.trunc("created_at", "MM").alias("month"))
         .agg(
             F.sum(F.when(pix, F.col("total")).otherwise(nil)).alias("pix_lost"),
             F.sum(F.when(card, F.col("total")).otherwise(nil)).alias("card_lost"),
         )
         .filter(F.col("pix_lost") + F.col("card_lost") > 0)
+        .join(churned.select("domain_id", "last_payment"), "domain_id")
+        .filter(F.col("month") < F.trunc("last_payment", "MM"))
     )
     latest = monthly.groupBy("domain_id").agg(
         F.max(F.struct("month", "pix_lost", "card_lost")).alias("_m")
@@ -138,19 +140,25 @@ def value_lost(churned: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def trailing_quarters(monthly: DataFrame, as_of: dt.date, key: str = "domain_id") -> DataFrame:
-    """Orders of the month of `as_of` and the two before, and of the three before those."""
-    recent = F.col("month") >= month_start(as_of, 2)
-    window = monthly.filter(F.col("month").between(month_start(as_of, 5), month_start(as_of)))
+def quarter_sums(as_of: dt.date) -> list[Column]:
+    """Orders of the month of `as_of` and the two before, the three before those,
+    and of the month itself, over a monthly table."""
+    month = F.col("month")
 
     def total(cond: Column) -> Column:
         return F.sum(F.when(cond, F.col("orders")).otherwise(0))
 
-    return window.groupBy(key).agg(
-        total(recent).alias("last3"),
-        total(~recent).alias("prev3"),
-        total(F.col("month") == month_start(as_of)).alias("this_month"),
-    )
+    return [
+        total(month.between(month_start(as_of, 2), month_start(as_of))).alias("last3"),
+        total(month.between(month_start(as_of, 5), month_start(as_of, 3))).alias("prev3"),
+        total(month == month_start(as_of)).alias("this_month"),
+    ]
+
+
+def trailing_quarters(monthly: DataFrame, as_of: dt.date, key: str = "domain_id") -> DataFrame:
+    """Those sums for the keys with orders in the six months."""
+    window = monthly.filter(F.col("month").between(month_start(as_of, 5), month_start(as_of)))
+    return window.groupBy(key).agg(*quarter_sums(as_of))
 
 
 def observed_quarters(monthly: DataFrame, key: str = "domain_id", min_months: int = 4) -> DataFrame:
@@ -195,8 +203,9 @@ def churn_score(facts: DataFrame) -> DataFrame:
 
 def churn_facts(monthly: DataFrame, domains: DataFrame, as_of: dt.date) -> DataFrame:
     """Inputs of the score per domain from the monthly order table."""
-    totals = monthly.groupBy("domain_id").agg(*[F.sum(c).alias(c) for c in ("orders", "paid", "canceled")])
-    joined = domains.join(totals, "domain_id", "left").join(trailing_quarters(monthly, as_of), "domain_id", "left")
+    totals = [F.sum(c).alias(c) for c in ("orders", "paid", "canceled")]
+    per = monthly.groupBy("domain_id").agg(*quarter_sums(as_of), *totals)
+    joined = domains.join(per, "domain_id", "left")
     counts = ["orders", "paid", "canceled", "last3", "prev3", "this_month"]
     keep = [c for c in domains.columns if c not in counts]
     return joined.select(*keep, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.dates import day, month_start
 from ..operators.ranking import nth, numbered
-from .orders import MAX_TOTAL, clean_orders, in_months, payment_split
+from .orders import MAX_TOTAL, clean_orders, in_months, payment_split, split_measures
 
 SPLIT = ["pix_value", "card_value", "value", "pix_orders", "card_orders", "orders"]
 
@@ -24,13 +24,15 @@ def first_full_month(
 
     The month must be over at `as_of`; domains without orders in it are left out.
     """
-    firsts = first_orders(orders, max_total)
-    if start:
-        firsts = firsts.filter(F.col("first_at") >= day(start))
-    cohort = firsts.withColumn("month", F.add_months(F.trunc("first_at", "MM"), 1)).filter(
-        F.col("month") < month_start(as_of)
+    months = clean_orders(orders, max_total).groupBy("domain_id", F.trunc("created_at", "MM").alias("month")).agg(
+        *split_measures(), F.min("created_at").alias("first_in_month")
     )
-    return cohort.join(payment_split(orders, max_total=max_total), ["domain_id", "month"])
+    # A domain has few months, so the window runs over the small monthly table.
+    first = F.min("first_in_month").over(Window.partitionBy("domain_id"))
+    cohort = months.withColumn("first_at", first).drop("first_in_month").filter(
+        (F.col("month") == F.add_months(F.trunc("first_at", "MM"), 1)) & (F.col("month") < month_start(as_of))
+    )
+    return cohort.filter(F.col("first_at") >= day(start)) if start else cohort
 
 
 def month_map(monthly: DataFrame, key: str = "domain_id") -> DataFrame:
@@ -42,17 +44,22 @@ def month_map(monthly: DataFrame, key: str = "domain_id") -> DataFrame:
 def month_club(
     orders: DataFrame, start: dt.date, end: dt.date, threshold: int = 80, max_total: float = MAX_TOTAL
 ) -> DataFrame:
-    """Domain-months with at least `threshold` orders, and when it was reached."""
-    clean = clean_orders(orders, max_total)
-    window = clean.filter(in_months("created_at", start, end)).withColumn("month", F.trunc("created_at", "MM"))
-    split = payment_split(orders.filter(in_months("created_at", start, end)), max_total=max_total)
-    members = split.filter(F.col("orders") >= threshold)
+    """Domain-months with at least `threshold` orders, and when it was reached.
+
+    `start` and `end` are first days of months; `end` is left out.
+    """
+    inside = in_months("created_at", start, end)
+    months = payment_split(orders, max_total=max_total)
+    # A domain has few months, so the window runs over the small monthly table.
+    lifetime = F.sum("orders").over(Window.partitionBy("domain_id"))
+    members = months.withColumn("lifetime_orders", lifetime).filter(
+        (F.col("month") >= day(start)) & (F.col("month") < day(end)) & (F.col("orders") >= threshold)
+    )
+    window = clean_orders(orders.filter(inside), max_total).withColumn("month", F.trunc("created_at", "MM"))
     reached = nth(
         window.select("domain_id", "month", "created_at"), ["domain_id", "month"], [F.col("created_at")], threshold
     ).withColumnRenamed("created_at", "reached_at")
-    who = members.select("domain_id").distinct()
-    lifetime = clean.groupBy("domain_id").agg(F.count("*").alias("lifetime_orders")).join(who, "domain_id", "left_semi")
-    return members.join(reached, ["domain_id", "month"], "left").join(lifetime, "domain_id", "left")
+    return members.join(reached, ["domain_id", "month"])
 
 
 def club_months(club: DataFrame) -> DataFrame:
@@ -81,10 +88,9 @@ def new_payment_customers(
 ) -> DataFrame:
     """Domains whose first pix or card order falls on or after `start`, with totals."""
     paying = orders.filter(F.col("payment_method").isin("PIX", "CREDIT_CARD"))
-    firsts = first_orders(paying, max_total).filter(F.col("first_at") >= day(start))
-    totals = payment_split(paying, max_total=max_total).groupBy("domain_id").agg(*[F.sum(m).alias(m) for m in SPLIT])
+    totals = clean_orders(paying, max_total).groupBy("domain_id").agg(*split_measures(), F.min("created_at").alias("first_at"))
     hq = headquarters(companies).select("domain_id", F.col("company_id").alias("hq_id"), "status")
-    return firsts.join(totals, "domain_id").join(hq, "domain_id")
+    return totals.filter(F.col("first_at") >= day(start)).join(hq, "domain_id")
 
 
 def finished_first_month(cohort: DataFrame, month: dt.date) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import iso_week_key, week_start
 from ..functions.money import percent, sum_if
+from ..session import cut_lineage
 from ..operators.asof import asof_join
 from ..operators.ranking import top_n
 
@@ -35,14 +36,16 @@ def weekly_matrix(meetings: DataFrame, matched_deals: DataFrame) -> DataFrame:
     won = matched_deals.filter("match is not null").groupBy(owner.alias("owner_rank"), met.alias("week")).agg(
         nil.alias("meetings"), F.count("*").alias("deals")
     )
-    counts = held.unionByName(won).groupBy("owner_rank", "week").agg(
-        F.sum("meetings").alias("meetings"), F.sum("deals").alias("deals")
+    counts = cut_lineage(
+        held.unionByName(won).groupBy("owner_rank", "week").agg(
+            F.sum("meetings").alias("meetings"), F.sum("deals").alias("deals")
+        )
     )
     # One entry per week, then every owner reads its weeks off one array.
     entry = F.struct("week", "meetings", "deals")
     per_owner = counts.groupBy("owner_rank").agg(F.map_from_entries(F.collect_list(F.struct("week", entry))).alias("own"))
-    weeks = counts.agg(F.sort_array(F.collect_set("week")).alias("weeks"))
-    rows = per_owner.join(F.broadcast(weeks), F.lit(True)).select("owner_rank", "own", F.explode("weeks").alias("week"))
+    weeks = counts.agg(F.sort_array(F.collect_set("week"))).scalar()
+    rows = per_owner.select("owner_rank", "own", F.explode(weeks).alias("week"))
     return rows.select(
         "owner_rank", "week",
         F.coalesce(F.col("own")[F.col("week")]["meetings"], nil).alias("meetings"),

@@ -69,19 +69,22 @@ def reconcile(
     different, only_sheet, only_system or ignored, and the differences.
     """
     window = sheet.filter(F.col("posted_on").between(day(start), day(end)))
-    covered = window.agg(F.min("posted_on").alias("from_day"), F.max("posted_on").alias("to_day"))
-    inside = system.join(F.broadcast(covered), F.col("day").between(F.col("from_day"), F.col("to_day"))).drop("from_day", "to_day")
-    # A sheet order the system holds on another day is no sheet-only order.
-    elsewhere = system.select("domain_id", "order_number").distinct().withColumn("_exists", F.lit(True))
     left = window.select(
         "domain_id", "order_number", F.col("posting").alias("sheet_posting"), "sheet_status", "posted_on",
         F.lit(True).alias("_sheet"),
-    ).join(elsewhere, ["domain_id", "order_number"], "left")
-    right = inside.select(
+    )
+    covered = F.col("day").between(
+        window.agg(F.min("posted_on")).scalar(), window.agg(F.max("posted_on")).scalar()
+    )
+    right = system.select(
         "domain_id", "order_number", "day", "is_canceled", "order_status", "quoted", "has_label",
-        F.col("posting").alias("system_posting"), F.lit(True).alias("_system"),
+        F.col("posting").alias("system_posting"), F.lit(True).alias("_system"), F.coalesce(covered, F.lit(False)).alias("_covered"),
     )
-    both = left.join(right, ["domain_id", "order_number"], "full")
+    both = left.join(right, ["domain_id", "order_number"], "full").filter("_sheet or _covered")
+    # A sheet order the system holds on another day is no sheet-only order.
+    both = both.withColumn("_exists", F.col("_system"))
+    for name in ("day", "is_canceled", "order_status", "quoted", "has_label", "system_posting", "_system"):
+        both = both.withColumn(name, F.when(F.col("_covered"), F.col(name)))
     gap = F.abs(F.col("sheet_posting") - F.col("system_posting")) > F.lit("0.01").cast(MONEY)
     found = F.array_compact(
         F.array(
@@ -100,7 +103,7 @@ def reconcile(
     )
     return both.withColumn("outcome", outcome).withColumn(
         "differences", F.when(paired, F.array_join(found, ",")).otherwise("")
-    ).drop("_sheet", "_system", "_exists")
+    ).drop("_sheet", "_system", "_exists", "_covered")
 
 
 def reconcile_summary(rows: DataFrame) -> DataFrame:
@@ -195,6 +198,6 @@ def client_brands(orders: DataFrame, n: int = 5) -> DataFrame:
     return top_n(counts, ["doc"], [F.desc("orders"), F.asc("domain_id")], n, "position")
 
 
-def domain_audit(rows: DataFrame, domain_id: int) -> DataFrame:
+def domain_audit(rows: DataFrame, domain_id: int | Column) -> DataFrame:
     """Reconciliation of one domain."""
     return rows.filter(F.col("domain_id") == domain_id)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import digits, light_normalise, normalise_name, phone_key, subject_to_brand, tax_branch, tax_root
 from ..operators.components import linked_groups
+from ..session import cut_lineage
 from ..operators.matching import containing, prefixing, tiers, word_scored
 from .cohorts import with_row_number
 
@@ -53,9 +54,8 @@ def register_counts(register: DataFrame, ordering: DataFrame) -> DataFrame:
 def drop_idle_copies(companies: DataFrame) -> DataFrame:
     """Drop companies without orders whose tax id has orders elsewhere."""
     keyed = companies.withColumn("_doc", F.coalesce(digits(F.col("tax_document")), F.lit("")))
-    busy = keyed.filter("orders > 0 and _doc <> ''").select("_doc").distinct()
-    idle = keyed.filter("orders = 0").join(busy, "_doc", "left_anti")
-    return keyed.filter("orders > 0").unionByName(idle).drop("_doc")
+    busy = keyed.filter("orders > 0 and _doc <> ''").select("_doc", F.lit(True).alias("_busy")).distinct()
+    return keyed.join(busy, "_doc", "left").filter("orders > 0 or _busy is null").drop("_doc", "_busy")
 
 
 def company_groups(companies: DataFrame, max_root: int = 20, max_domain: int = 15) -> DataFrame:
@@ -177,15 +177,17 @@ def match_panels(companies: DataFrame, panels: DataFrame) -> DataFrame:
     return tiers(keyed, steps).filter("tier is not null").select("company_id", "tier", F.col("pick").alias("panel"))
 
 
-def match_tickets(tickets: DataFrame, companies: DataFrame, ignored: Sequence[str] = ("eventos",), product_words: Sequence[str] = (), hot: int = 1000) -> DataFrame:
+def match_tickets(tickets: DataFrame, companies: DataFrame, ignored: Sequence[str] = ("eventos",), product_words: Sequence[str] = (), hot: int = 200) -> DataFrame:
     """Company of each ticket by equal name, contained name or shared words."""
     name = normalise_name(subject_to_brand(F.col("subject"), list(product_words)))
     keyed = tickets.withColumn("_name", name)
     asked = keyed.select(F.col("_name").alias("name")).filter((F.col("name") != "") & ~F.col("name").isin(list(ignored))).distinct()
     offered = _named(companies, normalise_name(F.col("name")), F.col("company_id"))
+    # Both name lists are read by every tier; write them once.
+    asked, offered = cut_lineage(asked), cut_lineage(offered)
     same = asked.join(offered, "name")
     left = asked.join(offered, "name", "left_anti")
-    near = containing(left, offered)
+    near = cut_lineage(containing(left, offered))
     scored = word_scored(left.join(near, "name", "left_anti"), offered, hot=hot)
     steps = [
         ("name", "_name", same.withColumnRenamed("name", "_name")),

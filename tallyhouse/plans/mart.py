@@ -7,11 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import MONEY
+from ..session import cut_lineage
 from ..operators.joins import attach_to_headquarters
-from .churn import churn_score, trailing_quarters
+from .churn import churn_score, quarter_sums
 from .groups import drop_idle_copies
 
-ORDER_MEASURES = ["orders", "paid", "canceled", "pending", "value", "paid_value", "canceled_value", "pending_value"]
+ORDER_MEASURES = [
+    "orders", "paid", "canceled", "pending", "value", "paid_value", "canceled_value", "pending_value",
+    "pix_value", "card_value", "pix_orders", "card_orders",
+]
 # Order of the 14 values in an exported month vector.
 VECTOR = [
     "orders", "paid", "canceled", "pending", "value", "paid_value", "canceled_value", "pending_value",
@@ -19,13 +23,13 @@ VECTOR = [
 ]
 
 
-def month_table(kpis: DataFrame, split: DataFrame, activity: DataFrame) -> DataFrame:
-    """All month measures of a key; a month may come from any of the sources.
+def month_table(months: DataFrame, activity: DataFrame) -> DataFrame:
+    """All month measures of a key; a month may come from either source.
 
     `activity` holds links and clicks by the same key.
     """
     keys = ["domain_id", "month"]
-    wide = kpis.join(split.drop("value", "orders"), keys, "full").join(activity, keys, "full")
+    wide = months.join(activity, keys, "full")
     return wide.select(*keys, *[F.coalesce(m, F.lit(0)).alias(m) for m in VECTOR])
 
 
@@ -43,8 +47,7 @@ def month_series(months: DataFrame, n: int = 18) -> DataFrame:
 
 def company_mart(
     register: DataFrame,
-    kpis: DataFrame,
-    split: DataFrame,
+    months: DataFrame,
     buckets: DataFrame,
     freight: DataFrame,
     plans: DataFrame,
@@ -53,16 +56,13 @@ def company_mart(
 ) -> DataFrame:
     """Register rows with orders, payment, invoices, freight, plan and churn risk.
 
-    Domain totals sit on the headquarters row. `buckets` and `freight` are by
-    domain, `plans` and `tickets` by company.
+    Domain totals sit on the headquarters row. `months` is the monthly order
+    table, `buckets` and `freight` are by domain, `plans` and `tickets` by company.
     """
-    totals = kpis.groupBy("domain_id").agg(*[F.sum(m).alias(m) for m in ORDER_MEASURES])
-    methods = split.groupBy("domain_id").agg(
-        *[F.sum(m).alias(m) for m in ("pix_value", "card_value", "pix_orders", "card_orders")]
-    )
-    per_domain = totals.join(methods, "domain_id", "left").join(trailing_quarters(kpis, as_of), "domain_id", "left")
+    per_domain = months.groupBy("domain_id").agg(*quarter_sums(as_of), *[F.sum(m).alias(m) for m in ORDER_MEASURES])
     measures = [c for c in per_domain.columns if c != "domain_id"]
-    rows = attach_to_headquarters(register, per_domain, "domain_id", measures)
+    # Written once: the copy check below reads it twice.
+    rows = cut_lineage(attach_to_headquarters(register, per_domain, "domain_id", measures))
     rows = drop_idle_copies(rows)
     bills = buckets.select(
         "domain_id", F.col("paid").alias("bill_paid"), F.col("pending").alias("bill_pending"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.classify import payment_family
 from ..functions.dates import LOCAL_ZONE, day, month_of, month_start, to_local
@@ -50,34 +50,45 @@ def _status_measures() -> list[Column]:
     ]
 
 
-def monthly_domain_kpis(orders: DataFrame, zone: str = "UTC", max_total: float = MAX_TOTAL) -> DataFrame:
-    """Counts and values by state, per domain and month."""
+def split_measures() -> list[Column]:
+    method, total = F.col("payment_method"), F.col("total")
+    pix, card = method == "PIX", method == "CREDIT_CARD"
+    return [
+        sum_if(pix, total).alias("pix_value"), sum_if(card, total).alias("card_value"),
+        F.count_if(pix).alias("pix_orders"), F.count_if(card).alias("card_orders"),
+        F.sum(total).alias("value"), F.count("*").alias("orders"),
+    ]
+
+
+def merchant_months(orders: DataFrame, zone: str = "UTC", max_total: float = MAX_TOTAL) -> DataFrame:
+    """Counts and values by state and payment method, per domain and month, in one scan."""
     clean = clean_orders(orders, max_total)
     grouped = clean.groupBy("domain_id", month_of(F.col("created_at"), zone).alias("month"))
     pending = F.col("value") - F.col("paid_value") - F.col("canceled_value")
-    return grouped.agg(*_status_measures()).withColumn("pending_value", pending.cast("decimal(28,2)"))
+    return grouped.agg(*_status_measures(), *split_measures()[:4]).withColumn("pending_value", pending.cast("decimal(28,2)"))
+
+
+def monthly_domain_kpis(orders: DataFrame, zone: str = "UTC", max_total: float = MAX_TOTAL) -> DataFrame:
+    """Counts and values by state, per domain and month."""
+    return merchant_months(orders, zone, max_total).drop("pix_value", "card_value", "pix_orders", "card_orders")
 
 
 def kpi_rollup(monthly: DataFrame) -> DataFrame:
     """Domain totals and month totals from the monthly table."""
     measures = ["orders", "paid", "canceled", "pending", "value", "paid_value", "canceled_value"]
-    sums = [F.sum(m).alias(m) for m in measures]
-    by_domain = monthly.groupBy("domain_id").agg(*sums).withColumn("grain", F.lit("domain"))
-    by_month = monthly.groupBy("month").agg(*sums).withColumn("grain", F.lit("month"))
-    return by_domain.unionByName(by_month, allowMissingColumns=True)
+    domain, month = F.col("domain_id"), F.col("month")
+    totals = monthly.groupingSets([[domain], [month]], domain, month).agg(
+        *[F.sum(m).alias(m) for m in measures], F.grouping("domain_id").alias("_over")
+    )
+    return totals.withColumn("grain", F.when(F.col("_over") == 1, "month").otherwise("domain")).drop("_over")
 
 
 def payment_split(orders: DataFrame, key: str = "domain_id", max_total: float = MAX_TOTAL) -> DataFrame:
     """Pix, card and total values and counts by key and month."""
-    method, total = F.col("payment_method"), F.col("total")
-    pix, card = method == "PIX", method == "CREDIT_CARD"
     return (
         clean_orders(orders, max_total)
         .groupBy(key, F.trunc("created_at", "MM").alias("month"))
-        .agg(
-            sum_if(pix, total).alias("pix_value"), sum_if(card, total).alias("card_value"), F.sum(total).alias("value"),
-            F.count_if(pix).alias("pix_orders"), F.count_if(card).alias("card_orders"), F.count("*").alias("orders"),
-        )
+        .agg(*split_measures())
     )
 
 
@@ -97,10 +108,11 @@ def order_report(orders: DataFrame, max_ticket: float = MAX_TICKET) -> DataFrame
     monthly = orders.groupBy("company_id", F.trunc("created_at", "MM").alias("month")).agg(
         F.count("*").alias("orders"), F.sum("total").alias("value")
     )
-    whole = monthly.groupBy("company_id").agg(F.sum("value").alias("_v"), F.sum("orders").alias("_n"))
-    bad = (F.col("_v") / F.col("_n") > max_ticket) | (F.col("value") / F.col("orders") > max_ticket)
-    value = F.when(bad, F.lit(0).cast(MONEY)).otherwise(F.col("value"))
-    return monthly.join(whole, "company_id").withColumn("value", value).drop("_v", "_n")
+    # A company has few months, so the window runs over the small monthly table.
+    whole = Window.partitionBy("company_id")
+    ticket = F.sum("value").over(whole) / F.sum("orders").over(whole)
+    bad = (ticket > max_ticket) | (F.col("value") / F.col("orders") > max_ticket)
+    return monthly.withColumn("value", F.when(bad, F.lit(0).cast(MONEY)).otherwise(F.col("value")))
 
 
 def order_union(orders: DataFrame, quotes: DataFrame, quotes_old: DataFrame) -> DataFrame:
@@ -142,24 +154,28 @@ def local_month_shift(rows: DataFrame, ts: str, zone: str = LOCAL_ZONE) -> DataF
     )
 
 
-def three_month_average(orders: DataFrame, as_of: dt.date, how: str = "full") -> DataFrame:
+def three_month_average(orders: DataFrame, as_of: dt.date, keep_pix_only: bool = True) -> DataFrame:
     """Average monthly value of the last three full months: all, card and pix.
 
-    `how="left"` keeps only domains with card value in the payment columns.
+    Without `keep_pix_only` the pix column is empty for domains without card value.
     """
     window = (F.col("created_at") >= month_start(as_of, 3).cast("timestamp")) & (
         F.col("created_at") < month_start(as_of).cast("timestamp")
     )
     base = orders.filter(window & ~F.col("is_canceled") & F.col("is_closed"))
 
-    def average(rows: DataFrame, measure: str, name: str) -> DataFrame:
-        return rows.groupBy("domain_id").agg((F.sum(measure).cast("double") / 3.0).alias(name))
+    def average(rows: Column, measure: str) -> Column:
+        return F.sum(F.when(rows, F.col(measure))).cast("double") / 3.0
 
-    paid = base.filter("is_paid")
-    gmv = average(base, "total", "gmv_avg")
-    card = average(paid.filter("payment_method = 'CREDIT_CARD'"), "transaction_value", "card_avg")
-    pix = average(paid.filter("payment_method = 'PIX'"), "transaction_value", "pix_avg")
-    return gmv.join(card.join(pix, "domain_id", how), "domain_id", "left")
+    paid = F.col("is_paid")
+    out = base.groupBy("domain_id").agg(
+        average(F.lit(True), "total").alias("gmv_avg"),
+        average(paid & (F.col("payment_method") == "CREDIT_CARD"), "transaction_value").alias("card_avg"),
+        average(paid & (F.col("payment_method") == "PIX"), "transaction_value").alias("pix_avg"),
+    )
+    if keep_pix_only:
+        return out
+    return out.withColumn("pix_avg", F.when(F.col("card_avg").isNotNull(), F.col("pix_avg")))
 
 
 def filtered_orders(orders: DataFrame, equals: dict[str, str], contains: str = "", columns: tuple[str, ...] = ()) -> DataFrame:

@@ -92,8 +92,10 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def exact_profile(df: DataFrame) -> DataFrame:
-    """The same with exact distinct counts, one value per row and column first."""
-    texts = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns])
+    """The same with exact distinct counts, by digests so that long texts are not shuffled."""
+    texts = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.sha2(F.col(c).cast("string"), 256).alias("value")) for c in df.columns]
+    )
     values = df.select(F.inline(texts)).groupBy("column", "value").agg(F.count("*").alias("n"))
     return values.groupBy("column").agg(
         F.sum("n").alias("rows"), F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("filled"),

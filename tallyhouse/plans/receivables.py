@@ -30,7 +30,8 @@ def receivable_lines(
         F.min("company_id").alias("order_company"),
         F.min("domain_id").alias("order_domain"),
     )
-    missing = heads.join(receivables.select("order_id"), "order_id", "left_anti").select(
+    covered = receivables.select("order_id").distinct()
+    missing = heads.join(covered, "order_id", "left_anti").select(
         "order_id",
         F.col("order_company").alias("company_id"),
         F.col("order_domain").alias("domain_id"),
@@ -42,23 +43,19 @@ def receivable_lines(
         F.lit(0).cast(MONEY).alias("fee"),
         F.lit(0).cast(MONEY).alias("anticipation"),
     )
-    lines = receivables.unionByName(missing, allowMissingColumns=True)
-    full = lines.join(settings, "company_id", "left").join(
-        heads.drop("order_company", "order_domain"), "order_id", "left"
-    )
+    lines = receivables.unionByName(missing, allowMissingColumns=True).join(settings, "company_id", "left")
     enabled = F.coalesce(F.col("anticipation_d1") > 0, F.lit(False)) | F.coalesce("fee_enabled", F.lit(False))
-    full = (
-        full.withColumn("anticipates", enabled)
+    lines = (
+        lines.withColumn("anticipates", enabled)
         .withColumn("due_on", F.to_date(to_local(F.col("due_at"), zone)))
         .withColumn("paid_on", F.to_date(to_local(F.col("rec_paid_at"), zone)))
         .filter((zero(F.col("net")) != 0) | F.col("anticipates"))
     )
     if known_domains is not None:
-        known = known_domains.select(F.col("domain_id").cast("string").alias("domain_id")).distinct()
-        full = full.join(known.withColumn("_known", F.lit(True)), "domain_id", "left").filter(
-            F.col("_known").isNotNull() | F.col("anticipates")
-        ).drop("_known")
-    return full
+        known = known_domains.select(F.col("domain_id").cast("string").alias("domain_id"), F.lit(True).alias("_known")).distinct()
+        lines = lines.join(known, "domain_id", "left").filter("_known is not null or anticipates").drop("_known")
+    # Last, so that the totals per order need no further shuffle.
+    return lines.join(heads.drop("order_company", "order_domain"), "order_id", "left")
 
 
 def receivable_orders(lines: DataFrame) -> DataFrame:
@@ -167,12 +164,13 @@ def duplicate_payments(purchases: DataFrame, duplicates: DataFrame) -> DataFrame
     )
 
 
-def duplicate_totals(purchases: DataFrame, duplicates: DataFrame) -> DataFrame:
-    orders = purchases.agg(F.countDistinct("order_id").alias("orders"))
-    dup = duplicates.agg(
-        F.count("*").alias("duplicate_orders"), F.sum("payments").alias("duplicate_payments"), F.sum("value").alias("value")
+def duplicate_totals(purchases: DataFrame) -> DataFrame:
+    per = purchases.groupBy("order_id").agg(F.count("*").alias("n"), F.sum(cents(F.col("amount"))).alias("v"))
+    twice = F.col("n") > 1
+    return per.agg(
+        F.count("*").alias("orders"), F.count_if(twice).alias("duplicate_orders"),
+        F.sum(F.when(twice, F.col("n"))).alias("duplicate_payments"), F.sum(F.when(twice, F.col("v"))).alias("value"),
     )
-    return orders.withColumn("_k", F.lit(1)).join(dup.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 def cancellations(purchases: DataFrame, orders: DataFrame) -> DataFrame:
@@ -236,12 +234,16 @@ def balance_rollup(balances: DataFrame, central: str) -> DataFrame:
     )
 
 
-def payment_keys(keys: DataFrame, brands: DataFrame) -> DataFrame:
-    """Latest payment key per name, joined to brands without regard to case."""
-    body = [c for c in keys.columns if c != "name"]
-    order = F.struct(F.col("updated_at").isNotNull(), "updated_at", "payment_key")
-    latest = keys.groupBy(F.lower("name").alias("_name")).agg(F.max_by(F.struct(*body), order).alias("_k"))
-    return brands.join(latest.select("_name", "_k.*"), F.lower(F.col("brand")) == F.col("_name"), "left").drop("_name")
+def payment_key_register(keys: DataFrame, companies: DataFrame) -> DataFrame:
+    """Payment keys with the company of their brand, names compared without case.
+
+    Of several companies with one name the one with the largest domain counts.
+    """
+    newest = companies.groupBy(F.lower("name").alias("_name")).agg(
+        F.max_by(F.struct("company_id", "domain_id"), F.struct("domain_id", "company_id")).alias("_c")
+    )
+    joined = keys.join(newest, F.lower(F.col("brand")) == F.col("_name"), "left")
+    return joined.select(*keys.columns, "_c.company_id", "_c.domain_id")
 
 
 def keyed_by_tax_or_name(brands: DataFrame, by_tax: DataFrame, by_name: DataFrame, name_key: Column) -> DataFrame:
