@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .skew import spread_join
+from .skew import hot_join
 
 
 def usable_links(nodes: DataFrame, node: str, key: str, max_size: int) -> DataFrame:
@@ -39,7 +39,7 @@ def linked_groups(nodes: DataFrame, node: str, limits: dict[str, int], max_round
         near = labels.join(spread, "node").withColumn("near", F.least("near", "label"))
         # A label names a node; take over the label that node has reached.
         targets = near.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        jumped = spread_join(near, targets, "near", F.col("node"))
+        jumped = hot_join(near, targets, ["near"], "inner")
         moved = jumped.select("node", "label", F.least("near", "far").alias("next"))
         moved = cut_lineage(moved)
         labels = moved.select("node", F.col("next").alias("label"))

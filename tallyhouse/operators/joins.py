@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .skew import hot_join
+
 
 def overlay(
     base: DataFrame, other: DataFrame, on: str, fill: Sequence[str] = (), force: Sequence[str] = ()
@@ -31,7 +33,8 @@ def fallback_key(rows: DataFrame, first: str, second: str, registry: DataFrame,
     """
     known = registry.select(F.col(first).alias("_known")).distinct()
     by_second = registry.groupBy(second).agg(F.min(first).alias("_owner"))
-    joined = rows.join(known, F.col(first) == F.col("_known"), "left").join(by_second, second, "left")
+    known = known.select(F.col("_known").alias(first), "_known")
+    joined = hot_join(hot_join(rows, known, [first]), by_second, [second])
     found = joined.withColumn(owner, F.coalesce("_known", "_owner")).drop("_known", "_owner")
     return found.filter(F.col(owner).isNotNull())
 
@@ -73,6 +76,6 @@ def tag_lookup(rows: DataFrame, sources: Sequence[tuple[DataFrame, str]], value:
     out, found = rows, []
     for i, (frame, key) in enumerate(sources):
         name = f"_v{i}"
-        out = out.join(frame.select(key, F.col(value).alias(name)), key, "left")
+        out = hot_join(out, frame.select(key, F.col(value).alias(name)), [key])
         found.append(F.col(name))
     return out.withColumn(value, F.coalesce(*found)).drop(*[f"_v{i}" for i in range(len(sources))])

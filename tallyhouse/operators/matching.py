@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
-from .skew import spread_join
+from .skew import hot_join
 
 
 def substrings(c: Column, min_len: int = 1) -> Column:
@@ -72,7 +72,7 @@ def tiers(asked: DataFrame, steps: Sequence[tuple[str, str, DataFrame]]) -> Data
     """
     out = asked
     for i, (_, key, frame) in enumerate(steps):
-        out = out.join(frame.select(key, F.col("pick").alias(f"_p{i}")), key, "left")
+        out = hot_join(out, frame.select(key, F.col("pick").alias(f"_p{i}")), [key])
     hits = [F.col(f"_p{i}") for i in range(len(steps))]
     label = F.coalesce(*[F.when(h.isNotNull(), F.lit(steps[i][0])) for i, h in enumerate(hits)])
     return (
@@ -112,9 +112,9 @@ def word_scored(asked: DataFrame, offered: DataFrame, accept: int = 2, hot: int
     offered = offered.withColumn("ow", _words(F.col("name"))).filter(F.size("ow") > 0)
     spelled = offered.select("name", "pick", "ow", F.explode(F.array_distinct("ow")).alias("word"))
     vocabulary = cut_lineage(
-        spelled.groupBy("word").agg((F.count("*") > hot).alias("hot"))
+        spelled.groupBy("word").agg(F.count("*").alias("n"), (F.count("*") > hot).alias("hot"))
     )
-    carriers = spread_join(spelled, vocabulary, "word", F.col("name")).withColumnRenamed("name", "offer_name")
+    carriers = hot_join(spelled, vocabulary, ["word"], "inner", "n").withColumnRenamed("name", "offer_name")
 
     # Word-level relation: equal words, or one the start of the other.
     askers = asked.select("name", "aw", F.explode(F.array_distinct("aw")).alias("asked_word"))

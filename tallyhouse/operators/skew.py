@@ -2,18 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame, functions as F
 
-def spread_join(
-    left: DataFrame, right: DataFrame, on: str, salt: Column, how: str = "inner", salts: int = 16
+# A key is hot above 1/SHARE of the left rows, so there are fewer than SHARE of them.
+SHARE = 1000
+
+
+def hot_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", weight: str | None = None
 ) -> DataFrame:
-    """Join to a right side that is unique on `on`, over `salts` slices per key.
+    """Equi-join to a right side that is unique on `on`: left, inner, left_semi or left_anti.
 
-    `salt` is any left column that varies inside a key; it is hashed, so a
-    recomputed task gives the same slices.
+    Adaptive execution splits a hot partition only where both sides come
+    straight out of a shuffle, which a right side aggregated on the key does
+    not. Here hot keys are found by counting; their right rows, fewer than SHARE
+    by definition, are broadcast, and their left rows pass the shuffle spread
+    over many slices, as do left rows with a null key. All other keys hold too
+    few rows to matter and meet in the shuffle.
+
+    `weight` names a right column that already holds the left rows per key;
+    without it the left side is counted.
     """
-    slice_of = F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int")
-    spread = left.withColumn("_salt", slice_of)
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [on, "_salt"], how).drop("_salt")
+    on = list(on)
+    payload = [c for c in right.columns if c not in on]
+    packed = right.select(*on, F.struct(F.lit(True).alias("_hit"), *payload).alias("_found"))
+    if weight:
+        counts = right.select(*on, F.col(weight).alias("_n"))
+        total = counts.agg(F.sum("_n")).scalar()
+        hot = right.filter(F.col(weight) * SHARE > total).select(*on, F.struct(F.lit(True).alias("_hit"), *payload).alias("_found"))
+    else:
+        counts = left.groupBy(*on).agg(F.count("*").alias("_n"))
+        total = counts.agg(F.sum("_n")).scalar()
+        keys = counts.filter(F.col("_n") * SHARE > total).select(*on)
+        hot = keys.join(packed, on, "left")
+    hot = hot.select(*on, F.struct("_found").alias("_hot"))
+
+    # Stable over retries: it depends on the row and its input partition only.
+    hashable = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    somewhere = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(4096)) + 1
+    dead = F.lit(False)
+    for key in on:
+        dead = dead | F.col(key).isNull()
+    marked = left.join(F.broadcast(hot), on, "left")
+    marked = marked.withColumn("_slice", F.when(dead | F.col("_hot").isNotNull(), somewhere).otherwise(F.lit(0)))
+    # Zero, but not a literal, which the optimizer would take out of the join key.
+    cold = packed.withColumn("_slice", F.pmod(F.xxhash64(*on), F.lit(1))).withColumnRenamed("_found", "_cold")
+    joined = marked.join(cold, [*on, "_slice"], "left")
+    found = joined.withColumn("_match", F.coalesce("_hot._found", "_cold"))
+    if how in ("inner", "left_semi"):
+        found = found.filter("_match._hit")
+    elif how == "left_anti":
+        found = found.filter("_match._hit is null")
+    if how in ("left_semi", "left_anti"):
+        return found.select(*left.columns)
+    return found.select(*left.columns, *[F.col(f"_match.{c}").alias(c) for c in payload])

@@ -27,8 +27,9 @@ def mrr_last_month(invoices: DataFrame, bridge: DataFrame, as_of: dt.date) -> Da
     window = (due >= month_start(as_of, 1).cast("timestamp")) & (due < month_start(as_of).cast("timestamp"))
     value = cents(F.coalesce("item_price_cents", "total_cents")).alias("value")
     rows = invoices.filter(window & (F.col("status") != "canceled")).select("customer_id", "invoice_id", "due_at", value)
-    linked = rows.join(bridge.distinct(), "customer_id").dropDuplicates()
-    return linked.groupBy("domain_id").agg(F.sum("value").alias("mrr"))
+    # Added up per customer before the customer meets its domains.
+    per_customer = rows.dropDuplicates().groupBy("customer_id").agg(F.sum("value").alias("mrr"))
+    return per_customer.join(bridge.distinct(), "customer_id").groupBy("domain_id").agg(F.sum("mrr").alias("mrr"))
 
 
 def invoice_items(invoices: DataFrame, paid_only: bool = True) -> DataFrame:

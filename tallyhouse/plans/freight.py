@@ -11,6 +11,7 @@ from ..functions.dates import day, half_month_end, half_month_start
 from ..functions.money import MONEY, money_br, zero
 from ..functions.text import clean_domain_id, digits
 from ..operators.ranking import top_n
+from ..operators.skew import hot_join
 
 MARKUP = "1.10"
 
@@ -39,9 +40,8 @@ def freight_orders(orders: DataFrame, close: DataFrame, zero_quote_is_missing: b
     The final price is the larger of the quote and the marked-up posting cost.
     """
     posted = orders.filter(is_posted(F.col("delivery_provider"))).withColumn("domain_id", clean_domain_id(F.col("domain_id")))
-    rows = posted.filter("domain_id is not null and created_at is not null").join(
-        postings(close), ["domain_id", "order_number"], "left"
-    )
+    dated = posted.filter("domain_id is not null and created_at is not null")
+    rows = hot_join(dated, postings(close), ["domain_id", "order_number"])
     quote = F.when(F.col("quoted") > 0, F.col("quoted")) if zero_quote_is_missing else F.col("quoted")
     up = _marked_up(F.col("posting"))
     return rows.select(
@@ -151,7 +151,7 @@ def reapply_sheet(orders: DataFrame, sheet: DataFrame) -> DataFrame:
         "domain_id", "order_number", F.col("posting").alias("_post"), F.col("posted_on").alias("_day"),
         F.col("sheet_status").alias("_status"),
     )
-    joined = orders.join(theirs, ["domain_id", "order_number"], "left")
+    joined = hot_join(orders, theirs, ["domain_id", "order_number"])
     hit, quoted = F.col("_post").isNotNull(), F.col("quoted") > 0
     up = _marked_up(F.col("_post"))
     values = {
@@ -168,7 +168,7 @@ def reapply_sheet(orders: DataFrame, sheet: DataFrame) -> DataFrame:
 
 def merge_sheet_snapshots(new: DataFrame, old: DataFrame) -> DataFrame:
     """Rows of a new sheet replace old ones with the same domain and order."""
-    kept = old.join(new.select("domain_id", "order_number"), ["domain_id", "order_number"], "left_anti")
+    kept = hot_join(old, new.select("domain_id", "order_number").distinct(), ["domain_id", "order_number"], "left_anti")
     return new.unionByName(kept, allowMissingColumns=True)
 
 
@@ -176,7 +176,7 @@ def manual_postings(new: DataFrame, old: DataFrame) -> DataFrame:
     """Postings without an order: one row per internal code, else per day, note and cost."""
     key = F.coalesce(F.nullif(F.col("internal_code"), F.lit("")), F.concat_ws("_", "posted_on", "invoice_no", "posting"))
     keyed_new, keyed_old = new.withColumn("_key", key), old.withColumn("_key", key)
-    fresh = keyed_old.join(keyed_new.select("_key"), "_key", "left_anti")
+    fresh = hot_join(keyed_old, keyed_new.select("_key").distinct(), ["_key"], "left_anti")
     body = F.struct(*[c for c in keyed_old.columns if c != "_key"])
     unique = fresh.groupBy("_key").agg(F.min(body).alias("_r")).select("_r.*")
     return new.unionByName(unique)

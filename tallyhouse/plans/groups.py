@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import digits, light_normalise, normalise_name, phone_key, subject_to_brand, tax_branch, tax_root
 from ..operators.components import linked_groups
 from ..session import cut_lineage
+from ..operators.skew import hot_join
 from ..operators.matching import containing, prefixing, tiers, word_scored
 from .cohorts import with_row_number
 
@@ -45,7 +46,7 @@ def company_register(
 
 def register_counts(register: DataFrame, ordering: DataFrame) -> DataFrame:
     """Headquarters, branches and all companies, of domains with orders."""
-    live = register.join(ordering.select("domain_id").distinct(), "domain_id", "left_semi")
+    live = hot_join(register, ordering.select("domain_id").distinct(), ["domain_id"], "left_semi")
     return live.agg(
         F.count_if(F.col("is_hq")).alias("headquarters"), F.count_if(~F.col("is_hq")).alias("branches"), F.count("*").alias("companies")
     )
@@ -55,7 +56,7 @@ def drop_idle_copies(companies: DataFrame) -> DataFrame:
     """Drop companies without orders whose tax id has orders elsewhere."""
     keyed = companies.withColumn("_doc", F.coalesce(digits(F.col("tax_document")), F.lit("")))
     busy = keyed.filter("orders > 0 and _doc <> ''").select("_doc", F.lit(True).alias("_busy")).distinct()
-    return keyed.join(busy, "_doc", "left").filter("orders > 0 or _busy is null").drop("_doc", "_busy")
+    return hot_join(keyed, busy, ["_doc"]).filter("orders > 0 or _busy is null").drop("_doc", "_busy")
 
 
 def company_groups(companies: DataFrame, max_root: int = 20, max_domain: int = 15) -> DataFrame:
@@ -82,7 +83,7 @@ def company_groups(companies: DataFrame, max_root: int = 20, max_domain: int = 1
     hq = per.join(heads, "group_id").select(
         "group_id", "size", F.when(F.col("roots") == 1, F.col("by_branch")).otherwise(F.col("by_orders")).alias("hq_id")
     )
-    return groups.join(hq, "group_id").select(
+    return hot_join(groups, hq, ["group_id"], "inner", "size").select(
         "company_id", "group_id", "size", "hq_id", (F.col("company_id") == F.col("hq_id")).alias("is_hq")
     )
 
@@ -203,7 +204,7 @@ def survey_brands(surveys: DataFrame, companies: DataFrame, min_prefix: int = 4)
     keyed = surveys.withColumn("_name", light_normalise(F.col("brand")))
     asked = keyed.select(F.col("_name").alias("name")).filter(F.length("name") >= min_prefix).distinct()
     found = asked.join(offered, "name").unionByName(prefixing(asked.join(offered, "name", "left_anti"), offered, min_prefix))
-    return keyed.join(found.withColumnRenamed("name", "_name"), "_name").select("brand", F.col("pick").alias("company_id"))
+    return hot_join(keyed, found.withColumnRenamed("name", "_name"), ["_name"], "inner").select("brand", F.col("pick").alias("company_id"))
 
 
 def survey_users(answers: DataFrame, users: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def survey_users(answers: DataFrame, users: DataFrame) -> DataFrame:
     known = users.select(phone_key(F.col("phone")).alias("_phone"), "user_id", "domain_id").filter("_phone <> ''")
     first = known.groupBy("_phone").agg(F.min(F.struct("user_id", "domain_id")).alias("_u"))
     keyed = answers.withColumn("_phone", phone_key(F.col("phone")))
-    return keyed.join(first, "_phone", "left").select(*answers.columns, "_u.user_id", "_u.domain_id")
+    return hot_join(keyed, first, ["_phone"]).select(*answers.columns, "_u.user_id", "_u.domain_id")
 
 
 def labelled(rows: DataFrame, code: str, labels: DataFrame, label: str = "label") -> DataFrame:

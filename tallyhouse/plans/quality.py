@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.skew import hot_join
+
 
 class QualityError(RuntimeError):
     """A guard refused the output."""
@@ -56,7 +58,7 @@ def guard_row_loss(merged: DataFrame, previous: DataFrame, max_loss: float = 0.1
 
 def unmatched(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Rows and distinct keys without a partner."""
-    lost = rows.join(lookup.select(key).distinct(), key, "left_anti")
+    lost = hot_join(rows, lookup.select(key).distinct(), [key], "left_anti")
     return lost.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("keys"))
 
 

@@ -10,6 +10,7 @@ from ..functions.dates import LOCAL_ZONE, day, next_business_day, seconds_betwee
 from ..functions.money import MONEY, cents, zero
 from ..functions.text import tag_value
 from ..operators.joins import newest_by_key
+from ..operators.skew import hot_join
 
 VALID_STATUS = ["paid", "confirmed", "created", "pending", "processing"]
 
@@ -30,8 +31,9 @@ def receivable_lines(
         F.min("company_id").alias("order_company"),
         F.min("domain_id").alias("order_domain"),
     )
-    covered = receivables.select("order_id").distinct()
-    missing = heads.join(covered, "order_id", "left_anti").select(
+    covered = receivables.groupBy("order_id").agg(F.count("*").alias("_lines"))
+    heads = heads.join(covered, "order_id", "left")
+    missing = heads.filter("_lines is null").select(
         "order_id",
         F.col("order_company").alias("company_id"),
         F.col("order_domain").alias("domain_id"),
@@ -43,7 +45,7 @@ def receivable_lines(
         F.lit(0).cast(MONEY).alias("fee"),
         F.lit(0).cast(MONEY).alias("anticipation"),
     )
-    lines = receivables.unionByName(missing, allowMissingColumns=True).join(settings, "company_id", "left")
+    lines = hot_join(receivables.unionByName(missing, allowMissingColumns=True), settings, ["company_id"])
     enabled = F.coalesce(F.col("anticipation_d1") > 0, F.lit(False)) | F.coalesce("fee_enabled", F.lit(False))
     lines = (
         lines.withColumn("anticipates", enabled)
@@ -53,9 +55,9 @@ def receivable_lines(
     )
     if known_domains is not None:
         known = known_domains.select(F.col("domain_id").cast("string").alias("domain_id"), F.lit(True).alias("_known")).distinct()
-        lines = lines.join(known, "domain_id", "left").filter("_known is not null or anticipates").drop("_known")
-    # Last, so that the totals per order need no further shuffle.
-    return lines.join(heads.drop("order_company", "order_domain"), "order_id", "left")
+        lines = hot_join(lines, known, ["domain_id"]).filter("_known is not null or anticipates").drop("_known")
+    heads = heads.drop("order_company", "order_domain").fillna(1, ["_lines"])
+    return hot_join(lines, heads, ["order_id"], weight="_lines").drop("_lines")
 
 
 def receivable_orders(lines: DataFrame) -> DataFrame:
@@ -84,11 +86,11 @@ def payment_schedule(lines: DataFrame, orders: DataFrame) -> DataFrame:
     Anticipating orders settle on the business day after the customer paid;
     others when paid, else when due.
     """
-    flags = orders.select("order_id", F.col("anticipates").alias("order_anticipates"))
+    flags = orders.select("order_id", F.col("anticipates").alias("order_anticipates"), "instalments")
     base = F.coalesce("customer_paid_on", "paid_on", "order_date")
     early = F.coalesce(next_business_day(F.date_add(base, 1)), "due_on")
     pay = F.when(F.col("order_anticipates"), early).otherwise(F.coalesce("paid_on", "due_on"))
-    return lines.join(flags, "order_id").select(
+    return hot_join(lines, flags, ["order_id"], "inner", "instalments").select(
         "order_id", "rec_id", "installment", pay.alias("pay_on"), F.col("order_anticipates").alias("anticipates"),
         F.col("paid_on").isNotNull().alias("is_paid"), "due_on", "paid_on", "gross", "fee", "net",
     )
@@ -120,7 +122,7 @@ def anticipation_default(
 def merge_purchases(fresh: DataFrame, refreshed: DataFrame, previous: DataFrame, defaults: DataFrame) -> DataFrame:
     """Newest copy of each purchase; the anticipation flag is raised, never lowered."""
     merged = newest_by_key([fresh, refreshed, previous], "transaction_id", ["updated"])
-    joined = merged.join(defaults.select("workspace_id", "anticipates_default"), "workspace_id", "left")
+    joined = hot_join(merged, defaults.select("workspace_id", "anticipates_default"), ["workspace_id"])
     raised = F.coalesce("anticipation", F.lit(False)) | F.coalesce("anticipates_default", F.lit(False))
     return joined.withColumn("anticipation", raised).drop("anticipates_default")
 
@@ -157,7 +159,7 @@ def duplicate_orders(purchases: DataFrame) -> DataFrame:
 
 def duplicate_payments(purchases: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Every payment of a duplicated order, the first one marked."""
-    return purchases.join(duplicates.select("order_id", "first_id"), "order_id").select(
+    return hot_join(purchases, duplicates.select("order_id", "first_id", "payments"), ["order_id"], "inner", "payments").select(
         "order_id", "transaction_id", "created", cents(F.col("amount")).alias("value"),
         F.size("installments").alias("parts"),
         (F.col("transaction_id") == F.col("first_id")).alias("is_first"),
@@ -182,7 +184,7 @@ def cancellations(purchases: DataFrame, orders: DataFrame) -> DataFrame:
         F.concat(F.round(hours.cast("decimal(18,6)"), 1).cast("string"), F.lit("h"))
     )
     voided = purchases.filter("status = 'voided'")
-    return voided.join(totals, "order_id", "left").select(
+    return hot_join(voided, totals, ["order_id"]).select(
         "transaction_id", "order_id", "brand", "order_number", "order_total",
         F.greatest(F.size("installments"), F.lit(1)).alias("parts"),
         F.col("updated").alias("canceled_at"), text.alias("time_to_cancel"),
@@ -213,9 +215,8 @@ def purchase_order_data(purchases: DataFrame, by_transaction: DataFrame, by_orde
     tagged = purchases.withColumn("tag_order", tag_value(F.col("tags"), "order_"))
     first = by_transaction.groupBy("transaction_id").agg(F.min("order_number").alias("_by_tx"))
     second = by_order.groupBy(F.col("order_id").alias("tag_order")).agg(F.max("order_number").alias("_by_tag"))
-    joined = tagged.join(first, "transaction_id", "left").join(second, "tag_order", "left").join(
-        workspaces.select("workspace_id", "anticipates_default"), "workspace_id", "left"
-    )
+    joined = hot_join(hot_join(tagged, first, ["transaction_id"]), second, ["tag_order"])
+    joined = hot_join(joined, workspaces.select("workspace_id", "anticipates_default"), ["workspace_id"])
     source = F.when(F.col("_by_tx").isNotNull(), "transaction").when(F.col("_by_tag").isNotNull(), "tag").otherwise("none")
     return joined.select(
         "transaction_id", F.coalesce("_by_tx", "_by_tag").alias("order_number"), source.alias("found_by"),
@@ -242,7 +243,7 @@ def payment_key_register(keys: DataFrame, companies: DataFrame) -> DataFrame:
     newest = companies.groupBy(F.lower("name").alias("_name")).agg(
         F.max_by(F.struct("company_id", "domain_id"), F.struct("domain_id", "company_id")).alias("_c")
     )
-    joined = keys.join(newest, F.lower(F.col("brand")) == F.col("_name"), "left")
+    joined = hot_join(keys.withColumn("_name", F.lower("brand")), newest, ["_name"])
     return joined.select(*keys.columns, "_c.company_id", "_c.domain_id")
 
 
@@ -250,5 +251,5 @@ def keyed_by_tax_or_name(brands: DataFrame, by_tax: DataFrame, by_name: DataFram
     """Payment key by tax id, else by normalised name."""
     first = by_tax.select("tax_id", F.col("payment_key").alias("_a"))
     second = by_name.select("name_key", F.col("payment_key").alias("_b"))
-    joined = brands.withColumn("name_key", name_key).join(first, "tax_id", "left").join(second, "name_key", "left")
+    joined = hot_join(hot_join(brands.withColumn("name_key", name_key), first, ["tax_id"]), second, ["name_key"])
     return joined.withColumn("payment_key", F.coalesce("_a", "_b")).drop("_a", "_b", "name_key")

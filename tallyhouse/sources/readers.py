@@ -38,7 +38,7 @@ def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, limit: int | None = None,
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, limit: int | None = None,
     multi_line: bool = False, sep: str = ",",
 ) -> DataFrame:
     """CSV with a header; quoted fields, doubled quotes, trimmed values.
@@ -108,7 +108,7 @@ def flatten_instalments(documents: DataFrame, zone: str = LOCAL_ZONE) -> DataFra
     )
 
 
-def read_datasets(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def read_datasets(spark: SparkSession, root: str, schema: T.StructType | str) -> DataFrame:
     """The same table out of one folder per brand; unreadable files are skipped.
 
     The folder name becomes column `brand`.

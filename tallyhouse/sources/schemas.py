@@ -35,12 +35,12 @@ PURCHASE_DOCUMENT = T.StructType(
     + [T.StructField("orderNumber", _long), T.StructField("anticipation", T.BooleanType()), T.StructField("purchase", PURCHASE)]
 )
 
-ORDERS = T.StructType.fromDDL(
+ORDERS = (
     "order_id string, order_number bigint, domain_id string, company_id string, created_at timestamp, total decimal(18,2), "
     "payment_method string, payment_status string, order_status string, is_paid boolean, is_canceled boolean, is_closed boolean, "
     "transaction_value decimal(18,2), provider string, customer_name string, customer_doc string, source string"
 )
-PLAN_LINES = T.StructType.fromDDL(
+PLAN_LINES = (
     "tax_id string, brand string, plan string, setup decimal(18,2), monthly decimal(18,2), integration decimal(18,2), "
     "assistant decimal(18,2), branch decimal(18,2), discount decimal(18,2), total decimal(18,2), notes string, sub_account string"
 )
@@ -59,8 +59,9 @@ def harmonise(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     return df.select(*out)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Only the schema's columns, cast; missing ones are null."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     have = set(df.columns)
     return df.select(
         *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]

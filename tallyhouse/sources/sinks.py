@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import numbered
+from ..operators.skew import hot_join
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -52,7 +53,7 @@ def replace_keys(df: DataFrame, root: str, key: str) -> str:
     old = read_current(df.sparkSession, root)
     if old is None:
         return write_version(df, root)
-    kept = old.join(df.select(key).distinct(), key, "left_anti")
+    kept = hot_join(old, df.select(key).distinct(), [key], "left_anti")
     return write_version(df.unionByName(kept, allowMissingColumns=True), root)
 
 
@@ -69,7 +70,7 @@ def merge_current(df: DataFrame, root: str, key: str, newest: str | None = None)
 def write_csv(df: DataFrame, path: str, sep: str = ";", bom: bool = True, single: bool = False) -> None:
     """CSV with a header; `bom` marks UTF-8 for spreadsheets, `single` is for small pivots."""
     if bom:
-        df = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0])
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     rows = df.coalesce(1) if single else df
     rows.write.mode("overwrite").option("sep", sep).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
