@@ -298,8 +298,7 @@ def domain_kpi_table(s: Samples) -> DataFrame:
 
 
 def _lines(s: Samples) -> DataFrame:
-    known = s.raw("supplier").filter("s_acctbal < 9000").select(F.col("s_suppkey").alias("domain_id"))
-    known = known.unionByName(s.domains().select("domain_id"))
+    known = groups.active_domains(s.domains(), TRIALS).select("domain_id")
     return receivables.receivable_lines(s.receivables(), s.orders(), s.settings(), known)
 
 
@@ -310,8 +309,7 @@ def receivable_tree(s: Samples) -> DataFrame:
 
 @query
 def payment_schedule(s: Samples) -> DataFrame:
-    lines = _lines(s)
-    return receivables.payment_schedule(lines, receivables.receivable_orders(lines))
+    return receivables.payment_schedule(_lines(s))
 
 
 @query

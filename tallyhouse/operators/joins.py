@@ -34,7 +34,7 @@ def fallback_key(rows: DataFrame, first: str, second: str, registry: DataFrame,
     known = registry.select(F.col(first).alias("_known")).distinct()
     by_second = registry.groupBy(second).agg(F.min(first).alias("_owner"))
     known = known.select(F.col("_known").alias(first), "_known")
-    joined = hot_join(hot_join(rows, known, [first]), by_second, [second])
+    joined = hot_join(hot_join(rows, known, [first]), by_second, [second], counted=rows)
     found = joined.withColumn(owner, F.coalesce("_known", "_owner")).drop("_known", "_owner")
     return found.filter(F.col(owner).isNotNull())
 
@@ -76,6 +76,6 @@ def tag_lookup(rows: DataFrame, sources: Sequence[tuple[DataFrame, str]], value:
     out, found = rows, []
     for i, (frame, key) in enumerate(sources):
         name = f"_v{i}"
-        out = hot_join(out, frame.select(key, F.col(value).alias(name)), [key])
+        out = hot_join(out, frame.select(key, F.col(value).alias(name)), [key], counted=rows)
         found.append(F.col(name))
     return out.withColumn(value, F.coalesce(*found)).drop(*[f"_v{i}" for i in range(len(sources))])

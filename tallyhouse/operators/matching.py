@@ -72,7 +72,7 @@ def tiers(asked: DataFrame, steps: Sequence[tuple[str, str, DataFrame]]) -> Data
     """
     out = asked
     for i, (_, key, frame) in enumerate(steps):
-        out = hot_join(out, frame.select(key, F.col("pick").alias(f"_p{i}")), [key])
+        out = hot_join(out, frame.select(key, F.col("pick").alias(f"_p{i}")), [key], counted=asked)
     hits = [F.col(f"_p{i}") for i in range(len(steps))]
     label = F.coalesce(*[F.when(h.isNotNull(), F.lit(steps[i][0])) for i, h in enumerate(hits)])
     return (

@@ -11,7 +11,8 @@ SHARE = 1000
 
 
 def hot_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", weight: str | None = None
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", weight: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join to a right side that is unique on `on`: left, inner, left_semi or left_anti.
 
@@ -22,8 +23,9 @@ def hot_join(
     over many slices, as do left rows with a null key. All other keys hold too
     few rows to matter and meet in the shuffle.
 
-    `weight` names a right column that already holds the left rows per key;
-    without it the left side is counted.
+    `weight` names a right column that already holds the left rows per key.
+    Otherwise the rows of `counted` are counted, by default the left side: a
+    frame with the same keys that is cheaper to read than a left side made of joins.
     """
     on = list(on)
     payload = [c for c in right.columns if c not in on]
@@ -33,7 +35,7 @@ def hot_join(
         total = counts.agg(F.sum("_n")).scalar()
         hot = right.filter(F.col(weight) * SHARE > total).select(*on, F.struct(F.lit(True).alias("_hit"), *payload).alias("_found"))
     else:
-        counts = left.groupBy(*on).agg(F.count("*").alias("_n"))
+        counts = (left if counted is None else counted).groupBy(*on).agg(F.count("*").alias("_n"))
         total = counts.agg(F.sum("_n")).scalar()
         keys = counts.filter(F.col("_n") * SHARE > total).select(*on)
         hot = keys.join(packed, on, "left")

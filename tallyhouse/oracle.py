@@ -121,8 +121,7 @@ from (
   from v_heads where order_id not in (select order_id from v_receivables)
 ) l left join v_settings s using (company_id) left join v_heads h using (order_id)
 where (l.net <> 0 or coalesce(s.anticipates, false))
-  and (coalesce(s.anticipates, false) or l.domain_id in (select cast(s_suppkey as varchar) from supplier where s_acctbal < 9000)
-       or l.domain_id in (select cast(domain_id as varchar) from v_domains))""",
+  and (coalesce(s.anticipates, false) or l.domain_id in (select cast(domain_id as varchar) from v_active))""",
     "v_rec_orders": """
 select order_id, max(order_number) order_number, max(order_date) order_date, count(*) instalments, min(due_on) first_due,
   max(due_on) last_due, min(due_on) filter (paid_on is null) next_due, count(paid_on) paid, count(*) - count(paid_on) as "open",

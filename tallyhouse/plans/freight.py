@@ -10,6 +10,7 @@ from ..functions.classify import is_posted
 from ..functions.dates import day, half_month_end, half_month_start
 from ..functions.money import MONEY, money_br, zero
 from ..functions.text import clean_domain_id, digits
+from ..session import cut_lineage
 from ..operators.ranking import top_n
 from ..operators.skew import hot_join
 
@@ -68,7 +69,8 @@ def reconcile(
     within the days the sheet covers. Each row carries an outcome: ok,
     different, only_sheet, only_system or ignored, and the differences.
     """
-    window = sheet.filter(F.col("posted_on").between(day(start), day(end)))
+    # Written once: the days it covers are read off it before the join.
+    window = cut_lineage(sheet.filter(F.col("posted_on").between(day(start), day(end))))
     left = window.select(
         "domain_id", "order_number", F.col("posting").alias("sheet_posting"), "sheet_status", "posted_on",
         F.lit(True).alias("_sheet"),

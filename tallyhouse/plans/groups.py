@@ -46,10 +46,11 @@ def company_register(
 
 def register_counts(register: DataFrame, ordering: DataFrame) -> DataFrame:
     """Headquarters, branches and all companies, of domains with orders."""
-    live = hot_join(register, ordering.select("domain_id").distinct(), ["domain_id"], "left_semi")
-    return live.agg(
+    per_domain = register.groupBy("domain_id").agg(
         F.count_if(F.col("is_hq")).alias("headquarters"), F.count_if(~F.col("is_hq")).alias("branches"), F.count("*").alias("companies")
     )
+    live = per_domain.join(ordering.select("domain_id").distinct(), "domain_id", "left_semi")
+    return live.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("headquarters", "branches", "companies")])
 
 
 def drop_idle_copies(companies: DataFrame) -> DataFrame:

@@ -28,36 +28,43 @@ def receivable_lines(
         *[F.max(c).alias(c) for c in ("order_number", "customer_doc", "total", "payment_method")],
         F.max(F.to_date(to_local(F.col("created_at"), zone))).alias("order_date"),
         F.max(F.when(F.col("is_paid"), F.to_date(to_local(F.col("created_at"), zone)))).alias("customer_paid_on"),
-        F.min("company_id").alias("order_company"),
-        F.min("domain_id").alias("order_domain"),
-    )
-    covered = receivables.groupBy("order_id").agg(F.count("*").alias("_lines"))
-    heads = heads.join(covered, "order_id", "left")
-    missing = heads.filter("_lines is null").select(
-        "order_id",
-        F.col("order_company").alias("company_id"),
-        F.col("order_domain").alias("domain_id"),
-        F.concat("order_id", F.lit("-0")).alias("rec_id"),
-        F.lit(1).alias("installment"),
-        F.lit("created").alias("rec_status"),
-        F.col("total").alias("net"),
-        F.col("total").alias("gross"),
-        F.lit(0).cast(MONEY).alias("fee"),
-        F.lit(0).cast(MONEY).alias("anticipation"),
-    )
-    lines = hot_join(receivables.unionByName(missing, allowMissingColumns=True), settings, ["company_id"])
+        F.min("company_id").alias("company_id"),
+        F.min("domain_id").alias("domain_id"),
+    )
     enabled = F.coalesce(F.col("anticipation_d1") > 0, F.lit(False)) | F.coalesce("fee_enabled", F.lit(False))
-    lines = (
-        lines.withColumn("anticipates", enabled)
+    known = None
+    if known_domains is not None:
+        known = known_domains.select(F.col("domain_id").cast("string").alias("domain_id"), F.lit(True).alias("_known"))
+
+    def checked(lines: DataFrame) -> DataFrame:
+        """Lines with their anticipation flag, and whether they stay."""
+        rows = lines.join(settings, "company_id", "left").withColumn("anticipates", enabled)
+        stays = (zero(F.col("net")) != 0) | F.col("anticipates")
+        if known is not None:
+            rows = rows.join(known, "domain_id", "left")
+            stays = stays & (F.col("_known").isNotNull() | F.col("anticipates"))
+            return rows.withColumn("_stays", stays).drop("_known")
+        return rows.withColumn("_stays", stays)
+
+    lines = checked(receivables)
+    marks = F.col("_stays") & (F.col("anticipates") | (zero(F.col("anticipation")) > 0))
+    per_order = lines.groupBy("order_id").agg(F.count("*").alias("_lines"), F.bool_or(marks).alias("order_anticipates"))
+    # Everything about an order first, so that its lines are joined once.
+    facts = per_order.join(heads.drop("company_id", "domain_id"), "order_id", "left")
+    present = hot_join(lines.filter("_stays"), facts, ["order_id"], weight="_lines").drop("_lines")
+    absent = checked(
+        heads.join(per_order, "order_id", "left_anti").select(
+            "*", F.concat("order_id", F.lit("-0")).alias("rec_id"), F.lit(1).alias("installment"),
+            F.lit("created").alias("rec_status"), F.col("total").alias("net"), F.col("total").alias("gross"),
+            F.lit(0).cast(MONEY).alias("fee"), F.lit(0).cast(MONEY).alias("anticipation"),
+        )
+    ).filter("_stays").withColumn("order_anticipates", F.col("anticipates"))
+    return (
+        present.unionByName(absent, allowMissingColumns=True)
         .withColumn("due_on", F.to_date(to_local(F.col("due_at"), zone)))
         .withColumn("paid_on", F.to_date(to_local(F.col("rec_paid_at"), zone)))
-        .filter((zero(F.col("net")) != 0) | F.col("anticipates"))
+        .drop("_stays")
     )
-    if known_domains is not None:
-        known = known_domains.select(F.col("domain_id").cast("string").alias("domain_id"), F.lit(True).alias("_known")).distinct()
-        lines = hot_join(lines, known, ["domain_id"]).filter("_known is not null or anticipates").drop("_known")
-    heads = heads.drop("order_company", "order_domain").fillna(1, ["_lines"])
-    return hot_join(lines, heads, ["order_id"], weight="_lines").drop("_lines")
 
 
 def receivable_orders(lines: DataFrame) -> DataFrame:
@@ -76,21 +83,20 @@ def receivable_orders(lines: DataFrame) -> DataFrame:
         F.sum("gross").alias("gross"),
         F.sum("fee").alias("fee"),
         F.bool_and(~open_line).alias("all_paid"),
-        F.bool_or(F.col("anticipates") | (zero(F.col("anticipation")) > 0)).alias("anticipates"),
+        F.max("order_anticipates").alias("anticipates"),
     )
 
 
-def payment_schedule(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def payment_schedule(lines: DataFrame) -> DataFrame:
     """Day each instalment reaches the merchant.
 
     Anticipating orders settle on the business day after the customer paid;
     others when paid, else when due.
     """
-    flags = orders.select("order_id", F.col("anticipates").alias("order_anticipates"), "instalments")
     base = F.coalesce("customer_paid_on", "paid_on", "order_date")
     early = F.coalesce(next_business_day(F.date_add(base, 1)), "due_on")
     pay = F.when(F.col("order_anticipates"), early).otherwise(F.coalesce("paid_on", "due_on"))
-    return hot_join(lines, flags, ["order_id"], "inner", "instalments").select(
+    return lines.select(
         "order_id", "rec_id", "installment", pay.alias("pay_on"), F.col("order_anticipates").alias("anticipates"),
         F.col("paid_on").isNotNull().alias("is_paid"), "due_on", "paid_on", "gross", "fee", "net",
     )
@@ -122,7 +128,10 @@ def anticipation_default(
 def merge_purchases(fresh: DataFrame, refreshed: DataFrame, previous: DataFrame, defaults: DataFrame) -> DataFrame:
     """Newest copy of each purchase; the anticipation flag is raised, never lowered."""
     merged = newest_by_key([fresh, refreshed, previous], "transaction_id", ["updated"])
-    joined = hot_join(merged, defaults.select("workspace_id", "anticipates_default"), ["workspace_id"])
+    joined = hot_join(
+        merged, defaults.select("workspace_id", "anticipates_default"), ["workspace_id"],
+        counted=fresh.select("workspace_id").unionByName(previous.select("workspace_id")),
+    )
     raised = F.coalesce("anticipation", F.lit(False)) | F.coalesce("anticipates_default", F.lit(False))
     return joined.withColumn("anticipation", raised).drop("anticipates_default")
 
@@ -215,8 +224,9 @@ def purchase_order_data(purchases: DataFrame, by_transaction: DataFrame, by_orde
     tagged = purchases.withColumn("tag_order", tag_value(F.col("tags"), "order_"))
     first = by_transaction.groupBy("transaction_id").agg(F.min("order_number").alias("_by_tx"))
     second = by_order.groupBy(F.col("order_id").alias("tag_order")).agg(F.max("order_number").alias("_by_tag"))
-    joined = hot_join(hot_join(tagged, first, ["transaction_id"]), second, ["tag_order"])
-    joined = hot_join(joined, workspaces.select("workspace_id", "anticipates_default"), ["workspace_id"])
+    joined = hot_join(tagged.join(first, "transaction_id", "left"), second, ["tag_order"], counted=tagged)
+    defaults = workspaces.select("workspace_id", "anticipates_default")
+    joined = hot_join(joined, defaults, ["workspace_id"], counted=tagged)
     source = F.when(F.col("_by_tx").isNotNull(), "transaction").when(F.col("_by_tag").isNotNull(), "tag").otherwise("none")
     return joined.select(
         "transaction_id", F.coalesce("_by_tx", "_by_tag").alias("order_number"), source.alias("found_by"),
@@ -251,5 +261,6 @@ def keyed_by_tax_or_name(brands: DataFrame, by_tax: DataFrame, by_name: DataFram
     """Payment key by tax id, else by normalised name."""
     first = by_tax.select("tax_id", F.col("payment_key").alias("_a"))
     second = by_name.select("name_key", F.col("payment_key").alias("_b"))
-    joined = hot_join(hot_join(brands.withColumn("name_key", name_key), first, ["tax_id"]), second, ["name_key"])
+    keyed = brands.withColumn("name_key", name_key)
+    joined = hot_join(hot_join(keyed, first, ["tax_id"]), second, ["name_key"], counted=keyed)
     return joined.withColumn("payment_key", F.coalesce("_a", "_b")).drop("_a", "_b", "name_key")

@@ -192,10 +192,11 @@ def test_receivables_schedule(spark):
     )
     settings = spark.createDataFrame([("A", Decimal(1), False), ("B", Decimal(0), False)], "company_id string, anticipation_d1 decimal(18,2), fee_enabled boolean")
     lines = receivables.receivable_lines(rec, orders_df, settings)
-    per_order = receivables.receivable_orders(lines)
-    got = {r["rec_id"]: r["pay_on"] for r in receivables.payment_schedule(lines, per_order).collect()}
+    got = {r["rec_id"]: r["pay_on"] for r in receivables.payment_schedule(lines).collect()}
     # The zero line is dropped; the order without instalments gets one line and no due day.
     assert got == {"r1": dt.date(2024, 3, 4), "r2": dt.date(2024, 4, 1), "o3-0": None}
+    per_order = {r["order_id"]: (r["instalments"], r["anticipates"], r["next_due"]) for r in receivables.receivable_orders(lines).collect()}
+    assert per_order == {"o1": (1, True, dt.date(2024, 4, 1)), "o2": (1, False, dt.date(2024, 4, 1)), "o3": (1, False, None)}
 
 
 def test_duplicates(spark):
