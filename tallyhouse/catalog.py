@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates, money, text
-from .plans import billing, churn, cohorts, crm, freight, groups, mart, orders, panel, quality, receivables
+from .plans import billing, churn, cohorts, crm, freight, groups, kpi, mart, orders, panel, quality, receivables
 from .sources.edge import plain
 from .sources.samples import AS_OF_EVENTS, AS_OF_ORDERS, Samples
 
@@ -285,13 +285,12 @@ def recurrence_totals(s: Samples) -> DataFrame:
 @query
 def domain_kpi_table(s: Samples) -> DataFrame:
     """Domains with NPS, last month's revenue and three-month averages."""
-    domain = s.domains().select("domain_id")
-    averages = orders.three_month_average(s.orders(), AS_OF_ORDERS).withColumn("domain_id", text.clean_domain_id(F.col("domain_id")))
-    return (
-        domain.join(nps_by_domain(s).select("domain_id", "nps"), "domain_id", "left")
-        .join(mrr_last_month(s), "domain_id", "left")
-        .join(averages, "domain_id", "left")
+    settings = s.companies().select(
+        "domain_id", (F.col("status") == 1).alias("enabled"), F.col("company_name").isNotNull().alias("card_enabled"), F.lit(False).alias("pix_enabled")
     )
+    domains = kpi.kpi_domains(s.domains(), settings, s.angels(), s.integrations(), TRIALS).fillna("", ["integration_name"])
+    averages = orders.three_month_average(s.orders(), AS_OF_ORDERS).withColumn("domain_id", text.clean_domain_id(F.col("domain_id")))
+    return kpi.kpi_table(domains, nps_by_domain(s).select("domain_id", "nps"), mrr_last_month(s), averages)
 
 
 # --- receivables ------------------------------------------------------------
@@ -971,3 +970,94 @@ def club_month_maps(s: Samples) -> DataFrame:
     rows = cohorts.month_map(cohorts.month_club(s.orders(), dt.date(1998, 1, 1), dt.date(2001, 1, 1), 3, MAX_TOTAL))
     parts = F.transform(F.map_entries("months"), lambda e: F.concat_ws("=", e["key"], e["value"]["orders"].cast("string")))
     return rows.select("domain_id", F.array_join(parts, ",").alias("months"))
+
+
+# --- variants and reports -------------------------------------------------------------
+
+
+@query
+def activity_rollup(s: Samples) -> DataFrame:
+    rows = groups.activity_rollup(links_clicks_canonical(s))
+    return rows.select(F.coalesce("hq_id", F.lit("all")).alias("hq_id"), F.coalesce(dates.month_key(F.col("month")), F.lit("all")).alias("month"), "links", "clicks")
+
+
+@query
+def latest_tickets(s: Samples) -> DataFrame:
+    """Events as tickets, the user as the company."""
+    rows = s.raw("events").select(
+        F.col("event_id").alias("ticket_id"), F.col("user_id").alias("company_id"), F.to_date("ts").alias("modified"), F.col("event_type").alias("stage")
+    )
+    return groups.latest_tickets(rows)
+
+
+@query
+def group_heads(s: Samples) -> DataFrame:
+    """Groups whose marked headquarters is inactive fall back to the next company."""
+    return groups.group_heads(cohorts.with_row_number(s.companies()).withColumn("is_hq", F.col("row_num") == 1).filter("status = 1"))
+
+
+@query
+def active_brands(s: Samples) -> DataFrame:
+    from .functions.classify import company_status
+
+    rows = s.companies().select(
+        "company_id", F.when(F.col("company_name").isNotNull(), company_status(F.col("status"))).alias("status_text"), F.when(F.col("domain_id") < 50, "Ativa").alias("metric_status")
+    )
+    return mart.active_brand(rows).select("company_id", "active_brand")
+
+
+@query
+def active_brands_by_cards(s: Samples) -> DataFrame:
+    return mart.active_by_cards(payment_split_by_month(s).groupBy("domain_id").agg(F.sum("card_orders").alias("card_orders")), 8)
+
+
+@query
+def company_freight(s: Samples) -> DataFrame:
+    rows = s.receivables().select("company_id", F.trunc("due_at", "MM").alias("month"), F.when(F.col("fee") > 3000, F.col("fee")).otherwise(0).alias("value"))
+    out = freight.company_freight(rows)
+    return out.withColumn("month", F.coalesce(dates.month_key(F.col("month")), F.lit("all")))
+
+
+@query
+def freight_measures(s: Samples) -> DataFrame:
+    return freight.freight_measures(freight.freight_orders(s.orders(), s.freight_close()))
+
+
+@query
+def freight_field_differences(s: Samples) -> DataFrame:
+    """Names and places written differently on both sides."""
+    sheet = freight.postings(s.freight_close().filter("operator <> 'R'")).select(
+        "domain_id", "order_number", "posting", F.concat(F.lit("CLIENTE Nº "), F.col("domain_id")).alias("client"),
+        F.when(F.col("operator") == "N", "São Paulo").otherwise("Rio").alias("city"), F.lit("SP - x").alias("state"),
+    )
+    system = s.orders().select(
+        text.clean_domain_id(F.col("domain_id")).alias("domain_id"), "order_number", "is_canceled",
+        F.concat(F.when(F.col("is_paid"), "Cliente n. ").otherwise("Cliente nº "), F.col("domain_id")).alias("client"), F.lit("SAO-PAULO").alias("city"), F.lit("sp").alias("state"),
+        F.when(F.col("is_paid"), F.col("quoted")).alias("posting"),
+    )
+    return freight.field_differences(sheet, system)
+
+
+@query
+def payment_provider_totals(s: Samples) -> DataFrame:
+    return orders.provider_totals(s.orders().withColumn("provider", F.col("delivery_provider")), ["Jadlog", "Total Express"])
+
+
+@query
+def payment_churn_value_lost_same_month(s: Samples) -> DataFrame:
+    rows = s.orders()
+    return churn.value_lost(churn.payment_churn(rows, AS_OF_ORDERS, CHURN_START), rows, same_month=True).select("domain_id", "value_lost", "note")
+
+
+@query
+def largest_orders(s: Samples) -> DataFrame:
+    return orders.sorted_rows(s.orders().select("order_id", "total"), "total", n=20)
+
+
+@query
+def configured_assistants(s: Samples) -> DataFrame:
+    rows = s.raw("customer").select(
+        F.col("c_custkey").cast("string").alias("company_id"), F.when(F.col("c_nationkey") > 2, F.when(F.col("c_nationkey") > 5, F.col("c_name")).otherwise("")).alias("url"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "1").when(F.col("c_mktsegment") == "MACHINERY", " Sim").otherwise("0").alias("retail"),
+    )
+    return crm.configured(rows, ["retail"])

@@ -16,7 +16,8 @@ def money_br(c: Column) -> Column:
 
     A comma makes dots thousands marks; without one a dot is the decimal mark.
     """
-    bare = F.regexp_replace(F.upper(c), "R\\$|BRL|\\s", "")
+    marks = F.replace(F.replace(F.upper(c), F.lit("R$"), F.lit("")), F.lit("BRL"), F.lit(""))
+    bare = F.translate(marks, " \t\n\r\u00a0", "")
     plain = F.when(
         bare.contains(","), F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     ).otherwise(bare)

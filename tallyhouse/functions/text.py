@@ -125,3 +125,9 @@ def tag_value(tags: Column, prefix: str) -> Column:
 def clean_domain_id(c: Column) -> Column:
     """Whole number in a text id; '123.0' is 123 and other text is null."""
     return F.regexp_replace(F.trim(c.cast("string")), "\\.0$", "").try_cast("bigint")
+
+
+def json_text(c: Column, limit: int | None = None) -> Column:
+    """JSON of a list or map, cut to `limit` letters where the target column is that short."""
+    out = F.to_json(c)
+    return F.left(out, F.lit(limit)) if limit else out

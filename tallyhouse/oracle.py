@@ -498,7 +498,10 @@ m as (select domain_id, D[sum(v)] mrr from (select distinct domain_id, invoice_i
 a as (select cast(domain_id as bigint) domain_id, D[sum(total)] / 3.0 gmv_avg, D[sum(total) filter (is_paid and payment_method = 'CREDIT_CARD')] / 3.0 card_avg,
   D[sum(total) filter (is_paid and payment_method = 'PIX')] / 3.0 pix_avg
   from v_orders where not is_canceled and is_closed and created_at >= timestamp '2001-05-01' and created_at < timestamp '2001-08-01' group by 1)
-select d.domain_id, nps, mrr, gmv_avg, card_avg, pix_avg from v_domains d left join n using (domain_id) left join m using (domain_id) left join a using (domain_id)""",
+select d.domain_id, n_name angel_name, coalesce(r_name, '') integration_name, exists (select 1 from v_companies c where c.domain_id = d.domain_id and status = 1 and company_name is not null) payment_on,
+  nps, mrr, gmv_avg, card_avg, pix_avg
+from v_active d join nation on cast(n_nationkey as varchar) = angel_id left join region on cast(r_regionkey as varchar) = integration_id
+  left join n on n.domain_id = d.domain_id left join m on m.domain_id = d.domain_id left join a on a.domain_id = d.domain_id where partner_id is not null""",
     "receivable_tree": """
 select order_id, order_number, DAY[order_date] order_date, instalments, DAY[first_due] first_due, DAY[last_due] last_due, DAY[next_due] next_due, paid, "open",
   D[net] net, D[gross] gross, D[fee] fee, all_paid, anticipates from v_rec_orders""",
@@ -530,7 +533,7 @@ from v_purchases p left join v_orders o on o.order_id = p.order_id where status
 select transaction_id, status, amount, TS[created] created, order_id tag_order, cast(l_suppkey as varchar) tag_company, cast(l_partkey as varchar) tag_customer,
   '["company_' || l_suppkey || '","order_' || l_orderkey || '","customer_' || l_partkey || '"]' tags_json from v_purchases""",
     "instalment_rows": """
-select transaction_id, cast(i as integer) as number, strftime(created + to_days(cast(30 * i as integer)), '%Y-%m-%d %H:%M:%S.%f') due, cents // l_linenumber amount
+select transaction_id, cast(i as integer) as number, strftime(created + to_days(cast(30 * i as integer)), '%Y-%m-%d') due, cents // l_linenumber amount
 from v_purchases, unnest(range(1, l_linenumber + 1)) t(i)""",
     "purchase_order_lookup": """
 select transaction_id, case when p.status <> 'paid' and o.is_canceled then -1 else l_orderkey end order_number,
@@ -699,6 +702,55 @@ select count(*) as rows, count(distinct order_id) keys from v_receivables where
     "value_counts": "select source, count(*) n from documents group by 1",
 }
 
+_BODIES |= {
+    "activity_rollup": """
+with a as (select cast(user_id as varchar) company_id, date_trunc('month', ts) m, 1 l, 0 k from events where event_type = 'signup'
+  union all select cast(user_id as varchar), date_trunc('month', ts), 0, cast(json_extract_string(props, '$.k') as integer) from events where event_type = 'click'),
+j as (select hq_id h, m, l, k from a join v_groups g on g.company_id = a.company_id)
+select coalesce(h, 'all') hq_id, coalesce(strftime(m, '%Y-%m'), 'all') as month, cast(sum(l) as bigint) links, cast(sum(k) as bigint) clicks
+from j group by grouping sets ((h, m), (h), (m))""",
+    "latest_tickets": """
+select ticket_id, company_id, DAY[modified] modified, stage from (
+  select event_id ticket_id, user_id company_id, cast(ts as date) modified, event_type stage,
+    row_number() over (partition by user_id order by cast(ts as date) desc, event_id desc) rn from events) where rn = 1""",
+    "group_heads": """
+select domain_id, hq_id, marked from (
+  select domain_id, first_value(company_id) over w hq_id, first_value(r) over w = 1 marked, row_number() over w rn
+  from (select *, row_number() over (partition by domain_id order by created_at, company_id) r from v_companies) where status = 1
+  window w as (partition by domain_id order by r)) where rn = 1""",
+    "active_brands": """
+select company_id, case when (company_name is not null and status = 1) or domain_id < 50 then 'Sim' when company_name is not null and status = 2 then 'Não' else '' end active_brand from v_companies""",
+    "active_brands_by_cards": """
+select domain_id, cast(sum(card_orders) as bigint) card_orders, case when sum(card_orders) >= 8 then 'Sim' else 'Não' end active_brand from v_split group by 1""",
+    "company_freight": """
+with m as (select company_id, strftime(due_at, '%Y-%m') m, sum(case when fee > 3000 then fee else 0 end) v from v_receivables group by 1, 2)
+select company_id, coalesce(m, 'all') as month, D[sum(v)] as value from m where v > 0 group by grouping sets ((company_id, m), (company_id))""",
+    "freight_measures": """
+select count(*) orders, count(*) filter (posting > 0) with_freight, D[sum(posting)] total, D[sum(posting)] / count(posting) average, count(distinct domain_id) domains from v_freight""",
+    "freight_field_differences": """
+with s as (select domain_id, order_number, cast(sum(cents) / 100 as decimal(18,2)) p, max(operator) op from v_close where operator <> 'R' group by 1, 2),
+j as (select s.*, o.is_canceled, o.is_paid, case when o.is_paid then o.quoted end q from s join v_orders o on cast(o.domain_id as bigint) = s.domain_id and o.order_number = s.order_number),
+t as (select *, 'R$ ' || translate(format('{:,.2f}', cast(p as double)), ',.', '.,') pt, case when q is null then '-' else 'R$ ' || translate(format('{:,.2f}', cast(q as double)), ',.', '.,') end qt from j)
+select domain_id, order_number, 'destination' field, 'Rio/SP - x' sheet, 'SAO-PAULO/sp' system from t where op <> 'N'
+union all select domain_id, order_number, 'canceled', 'posted', 'canceled' from t where is_canceled
+union all select domain_id, order_number, 'posting', pt, qt from t where q is null or abs(p - q) > 0.01""",
+    "payment_provider_totals": """
+select company_id, D[sum(case when payment_method = 'PIX' then total else 0 end)] pix_value, D[sum(case when payment_method = 'CREDIT_CARD' then total else 0 end)] card_value,
+  count(*) filter (payment_method = 'PIX') pix_orders, count(*) filter (payment_method = 'CREDIT_CARD') card_orders, D[sum(total)] as value, count(*) orders,
+  count(*) filter (is_paid) paid, D[sum(case when is_paid then total else 0 end)] paid_value
+from v_orders where delivery_provider in ('Jadlog', 'Total Express') group by 1""",
+    "payment_churn_value_lost_same_month": """
+with m as (select o.domain_id, date_trunc('month', created_at) as month, last_payment, sum(total) v from v_orders o join v_payment_churn c on c.domain_id = o.domain_id
+  where payment_method <> 'BOLETO' group by 1, 2, 3),
+t as (select *, row_number() over (partition by domain_id order by month) rn from m
+  where month between date_trunc('month', last_payment) - interval 1 month and date_trunc('month', last_payment))
+select c.domain_id, D[coalesce(v, 0)] value_lost, case when month is null then 'none' when month < date_trunc('month', c.last_payment) then 'previous month' else 'same month' end note
+from v_payment_churn c left join t on t.domain_id = c.domain_id and rn = 1""",
+    "largest_orders": "select order_id, D[total] total from v_orders order by v_orders.total desc limit 20",
+    "configured_assistants": """
+select cast(c_custkey as varchar) company_id, c_name url, c_mktsegment in ('BUILDING', 'MACHINERY') retail from customer where c_nationkey > 5""",
+}
+
 _RECONCILED = """
 with s as (select *, posting sp from v_postings where posted_on between date '1999-03-01' and date '1999-03-15'),
 f as (select * from v_freight where day between (select min(posted_on) from s) and (select max(posted_on) from s)),

@@ -109,9 +109,12 @@ def payment_churn(
     return rows.filter(_inside(F.col("churn_month"), start, as_of))
 
 
-def value_lost(churned: DataFrame, orders: DataFrame) -> DataFrame:
+def value_lost(churned: DataFrame, orders: DataFrame, same_month: bool = False) -> DataFrame:
     """Payment value of the month before the last payment, else of the latest
-    earlier month with value, else zero."""
+    earlier month with value, else zero.
+
+    With `same_month` the month of the last payment is the only second choice.
+    """
     pix, card = F.col("payment_method") == "PIX", F.col("payment_method") == "CREDIT_CARD"
     nil = F.lit(0).cast(MONEY)
     monthly = (
@@ -123,13 +126,17 @@ def value_lost(churned: DataFrame, orders: DataFrame) -> DataFrame:
         )
         .filter(F.col("pix_lost") + F.col("card_lost") > 0)
         .join(churned.select("domain_id", "last_payment"), "domain_id")
-        .filter(F.col("month") < F.trunc("last_payment", "MM"))
     )
-    latest = monthly.groupBy("domain_id").agg(
-        F.max(F.struct("month", "pix_lost", "card_lost")).alias("_m")
-    ).select("domain_id", "_m.*")
-    preferred = F.add_months(F.trunc("last_payment", "MM"), -1)
-    note = F.when(F.col("month").isNull(), "none").when(F.col("month") == preferred, "previous month").otherwise("earlier month")
+    last = F.trunc("last_payment", "MM")
+    preferred = F.add_months(last, -1)
+    if same_month:
+        pick = F.min(F.struct("month", "pix_lost", "card_lost"))
+        usable = monthly.filter(F.col("month").between(preferred, last))
+    else:
+        pick = F.max(F.struct("month", "pix_lost", "card_lost"))
+        usable = monthly.filter(F.col("month") < last)
+    latest = usable.groupBy("domain_id").agg(pick.alias("_m")).select("domain_id", "_m.*")
+    note = F.when(F.col("month").isNull(), "none").when(F.col("month") == preferred, "previous month").otherwise("same month" if same_month else "earlier month")
     joined = churned.join(latest, "domain_id", "left")
     return joined.select(
         *churned.columns,

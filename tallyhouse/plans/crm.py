@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import iso_week_key, week_start
 from ..functions.money import percent, sum_if
+from ..functions.text import is_true_text
 from ..session import cut_lineage
 from ..operators.asof import asof_join
 from ..operators.ranking import top_n
@@ -181,3 +182,9 @@ def people(*sources: tuple[DataFrame, str]) -> DataFrame:
         part = frame.select(F.nullif(F.trim(column), F.lit("")).alias("name")).filter("name is not null")
         pool = part if pool is None else pool.unionByName(part)
     return pool.distinct()
+
+
+def configured(configurations: DataFrame, flags: list[str] = ()) -> DataFrame:
+    """Assistant configurations with an address, their flags as booleans."""
+    rows = configurations.filter("url is not null and url <> '' and company_id <> ''")
+    return rows.withColumns({f: is_true_text(F.col(f)) for f in flags})

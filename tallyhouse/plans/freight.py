@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.classify import is_posted
 from ..functions.dates import day, half_month_end, half_month_start
-from ..functions.money import MONEY, money_br, zero
-from ..functions.text import clean_domain_id, digits
+from ..functions.money import MONEY, money_br, money_text, zero
+from ..functions.text import clean_domain_id, compare_key, digits, state_key
 from ..session import cut_lineage
 from ..operators.ranking import top_n
 from ..operators.skew import hot_join
@@ -203,3 +203,48 @@ def client_brands(orders: DataFrame, n: int = 5) -> DataFrame:
 def domain_audit(rows: DataFrame, domain_id: int | Column) -> DataFrame:
     """Reconciliation of one domain."""
     return rows.filter(F.col("domain_id") == domain_id)
+
+
+def company_freight(rows: DataFrame) -> DataFrame:
+    """Freight value per company and month and per company, positive sums only."""
+    company, month = F.col("company_id"), F.col("month")
+    sums = rows.groupBy("company_id", "month").agg(F.sum("value").alias("value")).filter("value > 0")
+    return sums.groupingSets([[company, month], [company]], company, month).agg(F.sum("value").alias("value"))
+
+
+def freight_measures(rows: DataFrame) -> DataFrame:
+    """One row: orders, orders with freight, total, average and distinct domains."""
+    return rows.agg(
+        F.count("*").alias("orders"), F.count_if(F.col("posting") > 0).alias("with_freight"), F.sum("posting").alias("total"),
+        (F.sum("posting").cast("double") / F.count("posting")).alias("average"), F.countDistinct("domain_id").alias("domains"),
+    )
+
+
+def field_differences(sheet: DataFrame, system: DataFrame) -> DataFrame:
+    """Paired rows field by field: client, destination, cancellation and posting cost.
+
+    One row per difference, names compared without case, accents or punctuation.
+    """
+    theirs = system.select(
+        "domain_id", "order_number", F.col("client").alias("_client"), F.col("city").alias("_city"), F.col("state").alias("_state"),
+        "is_canceled", F.col("posting").alias("_posting"),
+    )
+    pairs = sheet.join(theirs, ["domain_id", "order_number"])
+
+    def place(city: str, state: str) -> Column:
+        return F.concat_ws("/", compare_key(F.col(city)), state_key(F.col(state)))
+
+    def row(field: str, a: Column, b: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), a.alias("sheet"), b.alias("system"))
+
+    costs = row("posting", money_text(F.col("posting")), money_text(F.col("_posting")))
+    gap = F.abs(F.col("posting") - F.col("_posting")) > F.lit("0.01").cast(MONEY)
+    found = F.array_compact(
+        F.array(
+            F.when(compare_key(F.col("client")) != compare_key(F.col("_client")), row("client", F.col("client"), F.col("_client"))),
+            F.when(place("city", "state") != place("_city", "_state"), row("destination", F.concat_ws("/", "city", "state"), F.concat_ws("/", "_city", "_state"))),
+            F.when(F.col("is_canceled"), row("canceled", F.lit("posted"), F.lit("canceled"))),
+            F.when(gap | (F.col("posting").isNotNull() & F.col("_posting").isNull()), costs),
+        )
+    )
+    return pairs.select("domain_id", "order_number", F.inline(found))

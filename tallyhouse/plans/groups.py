@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import digits, light_normalise, normalise_name, phone_key, subject_to_brand, tax_branch, tax_root
 from ..operators.components import linked_groups
+from ..operators.ranking import top_n
 from ..session import cut_lineage
 from ..operators.skew import hot_join
 from ..operators.matching import containing, prefixing, tiers, word_scored
@@ -96,15 +97,15 @@ def canonical_by_orders(companies: DataFrame) -> DataFrame:
 
 
 def canonical_activity(links: DataFrame, clicks: DataFrame, groups: DataFrame) -> DataFrame:
-    """Shared links and clicks per HQ and month; unknown companies keep their id.
+    """Shared links and clicks per HQ and month; unknown companies are dropped.
 
     Both sources are added up per company before the look-up.
     """
     month = F.trunc("created_at", "MM").alias("month")
     shared = links.groupBy("company_id", month).agg(F.count("*").alias("links"), F.lit(0).cast("long").alias("clicks"))
     clicked = clicks.groupBy("company_id", month).agg(F.lit(0).cast("long").alias("links"), F.sum("shared_links").alias("clicks"))
-    joined = shared.unionByName(clicked).join(groups.select("company_id", "hq_id"), "company_id", "left")
-    return joined.groupBy(F.coalesce("hq_id", "company_id").alias("hq_id"), "month").agg(
+    joined = shared.unionByName(clicked).join(groups.select("company_id", "hq_id"), "company_id")
+    return joined.groupBy("hq_id", "month").agg(
         F.sum("links").alias("links"), F.sum("clicks").alias("clicks")
     )
 
@@ -220,3 +221,22 @@ def labelled(rows: DataFrame, code: str, labels: DataFrame, label: str = "label"
     """Codes replaced by their label; codes without one pass through."""
     names = labels.select(F.col("code").alias(code), F.col("label").alias("_label"))
     return rows.join(names, code, "left").withColumn(label, F.coalesce("_label", code)).drop("_label")
+
+
+def activity_rollup(activity: DataFrame) -> DataFrame:
+    """Links and clicks per HQ and month, per HQ and per month."""
+    hq, month = F.col("hq_id"), F.col("month")
+    return activity.groupingSets([[hq, month], [hq], [month]], hq, month).agg(
+        F.sum("links").alias("links"), F.sum("clicks").alias("clicks")
+    )
+
+
+def latest_tickets(matched: DataFrame) -> DataFrame:
+    """Latest changed ticket of each company."""
+    return top_n(matched, ["company_id"], [F.desc("modified"), F.desc("ticket_id")])
+
+
+def group_heads(members: DataFrame, key: str = "domain_id") -> DataFrame:
+    """The marked headquarters of each group, else its company with the lowest row number."""
+    order = F.struct((~F.col("is_hq")).alias("m"), "row_num", "company_id")
+    return members.groupBy(key).agg(F.min(order)["company_id"].alias("hq_id"), F.bool_or("is_hq").alias("marked"))

@@ -33,7 +33,10 @@ def month_table(months: DataFrame, activity: DataFrame) -> DataFrame:
     return wide.select(*keys, *[F.coalesce(m, F.lit(0)).alias(m) for m in VECTOR])
 
 
-def month_vectors(months: DataFrame) -> DataFrame:
+def month_vectors(months: DataFrame, pending_with_canceled: bool = False) -> DataFrame:
+    """Month measures in one array; `pending_with_canceled` counts canceled values as pending."""
+    if pending_with_canceled:
+        months = months.withColumn("pending_value", F.col("value") - F.col("paid_value"))
     return months.select(
         "domain_id", F.date_format("month", "yyyy-MM").alias("month"), F.array(*[F.col(m).cast("double") for m in VECTOR]).alias("vector")
     )
@@ -116,3 +119,16 @@ def patch_columns(mart: DataFrame, patch: DataFrame, key: str, columns: list[str
     theirs = patch.select(key, *[F.col(c).alias(f"_n_{c}") for c in columns])
     joined = mart.join(theirs, key, "left")
     return joined.select(*[F.coalesce(f"_n_{c}", c).alias(c) if c in columns else F.col(c) for c in mart.columns])
+
+
+def active_brand(rows: DataFrame) -> DataFrame:
+    """Whether a brand is active: by its own status, else by the status of the metrics."""
+    on = (F.col("status_text") == "Ativa") | (F.col("metric_status") == "Ativa")
+    off = (F.col("status_text") == "Desativada") | (F.col("metric_status") == "Desativada")
+    flag = F.when(F.coalesce(on, F.lit(False)), "Sim").when(F.coalesce(off, F.lit(False)), "Não").otherwise("")
+    return rows.withColumn("active_brand", flag)
+
+
+def active_by_cards(rows: DataFrame, min_cards: int = 250) -> DataFrame:
+    """The variant by number of card payments."""
+    return rows.withColumn("active_brand", F.when(F.col("card_orders") >= min_cards, "Sim").otherwise("Não"))

@@ -221,3 +221,18 @@ def distinct_values(orders: DataFrame, columns: list[str]) -> DataFrame:
 
 def since(orders: DataFrame, start: dt.date) -> DataFrame:
     return orders.filter(F.col("created_at") >= day(start).cast("timestamp"))
+
+
+def provider_totals(orders: DataFrame, providers: list[str]) -> DataFrame:
+    """Payment counts and values per company over some providers."""
+    paid, total = F.col("payment_status") == "PAID", F.col("total")
+    return orders.filter(F.col("provider").isin(providers)).groupBy("company_id").agg(
+        *split_measures(), F.count_if(F.coalesce(paid, F.lit(False))).alias("paid"), sum_if(F.coalesce(paid, F.lit(False)), total).alias("paid_value")
+    )
+
+
+def sorted_rows(rows: DataFrame, column: str, descending: bool = True, n: int | None = None) -> DataFrame:
+    """Rows by a chosen column, text without regard to case; the first `n` if given."""
+    key = F.lower(column) if dict(rows.dtypes)[column] == "string" else F.col(column)
+    ordered = rows.orderBy(key.desc_nulls_last() if descending else key.asc_nulls_last())
+    return ordered.limit(n) if n else ordered

@@ -185,10 +185,9 @@ class Samples:
             " when l_returnflag = 'N' then 'denied' else 'voided' end"
         )
         cents = "cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint)"
-        parcels = (
-            f"transform(sequence(1, cast(l_linenumber as int)), i -> named_struct('amount', {cents} div l_linenumber,"
-            " 'due', cast(date_add(l_shipdate, 30 * i) as timestamp)))"
-        )
+        amounts = f"array_repeat({cents} div l_linenumber, l_linenumber)"
+        dues = "sequence(date_add(l_shipdate, 30), date_add(l_shipdate, 30 * l_linenumber), interval 30 days)"
+        parcels = f"cast(arrays_zip({amounts}, {dues}) as array<struct<amount: bigint, due: date>>)"
         return self.raw("lineitem").select(
             F.expr("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint))").alias("transaction_id"),
             F.col("l_orderkey").cast("string").alias("order_id"),

@@ -97,3 +97,8 @@ def write_chunks(records: DataFrame, chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").parquet(f"{path}/chunk_map")
     joined = records.join(chunks, "company_id")
     joined.write.mode("overwrite").partitionBy("chunk").json(f"{path}/records")
+
+
+def stamped(df: DataFrame, source: str, loaded_at: dt.datetime) -> DataFrame:
+    """Constant source and load-time columns."""
+    return df.withColumns({"source": F.lit(source), "loaded_at": F.lit(loaded_at).cast("timestamp")})
