@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates, money, text
 from .plans import billing, churn, cohorts, crm, freight, groups, kpi, mart, orders, panel, quality, receivables
+from .session import cut_lineage
 from .sources.edge import plain
 from .sources.samples import AS_OF_EVENTS, AS_OF_ORDERS, Samples
 
@@ -672,19 +673,24 @@ def global_month_series(s: Samples) -> DataFrame:
 
 
 def _mart(s: Samples) -> DataFrame:
+    register = cut_lineage(_register(s))
     months = orders.merchant_months(s.orders(), max_total=MAX_TOTAL)
-    buckets = billing.status_buckets(_unique(s).join(s.customer_bridge(), "customer_id"), "domain_id")
-    plans = s.companies().select(
-        "company_id", F.col("social_name").alias("plan"), F.when(F.col("status") == 2, F.lit(99)).cast("decimal(18,2)").alias("total")
-    )
-    stage = F.when(F.col("status") == 2, "Parado").otherwise("Fila")
-    tickets = s.companies().select("company_id", stage.alias("stage"))
-    return mart.company_mart(_register(s), months, buckets, freight_charge(s), plans, tickets, AS_OF_ORDERS)
+    bills = _unique(s).join(s.customer_bridge(), "customer_id")
+    named = register.select("company_id", "domain_id", F.col("trade_name").alias("name"))
+    match = cut_lineage(groups.match_invoices(named, s.customer_bridge().select("domain_id"), s.raw("part").select(F.col("p_name").alias("brand"))))
+    invoices = mart.company_invoices(match, billing.status_buckets(bills, "domain_id"), billing.current_invoice(bills, "domain_id"), "domain_id")
+    inactive = F.col("status") == 2
+    plans = s.companies().select("company_id", F.col("social_name").alias("plan"), F.lit(77).cast("decimal(18,2)").alias("total"))
+    controls = s.companies().select("company_id", F.when(inactive, F.lit(99)).cast("decimal(18,2)").alias("manual_fee"))
+    tickets = s.companies().select("company_id", F.when(inactive, "Parado").otherwise("Fila").alias("stage"))
+    activity = links_clicks_canonical(s).groupBy(F.col("hq_id").alias("company_id")).agg(F.sum("links").alias("links"), F.sum("clicks").alias("clicks"))
+    rows = mart.company_mart(register, months, invoices, freight_charge(s), plans, controls, tickets, AS_OF_ORDERS, [activity])
+    return rows.fillna(0, ["links", "clicks"]).fillna("", ["bill_status"])
 
 
 MART_COLUMNS = [
     "company_id", "domain_id", "name", "is_hq", "orders", "paid", "canceled", "value", "pix_value", "card_orders", "last3", "prev3",
-    "bill_paid", "bills", "freight_cost", "fee", "has_integration", "has_payment", "score", "risk", "reasons",
+    "bill_paid", "bills", "bill_status", "links", "clicks", "freight_cost", "fee", "has_integration", "has_payment", "score", "risk", "reasons",
 ]
 
 

@@ -110,3 +110,13 @@ def sheet_month(name: Column) -> Column:
 
 def seconds_between(start: Column, end: Column) -> Column:
     return F.unix_micros(end) / 1_000_000.0 - F.unix_micros(start) / 1_000_000.0
+
+
+def in_months(ts: str, start: dt.date | None, end: dt.date | None) -> Column:
+    """Half-open date window on a raw column, so it reaches the scan."""
+    keep = F.lit(True)
+    if start:
+        keep = keep & (F.col(ts) >= F.lit(dt.datetime.combine(start, dt.time())))
+    if end:
+        keep = keep & (F.col(ts) < F.lit(dt.datetime.combine(end, dt.time())))
+    return keep

@@ -36,10 +36,12 @@ def linked_groups(nodes: DataFrame, node: str, limits: dict[str, int], max_round
     for _ in range(max_rounds):
         link_label = links.join(labels, "node").groupBy("link").agg(F.min("label").alias("label"))
         spread = links.join(link_label, "link").groupBy("node").agg(F.min("label").alias("near"))
-        near = cut_lineage(labels.join(spread, "node").withColumn("near", F.least("near", "label")))
+        near = labels.join(spread, "node").withColumn("near", F.least("near", "label"))
         # A label names a node; take over the label that node has reached.
         targets = near.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        jumped = hot_join(near, targets, ["near"], "inner")
+        # The labels of the last round are counted: they show which ones are hot.
+        counted = labels.select(F.col("label").alias("near"))
+        jumped = hot_join(near, targets, ["near"], "inner", counted=counted)
         moved = jumped.select("node", "label", F.least("near", "far").alias("next"))
         moved = cut_lineage(moved)
         labels = moved.select("node", F.col("next").alias("label"))

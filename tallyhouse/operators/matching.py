@@ -46,7 +46,8 @@ def _pieces_tier(
     # Offers within the asked name.
     piece = narrow.select("name", F.explode(cut(F.col("name"), min_offered)).alias("piece"))
     offer = wide.select(F.col("name").alias("piece"), "pick")
-    within = piece.join(offer, "piece").select("name", F.length("piece").alias("overlap"), "pick")
+    # Short pieces occur in most names.
+    within = hot_join(piece, offer, ["piece"], "inner").select("name", F.length("piece").alias("overlap"), "pick")
     order = F.struct((-F.col("overlap")).alias("o"), "pick") if longest else F.struct("pick")
     return around.unionByName(within).groupBy("name").agg(F.min_by("pick", order).alias("pick"))
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, name: str | None = None) -> DataFrame:
     """First `n` rows per key.
@@ -24,6 +26,16 @@ def nth(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) ->
     return top_n(df, keys, order, n, "_nth").filter(F.col("_nth") == n).drop("_nth")
 
 
+def globally_numbered(df: DataFrame, order: Sequence[Column], name: str = "rn") -> DataFrame:
+    """Exact row number over the whole frame; only slice sizes meet in one task.
+
+    Rows are range-partitioned by `order` and written once, so that every later
+    read sees the same slices.
+    """
+    sliced = df.repartitionByRange(*order).withColumn("_slice_id", F.spark_partition_id())
+    return numbered(cut_lineage(sliced), [], order, F.col("_slice_id"), name).drop("_slice_id")
+
+
 def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column, name: str = "rn"
 ) -> DataFrame:

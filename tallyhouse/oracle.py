@@ -98,6 +98,7 @@ select cast(l_orderkey as varchar) order_id, cast(l_suppkey as varchar) company_
   concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint)) rec_id,
   l_linenumber installment, l_shipdate due_at,
   case when l_linestatus = 'F' then l_shipdate + to_days(cast(l_quantity as integer)) end rec_paid_at,
+  case when l_returnflag <> 'N' then cast(l_shipdate as date) - l_linenumber - 1 end own_paid_on,
   case when l_linestatus = 'F' then 'paid' else 'created' end rec_status,
   case when l_tax = 0 and l_discount = 0 then 0
        else cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(18,2))) as decimal(18,2)) end net,
@@ -108,10 +109,11 @@ from lineitem""",
     # Every test timestamp is a midnight in UTC, which is the day before in the local zone.
     "v_heads": """
 select order_id, order_number, customer_doc, total, payment_method, company_id order_company, domain_id order_domain,
-  cast(created_at as date) - 1 order_date, case when is_paid then cast(created_at as date) - 1 end customer_paid_on
+  cast(created_at as date) - 1 order_date, case when is_paid then cast(created_at as date) - 1 end head_paid_on
 from v_orders""",
     "v_lines": """
-select l.*, h.order_number, h.order_date, h.customer_paid_on, coalesce(s.anticipates, false) anticipates,
+select l.*, h.order_number, h.order_date,
+  case when l.rec_id = l.order_id || '-0' then h.head_paid_on else max(l.own_paid_on) over (partition by l.order_id) end customer_paid_on, coalesce(s.anticipates, false) anticipates,
   cast(l.due_at as date) - 1 due_on, cast(l.rec_paid_at as date) - 1 paid_on
 from (
   select * from v_receivables
@@ -282,12 +284,18 @@ with r as (select g.*, q.orders o, q.paid p, q.canceled x, q.value v, q.pix_valu
   z as (select *, coalesce(o, 0) orders, coalesce(p, 0) paid, coalesce(x, 0) canceled, coalesce(v, 0) as value, coalesce(pv, 0) pix_value,
       coalesce(co, 0) card_orders, coalesce(po, 0) pix_orders, coalesce(l3, 0) last3, coalesce(p3, 0) prev3, coalesce(tm, 0) this_month from r),
   k as (select * from z where orders > 0 or tax_document not in (select tax_document from z where orders > 0)),
-  b as (select domain_id, sum(case when status in ('paid','externally_paid') then total_cents else 0 end) cents, count(*) bills from v_unique_invoices group by 1),
+  b as (select domain_id, sum(case when status in ('paid','externally_paid') then total_cents else 0 end) cents, count(*) bills,
+      first(total_cents order by status = 'canceled', due_at desc, invoice_id) last_cents, first(status order by status = 'canceled', due_at desc, invoice_id) bill_status
+    from v_unique_invoices group by 1),
+  a as (select hq_id, sum(l) links, sum(k) clicks from (select cast(user_id as varchar) company_id, (event_type = 'signup')::int l,
+      case when event_type = 'click' then cast(json_extract_string(props, '$.k') as integer) else 0 end k from events where event_type in ('signup', 'click')) e
+    join v_groups g on g.company_id = e.company_id group by 1),
   f as (select domain_id, sum(posting) freight_cost from v_postings group by 1),
   y as (select k.*, integration_name <> '' has_integration, pix_orders + card_orders > 0 has_payment, coalesce(cast(b.cents as decimal(18,2)) * 0.01, 0) bill_paid,
       coalesce(b.bills, 0) bills, coalesce(f.freight_cost, 0) freight_cost,
-      case when status = 2 then 99 when b.cents > 0 then cast(b.cents as decimal(18,2)) * 0.01 else 0 end fee
-    from k left join b on b.domain_id = k.domain_id left join f on f.domain_id = k.domain_id),
+      coalesce(b.bill_status, '') bill_status, coalesce(a.links, 0) links, coalesce(a.clicks, 0) clicks,
+      case when b.last_cents > 0 then cast(b.last_cents as decimal(18,2)) * 0.01 when status = 2 then 99 else 77 end fee
+    from k left join b on b.domain_id = k.domain_id left join f on f.domain_id = k.domain_id left join a on a.hq_id = k.company_id),
   c as (select *, prev3 > 5 and last3 < prev3 * 0.5 r1, prev3 > 5 and last3 >= prev3 * 0.5 and last3 < prev3 * 0.7 r2, orders > 0 and this_month = 0 r3,
       orders > 10 and canceled > paid * 0.3 r4, not has_integration r5, status = 2 r6 from y)
 select *, least(100, 30 * r1::int + 15 * r2::int + 25 * r3::int + 15 * r4::int + 10 * r5::int + 20 * r6::int) score,
@@ -514,7 +522,8 @@ select DAY[pay_on] pay_on, anticipates, count(*) instalments, D[sum(net)] net, D
     "purchase_merge_latest": """
 select p.workspace_id, transaction_id, case when status in ('paid','created') then status else 'old' end status, amount,
   anticipation or coalesce(anticipates_default, false) anticipation, TS[updated] updated from v_purchases p left join v_workspace w on w.workspace_id = p.workspace_id""",
-    "purchases_missing_now": "select transaction_id, order_id, status from v_purchases where status <> 'paid'",
+    "purchases_missing_now": """
+select transaction_id, order_id, status from v_purchases where transaction_id not in (select transaction_id from v_purchases where status = 'paid')""",
     "duplicate_payments": """
 select order_id, transaction_id, TS[created] created, amount / 100 as value, cast(l_linenumber as integer) parts, rn = 1 is_first from (
   select *, count(*) over (partition by order_id) n, row_number() over (partition by order_id order by created, transaction_id) rn from v_valid) where n > 1""",
@@ -687,7 +696,7 @@ select domain_id, DAY[month] as month, {_KPI}, D[pending_value] pending_value, c
     + " from (select *, month m from v_months) group by m order by m desc limit 18",
     "company_mart": """
 select company_id, domain_id, name, is_hq, cast(orders as bigint) orders, cast(paid as bigint) paid, cast(canceled as bigint) canceled, D[value] as value, D[pix_value] pix_value,
-  cast(card_orders as bigint) card_orders, cast(last3 as bigint) last3, cast(prev3 as bigint) prev3, D[bill_paid] bill_paid, bills, D[freight_cost] freight_cost, D[fee] fee,
+  cast(card_orders as bigint) card_orders, cast(last3 as bigint) last3, cast(prev3 as bigint) prev3, D[bill_paid] bill_paid, bills, bill_status, cast(links as bigint) links, cast(clicks as bigint) clicks, D[freight_cost] freight_cost, D[fee] fee,
   has_integration, has_payment, score, case when score >= 60 then 'high' when score >= 30 then 'medium' else 'low' end risk, reasons from v_mart""",
     "company_siblings": """
 select domain_id, first_value(company_id) over (partition by domain_id order by row_num) hq_id, company_id, trade_name, is_hq, members from (

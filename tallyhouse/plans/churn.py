@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.classify import ADDON_PLANS, UPPER_PLANS, plan_level
-from ..functions.dates import day, month_start
+from ..functions.dates import day, in_months, month_start
 from ..functions.money import MONEY
-from .orders import in_months
 
 
 def last_paid_plans(invoices: DataFrame, domains: DataFrame, bridge: DataFrame) -> DataFrame:

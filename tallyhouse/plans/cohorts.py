@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.dates import day, month_start
+from ..functions.dates import day, in_months, month_start
 from ..operators.ranking import nth, numbered
-from .orders import MAX_TOTAL, clean_orders, in_months, payment_split, split_measures
+from .orders import MAX_TOTAL, clean_orders, payment_split, split_measures
 
 SPLIT = ["pix_value", "card_value", "value", "pix_orders", "card_orders", "orders"]
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import MONEY
 from ..session import cut_lineage
+from ..operators.skew import hot_join
 from ..operators.joins import attach_to_headquarters
 from .churn import churn_score, quarter_sums
 from .groups import drop_idle_copies
@@ -48,45 +50,57 @@ def month_series(months: DataFrame, n: int = 18) -> DataFrame:
     return totals.orderBy(F.desc("month")).limit(n)
 
 
+def company_invoices(match: DataFrame, buckets: DataFrame, current: DataFrame, key: str) -> DataFrame:
+    """Invoice totals and the current invoice of each company, by its matched invoice key."""
+    totals = buckets.select(
+        F.col(key).cast("string").alias("invoice_key"), F.col("paid").alias("bill_paid"), F.col("pending").alias("bill_pending"),
+        F.col("expired").alias("bill_expired"), F.col("invoices").alias("bills"), F.col("plan").alias("billed_plan"),
+    )
+    latest = current.select(F.col(key).cast("string").alias("invoice_key"), F.col("status").alias("bill_status"), F.col("fee").alias("bill_fee"))
+    return hot_join(match.select("company_id", "invoice_key"), totals.join(latest, "invoice_key", "left"), ["invoice_key"], "inner").drop("invoice_key")
+
+
 def company_mart(
     register: DataFrame,
     months: DataFrame,
-    buckets: DataFrame,
+    invoices: DataFrame,
     freight: DataFrame,
     plans: DataFrame,
+    controls: DataFrame,
     tickets: DataFrame,
     as_of: dt.date,
+    extras: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """Register rows with orders, payment, invoices, freight, plan and churn risk.
+    """Register rows with orders, payment, invoices, freight, plan, fee and churn risk.
 
     Domain totals sit on the headquarters row. `months` is the monthly order
-    table, `buckets` and `freight` are by domain, `plans` and `tickets` by company.
+    table and `freight` is by domain; the others are by company: `invoices` from
+    `company_invoices`, `plans` from the plan match, `controls` with manual fees,
+    `tickets` with the latest stage, and any `extras`. The fee is that of the
+    current invoice, else the manual one, else the plan total.
     """
     per_domain = months.groupBy("domain_id").agg(*quarter_sums(as_of), *[F.sum(m).alias(m) for m in ORDER_MEASURES])
     measures = [c for c in per_domain.columns if c != "domain_id"]
     # Written once: the copy check below reads it twice.
     rows = cut_lineage(attach_to_headquarters(register, per_domain, "domain_id", measures))
     rows = drop_idle_copies(rows)
-    bills = buckets.select(
-        "domain_id", F.col("paid").alias("bill_paid"), F.col("pending").alias("bill_pending"),
-        F.col("invoices").alias("bills"), F.col("plan").alias("billed_plan"),
-    )
     cost = freight.select("domain_id", F.col("posting").alias("freight_cost"))
-    wide = (
-        rows.join(bills, "domain_id", "left").join(cost, "domain_id", "left")
-        .join(plans.select("company_id", "plan", F.col("total").alias("plan_total")), "company_id", "left")
-        .join(tickets.select("company_id", "stage"), "company_id", "left")
-    )
+    by_company = [
+        invoices, plans.select("company_id", "plan", F.col("total").alias("plan_total")), controls.select("company_id", "manual_fee"),
+        tickets.select("company_id", "stage"), *extras,
+    ]
+    wide = rows.join(cost, "domain_id", "left")
+    for frame in by_company:
+        wide = wide.join(frame, "company_id", "left")
     nil = F.lit(0).cast(MONEY)
+    fees = [F.when(F.col(c) > 0, F.col(c)) for c in ("bill_fee", "manual_fee", "plan_total")]
     wide = wide.withColumns(
         {
             "has_integration": F.col("integration_name") != "",
             "has_payment": F.col("pix_orders") + F.col("card_orders") > 0,
-            "bill_paid": F.coalesce("bill_paid", nil),
-            "bill_pending": F.coalesce("bill_pending", nil),
+            **{c: F.coalesce(c, nil) for c in ("bill_paid", "bill_pending", "bill_expired", "freight_cost")},
             "bills": F.coalesce("bills", F.lit(0)),
-            "freight_cost": F.coalesce("freight_cost", nil),
-            "fee": F.coalesce("plan_total", F.when(F.col("bill_paid") > 0, F.col("bill_paid")), nil),
+            "fee": F.coalesce(*fees, nil),
         }
     )
     return churn_score(wide)

@@ -27,16 +27,6 @@ def clean_orders(orders: DataFrame, max_total: float = MAX_TOTAL) -> DataFrame:
     )
 
 
-def in_months(ts: str, start: dt.date | None, end: dt.date | None) -> Column:
-    """Half-open date window on a raw column, so it reaches the scan."""
-    keep = F.lit(True)
-    if start:
-        keep = keep & (F.col(ts) >= F.lit(dt.datetime.combine(start, dt.time())))
-    if end:
-        keep = keep & (F.col(ts) < F.lit(dt.datetime.combine(end, dt.time())))
-    return keep
-
-
 def _status_measures() -> list[Column]:
     paid, gone, total = F.col("is_paid"), F.col("is_canceled"), F.col("total")
     return [

@@ -22,12 +22,13 @@ def receivable_lines(
     """Instalments plus one line for each order that has none yet.
 
     Zero instalments and unknown domains stay only for companies with
-    anticipation. All dates are local.
+    anticipation. All dates are local. `paid_at` of both inputs is the moment
+    the customer paid; `settings` and `known_domains` hold each key once.
     """
     heads = orders.groupBy("order_id").agg(
         *[F.max(c).alias(c) for c in ("order_number", "customer_doc", "total", "payment_method")],
         F.max(F.to_date(to_local(F.col("created_at"), zone))).alias("order_date"),
-        F.max(F.when(F.col("is_paid"), F.to_date(to_local(F.col("created_at"), zone)))).alias("customer_paid_on"),
+        F.max(F.to_date(to_local(F.col("paid_at"), zone))).alias("_order_paid_on"),
         F.min("company_id").alias("company_id"),
         F.min("domain_id").alias("domain_id"),
     )
@@ -48,17 +49,20 @@ def receivable_lines(
 
     lines = checked(receivables)
     marks = F.col("_stays") & (F.col("anticipates") | (zero(F.col("anticipation")) > 0))
-    per_order = lines.groupBy("order_id").agg(F.count("*").alias("_lines"), F.bool_or(marks).alias("order_anticipates"))
+    paid_on = F.when(F.col("_stays"), F.to_date(to_local(F.col("paid_at"), zone)))
+    per_order = lines.groupBy("order_id").agg(
+        F.count("*").alias("_lines"), F.bool_or(marks).alias("order_anticipates"), F.max(paid_on).alias("customer_paid_on")
+    )
     # Everything about an order first, so that its lines are joined once.
-    facts = per_order.join(heads.drop("company_id", "domain_id"), "order_id", "left")
-    present = hot_join(lines.filter("_stays"), facts, ["order_id"], weight="_lines").drop("_lines")
+    facts = per_order.join(heads.drop("company_id", "domain_id", "_order_paid_on"), "order_id", "left")
+    present = hot_join(lines.filter("_stays").drop("paid_at"), facts, ["order_id"], weight="_lines").drop("_lines")
     absent = checked(
         heads.join(per_order, "order_id", "left_anti").select(
             "*", F.concat("order_id", F.lit("-0")).alias("rec_id"), F.lit(1).alias("installment"),
             F.lit("created").alias("rec_status"), F.col("total").alias("net"), F.col("total").alias("gross"),
             F.lit(0).cast(MONEY).alias("fee"), F.lit(0).cast(MONEY).alias("anticipation"),
         )
-    ).filter("_stays").withColumn("order_anticipates", F.col("anticipates"))
+    ).filter("_stays").withColumn("order_anticipates", F.col("anticipates")).withColumnRenamed("_order_paid_on", "customer_paid_on")
     return (
         present.unionByName(absent, allowMissingColumns=True)
         .withColumn("due_on", F.to_date(to_local(F.col("due_at"), zone)))

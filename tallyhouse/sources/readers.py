@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.dates import LOCAL_ZONE, parse_day, sheet_month, to_local
+from ..functions.dates import LOCAL_ZONE, in_months, parse_day, sheet_month, to_local
 from ..operators.joins import newest_by_key
 from .schemas import HEADER_TEXT, INSTALMENT_TEXT, PURCHASE_DOCUMENT, PURCHASE_TEXT, snake
 
@@ -132,7 +135,8 @@ def with_fallback(main: DataFrame, poorer: DataFrame, key: str) -> DataFrame:
 
 def years_of(df: DataFrame, ts: str, years: Sequence[int]) -> DataFrame:
     """One scan for several years instead of one per year."""
-    return df.filter(F.year(ts).isin(list(years)))
+    spans = [in_months(ts, dt.date(y, 1, 1), dt.date(y + 1, 1, 1)) for y in years]
+    return df.filter(reduce(or_, spans, F.lit(False)))
 
 
 def read_if_exists(spark: SparkSession, name: str) -> DataFrame | None:

@@ -56,6 +56,7 @@ class Samples:
             self._case("o_orderstatus", {"F": "PAID", "O": "PENDING"}).alias("payment_status"),
             self._case("o_orderstatus", {"F": "DELIVERED", "O": "WAITING"}, "CANCELED").alias("order_status"),
             (F.col("o_orderstatus") == "F").alias("is_paid"),
+            F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate").cast("timestamp")).alias("paid_at"),
             (F.col("o_orderstatus") == "P").alias("is_canceled"),
             (F.col("o_orderstatus") != "O").alias("is_closed"),
             value.alias("transaction_value"),
@@ -171,6 +172,7 @@ class Samples:
             F.col("l_linenumber").cast("int").alias("installment"),
             F.col("l_shipdate").cast("timestamp").alias("due_at"),
             F.expr("case when l_linestatus = 'F' then cast(date_add(l_shipdate, cast(l_quantity as int)) as timestamp) end").alias("rec_paid_at"),
+            F.expr("case when l_returnflag <> 'N' then cast(date_sub(l_shipdate, l_linenumber) as timestamp) end").alias("paid_at"),
             F.expr("case when l_linestatus = 'F' then 'paid' else 'created' end").alias("rec_status"),
             F.expr(f"case when l_tax = 0 and l_discount = 0 then cast(0 as decimal(18,2)) else {net} end").alias("net"),
             F.expr(amount).alias("gross"),

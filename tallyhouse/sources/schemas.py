@@ -37,7 +37,7 @@ PURCHASE_DOCUMENT = T.StructType(
 
 ORDERS = (
     "order_id string, order_number bigint, domain_id string, company_id string, created_at timestamp, total decimal(18,2), "
-    "payment_method string, payment_status string, order_status string, is_paid boolean, is_canceled boolean, is_closed boolean, "
+    "payment_method string, payment_status string, order_status string, is_paid boolean, paid_at timestamp, is_canceled boolean, is_closed boolean, "
     "transaction_value decimal(18,2), provider string, customer_name string, customer_doc string, source string"
 )
 PLAN_LINES = (

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.ranking import numbered
+from ..operators.ranking import globally_numbered
 from ..operators.skew import hot_join
 
 
@@ -82,12 +82,10 @@ def write_json(df: DataFrame, path: str) -> None:
 def chunk_map(counts: DataFrame, size: int = 50) -> DataFrame:
     """Chunk of each company, `size` companies per chunk, most orders first.
 
-    Needs company_id and orders. The global order is cut by count and id start,
-    so only slice sizes meet in one task.
+    Needs company_id and orders.
     """
     order = [F.desc("orders"), F.asc("company_id")]
-    slices = F.struct((-F.col("orders")).alias("o"), F.left("company_id", F.lit(3)).alias("i"))
-    return numbered(counts.select("company_id", "orders"), [], order, slices, "_rn").select(
+    return globally_numbered(counts.select("company_id", "orders"), order, "_rn").select(
         "company_id", F.floor((F.col("_rn") - 1) / size).cast("int").alias("chunk")
     )
 

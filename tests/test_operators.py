@@ -12,7 +12,7 @@ from tallyhouse.operators.components import linked_groups
 from tallyhouse.operators.joins import attach_to_headquarters, fallback_key, newest_by_key, overlay, summed_union, tag_lookup
 from tallyhouse.operators.matching import containing, prefixing, word_scored
 from tallyhouse.operators.multiset import surplus
-from tallyhouse.operators.ranking import nth, numbered, top_n
+from tallyhouse.operators.ranking import globally_numbered, nth, numbered, top_n
 
 
 def hot_keys(rng, n):
@@ -40,6 +40,13 @@ def test_numbered_without_keys(spark):
     assert sorted(r["rn"] for r in rows) == list(range(1, 201))
 
 
+def test_global_numbers(spark):
+    df = spark.range(500).withColumn("v", F.col("id") % 3)
+    rows = globally_numbered(df.repartition(5), [F.desc("v"), F.col("id")]).collect()
+    want = sorted(((-r["v"], r["id"]) for r in rows))
+    assert [(-r["v"], r["id"]) for r in sorted(rows, key=lambda r: r["rn"])] == want
+
+
 def test_top_rows(spark):
     df = spark.createDataFrame([(k, v) for k in "ab" for v in range(10)], "k string, v int")
     assert sorted(r["v"] for r in top_n(df, ["k"], [F.desc("v")], 2).filter("k='a'").collect()) == [8, 9]

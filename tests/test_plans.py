@@ -182,13 +182,13 @@ def test_receivables_schedule(spark):
     orders_df = spark.createDataFrame(
         [("o1", 1, "d", "A", "1", Decimal(10)), ("o2", 2, "d", "B", "1", Decimal(20)), ("o3", 3, "d", "B", "1", Decimal(30))],
         "order_id string, order_number bigint, customer_doc string, company_id string, domain_id string, total decimal(18,2)",
-    ).select("*", F.to_timestamp(F.lit(stamp)).alias("created_at"), F.lit("PIX").alias("payment_method"), F.lit(True).alias("is_paid"))
+    ).select("*", F.to_timestamp(F.lit(stamp)).alias("created_at"), F.lit("PIX").alias("payment_method"), F.to_timestamp(F.lit(stamp)).alias("paid_at"))
     rec = spark.createDataFrame(
         [("o1", "A", "1", "r1", 1, Decimal(5)), ("o2", "B", "1", "r2", 1, Decimal(8)), ("o2", "B", "1", "r3", 2, Decimal(0))],
         "order_id string, company_id string, domain_id string, rec_id string, installment int, net decimal(18,2)",
     ).select(
         "*", F.to_timestamp(F.lit("2024-04-01 12:00:00")).alias("due_at"), F.lit(None).cast("timestamp").alias("rec_paid_at"),
-        F.lit("created").alias("rec_status"), F.col("net").alias("gross"), F.lit(0).cast("decimal(18,2)").alias("fee"), F.lit(0).cast("decimal(18,2)").alias("anticipation"),
+        F.to_timestamp(F.lit(stamp)).alias("paid_at"), F.lit("created").alias("rec_status"), F.col("net").alias("gross"), F.lit(0).cast("decimal(18,2)").alias("fee"), F.lit(0).cast("decimal(18,2)").alias("anticipation"),
     )
     settings = spark.createDataFrame([("A", Decimal(1), False), ("B", Decimal(0), False)], "company_id string, anticipation_d1 decimal(18,2), fee_enabled boolean")
     lines = receivables.receivable_lines(rec, orders_df, settings)
