@@ -15,16 +15,22 @@ from ..session import cut_lineage
 from .skew import hot_join
 
 
-def substrings(c: Column, min_len: int = 1) -> Column:
-    """Distinct substrings of at least `min_len` letters."""
-    starts = F.sequence(F.lit(1), F.length(c) - F.lit(min_len - 1))
-    cuts = F.transform(
-        starts,
-        lambda i: F.transform(
-            F.sequence(F.lit(min_len), F.length(c) - i + 1), lambda n: F.substr(c, i, n)
-        ),
-    )
-    return F.when(F.length(c) >= min_len, F.array_distinct(F.flatten(cuts)))
+def _substrings(c: Column, n: Column) -> Column:
+    """Distinct substrings of length `n`."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substr(c, i, n)))
+
+
+def _head(c: Column, n: Column) -> Column:
+    """The start of length `n`."""
+    return F.array(F.left(c, n))
+
+
+def _pieces(names: DataFrame, others: DataFrame, cut) -> DataFrame:
+    """Pieces of `names` as column `piece`, of the lengths that occur in `others`:
+    a piece of any other length equals no name there."""
+    lengths = others.agg(F.collect_set(F.length("name"))).scalar()
+    sized = names.withColumn("_n", F.explode(lengths)).filter(F.col("_n") <= F.length("name"))
+    return sized.withColumn("piece", F.explode(cut(F.col("name"), F.col("_n")))).drop("_n")
 
 
 def prefixes(c: Column, min_len: int = 1) -> Column:
@@ -37,17 +43,15 @@ def _pieces_tier(
 ) -> DataFrame:
     """Best offer that contains the asked name, or is contained in it."""
     wide = offered.filter(F.length("name") >= min_offered)
-    narrow = asked.filter(F.length("name") >= min_asked)
+    narrow = asked.select("name").filter(F.length("name") >= min_asked)
     # Offers around the asked name: the overlap is the whole asked name.
-    inside = wide.select(F.explode(cut(F.col("name"), min_asked)).alias("name"), "pick")
-    around = narrow.join(inside.groupBy("name").agg(F.min("pick").alias("pick")), "name").select(
-        "name", F.length("name").alias("overlap"), "pick"
-    )
-    # Offers within the asked name.
-    piece = narrow.select("name", F.explode(cut(F.col("name"), min_offered)).alias("piece"))
+    inside = _pieces(wide, narrow, cut).groupBy(F.col("piece").alias("name")).agg(F.min("pick").alias("pick"))
+    around = narrow.join(inside, "name").select("name", F.length("name").alias("overlap"), "pick")
+    # Offers within the asked name; short pieces occur in most names.
     offer = wide.select(F.col("name").alias("piece"), "pick")
-    # Short pieces occur in most names.
-    within = hot_join(piece, offer, ["piece"], "inner").select("name", F.length("piece").alias("overlap"), "pick")
+    within = hot_join(_pieces(narrow, wide, cut), offer, ["piece"], "inner").select(
+        "name", F.length("piece").alias("overlap"), "pick"
+    )
     order = F.struct((-F.col("overlap")).alias("o"), "pick") if longest else F.struct("pick")
     return around.unionByName(within).groupBy("name").agg(F.min_by("pick", order).alias("pick"))
 
@@ -58,12 +62,12 @@ def containing(asked: DataFrame, offered: DataFrame, min_len: int = 1, longest:
     Both frames hold unique non-empty `name`; `offered.pick` is a struct whose
     smallest value wins, after the longest overlap if `longest`.
     """
-    return _pieces_tier(asked, offered, substrings, min_len, min_len, longest)
+    return _pieces_tier(asked, offered, _substrings, min_len, min_len, longest)
 
 
 def prefixing(asked: DataFrame, offered: DataFrame, min_offered: int) -> DataFrame:
     """(name, pick) where one name starts with the other; longest overlap wins."""
-    return _pieces_tier(asked, offered, prefixes, 1, min_offered, True)
+    return _pieces_tier(asked, offered, _head, 1, min_offered, True)
 
 
 def tiers(asked: DataFrame, steps: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
