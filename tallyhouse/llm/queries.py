@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, token_files
-from .common import read_table, scratch_folder
+from . import line_quality, packing, token_files, toxicity
+from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,25 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pack all documents into sequences of at most 2048 ids."""
     return packing.packed(read_table(spark, folder, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def _classified(module, spark: SparkSession, folder: str, label: str, folds: int, held: int, threshold: float) -> DataFrame:
+    docs = read_table(spark, folder, "documents", "doc_id", "text")
+    labels = read_table(spark, folder, "labels", "doc_id", F.col(label).alias("label"))
+    model = module.train(docs, labels.where(fold("doc_id", folds) != held))
+    scored = module.scored(docs, model)
+    return scored.select(
+        "doc_id", (fold("doc_id", folds) == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents by a chain over their lines, learned outside fold 0 of 5."""
+    return _classified(line_quality, spark, folder, "quality", 5, 0, 0.3)
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned outside fold 1 of 3."""
+    return _classified(toxicity, spark, folder, "toxic", 3, 1, 0.7)
