@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_quality, packing, token_files, toxicity
+from . import html_text, line_quality, packing, simhash, token_files, toxicity
 from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,15 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learned outside fold 1 of 3."""
     return _classified(toxicity, spark, folder, "toxic", 3, 1, 0.7)
+
+
+@query
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents, their edited texts and their likeness."""
+    return simhash.edit_report(read_table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extracted(read_table(spark, folder, "pages", "page_id", "url", "html"))
