@@ -151,15 +151,18 @@ def main_text(html: str) -> str:
     for b, s in zip(found, smooth):
         fused[b.path] += (ratio[b.path] + s) / 2 / count[b.path]
     weight = [len(b.text) * (1 - min(b.links, len(b.text)) / len(b.text)) for b in found]
-    held = defaultdict(float)
+    held, size = defaultdict(float), defaultdict(int)
     for b, w in zip(found, weight):
         for element in b.chain:
             held[element] += w
+            size[element] += 1
     total = sum(weight)
-    # The innermost element with most of the text; an article or main element around it takes its place.
-    chain = max((b.chain for b in found), key=lambda c: sum(held[e] >= 0.6 * total for e in c))
-    inner = [e for e in chain if held[e] >= 0.6 * total]
-    core = inner[-1] if inner else 0
+    # The innermost element with most of the text in several blocks; an article or main element around it takes its place.
+    large = {e for e, w in held.items() if w >= 0.6 * total and (size[e] > 1 or len(found) == 1)}
+    at, around = max(((b.chain, b.path.split("/")) for b in found), key=lambda c: sum(e in large for e in c[0]))
+    inner = [(e, step.split(".")[0]) for e, step in zip(at, around) if e in large]
+    named = [e for e, tag in inner if tag in ("article", "main")]
+    core = named[-1] if named else inner[-1][0] if inner else 0
     best = max(fused.values())
     kept = [b.text for b in found if ratio[b.path] > 0 and fused[b.path] >= (INSIDE if core in b.chain or not core else OUTSIDE) * best]
     return "\n".join(kept)
