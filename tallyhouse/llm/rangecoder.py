@@ -26,9 +26,11 @@ MAGIC = b"CMX1"
 LANES = 8192
 MIN_STEPS = 256
 _HEAD = struct.Struct("<4sIIII")
-_SLOTS = 1 << 18
-_REFRESH = 8  # steps between two rebuilds of the order-0 table
-_STEP = 24  # what a seen id adds to its frequency; each id starts at one
+_SLOTS = 1 << 17
+_REFRESH = 16  # steps between two rebuilds of the order-0 table
+_STEP = 12  # what a seen id adds to its frequency; each id has one at least
+_MOST = 1 << 20  # frequencies are halved where their sum passes this
+_SHARES = 64  # parts of the interval that the predictors share
 _TOP = np.uint64(48)
 _BOTTOM = np.uint64(1 << 32)
 _WORD = np.uint64(16)
@@ -37,47 +39,66 @@ _WORD = np.uint64(16)
 class _Model:
     """State shared by coder and decoder; both call predict() and learn() with the same values."""
 
-    def __init__(self, vocabulary: int, lanes: int):
+    def __init__(self, vocabulary: int, lanes: int, inverse: bool):
         self.frequency = np.ones(vocabulary, dtype=np.int64)
-        self.rebuild()
-        self.next = [np.zeros(_SLOTS, dtype=np.int64) for _ in range(2)]
-        self.sure = [np.zeros(_SLOTS, dtype=np.int64) for _ in range(2)]
+        self.inverse = inverse
+        self.tables = [np.zeros(_SLOTS, dtype=np.int32) for _ in range(2)]  # id * 4 + confidence
         self.cells = np.ones((32, 3), dtype=np.int64)
         self.cells[:, 2] = 2
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.before = np.zeros(lanes, dtype=np.int64)
+        self.last = np.zeros(lanes, dtype=np.int32)
+        self.before = np.zeros(lanes, dtype=np.int32)
         self.steps, self.seen = 0, []
+        self.rebuild()
 
     def rebuild(self) -> None:
+        while int(self.frequency.sum()) > max(_MOST, 2 * len(self.frequency)):
+            self.frequency = (self.frequency + 1) >> 1
         self.bounds = np.zeros(len(self.frequency) + 1, dtype=np.int64)
         np.cumsum(self.frequency, out=self.bounds[1:])
         self.total = int(self.bounds[-1])
-
-    def predict(self, n: int):
-        """Predictions of both orders and the widths of their shares; the third share is order 0."""
-        last, before = self.last[:n], self.before[:n]
-        self.slots = [(last * 40503 + before * 65599 * 31) & (_SLOTS - 1), (last * 40503 + 77) & (_SLOTS - 1)]
-        self.guess = [table[slot] for table, slot in zip(self.next, self.slots)]
-        self.trust = [table[slot] for table, slot in zip(self.sure, self.slots)]
-        self.cell = self.trust[0] * 4 + self.trust[1] + 16 * (self.guess[0] == self.guess[1])
-        share = (self.cells[:, :2] * self.total) // self.cells[:, 2:]
-        share = np.clip(share, 1, self.total * 64)[self.cell]
-        return share[:, 0], share[:, 1]
+        if self.inverse:
+            self.at = np.repeat(np.arange(len(self.frequency), dtype=np.int32), self.frequency)
+        self.weigh()
+
+    def weigh(self) -> None:
+        """Shares of orders 2 and 1 in 64 parts of each cell; order 0 has the rest, one at least."""
+        counts = self.cells.sum(axis=1)
+        first = np.clip(self.cells[:, 0] * _SHARES // counts, 1, _SHARES - 2)
+        second = np.clip(self.cells[:, 1] * _SHARES // counts, 1, _SHARES - 1 - first)
+        self.two, self.both, self.rest = first * self.total, (first + second) * self.total, _SHARES - first - second
+        self.range = np.uint64(_SHARES * self.total)
+
+    def predict(self) -> None:
+        """Guesses of both orders and each lane's cell."""
+        last, before = self.last, self.before
+        self.slots = [(last * np.int32(40503) + before * np.int32(2033369)) & (_SLOTS - 1), (last * np.int32(30011)) & (_SLOTS - 1)]
+        self.packed = [table[slot] for table, slot in zip(self.tables, self.slots)]
+        self.guess = [packed >> 2 for packed in self.packed]
+        self.cell = (self.packed[0] & 3) * 4 + (self.packed[1] & 3) + 16 * (self.guess[0] == self.guess[1])
+
+    def interval(self, ids: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of ids in the range, by the predictor that names them (0: order 2, 1: order 1, 2: order 0)."""
+        cell = self.cell
+        start, width = np.where(kind == 1, self.two[cell], 0), self.two[cell]
+        one = kind == 1
+        width[one] = (self.both - self.two)[cell[one]]
+        zero = np.flatnonzero(kind == 2)
+        at, parts = self.bounds[ids[zero]], self.rest[cell[zero]]
+        start[zero] = self.both[cell[zero]] + at * parts
+        width[zero] = self.frequency[ids[zero]] * parts
+        return start.astype(np.uint64), width.astype(np.uint64)
 
     def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
         """Lanes update in order; where two share a slot the last one's id stays."""
-        n = len(ids)
-        self.cells += np.bincount(self.cell * 3 + kind, minlength=96).reshape(32, 3) * 2
-        for order in range(2):
-            right = self.guess[order] == ids
-            slot, trust = self.slots[order], self.trust[order]
-            self.next[order][slot] = np.where(right | (trust < 2), ids, self.guess[order])
-            self.sure[order][slot] = np.where(right, np.minimum(trust + 1, 3), np.where(trust < 2, 0, trust - 1))
-        self.before[:n], self.last[:n] = self.last[:n], ids
+        self.cells += np.bincount(self.cell * 3 + kind, minlength=96).reshape(32, 3)
+        for table, slot, packed, guess in zip(self.tables, self.slots, self.packed, self.guess):
+            trust = packed & 3
+            table[slot] = np.where(guess == ids, packed + (trust < 3), np.where(trust < 2, ids << 2, packed - 1))
+        self.before, self.last = self.last, ids
         self.seen.append(ids)
         self.steps += 1
-        if self.steps % _REFRESH == 0 or self.steps < _REFRESH:
-            self.frequency += np.bincount(np.concatenate(self.seen), minlength=len(self.frequency)) * _STEP
+        if self.steps % _REFRESH == 0 or self.steps < 8:
+            self.frequency = self.frequency + np.bincount(np.concatenate(self.seen), minlength=len(self.frequency)) * _STEP
             self.seen = []
             self.rebuild()
 
@@ -89,24 +110,23 @@ def _layout(n: int, lanes: int) -> tuple[int, int]:
 
 def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
     """Code ids below `vocabulary`; lane k holds the ids k*steps to (k+1)*steps."""
-    ids = np.asarray(ids, dtype=np.int64)
+    ids = np.asarray(ids, dtype=np.int32)
     n = len(ids)
     lanes, steps = _layout(n, lanes)
-    table = np.zeros(lanes * steps, dtype=np.int64)
+    table = np.zeros(lanes * steps, dtype=np.int32)
     table[:n] = ids
     table = np.ascontiguousarray(table.reshape(lanes, steps).T)
-    model = _Model(vocabulary, lanes)
+    model = _Model(vocabulary, lanes, inverse=False)
     low, wide = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
     out, at = np.zeros((lanes, steps * 2 + 8), dtype=np.uint16), np.zeros(lanes, dtype=np.int64)
     for step in range(steps):
         now = table[step]
-        two, one = model.predict(lanes)
+        model.predict()
         kind = np.where(model.guess[0] == now, 0, np.where(model.guess[1] == now, 1, 2))
-        start = np.where(kind == 0, 0, np.where(kind == 1, two, two + one + model.bounds[now]))
-        width = np.where(kind == 0, two, np.where(kind == 1, one, model.bounds[now + 1] - model.bounds[now]))
-        unit = wide // (two + one + model.total).astype(np.uint64)
-        low += unit * start.astype(np.uint64)
-        wide = unit * width.astype(np.uint64)
+        start, width = model.interval(now, kind)
+        unit = wide // model.range
+        low += unit * start
+        wide = unit * width
         _emit(low, wide, out, at)
         model.learn(now, kind)
     for _ in range(4):
@@ -153,22 +173,23 @@ def decode_block(block: bytes) -> np.ndarray:
     for _ in range(4):
         code = (code << _WORD) | words[np.minimum(at, end)]
         at += 1
-    model = _Model(vocabulary, lanes)
+    model = _Model(vocabulary, lanes, inverse=True)
     low, wide = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-    table = np.zeros((steps, lanes), dtype=np.int64)
+    table = np.zeros((steps, lanes), dtype=np.int32)
     for step in range(steps):
-        two, one = model.predict(lanes)
-        all_ = two + one + model.total
-        unit = wide // all_.astype(np.uint64)
-        point = np.minimum(((code - low) // unit).astype(np.int64), all_ - 1)
-        kind = np.where(point < two, 0, np.where(point < two + one, 1, 2))
+        model.predict()
+        unit = wide // model.range
+        point = np.minimum(((code - low) // unit), model.range - np.uint64(1)).astype(np.int64)
+        kind = np.where(point < model.two[model.cell], 0, np.where(point < model.both[model.cell], 1, 2))
         now = np.where(kind == 0, model.guess[0], model.guess[1])
-        rest = np.flatnonzero(kind == 2)
-        now[rest] = np.searchsorted(model.bounds, point[rest] - two[rest] - one[rest], "right") - 1
-        start = np.where(kind == 0, 0, np.where(kind == 1, two, two + one + model.bounds[now]))
-        width = np.where(kind == 0, two, np.where(kind == 1, one, model.bounds[now + 1] - model.bounds[now]))
-        low += unit * start.astype(np.uint64)
-        wide = unit * width.astype(np.uint64)
+        zero = np.flatnonzero(kind == 2)
+        cell = model.cell[zero]
+        # Whole numbers far below 2^53: half a unit keeps the quotient's floor right.
+        place = ((point[zero] - model.both[cell] + 0.5) / model.rest[cell]).astype(np.int64)
+        now[zero] = model.at[place]
+        start, width = model.interval(now, kind)
+        low += unit * start
+        wide = unit * width
         settled = ((low ^ (low + wide)) >> _TOP) == 0
         lane = np.flatnonzero(settled | (wide < _BOTTOM))
         while len(lane):

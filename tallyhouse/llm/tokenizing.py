@@ -1,13 +1,14 @@
 """Ids of whole texts by a public tokenizer, with repeated pieces encoded once per worker.
 
-Both vocabularies cut a text into pieces before any merge, and where white space
-is a lone space or line feed the cut depends on nothing but the characters beside
-it. So such a text is taken apart there and each piece encoded alone:
-- the word vocabulary drops white space;
-- in the byte vocabulary a space leads the next piece and a line feed is a piece.
+Both vocabularies cut a text into pieces before any merge, and at white space the
+cut depends on nothing but the characters beside it:
+- the word vocabulary drops white space, so a text is cut at any space or line feed;
+- in the byte vocabulary a space leads the next piece and a line feed is a piece,
+  where no two white-space characters stand together. Other texts, and those with
+  NUL, go to the tokenizer whole.
 A piece not seen yet is cut once more between a Latin letter and ASCII
-punctuation other than the apostrophe. Texts with other white space, NUL or the
-mark of a special token go to the tokenizer whole.
+punctuation other than the apostrophe. Texts with the mark of a special token go to
+the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from functools import lru_cache
 import numpy as np
 
 END_ID = 1
-CACHE = 600_000  # pieces a worker keeps; later ones are encoded each time
+CACHE = 500_000  # plain pieces that a worker keeps; later ones are encoded each time
+MARKED = 100_000  # pieces with punctuation that it keeps; later ones are put together from their parts
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the capital I with a dot, whose lower case ends in a mark
 _MARKED = re.compile(f"(?<=[{_LETTER}])(?=[!-&(-/:-@[-`{{-~])")
@@ -38,17 +40,20 @@ class _Pieces(dict):
 
     def __init__(self, tokenizer, room: int):
         super().__init__()
-        self.encode_piece, self.room = tokenizer.encode, room
+        self.encode_piece, self.room, self.marked = tokenizer.encode, room, MARKED
 
     def encode(self, piece: str) -> bytes:
         return array("I", self.encode_piece(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         parts = _MARKED.split(piece)
-        if len(parts) == 1:
-            ids = self.encode(piece)
-        else:
+        if len(parts) > 1:
             ids = b"".join([self[p] for p in parts])
+            if self.marked:
+                self.marked -= 1
+                self[piece] = ids
+            return ids
+        ids = self.encode(piece)
         if len(self) < self.room:
             self[piece] = ids
         return ids
@@ -67,13 +72,16 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        parts = text.replace("\n", " ").split(" ")
-        if "\0" in text or "<|" in text or parts != text.split():
+        if "<|" in text:
+            return self.pieces.encode(text)
+        if not self.keeps_space:
+            if _latin(text):  # lower case is the same in any library there
+                text = text.lower()
+            parts = text.replace("\n", " ").split(" ")
+        elif "\0" in text or text.replace("\n", " ").split(" ") != text.split():
             return self.pieces.encode(text)
-        if self.keeps_space:
+        else:
             parts = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-        elif _latin(text):  # lower case is the same in any library there
-            parts = text.lower().replace("\n", " ").split(" ")
         return b"".join(map(self.pieces.__getitem__, parts))
 
     def document(self, text: str) -> bytes:
