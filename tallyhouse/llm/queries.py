@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html_text, line_quality, packing, simhash, token_files, toxicity
+from . import decontamination, html_text, line_quality, packing, simhash, token_files, toxicity
 from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,13 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return html_text.extracted(read_table(spark, folder, "pages", "page_id", "url", "html"))
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that it contains to 80 % or more."""
+    docs = read_table(spark, folder, "documents", "doc_id", "text")
+    return decontamination.contained(docs, read_table(spark, folder, "benchmark", "item_id", "text"))
+
+
+ORACLES["op7_benchmark_decontamination"] = decontamination.SQL
