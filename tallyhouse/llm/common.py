@@ -170,3 +170,45 @@ def shingles(row: np.ndarray, word: np.ndarray, size: int = SHINGLE) -> tuple[np
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+UNIT = 4 << 20  # bytes of text whose keys travel together
+
+
+def units(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[int, Slice]]:
+    """Slices of about UNIT bytes with a number that is the same whenever the same input is read again."""
+    from pyspark import TaskContext
+
+    first = TaskContext.get().partitionId() << 24
+    for k, s in enumerate(slices(batches, text, UNIT)):
+        yield first + k, s
+
+
+def with_units(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with their unit and their row in it; a null text becomes empty."""
+    schema = pa.schema([("unit", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit, s in units(batches):
+            yield batch_of(schema, [unit] * len(s), np.arange(len(s)), s.batch.column("doc_id"), s.texts())
+
+    return docs.select("doc_id", "text").mapInArrow(run, "unit long, row int, doc_id long, text string")
+
+
+def buckets(spark: SparkSession) -> int:
+    """Key ranges of an exchange: as many as shuffle partitions, which a cluster sizes to its data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def cuts(keys: np.ndarray, n: int) -> list[int]:
+    """Places that cut sorted 64-bit keys into n ranges of equal width."""
+    bounds = [min((k << 64) // n, (1 << 64) - 1) for k in range(1, n)]
+    return [0, *np.searchsorted(keys, np.array(bounds, dtype=U64)).tolist(), len(keys)]
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys).tobytes()
+
+
+def unpacked(raw: bytes, kind=U64) -> np.ndarray:
+    return np.frombuffer(raw, dtype=kind)
