@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, html_text, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
+from . import decontamination, html_text, jaccard_join, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
 from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the bytes of 200-byte strings that start twice in the corpus."""
     kept = suffix_dedup.deduplicated(read_table(spark, folder, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have 80 % Jaccard similarity or more."""
+    return jaccard_join.joined(read_table(spark, folder, "documents", "doc_id", "text"))
