@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, html_text, jaccard_join, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
+from . import decontamination, html_text, interpolation, jaccard_join, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
 from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,11 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have 80 % Jaccard similarity or more."""
     return jaccard_join.joined(read_table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query
+def op6_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probabilities of all documents under a model learned outside fold 2 of 7."""
+    docs = read_table(spark, folder, "documents", "doc_id", "text").withColumn("training", fold("doc_id", 7) != 2)
+    scored = interpolation.scored(docs)
+    return scored.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
