@@ -185,14 +185,17 @@ def units(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tup
 
 
 def with_units(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) with their unit and their row in it; a null text becomes empty."""
-    schema = pa.schema([("unit", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string())])
+    """docs (doc_id, text, rest) with their unit and their row in it; a null text becomes empty."""
+    fields = [("unit", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, s in units(batches):
-            yield batch_of(schema, [unit] * len(s), np.arange(len(s)), s.batch.column("doc_id"), s.texts())
+            rest = s.batch.column("rest")
+            schema = pa.schema([*fields, ("rest", rest.type)])
+            yield batch_of(schema, [unit] * len(s), np.arange(len(s)), s.batch.column("doc_id"), s.texts(), rest)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "unit long, row int, doc_id long, text string")
+    rest = docs.schema["rest"].dataType.simpleString()
+    return docs.select("doc_id", "text", "rest").mapInArrow(run, f"unit long, row int, doc_id long, text string, rest {rest}")
 
 
 def buckets(spark: SparkSession) -> int:

@@ -327,3 +327,20 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows = known.join(named.select(F.col("member").alias("a"), F.col("doc_id").alias("class_id")), "a", "left").join(merged, "class_id", "left")
     component = F.when(F.col("size") > 0, F.coalesce("label", "class_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """Rows of `docs` (all columns) without near copies: of each component the smallest doc_id stays.
+
+    Rows that share a doc_id are one document; of equal texts among them one stays.
+    Rows without doc_id or words stay.
+    """
+    found = joined(docs, percent)
+    kept = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
+    ids = written(found.groupBy("doc_id").agg(kept.alias("kept"), F.count("*").alias("rows")), "kept-ids")
+    stay = docs.join(ids.where("kept = 0").select("doc_id"), "doc_id", "left_anti")
+    repeated = ids.where("kept = 1 and rows > 1").select("doc_id")
+    if repeated.isEmpty():
+        return stay.select(*docs.columns)
+    once = stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return stay.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))

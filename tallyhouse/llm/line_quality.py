@@ -243,3 +243,14 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
             yield batch_of(schema, s.batch.column("doc_id"), model.score(s) if model else np.full(len(s), 0.5))
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model | None, threshold: float) -> DataFrame:
+    """Rows of `docs` (all columns) whose text scores `threshold` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in slices(batches):
+            kept = model.score(s) >= threshold if model else np.full(len(s), 0.5 >= threshold)
+            yield s.batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

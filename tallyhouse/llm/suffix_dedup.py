@@ -137,11 +137,8 @@ def _answer(table: pa.Table) -> pa.Table:
     )
 
 
-_DOCUMENT = "unit long, row int, doc_id long, n_bytes long, text binary, spans array<bigint>, regions array<struct<anchor:bigint,start:bigint,starts:bigint>>"
-_DOCUMENT_SCHEMA = pa.schema(
-    [("unit", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("text", pa.binary()), ("spans", pa.list_(pa.int64())),
-     ("regions", pa.list_(pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("starts", pa.int64())])))]
-)
+_DOCUMENT = "unit long, row int, doc_id long, n_bytes long, text binary, spans array<bigint>, regions array<struct<anchor:bigint,start:bigint,starts:bigint>>, rest "
+_REGION = pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("starts", pa.int64())])
 
 
 def _learned(docs: DataFrame, length: int) -> DataFrame:
@@ -152,7 +149,7 @@ def _learned(docs: DataFrame, length: int) -> DataFrame:
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return _DOCUMENT_SCHEMA.empty_table()
+            return pa.table({})
         left = left.sort_by("row").combine_chunks()
         raw = [t.encode() for t in left.column("text").to_pylist()]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
@@ -184,16 +181,15 @@ def _learned(docs: DataFrame, length: int) -> DataFrame:
             crossed[rows[k]].append(
                 {"anchor": int(r.anchor[k].view(np.int64)), "start": int(r.first[k] - offsets[rows[k]]), "starts": int(r.last[k] - r.first[k] + 1)}
             )
-        held = [bool(s or c) for s, c in zip(spans, crossed)]
         return pa.table(
             {
                 "unit": left.column("unit"), "row": left.column("row"), "doc_id": left.column("doc_id"), "n_bytes": pa.array([len(t) for t in raw], pa.int64()),
-                "text": pa.array(raw, pa.binary()), "spans": pa.array(spans, pa.list_(pa.int64())), "regions": pa.array(crossed, _DOCUMENT_SCHEMA.field("regions").type),
+                "text": pa.array(raw, pa.binary()), "spans": pa.array(spans, pa.list_(pa.int64())), "regions": pa.array(crossed, pa.list_(_REGION)), "rest": left.column("rest"),
             }
-        ) if held else _DOCUMENT_SCHEMA.empty_table()
+        )
 
     placed = with_units(docs)
-    return placed.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(merge, _DOCUMENT)
+    return placed.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(merge, _DOCUMENT + docs.schema["rest"].dataType.simpleString())
 
 
 def suffix_order(data: np.ndarray, length: int) -> np.ndarray:
@@ -314,7 +310,9 @@ def _compared(regions: DataFrame, length: int) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Per document of `docs` (doc_id, text): doc_id, kept (text), n_bytes, n_removed, n_spans, kept_sha256."""
+    """Per document of `docs` (doc_id, text): doc_id, kept (text), n_bytes, n_removed, n_spans, kept_sha256, and its other columns as `rest`."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    docs = docs.select("doc_id", "text", F.struct(*(others or [F.lit(0).alias("none")])).alias("rest"))
     known = written(_learned(docs, length), "suffix-regions")
     asked = known.where(F.size("regions") > 0).select("unit", "row", "text", F.explode("regions").alias("r"))
     regions = asked.select(
@@ -322,14 +320,13 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.substring("text", F.col("r.start").cast("int") + 1, (F.col("r.starts") + length - 1).cast("int")).alias("body"),
     )
     found = _compared(regions, length).groupBy("unit", "row").agg(F.collect_list("start").alias("more"))  # starts of one document
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("kept", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-    )
+    fields = [("doc_id", pa.int64()), ("kept", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
+            rest = batch.column("rest")
+            for r in batch.drop_columns(["rest"]).to_pylist():
                 body = r["text"]
                 if r["spans"] or r["more"]:
                     edge = np.zeros(len(body) + 1, dtype=np.int64)
@@ -346,9 +343,10 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     spans = 0
                 rows.append((r["doc_id"], body.decode("utf-8", "ignore"), r["n_bytes"], r["n_bytes"] - len(body), spans, hashlib.sha256(body).hexdigest()))
             if rows:
-                yield batch_of(schema, *zip(*rows))
+                yield batch_of(pa.schema([*fields, ("rest", rest.type)]), *zip(*rows), rest)
 
-    joined = known.select("unit", "row", "doc_id", "n_bytes", "text", "spans").join(found, ["unit", "row"], "left")
-    return joined.select("doc_id", "n_bytes", "text", "spans", "more").mapInArrow(
-        finish, "doc_id long, kept string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    joined = known.select("unit", "row", "doc_id", "n_bytes", "text", "spans", "rest").join(found, ["unit", "row"], "left")
+    rest = docs.schema["rest"].dataType.simpleString()
+    return joined.select("doc_id", "n_bytes", "text", "spans", "more", "rest").mapInArrow(
+        finish, f"doc_id long, kept string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, rest {rest}"
     )
