@@ -65,7 +65,15 @@ def order_report_by_company(s: Samples) -> DataFrame:
 
 @query
 def order_union_multiset(s: Samples) -> DataFrame:
-    return orders.order_union(s.history("orders"), s.history("quotes"), s.history("anterior"))
+    rows = orders.order_union(s.history("orders"), s.history("quotes"), s.history("anterior"))
+    return rows.select("record_id", "company_id", "day", "value", "code")
+
+
+@query
+def orders_per_brand(s: Samples) -> DataFrame:
+    """Orders and quotes of each company by status letter."""
+    registry = s.companies().select("company_id", F.col("domain_id").cast("string").alias("domain_id"))
+    return orders.brand_counts(orders.orders_per_brand(*[s.brand_history(x) for x in ("orders", "quotes", "anterior")], registry))
 
 
 @query
@@ -225,7 +233,7 @@ def mrr_last_month(s: Samples) -> DataFrame:
 
 
 def _items(s: Samples) -> DataFrame:
-    return billing.classified_items(billing.invoice_items(s.invoices()), s.customer_bridge())
+    return billing.classified_items(billing.invoice_items(s.invoice_lines()), s.customer_bridge())
 
 
 @query
@@ -238,6 +246,12 @@ def invoice_item_revenue_by_domain(s: Samples) -> DataFrame:
     return billing.revenue_by_domain(_items(s))
 
 
+@query
+def recurring_revenue_register(s: Samples) -> DataFrame:
+    """Revenue by domain with headquarters, partner and owner."""
+    return billing.revenue_with_register(invoice_item_revenue_by_domain(s), _register(s))
+
+
 @query
 def invoice_item_revenue_by_domain_month(s: Samples) -> DataFrame:
     return billing.revenue_by_domain_month(_items(s))
@@ -279,7 +293,7 @@ def last_paid_invoice(s: Samples) -> DataFrame:
 
 @query
 def recurrence_totals(s: Samples) -> DataFrame:
-    rows = s.invoices().withColumn("has_automatic", F.col("item_id") == "2")
+    rows = _unique(s).withColumn("has_automatic", F.col("plan_name") == "Plano Pro")
     return billing.recurrence_totals(rows)
 
 
@@ -299,7 +313,7 @@ def domain_kpi_table(s: Samples) -> DataFrame:
 
 def _lines(s: Samples) -> DataFrame:
     known = groups.active_domains(s.domains(), TRIALS).select("domain_id")
-    return receivables.receivable_lines(s.receivables(), s.orders(), s.settings(), known)
+    return receivables.receivable_lines(s.receivables(), s.order_instalments(), s.settings(), known, provider="PAY")
 
 
 @query
@@ -436,7 +450,7 @@ def freight_half_months(s: Samples) -> DataFrame:
 
 @query
 def freight_sheet_reapplied(s: Samples) -> DataFrame:
-    sheet = freight.postings(s.freight_close().filter("operator = 'A'"))
+    sheet = freight.postings(s.freight_close().filter("operator <> 'N'"))
     rows = freight.freight_orders(s.orders(), s.freight_close().filter("operator = 'N'"))
     return freight.reapply_sheet(rows, sheet).select(
         "order_id", "posting", "day", "order_status", "margin", "final", "posting_source"
@@ -548,13 +562,13 @@ def active_domains_strict(s: Samples) -> DataFrame:
 
 @query
 def register_counts(s: Samples) -> DataFrame:
-    late = orders.since(s.orders(), dt.date(2001, 7, 1)).withColumn("domain_id", text.clean_domain_id(F.col("domain_id")))
+    late = orders.since(s.orders(), dt.date(2001, 1, 1)).withColumn("domain_id", text.clean_domain_id(F.col("domain_id")))
     return groups.register_counts(_register(s), late)
 
 
 @query
 def inactive_duplicate_removal(s: Samples) -> DataFrame:
-    late = orders.since(s.orders(), dt.date(2001, 1, 1)).groupBy("company_id").agg(F.count("*").alias("orders"))
+    late = s.orders().groupBy("company_id").agg(F.count("*").alias("orders"))
     doc = F.concat(F.substring("tax_document", 1, 8), F.lit("000100"))
     rows = s.companies().join(late, "company_id", "left").select(
         "company_id", doc.alias("tax_document"), F.coalesce("orders", F.lit(0)).alias("orders")
@@ -799,8 +813,8 @@ def monthly_fee_precedence(s: Samples) -> DataFrame:
 
 @query
 def invoices_waiting(s: Samples) -> DataFrame:
-    rows = s.invoices().withColumn("has_automatic", F.col("item_id") == "2")
-    return billing.invoices_of_class(rows, "waiting").select("invoice_id", "item_id", "due_at", "total_cents")
+    rows = _unique(s).withColumn("has_automatic", F.col("plan_name") == "Plano Pro")
+    return billing.invoices_of_class(rows, "waiting").select("invoice_id", "due_at", "total_cents")
 
 
 @query
@@ -856,7 +870,7 @@ def manual_postings(s: Samples) -> DataFrame:
         F.col("l_quantity").cast("int").alias("posting"), "l_returnflag",
     )
     new = rows.filter("l_returnflag = 'A'").drop("l_returnflag")
-    return freight.manual_postings(new, rows.filter("l_returnflag = 'R'").drop("l_returnflag"))
+    return freight.manual_postings(new, rows.filter("l_returnflag <> 'A'").drop("l_returnflag"))
 
 
 @query
@@ -1032,7 +1046,7 @@ def freight_measures(s: Samples) -> DataFrame:
 @query
 def freight_field_differences(s: Samples) -> DataFrame:
     """Names and places written differently on both sides."""
-    sheet = freight.postings(s.freight_close().filter("operator <> 'R'")).select(
+    sheet = freight.postings(s.freight_close()).select(
         "domain_id", "order_number", "posting", F.concat(F.lit("CLIENTE Nº "), F.col("domain_id")).alias("client"),
         F.when(F.col("operator") == "N", "São Paulo").otherwise("Rio").alias("city"), F.lit("SP - x").alias("state"),
     )

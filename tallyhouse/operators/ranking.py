@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -43,14 +45,16 @@ def numbered(
 
     `coarse` must not decrease along `order`. Rows are numbered inside
     (key, coarse); the rows before each slice come from a pre-aggregated count.
-    Key columns must not be null.
+    Null keys are a key and null slices a slice, first in order like any null.
     """
     work = df.withColumn("_slice", coarse)
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = work.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
+    place = [*keys, "_slice"]
     offsets = slices.select(
-        *keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+        *[F.col(c).alias(f"_of_{c}") for c in place], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
     inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
-    joined = work.join(offsets, [*keys, "_slice"])
-    return joined.withColumn(name, F.col("_before") + inside).drop("_slice", "_before")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in place])
+    joined = work.join(offsets, same)
+    return joined.withColumn(name, F.col("_before") + inside).drop("_slice", "_before", *[f"_of_{c}" for c in place])

@@ -71,13 +71,15 @@ select domain_id, plan_name plan, max(case when status in ('paid','externally_pa
 from v_invoices group by 1, 2""",
     "v_stops": """
 select *, date_trunc('month', last_paid) < timestamp '2001-05-01' stopped from v_plans where last_paid is not null""",
+    "v_invoice_lines": """
+select * replace (split_part(invoice_id, '-', 1) as invoice_id, case when item_id = '3' and item_quantity = 0 then null else item_id end as item_id) from v_invoices""",
     # The item text is structured for line 1 only: plan 1.0qq,50, integration qq,00, branch 12.5, discount 3,25.
     # max() over repeated ingests of one invoice and item picks the largest text, so the quantity compares as text.
     "v_items": """
-select domain_id, invoice_id, item_id, date_trunc('month', max(due_at)) as month,
+select domain_id, invoice_id, item_id, date_trunc('month', max(due_at) - interval 10 day) as month,
   cast(max(item_price_cents) as decimal(18,2)) * 0.01 * greatest(max(item_quantity), 1) as raw_value,
   max(lpad(cast(q as varchar), 3, '0')) q
-from v_invoices where status in ('paid','externally_paid') group by 1, 2, 3""",
+from v_invoice_lines where status = 'paid' and item_id is not null group by 1, 2, 3""",
     "v_item_parts": """
 select domain_id, invoice_id, month,
   cast(case item_id when '1' then 1000 + cast(q as integer) + 0.50 when '2' then v else 0 end as decimal(18,2)) plano,
@@ -106,21 +108,25 @@ select cast(l_orderkey as varchar) order_id, cast(l_suppkey as varchar) company_
   cast(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(18,2)) as decimal(18,2)) fee,
   case when l_returnflag = 'R' and l_discount >= 0.1 then 1 else 0 end anticipation
 from lineitem""",
+    "v_paid_through": """
+select * from v_receivables where cast(company_id as bigint) % 10 <> 0""",
     # Every test timestamp is a midnight in UTC, which is the day before in the local zone.
     "v_heads": """
-select order_id, order_number, customer_doc, total, payment_method, company_id order_company, domain_id order_domain,
+select order_id, order_number, customer_doc, total, payment_method, company_id order_company, domain_id order_domain, is_paid, is_canceled, created_at,
   cast(created_at as date) - 1 order_date, case when is_paid then cast(created_at as date) - 1 end head_paid_on
-from v_orders""",
+from v_orders where cast(company_id as bigint) % 10 <> 0""",
     "v_lines": """
 select l.*, h.order_number, h.order_date,
-  case when l.rec_id = l.order_id || '-0' then h.head_paid_on else max(l.own_paid_on) over (partition by l.order_id) end customer_paid_on, coalesce(s.anticipates, false) anticipates,
+  case when l.own_row then h.head_paid_on else max(l.own_paid_on) over (partition by l.order_id) end customer_paid_on, coalesce(s.anticipates, false) anticipates,
   cast(l.due_at as date) - 1 due_on, cast(l.rec_paid_at as date) - 1 paid_on
 from (
-  select * from v_receivables
+  select *, false own_row from v_paid_through
   union all by name
-  select order_id, order_company company_id, order_domain domain_id, order_id || '-0' rec_id, 1 installment, 'created' rec_status,
-    total net, total gross, 0 fee, 0 anticipation
-  from v_heads where order_id not in (select order_id from v_receivables)
+  select order_id, order_company company_id, order_domain domain_id, case when order_number % 2 = 0 then 'own-' || order_id else '' end rec_id, 1 installment,
+    case when is_paid then 'paid' else 'created' end rec_status, case when order_number % 5 <> 0 then created_at + interval 30 day end due_at,
+    case when is_paid then created_at + interval 35 day end rec_paid_at, case when is_canceled then 0 else cast(total * 0.97 as decimal(18,2)) end net, total gross,
+    cast(total * 0.03 as decimal(18,2)) fee, 0 anticipation, true own_row
+  from v_heads where order_id not in (select order_id from v_paid_through)
 ) l left join v_settings s using (company_id) left join v_heads h using (order_id)
 where (l.net <> 0 or coalesce(s.anticipates, false))
   and (coalesce(s.anticipates, false) or l.domain_id in (select cast(domain_id as varchar) from v_active))""",
@@ -361,9 +367,22 @@ with h as (
     floor(o_totalprice / 50000) * 50000.0 as value, o_orderstatus code
   from orders join (values (0, 'o', 'F'), (1, 'q', 'P'), (2, 'a', '')) t(src, prefix, skip) on o_orderstatus <> skip),
 r as (select *, row_number() over (partition by src, company_id, day, value order by md5(record_id), record_id) rn from h),
-c as (select company_id, day, value, count(*) filter (src = 0) n0, count(*) filter (src = 1) n1 from h group by all)
+c as (select company_id, day, value, count(*) filter (src = 0 and (split_part(record_id, '-', 2)::bigint % 2 = 0 or split_part(record_id, '-', 2)::bigint % 3 = 0)) n0, count(*) filter (src = 1) n1 from h group by all)
 select record_id, r.company_id, r.day, r.value, code from r join c on c.company_id = r.company_id and c.day = r.day and c.value = r.value
 where src = 0 or (src = 1 and rn > n0) or (src = 2 and rn > greatest(n0 - n1, 0))""",
+    "orders_per_brand": """
+with h as (
+  select src, prefix || '-' || o_orderkey record_id, o_orderkey k, cast(o_custkey // 30 as varchar) company, cast(o_custkey // 30 * 10 as bigint) domain_id,
+    strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') as day, floor(o_totalprice / 50000) * 50000.0 as value, o_orderstatus s
+  from orders join (values (0, 'o', 'F'), (1, 'q', 'P'), (2, 'a', '')) t(src, prefix, skip) on o_orderstatus <> skip),
+d as (select domain_id, min(company_id) owner from v_companies group by 1),
+w as (select h.*, case when src > 0 and k % 4 = 0 then owner when company in (select company_id from v_companies) then company when src > 0 then owner end company_id,
+    case when src = 0 then (case s when 'O' then 'E' else 'C' end) when src = 2 then 'O' else (case s when 'F' then 'P' else 'E' end) end letter
+  from h left join d on d.domain_id = h.domain_id),
+r as (select *, row_number() over (partition by src, company_id, day, value order by md5(record_id), record_id) rn from w where company_id is not null),
+c as (select company_id, day, value, count(*) filter (src = 0 and (k % 2 = 0 or k % 3 = 0)) n0, count(*) filter (src = 1) n1 from r group by all)
+select r.company_id, letter, count(*) records, D[sum(r.value)] as value from r join c on c.company_id = r.company_id and c.day = r.day and c.value = r.value
+where src = 0 or (src = 1 and rn > n0) or (src = 2 and rn > greatest(n0 - n1, 0)) group by 1, 2""",
     "owned_receivables": """
 select owner_id, count(*) lines, D[sum(gross)] gross from (
   select coalesce(c.company_id, d.company_id) owner_id, gross from v_receivables r left join v_companies c on c.company_id = r.company_id
@@ -476,6 +495,9 @@ select domain_id, D[sum(v)] mrr from (
     "invoice_item_revenue": f"""
 select DAY[month] as month, {_ITEM_SUMS}, count(distinct invoice_id) invoices, count(distinct domain_id) domains, {_ITEM_NET} from v_item_parts group by month""",
     "invoice_item_revenue_by_domain": f"select domain_id, {_ITEM_SUMS}, count(distinct invoice_id) invoices, {_ITEM_NET} from v_item_parts group by 1",
+    "recurring_revenue_register": f"""
+select r.domain_id, r.company_id, r.name domain_name, r.trade_name, r.partner_name, r.angel_name, {_ITEM_SUMS}, count(distinct invoice_id) invoices, {_ITEM_NET}
+from v_register r join v_item_parts p on p.domain_id = r.domain_id where is_hq group by 1, 2, 3, 4, 5, 6""",
     "invoice_item_revenue_by_domain_month": f"select domain_id, DAY[month] as month, {_ITEM_SUMS}, {_ITEM_NET} from v_item_parts group by domain_id, v_item_parts.month",
     "invoice_status_buckets": """
 with u as (select *, cast(total_cents as decimal(18,2)) * 0.01 v, row_number() over (partition by customer_id order by due_at, invoice_id) pos from v_unique_invoices)
@@ -497,8 +519,8 @@ select customer_id, TS[due_at] due_at, invoice_id, total_cents / 100 last_value
   select *, row_number() over (partition by customer_id order by due_at desc, invoice_id desc, total_cents desc) rn from v_invoices
   where status in ('paid','externally_paid')) where rn = 1""",
     "recurrence_totals": """
-select case status when 'paid' then (case when item_id = '2' then 'paid_recurring' else 'paid_single' end) when 'pending' then 'waiting' else status end as class,
-  count(*) invoices, D[sum(cast(total_cents as decimal(18,2)) * 0.01)] as value from v_invoices group by 1""",
+select case status when 'paid' then (case when plan_name = 'Plano Pro' then 'paid_recurring' else 'paid_single' end) when 'pending' then 'waiting' else status end as class,
+  count(*) invoices, D[sum(cast(total_cents as decimal(18,2)) * 0.01)] as value from v_unique_invoices group by 1""",
     "domain_kpi_table": f"""
 with n as (select user_id domain_id, cast(count(*) filter ({_NUM} >= 9) - count(*) filter ({_NUM} <= 6) as double) * 100.0 / count(*) nps from events group by 1),
 m as (select domain_id, D[sum(v)] mrr from (select distinct domain_id, invoice_id, due_at, cast(coalesce(item_price_cents, total_cents) as decimal(18,2)) * 0.01 v from v_invoices
@@ -615,10 +637,10 @@ join (select domain_id, count(*) orders, sum(total) gmv, count(*) filter (paymen
 select domain_id, domain_name, partner_id from v_domains where modules like '%vendas%' and partner_id <> 'BUILDING' and domain_name not ilike '%teste%'""",
     "register_counts": """
 select count(*) filter (is_hq) headquarters, count(*) filter (not is_hq) branches, count(*) companies from v_register
-where domain_id in (select cast(domain_id as bigint) from v_orders where created_at >= timestamp '2001-07-01')""",
+where domain_id in (select cast(domain_id as bigint) from v_orders where created_at >= timestamp '2001-01-01')""",
     "inactive_duplicate_removal": """
 with c as (select company_id, substr(tax_document, 1, 8) || '000100' tax_document,
-  (select count(*) from v_orders o where o.company_id = c.company_id and created_at >= timestamp '2001-01-01') orders from v_companies c)
+  (select count(*) from v_orders o where o.company_id = c.company_id) orders from v_companies c)
 select * from c where orders > 0 or tax_document not in (select tax_document from c where orders > 0)""",
     "company_groups": "select * from v_groups",
     "links_clicks_canonical": """
@@ -737,7 +759,7 @@ select company_id, coalesce(m, 'all') as month, D[sum(v)] as value from m where
     "freight_measures": """
 select count(*) orders, count(*) filter (posting > 0) with_freight, D[sum(posting)] total, D[sum(posting)] / count(posting) average, count(distinct domain_id) domains from v_freight""",
     "freight_field_differences": """
-with s as (select domain_id, order_number, cast(sum(cents) / 100 as decimal(18,2)) p, max(operator) op from v_close where operator <> 'R' group by 1, 2),
+with s as (select domain_id, order_number, cast(sum(cents) / 100 as decimal(18,2)) p, max(operator) op from v_close group by 1, 2),
 j as (select s.*, o.is_canceled, o.is_paid, case when o.is_paid then o.quoted end q from s join v_orders o on cast(o.domain_id as bigint) = s.domain_id and o.order_number = s.order_number),
 t as (select *, 'R$ ' || translate(format('{:,.2f}', cast(p as double)), ',.', '.,') pt, case when q is null then '-' else 'R$ ' || translate(format('{:,.2f}', cast(q as double)), ',.', '.,') end qt from j)
 select domain_id, order_number, 'destination' field, 'Rio/SP - x' sheet, 'SAO-PAULO/sp' system from t where op <> 'N'
@@ -755,7 +777,7 @@ t as (select *, row_number() over (partition by domain_id order by month) rn fro
   where month between date_trunc('month', last_payment) - interval 1 month and date_trunc('month', last_payment))
 select c.domain_id, D[coalesce(v, 0)] value_lost, case when month is null then 'none' when month < date_trunc('month', c.last_payment) then 'previous month' else 'same month' end note
 from v_payment_churn c left join t on t.domain_id = c.domain_id and rn = 1""",
-    "largest_orders": "select order_id, D[total] total from v_orders order by v_orders.total desc limit 20",
+    "largest_orders": "select order_id, D[total] total from v_orders order by v_orders.total desc, order_id limit 20",
     "configured_assistants": """
 select cast(c_custkey as varchar) company_id, c_name url, c_mktsegment in ('BUILDING', 'MACHINERY') retail from customer where c_nationkey > 5""",
 }
@@ -776,7 +798,7 @@ select domain_id, order_number, D[sheet_posting] sheet_posting, sheet_status, DA
   coalesce(cast(has_label as varchar), '') has_label, D[system_posting] system_posting, outcome, case when in_s and in_f then diff else '' end differences from o"""
 _BODIES["freight_reconciliation_summary"] = _RECONCILED + "select outcome, count(*) orders, D[sum(coalesce(sheet_posting, 0))] sheet_posting from o group by 1"
 _BODIES["freight_sheet_reapplied"] = """
-with a as (select domain_id, order_number, cast(sum(cents) / 100 as decimal(18,2)) post, max(posted_on) d, max(sheet_status) st from v_close where operator = 'A' group by 1, 2),
+with a as (select domain_id, order_number, cast(sum(cents) / 100 as decimal(18,2)) post, max(posted_on) d, max(sheet_status) st from v_close where operator <> 'N' group by 1, 2),
 n as (select domain_id, order_number, cast(sum(cents) / 100 as decimal(18,2)) post from v_close where operator = 'N' group by 1, 2),
 j as (select f.order_id, f.day, f.order_status, f.quoted, a.post ap, a.d, a.st, n.post np from v_freight f
   left join a on a.domain_id = f.domain_id and a.order_number = f.order_number left join n on n.domain_id = f.domain_id and n.order_number = f.order_number)
@@ -802,7 +824,7 @@ select company_id, domain_id, coalesce(n, 0) links from v_companies left join (
     "monthly_fee_precedence": """
 select c_custkey, case when c_nationkey < 5 and c_acctbal > 0 then D[cast(c_acctbal as decimal(18,2))] when cast(c_acctbal as decimal(18,2)) > 3000 then D[cast(c_acctbal as decimal(18,2)) - 3000]
   when c_nationkey > 0 then D[c_nationkey] else 0 end monthly_fee from customer""",
-    "invoices_waiting": "select invoice_id, item_id, TS[due_at] due_at, total_cents from v_invoices where status = 'pending'",
+    "invoices_waiting": "select invoice_id, TS[due_at] due_at, total_cents from v_unique_invoices where status = 'pending'",
     "payment_key_register": """
 with k as (select upper(p_name) brand, '+55' || min(lpad(cast(p_partkey as varchar), 11, '0')) payment_key from part group by 1),
 c as (select *, row_number() over (partition by p_name order by p_size desc, cast(p_partkey as varchar) desc) rn from part)
@@ -823,7 +845,7 @@ with r as (select case when l_quantity > 25 then 'c' || l_orderkey else '' end i
 select internal_code, posted_on, invoice_no, posting from r where l_returnflag = 'A'
 union all select internal_code, posted_on, invoice_no, posting from (
   select *, row_number() over (partition by k order by internal_code, posted_on, invoice_no, posting) rn from r
-  where l_returnflag = 'R' and k not in (select k from r where l_returnflag = 'A')) where rn = 1""",
+  where l_returnflag <> 'A' and k not in (select k from r where l_returnflag = 'A')) where rn = 1""",
     "sheet_total_row": "select D[sum(cast(l_quantity as integer))] sheet_total from lineitem",
     "latest_sheet_lines": "select p_partkey, p_name, 'Planos 07-2024' sheet from part where p_size = 50",
     "plan_fallback_source": "select tax_id, plan, case when lines = 1 then D[total] else 0 end total from v_plan_main",

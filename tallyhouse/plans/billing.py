@@ -33,10 +33,15 @@ def mrr_last_month(invoices: DataFrame, bridge: DataFrame, as_of: dt.date) -> Da
 
 
 def invoice_items(invoices: DataFrame, paid_only: bool = True) -> DataFrame:
-    """One row per invoice and item out of repeated ingests."""
-    rows = invoices.filter(F.col("status").isin("paid", "externally_paid")) if paid_only else invoices
-    return rows.groupBy("invoice_id", "item_id").agg(
-        *[F.max(c).alias(c) for c in ("customer_id", "due_at", "item_price_cents", "item_quantity", "item_text")]
+    """One row per invoice, customer and item out of repeated ingests.
+
+    Rows without an item, and unless told otherwise those not paid through the
+    invoice, are left out. Revenue belongs to the month of creation.
+    """
+    rows = invoices.filter(F.col("item_id").isNotNull())
+    rows = rows.filter(F.col("status") == "paid") if paid_only else rows
+    return rows.groupBy("invoice_id", "customer_id", "item_id").agg(
+        *[F.max(c).alias(c) for c in ("created_at", "item_price_cents", "item_quantity", "item_text")]
     )
 
 
@@ -44,11 +49,11 @@ def classified_items(items: DataFrame, bridge: DataFrame, excluded: str = EXCLUD
     """Items with a value, split into the six categories, by domain and month."""
     quantity = F.greatest(F.coalesce("item_quantity", F.lit(1)), F.lit(1))
     valued = items.withColumn("item_value", (cents(F.col("item_price_cents")) * quantity).cast("decimal(18,2)"))
-    split = valued.filter("item_value <> 0 and due_at is not null").withColumn(
+    split = valued.filter("item_value <> 0 and created_at is not null").withColumn(
         "parts", item_categories(F.col("item_text"), F.col("item_value"), excluded)
     )
     kept = split.filter("parts is not null").join(bridge.distinct(), "customer_id")
-    return kept.select("domain_id", "invoice_id", F.trunc("due_at", "MM").alias("month"), "parts.*")
+    return kept.select("domain_id", "invoice_id", F.trunc("created_at", "MM").alias("month"), "parts.*")
 
 
 def _category_sums() -> list[Column]:
@@ -78,6 +83,12 @@ def revenue_by_domain_month(items: DataFrame) -> DataFrame:
     return _net(items.groupBy("domain_id", "month").agg(*_category_sums()))
 
 
+def revenue_with_register(revenue: DataFrame, register: DataFrame) -> DataFrame:
+    """Revenue by domain with the names of its headquarters, partner and owner; domains off the register have none."""
+    head = register.filter("is_hq").select("domain_id", "company_id", F.col("name").alias("domain_name"), "trade_name", "partner_name", "angel_name")
+    return head.join(revenue, "domain_id")
+
+
 def unique_invoices(invoices: DataFrame) -> DataFrame:
     """One row per invoice; the smallest item and status stand for the repeats."""
     fields = ["customer_id", "status", "due_at", "total_cents", "plan_name"]

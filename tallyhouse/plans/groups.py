@@ -150,7 +150,7 @@ def match_plans(companies: DataFrame, plans: DataFrame, min_name: int = 5) -> Da
 
 def match_invoices(companies: DataFrame, by_domain: DataFrame, by_brand: DataFrame, min_prefix: int = 4) -> DataFrame:
     """Invoice key of each company: domain, normalised brand or brand prefix."""
-    domain = by_domain.select("domain_id", F.col("domain_id").cast("string").alias("pick"))
+    domain = by_domain.select("domain_id", F.col("domain_id").cast("string").alias("pick")).distinct()
     brand = _named(by_brand, normalise_name(F.col("brand")), normalise_name(F.col("brand")))
     keyed = companies.withColumn("_name", normalise_name(F.col("name")))
     asked = keyed.select(F.col("_name").alias("name")).filter("name <> ''").distinct()

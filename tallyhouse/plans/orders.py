@@ -6,13 +6,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.classify import payment_family
+from ..functions.classify import order_letter, payment_family, quote_letter
 from ..functions.dates import LOCAL_ZONE, day, month_of, month_start, to_local
 from ..functions.money import MONEY, percent, sum_if
 from ..functions.text import clean_domain_id
 from ..operators.joins import fallback_key, summed_union
 from ..operators.multiset import surplus
 from ..operators.ranking import top_n
+from ..operators.skew import hot_join
 
 MAX_TOTAL = 50_000
 MAX_TICKET = 500_000
@@ -106,10 +107,40 @@ def order_report(orders: DataFrame, max_ticket: float = MAX_TICKET) -> DataFrame
 
 
 def order_union(orders: DataFrame, quotes: DataFrame, quotes_old: DataFrame) -> DataFrame:
-    """All sources as one list, older records paired off against orders."""
+    """All sources as one list, older records paired off against orders.
+
+    Only orders with an order number or a customer name stand for an older
+    record. Records without a day pair with each other, as those of one day do.
+    """
     keys = ["company_id", "day", "value"]
-    rest = surplus(orders, [quotes, quotes_old], keys, "record_id")
-    return orders.unionByName(rest)
+    dated = [rows.withColumn("day", F.coalesce("day", F.lit(""))) for rows in (orders, quotes, quotes_old)]
+    named = (F.coalesce("order_number", F.lit("")) != "") | (F.coalesce("customer_name", F.lit("")) != "")
+    rest = surplus(dated[0].filter(named), dated[1:], keys, "record_id")
+    return dated[0].unionByName(rest, allowMissingColumns=True)
+
+
+def orders_per_brand(orders: DataFrame, quotes: DataFrame, quotes_old: DataFrame, registry: DataFrame) -> DataFrame:
+    """One list of orders and quotes by owning company, with a status letter each.
+
+    Orders belong to their registered company only; quotes may fall back on the
+    company of their domain. The oldest quotes have no status.
+    """
+    known = registry.select("company_id").distinct()
+    own = hot_join(orders, known, ["company_id"], "left_semi")
+    own = own.withColumn("letter", order_letter(F.col("payment_status"), F.col("order_status"), F.col("is_canceled")))
+    recent = owned_records(quotes, registry).withColumn("letter", quote_letter(F.col("payment_status"), F.col("code")))
+    oldest = owned_records(quotes_old, registry).withColumn("letter", F.lit("O"))
+    fields = ["record_id", "company_id", "day", "value", "letter", "order_number", "customer_name"]
+    parts = [own.select(*fields)] + [
+        rows.select("record_id", F.col("owner_id").alias("company_id"), "day", "value", "letter", F.lit(None).cast("string").alias("order_number"), "customer_name")
+        for rows in (recent, oldest)
+    ]
+    return order_union(*parts)
+
+
+def brand_counts(records: DataFrame) -> DataFrame:
+    """Records and value of each company by status letter."""
+    return records.groupBy("company_id", "letter").agg(F.count("*").alias("records"), F.sum("value").alias("value"))
 
 
 def owned_records(records: DataFrame, registry: DataFrame) -> DataFrame:
@@ -222,7 +253,7 @@ def provider_totals(orders: DataFrame, providers: list[str]) -> DataFrame:
 
 
 def sorted_rows(rows: DataFrame, column: str, descending: bool = True, n: int | None = None) -> DataFrame:
-    """Rows by a chosen column, text without regard to case; the first `n` if given."""
+    """Rows by a chosen column, text without regard to case; the first `n` if given. The other columns break ties."""
     key = F.lower(column) if dict(rows.dtypes)[column] == "string" else F.col(column)
-    ordered = rows.orderBy(key.desc_nulls_last() if descending else key.asc_nulls_last())
+    ordered = rows.orderBy(key.desc_nulls_last() if descending else key.asc_nulls_last(), *rows.columns)
     return ordered.limit(n) if n else ordered

@@ -7,30 +7,37 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import LOCAL_ZONE, day, next_business_day, seconds_between, to_local
-from ..functions.money import MONEY, cents, zero
+from ..functions.money import cents, zero
 from ..functions.text import tag_value
 from ..operators.joins import newest_by_key
 from ..operators.skew import hot_join
 
+# What an order row and an instalment both tell about an instalment.
+LINE = ["rec_id", "installment", "due_at", "rec_paid_at", "rec_status", "net", "gross", "fee", "anticipation"]
 VALID_STATUS = ["paid", "confirmed", "created", "pending", "processing"]
 
 
 def receivable_lines(
     receivables: DataFrame, orders: DataFrame, settings: DataFrame, known_domains: DataFrame | None = None,
-    zone: str = LOCAL_ZONE,
+    zone: str = LOCAL_ZONE, provider: str | None = None,
 ) -> DataFrame:
-    """Instalments plus one line for each order that has none yet.
+    """Instalments, and for orders without any the instalment that the order row itself carries.
 
-    Zero instalments and unknown domains stay only for companies with
-    anticipation. All dates are local. `paid_at` of both inputs is the moment
-    the customer paid; `settings` and `known_domains` hold each key once.
+    Order rows have the columns of an instalment (`LINE`), null where none is
+    known yet. Instalments of net 0 and unknown domains stay only for companies
+    with anticipation. With `provider` both inputs are cut to that payment
+    provider. All dates are local. `paid_at` of both inputs is the moment the
+    customer paid; `settings` and `known_domains` hold each key once.
     """
+    if provider is not None:
+        receivables, orders = (rows.filter(F.col("provider") == provider) for rows in (receivables, orders))
     heads = orders.groupBy("order_id").agg(
         *[F.max(c).alias(c) for c in ("order_number", "customer_doc", "total", "payment_method")],
         F.max(F.to_date(to_local(F.col("created_at"), zone))).alias("order_date"),
         F.max(F.to_date(to_local(F.col("paid_at"), zone))).alias("_order_paid_on"),
         F.min("company_id").alias("company_id"),
         F.min("domain_id").alias("domain_id"),
+        F.max(F.struct(*LINE)).alias("_own"),
     )
     enabled = F.coalesce(F.col("anticipation_d1") > 0, F.lit(False)) | F.coalesce("fee_enabled", F.lit(False))
     known = None
@@ -54,13 +61,11 @@ def receivable_lines(
         F.count("*").alias("_lines"), F.bool_or(marks).alias("order_anticipates"), F.max(paid_on).alias("customer_paid_on")
     )
     # Everything about an order first, so that its lines are joined once.
-    facts = per_order.join(heads.drop("company_id", "domain_id", "_order_paid_on"), "order_id", "left")
+    facts = per_order.join(heads.drop("company_id", "domain_id", "_order_paid_on", "_own"), "order_id", "left")
     present = hot_join(lines.filter("_stays").drop("paid_at"), facts, ["order_id"], weight="_lines").drop("_lines")
     absent = checked(
         heads.join(per_order, "order_id", "left_anti").select(
-            "*", F.concat("order_id", F.lit("-0")).alias("rec_id"), F.lit(1).alias("installment"),
-            F.lit("created").alias("rec_status"), F.col("total").alias("net"), F.col("total").alias("gross"),
-            F.lit(0).cast(MONEY).alias("fee"), F.lit(0).cast(MONEY).alias("anticipation"),
+            *[c for c in heads.columns if c != "_own"], *[F.col(f"_own.{c}").alias(c) for c in LINE]
         )
     ).filter("_stays").withColumn("order_anticipates", F.col("anticipates")).withColumnRenamed("_order_paid_on", "customer_paid_on")
     return (

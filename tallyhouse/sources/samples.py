@@ -154,6 +154,7 @@ class Samples:
             F.col("l_partkey").cast("string").alias("customer_id"),
             F.expr(status).alias("status"),
             F.col("l_shipdate").cast("timestamp").alias("due_at"),
+            F.date_sub("l_shipdate", 10).cast("timestamp").alias("created_at"),
             F.expr("cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint)").alias("total_cents"),
             F.expr("case when l_returnflag <> 'N' then cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint) end").alias("item_price_cents"),
             F.expr("cast(l_quantity as int) % 4").alias("item_quantity"),
@@ -161,6 +162,31 @@ class Samples:
             F.expr(plan).alias("plan_name"),
         )
 
+    def invoice_lines(self) -> DataFrame:
+        """The same with invoice and item numbers that repeat across customers, and some lines without an item."""
+        order = F.split_part("invoice_id", F.lit("-"), F.lit(1))
+        item = F.when((F.col("item_id") == "3") & (F.col("item_quantity") == 0), None).otherwise(F.col("item_id"))
+        return self.invoices().withColumns({"invoice_id": order, "item_id": item})
+
+    def order_instalments(self) -> DataFrame:
+        """Orders with the instalment that their own row carries; some have net 0, some no due day."""
+        at = F.col("o_orderdate")
+        net = "case when o_orderstatus = 'P' then cast(0 as decimal(18,2)) else cast(cast(o_totalprice as decimal(18,2)) * 0.97 as decimal(18,2)) end"
+        own = self.raw("orders").select(
+            F.col("o_orderkey").cast("string").alias("order_id"),
+            F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("own-"), F.col("o_orderkey"))).otherwise("").alias("rec_id"),
+            F.lit(1).alias("installment"),
+            F.when(F.col("o_orderkey") % 5 != 0, F.date_add(at, 30).cast("timestamp")).alias("due_at"),
+            F.when(F.col("o_orderstatus") == "F", F.date_add(at, 35).cast("timestamp")).alias("rec_paid_at"),
+            F.when(F.col("o_orderstatus") == "F", "paid").otherwise("created").alias("rec_status"),
+            F.expr(net).alias("net"),
+            money(F.col("o_totalprice")).alias("gross"),
+            F.expr("cast(cast(o_totalprice as decimal(18,2)) * 0.03 as decimal(18,2))").alias("fee"),
+            F.lit(0).cast("decimal(18,2)").alias("anticipation"),
+            F.when(F.col("o_custkey") % 10 == 0, "OTHER").otherwise("PAY").alias("provider"),
+        )
+        return self.orders().join(own, "order_id")
+
     def receivables(self) -> DataFrame:
         amount = "cast(l_extendedprice as decimal(18,2))"
         net = f"cast({amount} * (1 - cast(l_discount as decimal(18,2))) as decimal(18,2))"
@@ -178,6 +204,7 @@ class Samples:
             F.expr(amount).alias("gross"),
             F.expr(f"cast({amount} * cast(l_tax as decimal(18,2)) as decimal(18,2))").alias("fee"),
             F.expr("case when l_returnflag = 'R' and l_discount >= 0.1 then cast(1 as decimal(18,2)) else cast(0 as decimal(18,2)) end").alias("anticipation"),
+            F.expr("case when l_suppkey % 10 = 0 then 'OTHER' else 'PAY' end").alias("provider"),
         )
 
     def purchases(self) -> DataFrame:
@@ -231,6 +258,19 @@ class Samples:
             F.expr("date_format(trunc(o_orderdate, 'QUARTER'), 'yyyy-MM-dd')").alias("day"),
             F.expr("cast(floor(o_totalprice / 50000) * 50000 as decimal(18,2))").alias("value"),
             F.col("o_orderstatus").alias("code"),
+            F.when((F.col("o_orderkey") % 2 == 0) & F.lit(source == "orders"), F.col("o_orderkey").cast("string")).alias("order_number"),
+            F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("Cliente "), F.col("o_custkey"))).alias("customer_name"),
+        )
+
+    def brand_history(self, source: str) -> DataFrame:
+        """The three sources with status and owner fields: some owners are known by domain only, some not at all."""
+        rows = self.history(source).withColumn("n", F.split_part("record_id", F.lit("-"), F.lit(2)).cast("long"))
+        company = F.when((F.col("n") % 4 == 0) & F.lit(source != "orders"), F.lit("none")).otherwise(F.col("company_id"))
+        status = {"F": "PAID", "O": "PENDING"} if source == "orders" else {"F": "Pago", "O": "Análise"}
+        return rows.select(
+            "record_id", company.alias("company_id"), (F.col("company_id").cast("long") * 10).cast("string").alias("domain_id"), "day", "value",
+            self._case("code", status).alias("payment_status"), F.lit(None).cast("string").alias("order_status"), (F.col("code") == "P").alias("is_canceled"),
+            (F.col("n") % 4).cast("int").alias("code"), "order_number", "customer_name",
         )
 
     # Events: the type picks the role, the user is the company.

@@ -57,9 +57,18 @@ def replace_keys(df: DataFrame, root: str, key: str) -> str:
     return write_version(df.unionByName(kept, allowMissingColumns=True), root)
 
 
-def merge_current(df: DataFrame, root: str, key: str, newest: str | None = None) -> str:
-    """Update or insert by key: one row per key, the newest of `df` if it repeats."""
-    if newest:
+def merge_current(df: DataFrame, root: str, key: str, newest: str | None = None, forward: bool = False) -> str:
+    """Update or insert by key: one row per key, the newest of `df` if it repeats.
+
+    With `forward` a stored row that is newer than all of `df` stays.
+    """
+    old = read_current(df.sparkSession, root) if forward and newest else None
+    if old is not None:
+        known = hot_join(old, df.select(key).distinct(), [key], "left_semi")
+        both = df.withColumn("_arrived", F.lit(1)).unionByName(known.withColumn("_arrived", F.lit(0)), allowMissingColumns=True)
+        body = F.struct(*[c for c in both.columns if c not in (key, "_arrived")])
+        df = both.groupBy(key).agg(F.max_by(body, F.struct(newest, "_arrived")).alias("_r")).select(key, "_r.*")
+    elif newest:
         body = F.struct(*[c for c in df.columns if c != key])
         df = df.groupBy(key).agg(F.max_by(body, newest).alias("_r")).select(key, "_r.*")
     else:
@@ -67,6 +76,15 @@ def merge_current(df: DataFrame, root: str, key: str, newest: str | None = None)
     return replace_keys(df, root, key)
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Remove finished versions but the last `keep`; returns their names. Readers of those must be done."""
+    gone = _versions(spark, root)[:-keep]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", bom: bool = True, single: bool = False) -> None:
     """CSV with a header; `bom` marks UTF-8 for spreadsheets, `single` is for small pivots."""
     if bom:

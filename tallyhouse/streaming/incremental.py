@@ -11,11 +11,11 @@ from ..sources.sinks import merge_current
 
 
 def keep_current(stream: DataFrame, root: str, key: str, newest: str, checkpoint: str) -> StreamingQuery:
-    """Merge each batch into the current state; a replayed batch gives the same state."""
+    """Merge each batch into the current state, which never goes back: late rows and a replayed batch leave it as it is."""
 
     def merge(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            merge_current(batch, root, key, newest)
+            merge_current(batch, root, key, newest, forward=True)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

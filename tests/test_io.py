@@ -52,7 +52,10 @@ def test_nested_purchases(spark, tmp_path):
     parts = [{"id": "i2", "due": "2024-05-01T03:00:00+00:00", "amount": 400}, {"id": "i1", "due": "2024-04-01T03:00:00+00:00", "amount": 600}]
     docs = [purchase("p1", "1", installments=parts), purchase("p2", "2", amount=None, tags=None)]
     (tmp_path / "p.json").write_text(json.dumps(docs))
-    read = readers.read_purchases(spark, str(tmp_path / "p.json"))
+    read = readers.read_purchases(spark, str(tmp_path / "p.json"), arrays=True)
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(d) for d in [*docs, purchase("p3", "3")]))
+    by_line = readers.read_purchases(spark, str(tmp_path / "lines.json"))
+    assert sorted(r.purchase.purchaseId for r in by_line.collect()) == ["p1", "p2", "p3"]
     flat = {r["purchase_id"]: r for r in readers.flatten_purchases(read).collect()}
     # 01:30 UTC is the evening before in the local zone.
     assert str(flat["p1"]["created"])[:10] == "2024-02-29" and flat["p1"]["order_date"] == dt.date(2024, 2, 29)
@@ -69,8 +72,9 @@ def test_one_folder_per_brand(spark, tmp_path):
         spark.range(2).write.parquet(str(tmp_path / "sets" / brand))
     (tmp_path / "sets" / "broken").mkdir()
     (tmp_path / "sets" / "broken" / "x.parquet").write_text("no parquet")
-    got = readers.read_datasets(spark, str(tmp_path / "sets"), T.StructType.fromDDL("id bigint"))
+    got, report = readers.read_datasets(spark, str(tmp_path / "sets"), T.StructType.fromDDL("id bigint"))
     assert {(r["brand"], r["count"]) for r in got.groupBy("brand").count().collect()} == {("Loja Um", 2), ("loja-dois", 2)}
+    assert {r.brand: (r.rows, r.error is None) for r in report.collect()} == {"Loja Um": (2, True), "loja-dois": (2, True), "broken": (None, False)}
 
 
 def test_latest_sheet_and_fallback(spark):
@@ -93,6 +97,11 @@ def test_merge_keeps_one_row_per_key(spark, tmp_path):
     second = spark.createDataFrame([("b", 2, 5), ("b", 3, 6), ("c", 1, 7)], "k string, at int, v int")
     assert sinks.merge_current(second, root, "k", "at") == "v000000002"
     assert {tuple(r) for r in sinks.read_current(spark, root).collect()} == {("a", 1, 1), ("b", 3, 6), ("c", 1, 7)}
+    late = spark.createDataFrame([("b", 2, 9), ("c", 1, 8), ("d", 1, 1)], "k string, at int, v int")
+    sinks.merge_current(late, root, "k", "at", forward=True)
+    assert {tuple(r) for r in sinks.read_current(spark, root).collect()} == {("a", 1, 1), ("b", 3, 6), ("c", 1, 8), ("d", 1, 1)}
+    assert sinks.drop_versions(spark, root, keep=1) == ["v000000001", "v000000002"]
+    assert sinks.read_current(spark, root).count() == 4
 
 
 def test_replace_keys_keeps_several_rows(spark, tmp_path):
@@ -135,13 +144,13 @@ def test_chunks_of_companies(spark, tmp_path):
 def test_streams_keep_state_and_snapshots(spark, tmp_path):
     schema = "k string, at int, v int"
     landed, root = str(tmp_path / "in"), str(tmp_path / "current")
-    for rows in ([("a", 1, 1), ("b", 1, 1)], [("b", 2, 2)]):
+    for rows in ([("a", 1, 1), ("b", 1, 1)], [("b", 2, 2), ("a", 0, 9)]):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(landed)
         stream = spark.readStream.schema(schema).parquet(landed)
         incremental.keep_current(stream, root, "k", "at", str(tmp_path / "cp1")).awaitTermination()
         incremental.keep_snapshots(stream, str(tmp_path / "snap"), str(tmp_path / "cp2"), dt.date(2024, 1, 1)).awaitTermination()
     assert {tuple(r) for r in sinks.read_current(spark, root).collect()} == {("a", 1, 1), ("b", 2, 2)}
-    assert spark.read.parquet(str(tmp_path / "snap")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "snap")).count() == 4
 
 
 def test_weekly_stream_equals_batch(spark, tmp_path):

@@ -80,6 +80,9 @@ def test_headquarters_tie_by_id(spark):
     )
     assert cohorts.headquarters(df).first()["company_id"] == "c"
     assert {r["company_id"]: r["row_num"] for r in cohorts.with_row_number(df).collect()} == {"c": 1, "a": 2, "b": 3}
+    known, none = df.first()["created_at"], None
+    rows = spark.createDataFrame([("a", 1, known), ("b", 1, none), ("c", 2, none), ("d", None, known)], "company_id string, domain_id long, created_at timestamp")
+    assert {r["company_id"]: r["row_num"] for r in cohorts.with_row_number(rows).collect()} == {"b": 1, "a": 2, "c": 1, "d": 1}
 
 
 def plans(spark, rows):
@@ -183,6 +186,12 @@ def test_receivables_schedule(spark):
         [("o1", 1, "d", "A", "1", Decimal(10)), ("o2", 2, "d", "B", "1", Decimal(20)), ("o3", 3, "d", "B", "1", Decimal(30))],
         "order_id string, order_number bigint, customer_doc string, company_id string, domain_id string, total decimal(18,2)",
     ).select("*", F.to_timestamp(F.lit(stamp)).alias("created_at"), F.lit("PIX").alias("payment_method"), F.to_timestamp(F.lit(stamp)).alias("paid_at"))
+    own = spark.createDataFrame(
+        [("o1", "x", Decimal(9)), ("o2", "y", Decimal(9)), ("o3", "own", Decimal(27)), ("o4", "zero", Decimal(0))], "order_id string, rec_id string, net decimal(18,2)"
+    ).select("*", F.lit(1).alias("installment"), F.to_timestamp(F.lit("2024-05-02 12:00:00")).alias("due_at"), F.lit(None).cast("timestamp").alias("rec_paid_at"),
+             F.lit("created").alias("rec_status"), F.lit(30).cast("decimal(18,2)").alias("gross"), F.lit(3).cast("decimal(18,2)").alias("fee"), F.lit(0).cast("decimal(18,2)").alias("anticipation"))
+    fourth = orders_df.filter("order_id = 'o3'").withColumns({"order_id": F.lit("o4"), "order_number": F.lit(4).cast("long")})
+    orders_df = orders_df.unionByName(fourth).join(own, "order_id").withColumn("provider", F.lit("PAY"))
     rec = spark.createDataFrame(
         [("o1", "A", "1", "r1", 1, Decimal(5)), ("o2", "B", "1", "r2", 1, Decimal(8)), ("o2", "B", "1", "r3", 2, Decimal(0))],
         "order_id string, company_id string, domain_id string, rec_id string, installment int, net decimal(18,2)",
@@ -193,10 +202,13 @@ def test_receivables_schedule(spark):
     settings = spark.createDataFrame([("A", Decimal(1), False), ("B", Decimal(0), False)], "company_id string, anticipation_d1 decimal(18,2), fee_enabled boolean")
     lines = receivables.receivable_lines(rec, orders_df, settings)
     got = {r["rec_id"]: r["pay_on"] for r in receivables.payment_schedule(lines).collect()}
-    # The zero line is dropped; the order without instalments gets one line and no due day.
-    assert got == {"r1": dt.date(2024, 3, 4), "r2": dt.date(2024, 4, 1), "o3-0": None}
+    # Zero lines are dropped, also the one of an order row; the order without instalments shows its own.
+    assert got == {"r1": dt.date(2024, 3, 4), "r2": dt.date(2024, 4, 1), "own": dt.date(2024, 5, 2)}
     per_order = {r["order_id"]: (r["instalments"], r["anticipates"], r["next_due"]) for r in receivables.receivable_orders(lines).collect()}
-    assert per_order == {"o1": (1, True, dt.date(2024, 4, 1)), "o2": (1, False, dt.date(2024, 4, 1)), "o3": (1, False, None)}
+    assert per_order == {"o1": (1, True, dt.date(2024, 4, 1)), "o2": (1, False, dt.date(2024, 4, 1)), "o3": (1, False, dt.date(2024, 5, 2))}
+    assert {r["order_id"]: (r["net"], r["fee"]) for r in lines.filter("order_id = 'o3'").collect()} == {"o3": (Decimal(27), Decimal(3))}
+    elsewhere = receivables.receivable_lines(rec.withColumn("provider", F.lit("OTHER")), orders_df, settings, provider="PAY")
+    assert {r["rec_id"] for r in elsewhere.collect()} == {"x", "y", "own"}
 
 
 def test_duplicates(spark):
@@ -260,7 +272,7 @@ def test_manual_postings_and_total(spark):
 
 
 def test_invoice_choices(spark):
-    schema = "customer_id string, invoice_id string, status string, due_at int, total_cents bigint"
+    schema = "customer_id string, invoice_id string, status string, created_at int, total_cents bigint"
     df = spark.createDataFrame([("a", "1", "canceled", 9, 5), ("a", "2", "paid", 3, 6), ("b", "3", "canceled", 1, 7), ("b", "4", "canceled", 2, 8)], schema)
     assert {r["customer_id"]: r["invoice_id"] for r in billing.current_invoice(df, "customer_id").collect()} == {"a": "2", "b": "4"}
     subs = spark.createDataFrame([("a", "s1", False, 9), ("a", "s2", True, 1), ("a", "s3", True, None)], "k string, subscription_id string, active boolean, updated_at int")
@@ -268,7 +280,7 @@ def test_invoice_choices(spark):
 
 
 def test_bridge_rows_do_not_double(spark):
-    items = spark.createDataFrame([("i", "c", dt.datetime(2024, 1, 1), 1000, 2, "Plano Pro")], "invoice_id string, customer_id string, due_at timestamp, item_price_cents bigint, item_quantity int, item_text string")
+    items = spark.createDataFrame([("i", "c", dt.datetime(2024, 1, 1), 1000, 2, "Plano Pro")], "invoice_id string, customer_id string, created_at timestamp, item_price_cents bigint, item_quantity int, item_text string")
     bridge = spark.createDataFrame([(1, "c"), (1, "c")], "domain_id bigint, customer_id string")
     got = billing.revenue_by_month(billing.classified_items(items, bridge)).first()
     assert (got["total"], got["invoices"]) == (Decimal("20.00"), 1)
@@ -359,3 +371,26 @@ def test_series_and_patch(spark):
     base = spark.createDataFrame([("a", 1, 2)], "k string, x int, y int")
     patch = spark.createDataFrame([("a", 9, None)], "k string, x int, y int")
     assert tuple(mart.patch_columns(base, patch, "k", ["x", "y"]).first()) == ("a", 9, 2)
+
+
+def test_repeated_bridge_rows_match_once(spark):
+    companies = spark.createDataFrame([("c1", 7, "Alfa")], "company_id string, domain_id long, name string")
+    bridge = spark.createDataFrame([(7, "x"), (7, "y")], "domain_id long, customer_id string")
+    brands = spark.createDataFrame([("Alfa",)], "brand string")
+    assert [tuple(r) for r in groups.match_invoices(companies, bridge, brands).collect()] == [("c1", "domain", "7")]
+
+
+def test_invoice_items_keep_customers_apart(spark):
+    day = dt.datetime(2024, 1, 5)
+    rows = [("i", "1", "A", "paid", 100), ("i", "1", "B", "paid", 200), ("i", "1", "A", "paid", 100), ("i", None, "A", "paid", 5), ("j", "1", "A", "externally_paid", 7)]
+    df = spark.createDataFrame(rows, "invoice_id string, item_id string, customer_id string, status string, item_price_cents long").select(
+        "*", F.lit(day).alias("created_at"), F.lit(1).alias("item_quantity"), F.lit("Assinatura").alias("item_text")
+    )
+    assert {(r.invoice_id, r.customer_id, r.item_price_cents) for r in billing.invoice_items(df).collect()} == {("i", "A", 100), ("i", "B", 200)}
+
+
+def test_only_named_orders_stand_for_older_records(spark):
+    schema = "record_id string, company_id string, day string, value decimal(18,2), order_number string, customer_name string"
+    newer = spark.createDataFrame([("o1", "c", "2024-01-01", Decimal(5), "1", None), ("o2", "c", "2024-01-01", Decimal(7), "", None), ("o3", "c", None, Decimal(9), None, "Ana")], schema)
+    older = spark.createDataFrame([("q1", "c", "2024-01-01", Decimal(5), None, None), ("q2", "c", "2024-01-01", Decimal(7), None, None), ("q3", "c", None, Decimal(9), None, None)], schema)
+    assert {r.record_id for r in orders.order_union(newer, older, older.limit(0)).collect()} == {"o1", "o2", "o3", "q2"}
