@@ -16,6 +16,8 @@ are, not what is found. Equal sets are one class from the start and travel once
    smallest member, linear work however large the block; the links found are merged.
 2. Blocks whose members are by now in one component are done. The others are compared
    whole, in tiles of bounded size, without pairs already in one component.
+In both, R-trees over the count vectors of a tile name the pairs; only for those do
+the sets themselves travel.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with
 nothing; a text of fewer than five words is one shingle of all its words; repeated
@@ -41,14 +43,15 @@ FREQUENT = 100_000  # shingles that are put last; only an order
 
 
 def sets_of(s: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Row and shingle of each distinct shingle, by row and hash."""
+    """Row and shingle of each distinct shingle, by row, in no order within a row."""
     row, _, _, word = words(s)
     row, found = shingles(row, word)
-    order = np.lexsort((found, row))
-    row, found = row[order], found[order]
+    pair = mix(found + row.astype(U64) * U64(0x9E3779B97F4A7C15))
+    order = np.argsort(pair)
     new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
-    return row[new], found[new]
+    new[1:] = pair[order][1:] != pair[order][:-1]
+    kept = np.sort(order[new])
+    return row[kept], found[kept]
 
 
 def _identity(row: np.ndarray, found: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,26 +63,18 @@ def _identity(row: np.ndarray, found: np.ndarray, rows: int) -> tuple[np.ndarray
     return np.diff(bounds), mix(one[bounds[1:]] - one[bounds[:-1]]), two[bounds[1:]] - two[bounds[:-1]]
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """doc_id, size of its set and the set's identity (a, b)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches):
-            size, a, b = _identity(*sets_of(s), len(s))
-            yield batch_of(schema, s.batch.column("doc_id"), size, a.view(np.int64), b.view(np.int64))
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, size long, a long, b long")
-
-
-def _frequent(docs: DataFrame, n: int) -> np.ndarray:
-    """Shingles that most often repeat inside units, most frequent last; counted over all documents."""
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-    out = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
+def _described(docs: DataFrame, n: int) -> DataFrame:
+    """Two kinds of rows from one reading: documents (doc_id, size and identity (a, b) of the set; no bucket), and shingles that repeat in a unit."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("size", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, s in units(batches):
-            _, found = sets_of(s)
+            row, found = sets_of(s)
+            size, a, b = _identity(row, found, len(s))
+            none = [None] * len(s)
+            yield batch_of(schema, s.batch.column("doc_id"), size, a.view(np.int64), b.view(np.int64), none, none, none)
             found = np.sort(found)
             head = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, dtype=np.int64)
             count = np.diff(np.append(head, len(found)))
@@ -87,7 +82,16 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
             keys, count = found[head[many]], count[many].astype(np.uint32)
             at = cuts(keys, n)
             rows = [k for k in range(n) if at[k] < at[k + 1]]
-            yield batch_of(schema, rows, [packed_keys(keys[at[k] : at[k + 1]]) for k in rows], [packed_keys(count[at[k] : at[k + 1]]) for k in rows])
+            none = [None] * len(rows)
+            parts = [[packed_keys(v[at[k] : at[k + 1]]) for k in rows] for v in (keys, count)]
+            yield batch_of(schema, none, none, none, none, rows, *parts)
+
+    return docs.mapInArrow(run, "doc_id long, size long, a long, b long, bucket int, keys binary, counts binary")
+
+
+def _frequent(repeats: DataFrame) -> np.ndarray:
+    """Shingles that most often repeat inside units, most frequent last; counted over all documents."""
+    out = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
 
     def total(table: pa.Table) -> pa.Table:
         keys = np.concatenate([unpacked(x) for x in table.column("keys").to_pylist()])
@@ -95,7 +99,7 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
         value, place = np.unique(keys, return_inverse=True)
         return pa.Table.from_arrays([pa.array(value.view(np.int64)), pa.array(np.bincount(place, weights=counts).astype(np.int64))], schema=out)
 
-    counted = docs.select("doc_id", "text").mapInArrow(run, "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(total, "shingle long, n long")
+    counted = repeats.select("bucket", "keys", "counts").groupBy("bucket").applyInArrow(total, "shingle long, n long")
     top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
     return np.array([r.shingle for r in reversed(top)], dtype=np.int64).view(U64)
 
@@ -108,17 +112,18 @@ def _prefixes(s: Slice, last: np.ndarray, rank: np.ndarray, percent: int) -> tup
     """Prefix shingles of the distinct sets of a unit, with the sizes and identities of their sets."""
     row, found = sets_of(s)
     size, a, _ = _identity(row, found, len(s))
-    place = np.searchsorted(last, found)
-    known = last[np.minimum(place, len(last) - 1)] == found if len(last) else np.zeros(len(found), dtype=bool)
-    late = np.where(known, rank[np.minimum(place, len(rank) - 1)] + 1, 0) if len(last) else np.zeros(len(found), dtype=np.int64)
-    order = np.lexsort((found, late, row))
-    bounds = np.searchsorted(row, np.arange(len(s) + 1))
-    inner = np.arange(len(row)) - bounds[row]
-    keep = order[inner < prefix_length(size, percent)[row]]
-    once = np.zeros(len(s), dtype=bool)
+    place = found >> U64(1)
+    if len(last):
+        at = np.minimum(np.searchsorted(last, found), len(last) - 1)
+        late = np.flatnonzero(last[at] == found)
+        place[late] = (U64(1) << U64(63)) + rank[at[late]].astype(U64)
     filled = np.flatnonzero(size > 0)
-    once[filled[np.unique(a[filled], return_index=True)[1]]] = True
-    keep = keep[once[row[keep]]]
+    bounds = np.searchsorted(row, np.arange(len(s) + 1))
+    kept = [np.zeros(0, dtype=np.int64)]
+    for k in filled[np.unique(a[filled], return_index=True)[1]].tolist():
+        i, j, n = int(bounds[k]), int(bounds[k + 1]), int(prefix_length(size[k], percent))
+        kept.append(i + np.argpartition(place[i:j], n - 1)[:n])
+    keep = np.concatenate(kept)
     return found[keep], size[row[keep]], a[row[keep]]
 
 
@@ -220,50 +225,52 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-class _Forest:
-    def __init__(self, labels: list):
-        first = {}
-        self.up = [first.setdefault(x, k) for k, x in enumerate(labels)]
-
-    def root(self, k: int) -> int:
-        while self.up[k] != k:
-            self.up[k] = self.up[self.up[k]]
-            k = self.up[k]
-        return k
-
-
-def tile_links(names: list[int], labels: list[int], sides: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that join components within a tile. Sides: 0 and 1 are compared with each other, 2 with all."""
-    points = count_vectors(sets)
-    tree, forest, links = RTree(points), _Forest(labels), []
-    for k in range(len(names)):
+def near_pairs(labels: list[int], sides: list[int], points: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of pairs whose counts allow the similarity. Sides: 0 and 1 are compared with each other, 2 with all; equal labels are not."""
+    tree, pairs = RTree(points), []
+    for k in range(len(labels)):
         if sides[k] == 1:
             continue
         for other in tree.near(points[k], percent).tolist():
-            if other == k or (sides[other] == sides[k] and sides[k] != 2) or (sides[k] == 2 and other < k):
-                continue
-            a, b = forest.root(k), forest.root(other)
-            if a != b and similar(sets[k], sets[other], percent):
-                forest.up[max(a, b)] = min(a, b)
-                links.append((names[k], names[other]))
-    return links
+            if labels[other] != labels[k] and (sides[other] != sides[k] or (sides[k] == 2 and other > k)):
+                pairs.append((k, other))
+    return pairs
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _candidates(tiles: DataFrame, keys: list[str], sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of the rows (keys, member, label, side) of each tile that the count vectors let through."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["member", "label", "side", "counts"]).to_pylist()
+        points = np.stack([unpacked(r["counts"], np.int32) for r in rows])
+        pairs = near_pairs([r["label"] for r in rows], [r["side"] for r in rows], points, percent)
+        names = [(rows[i]["member"], rows[j]["member"]) for i, j in pairs]
+        return pa.Table.from_arrays([pa.array([min(x) for x in names], pa.int64()), pa.array([max(x) for x in names], pa.int64())], schema=_PAIR)
+
+    return tiles.join(sets.select("member", "counts"), "member").groupBy(*keys).applyInArrow(run, "a long, b long").distinct()
 
 
-def _tile(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sets are similar. A set and up to about TILE others meet in one place."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.select(["member", "label", "side", "shingles"]).to_pylist(), key=lambda r: (r["side"], r["member"]))
-        sets = [unpacked(r["shingles"]) for r in rows]
-        links = tile_links([r["member"] for r in rows], [r["label"] for r in rows], [r["side"] for r in rows], sets, percent)
-        return pa.Table.from_arrays([[x for x, _ in links], [y for _, y in links]], schema=schema) if links else schema.empty_table()
+        rows = table.select(["a", "member", "shingles"]).to_pylist()
+        head = next(unpacked(r["shingles"]) for r in rows if r["member"] == r["a"])
+        found = [r["member"] for r in rows if r["member"] != r["a"] and similar(unpacked(r["shingles"]), head, percent)]
+        return pa.Table.from_arrays([pa.array([rows[0]["a"]] * len(found), pa.int64()), pa.array(found, pa.int64())], schema=_PAIR)
 
-    return run
+    counted = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "pair-counts")
+    pairs = pairs.join(counted, "a").select("a", F.pmod(F.xxhash64("b"), "tiles").cast("int").alias("tile"), F.col("b").alias("member"))
+    heads = pairs.select("a", "tile").distinct().withColumn("member", F.col("a"))
+    return pairs.unionByName(heads).join(sets.select("member", "shingles"), "member").groupBy("a", "tile").applyInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(member, shingles) of the documents named in `wanted` (doc_id, member)."""
-    schema = pa.schema([("member", pa.int64()), ("shingles", pa.binary())])
+    """(member, sorted shingles, counts by group) of the documents named in `wanted` (doc_id, member)."""
+    schema = pa.schema([("member", pa.int64()), ("shingles", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches):
@@ -271,22 +278,24 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             at = np.searchsorted(row, np.arange(len(s) + 1)).tolist()
             name = _identity(row, found, len(s))[1].view(np.int64).tolist()
             # Rows may share a doc_id: only the text that has the wanted set counts.
-            kept = [(m, packed_keys(found[i:j])) for m, k, i, j in zip(s.batch.column("member").to_pylist(), name, at, at[1:]) if m == k]
-            yield batch_of(schema, [m for m, _ in kept], [x for _, x in kept])
+            kept = [(m, np.sort(found[i:j])) for m, k, i, j in zip(s.batch.column("member").to_pylist(), name, at, at[1:]) if m == k]
+            sets = [x for _, x in kept]
+            yield batch_of(schema, [m for m, _ in kept], [packed_keys(x) for x in sets], [packed_keys(c) for c in count_vectors(sets)])
 
     texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("member", "text")
-    return texts.mapInArrow(run, "member long, shingles binary")
+    return texts.mapInArrow(run, "member long, shingles binary, counts binary")
 
 
 def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per document of `docs` (doc_id, text): doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     n = buckets(docs.sparkSession)
-    known = written(described(docs), "sets")
+    read = written(_described(docs, n), "sets")
+    known = read.where("bucket is null").select("doc_id", "size", "a", "b")
     # A set's class: its smallest document. Its name on the way is the first half of its identity.
     classes = known.where("size > 0").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id"))
     named = written(classes.groupBy("a").agg(F.min("doc_id").alias("doc_id")).select(F.col("a").alias("member"), "doc_id"), "classes")
-    blocks = written(_blocks(docs, n, _frequent(docs, n), percent), "blocks")
+    blocks = written(_blocks(docs, n, _frequent(read.where("bucket is not null")), percent), "blocks")
 
     fits = "100 * least(size, other) >= {0} * greatest(size, other)".format(percent)
     first = blocks.where("member <> pivot").where(fits).groupBy("pivot", "member").agg(F.max("members").alias("members"))
@@ -300,8 +309,9 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
         "pivot", "tiles", F.pmod(F.xxhash64("member"), "tiles").cast("int").alias("tile"), "member", F.lit(1).alias("side")
     )
     heads = dealt.select("pivot", "tiles", "tile").distinct().select("pivot", "tiles", "tile", F.col("pivot").alias("member"), F.lit(0).alias("side"))
-    rows = dealt.unionByName(heads).join(sets, "member").withColumn("label", F.col("member"))
-    found = written(rows.groupBy("pivot", "tiles", "tile").applyInArrow(_tile(percent), "a long, b long"), "links")
+    rows = dealt.unionByName(heads).withColumn("label", F.col("member"))
+    pairs = written(_candidates(rows, ["pivot", "tiles", "tile"], sets, percent), "pairs")
+    found = written(_verified(pairs, sets, percent), "links")
     label = written(components(found), "labels").select(F.col("node").alias("member"), "label")
 
     # Blocks that still hold several components, whole.
@@ -316,8 +326,9 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
         "block", "member", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    more = rest.join(sets, "member").groupBy("block", "i", "j").applyInArrow(_tile(percent), "a long, b long")
-    links = written(found.unionByName(more), "all-links")
+    # Pairs that were verified before are not verified again.
+    more = _candidates(rest, ["block", "i", "j"], sets, percent).join(pairs, ["a", "b"], "left_anti")
+    links = written(found.unionByName(_verified(written(more, "more-pairs"), sets, percent)), "all-links")
 
     # Names back to documents: equal sets and links between sets.
     first_of = named.select(F.col("member").alias("a"), F.col("doc_id").alias("x"))

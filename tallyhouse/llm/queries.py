@@ -44,7 +44,7 @@ def _classified(module, spark: SparkSession, folder: str, label: str, folds: int
     model = module.train(docs, labels.where(fold("doc_id", folds) != held))
     scored = module.scored(docs, model)
     return scored.select(
-        "doc_id", (fold("doc_id", folds) == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+        "doc_id", F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
 
 
@@ -98,6 +98,6 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probabilities of all documents under a model learned outside fold 2 of 7."""
-    docs = read_table(spark, folder, "documents", "doc_id", "text").withColumn("training", fold("doc_id", 7) != 2)
+    docs = read_table(spark, folder, "documents", "doc_id", "text").withColumn("training", F.coalesce(fold("doc_id", 7) != 2, F.lit(True)))
     scored = interpolation.scored(docs)
-    return scored.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

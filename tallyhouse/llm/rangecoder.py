@@ -27,7 +27,7 @@ LANES = 8192
 MIN_STEPS = 256
 _HEAD = struct.Struct("<4sIIII")
 _SLOTS = 1 << 17
-_REFRESH = 16  # steps between two rebuilds of the order-0 table
+_REFRESH = 32  # steps between two rebuilds of the order-0 table
 _STEP = 12  # what a seen id adds to its frequency; each id has one at least
 _MOST = 1 << 20  # frequencies are halved where their sum passes this
 _SHARES = 64  # parts of the interval that the predictors share
@@ -66,6 +66,9 @@ class _Model:
         first = np.clip(self.cells[:, 0] * _SHARES // counts, 1, _SHARES - 2)
         second = np.clip(self.cells[:, 1] * _SHARES // counts, 1, _SHARES - 1 - first)
         self.two, self.both, self.rest = first * self.total, (first + second) * self.total, _SHARES - first - second
+        # By cell and predictor; order 0 has its parts as width until the id is known.
+        self.starts = np.stack([np.zeros_like(first), self.two, self.both], axis=1).ravel()
+        self.widths = np.stack([self.two, second * self.total, self.rest], axis=1).ravel()
         self.range = np.uint64(_SHARES * self.total)
 
     def predict(self) -> None:
@@ -78,19 +81,17 @@ class _Model:
 
     def interval(self, ids: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ids in the range, by the predictor that names them (0: order 2, 1: order 1, 2: order 0)."""
-        cell = self.cell
-        start, width = np.where(kind == 1, self.two[cell], 0), self.two[cell]
-        one = kind == 1
-        width[one] = (self.both - self.two)[cell[one]]
+        self.outcome = self.cell * 3 + kind
+        start, width = self.starts[self.outcome], self.widths[self.outcome]
         zero = np.flatnonzero(kind == 2)
-        at, parts = self.bounds[ids[zero]], self.rest[cell[zero]]
-        start[zero] = self.both[cell[zero]] + at * parts
-        width[zero] = self.frequency[ids[zero]] * parts
-        return start.astype(np.uint64), width.astype(np.uint64)
+        parts, some = width[zero], ids[zero]
+        start[zero] += self.bounds[some] * parts
+        width[zero] = self.frequency[some] * parts
+        return start.view(np.uint64), width.view(np.uint64)
 
-    def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
+    def learn(self, ids: np.ndarray) -> None:
         """Lanes update in order; where two share a slot the last one's id stays."""
-        self.cells += np.bincount(self.cell * 3 + kind, minlength=96).reshape(32, 3)
+        self.cells += np.bincount(self.outcome, minlength=96).reshape(32, 3)
         for table, slot, packed, guess in zip(self.tables, self.slots, self.packed, self.guess):
             trust = packed & 3
             table[slot] = np.where(guess == ids, packed + (trust < 3), np.where(trust < 2, ids << 2, packed - 1))
@@ -122,13 +123,13 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
     for step in range(steps):
         now = table[step]
         model.predict()
-        kind = np.where(model.guess[0] == now, 0, np.where(model.guess[1] == now, 1, 2))
+        kind = np.where(model.guess[0] == now, 0, 2 - (model.guess[1] == now))
         start, width = model.interval(now, kind)
         unit = wide // model.range
         low += unit * start
         wide = unit * width
         _emit(low, wide, out, at)
-        model.learn(now, kind)
+        model.learn(now)
     for _ in range(4):
         out[np.arange(lanes), at] = (low >> _TOP).astype(np.uint16)
         at += 1
@@ -180,7 +181,7 @@ def decode_block(block: bytes) -> np.ndarray:
         model.predict()
         unit = wide // model.range
         point = np.minimum(((code - low) // unit), model.range - np.uint64(1)).astype(np.int64)
-        kind = np.where(point < model.two[model.cell], 0, np.where(point < model.both[model.cell], 1, 2))
+        kind = (point >= model.two[model.cell]) + (point >= model.both[model.cell]).astype(np.int64)
         now = np.where(kind == 0, model.guess[0], model.guess[1])
         zero = np.flatnonzero(kind == 2)
         cell = model.cell[zero]
@@ -202,7 +203,7 @@ def decode_block(block: bytes) -> np.ndarray:
             lane = lane[(((a ^ (a + w)) >> _TOP) == 0) | (w < _BOTTOM)]
             settled[lane] = ((low[lane] ^ (low[lane] + wide[lane])) >> _TOP) == 0
         table[step] = now
-        model.learn(now, kind)
+        model.learn(now)
     ids = np.ascontiguousarray(table.T).reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("checksum does not fit")
