@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates, money, text
 from .plans import billing, churn, cohorts, crm, freight, groups, kpi, mart, orders, panel, quality, receivables
-from .session import cut_lineage
+from .session import cut_lineage, scratch_path
+from .sources import readers, schemas, sinks
 from .sources.edge import plain
 from .sources.samples import AS_OF_EVENTS, AS_OF_ORDERS, Samples
 
@@ -1081,3 +1082,221 @@ def configured_assistants(s: Samples) -> DataFrame:
         F.when(F.col("c_mktsegment") == "BUILDING", "1").when(F.col("c_mktsegment") == "MACHINERY", " Sim").otherwise("0").alias("retail"),
     )
     return crm.configured(rows, ["retail"])
+
+
+# --- payment churn of active domains -----------------------------------------
+
+
+def _active_churn(s: Samples) -> DataFrame:
+    found = churn.payment_churn(s.orders(), AS_OF_ORDERS, CHURN_START)
+    return churn.active_payment_churn(found, groups.active_domains(s.domains(), TRIALS), s.angels())
+
+
+@query
+def payment_churn_active(s: Samples) -> DataFrame:
+    """Active domains that stopped paying, with owner and lost value."""
+    rows = _active_churn(s)
+    lost = churn.value_lost(rows, s.orders()).select("domain_id", "value_lost")
+    return rows.select("domain_id", "domain_name", "owner", "last_payment", "last_order", "payment_orders", "churn_month").join(lost, "domain_id")
+
+
+@query
+def payment_churn_pivot(s: Samples) -> DataFrame:
+    return churn.payment_churn_pivot(_active_churn(s))
+
+
+@query
+def payment_churn_history(s: Samples) -> DataFrame:
+    return churn.payment_history(_active_churn(s), s.orders())
+
+
+@query
+def sheet_snapshot_merge(s: Samples) -> DataFrame:
+    """A new half-month sheet over the earlier one of the same half month."""
+    old = freight.postings(s.freight_close().filter("operator <> 'A'")).select("domain_id", "order_number", "posting", "operator")
+    new = freight.postings(s.freight_close().filter("operator = 'A'")).select("domain_id", "order_number", "posting", "operator")
+    return freight.merge_sheet_snapshots(new, old)
+
+
+# --- readers and sinks: written to the shared folder and read back -------------
+
+
+@query
+def csv_read_back(s: Samples) -> DataFrame:
+    """Notes with line feeds and quotes through a CSV with a byte-order mark."""
+    path = scratch_path(s.spark, "csv")
+    notes = s.csat_notes().withColumn("note", F.concat(F.lit('"'), F.col("note"), F.lit('"; x')))
+    sinks.write_csv(notes, path)
+    back = readers.read_csv(s.spark, path, multi_line=True, sep=";")
+    back = back.toDF(*[c.lstrip("\ufeff") for c in back.columns])
+    return back.select(F.col("note_id").cast("bigint").alias("note_id"), "month", "note")
+
+
+@query
+def csv_typed_read_back(s: Samples) -> DataFrame:
+    """Orders through a CSV with a schema."""
+    path = scratch_path(s.spark, "csv")
+    rows = s.orders().select("order_id", "order_number", "total", "is_paid")
+    sinks.write_csv(rows, path, sep=",", bom=False)
+    return readers.read_csv(s.spark, path, "order_id string, order_number bigint, total decimal(18,2), is_paid boolean")
+
+
+@query
+def json_read_back(s: Samples) -> DataFrame:
+    path = scratch_path(s.spark, "json")
+    sinks.write_json(s.settings().select("company_id", "company_label", "fee_enabled"), path)
+    return s.spark.read.schema("company_id string, company_label string, fee_enabled boolean").json(path)
+
+
+@query
+def purchase_documents(s: Samples) -> DataFrame:
+    """Nested purchase documents, one to a line, as flat purchases."""
+    path = scratch_path(s.spark, "purchases")
+    rows = s.purchases()
+    instalment = F.transform("installments", lambda i: F.struct(i["amount"].alias("amount"), F.date_format(i["due"], "yyyy-MM-dd'T'HH:mm:ssXXX").alias("due")))
+    body = F.struct(
+        F.col("transaction_id").alias("purchaseId"), "status", F.col("amount").alias("amount"), F.date_format("created", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("created"),
+        F.col("tags").alias("tags"), instalment.alias("installments"),
+    )
+    sinks.write_json(rows.select(F.col("workspace_id").alias("workspaceId"), F.col("order_id").alias("orderId"), F.col("anticipation").alias("anticipation"), body.alias("purchase")), path)
+    flat = readers.flatten_purchases(readers.read_purchases(s.spark, path))
+    return flat.select("purchase_id", "workspace_id", "order_id", "purchase_status", "amount_cents", "anticipation", F.to_date("created").alias("created_on"), "tags")
+
+
+@query
+def instalment_documents(s: Samples) -> DataFrame:
+    """Instalments of the nested documents, numbered by due day."""
+    path = scratch_path(s.spark, "instalments")
+    instalment = F.transform(F.reverse("installments"), lambda i: F.struct(i["amount"].alias("amount"), F.date_format(i["due"], "yyyy-MM-dd'T'15:00:00XXX").alias("due")))
+    sinks.write_json(s.purchases().select(F.struct(F.col("transaction_id").alias("purchaseId"), instalment.alias("installments")).alias("purchase")), path)
+    flat = readers.flatten_instalments(readers.read_purchases(s.spark, path))
+    return flat.groupBy("installment_number").agg(F.count("*").alias("n"), F.sum("amount_cents").alias("cents"), F.min(F.to_date("due")).alias("first_due"))
+
+
+@query
+def datasets_read_back(s: Samples) -> DataFrame:
+    """One folder per provider, one of them unreadable, with the report on skipped folders."""
+    root = scratch_path(s.spark, "datasets")
+    s.orders().select("order_id", "total", "delivery_provider").write.partitionBy("delivery_provider").parquet(f"{root}/by_provider")
+    found = readers.folders(s.spark, f"{root}/by_provider")
+    for name in found:
+        s.spark.read.parquet(f"{root}/by_provider/{name}").write.parquet(f"{root}/sets/{name.split('=')[1]}")
+    s.spark.createDataFrame([("no table",)], "value string").write.text(f"{root}/sets/broken")
+    rows, report = readers.read_datasets(s.spark, f"{root}/sets", "order_id string, total decimal(18,2)")
+    totals = rows.groupBy("brand").agg(F.sum("total").alias("total"))
+    return report.select("brand", "rows", F.col("error").isNotNull().alias("skipped")).join(totals, "brand", "left")
+
+
+@query
+def catalog_scan(s: Samples) -> DataFrame:
+    """A catalog table with pushed columns and rows, where it exists."""
+    name = "orders_" + scratch_path(s.spark, "t").rsplit("-", 1)[1]
+    s.orders().createOrReplaceTempView(name)
+    missing = readers.read_if_exists(s.spark, name + "_none")
+    rows = readers.read_table(s.spark, name, ["order_id", "total"], F.col("is_paid"))
+    return rows if missing is None and readers.read_if_exists(s.spark, name) is not None else rows.limit(0)
+
+
+@query
+def model_columns(s: Samples) -> DataFrame:
+    """Columns named 'Table[Column]' cut to their name, then projected by alias."""
+    rows = s.domains().select(F.col("domain_id").alias("Domains[Id]"), F.col("domain_name").alias("[Domain Name]"), F.col("modules").alias("modules"))
+    return readers.project(readers.bare_names(rows), {"domain_id": "Id", "name": "Domain Name"})
+
+
+@query
+def text_fallbacks(s: Samples) -> DataFrame:
+    """Fallback chains, client names, month names and JSON texts."""
+    rows = s.raw("customer")
+    number = F.col("c_nationkey") % 12
+    month = F.element_at(F.array(*[F.lit(m) for m in ("Janeiro", "fevereiro", "Março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "Dezembro")]), number + 1)
+    return rows.select(
+        "c_custkey",
+        text.first_truthy(F.when(F.col("c_nationkey") > 10, "").otherwise(F.lit(None)), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")), F.col("c_name")).alias("name"),
+        text.client_before_equals(F.concat("c_name", F.lit(" = "), F.col("c_mktsegment"))).alias("client"),
+        dates.month_from_name(month, F.lit(2024)).alias("month"),
+        text.json_text(F.array(F.col("c_name"), F.col("c_mktsegment")), 20).alias("tags"),
+    )
+
+
+@query
+def stamped_rows(s: Samples) -> DataFrame:
+    """Constant source and load time, in the columns a typed table allows."""
+    rows = sinks.stamped(s.partners(), "register", dt.datetime(2024, 1, 2, 3, 4, 5))
+    renamed = schemas.harmonise(rows.withColumnRenamed("partner_name", "Parceiro"), {"partner_id": ["id", "partner_id"], "partner": ["Nome", "Parceiro"], "source": ["source"], "city": ["Cidade"]})
+    return schemas.conform(renamed, "partner_id string, partner string, source string, rank int").withColumn("rank", F.coalesce("rank", F.lit(0)))
+
+
+@query
+def overwritten_table(s: Samples) -> DataFrame:
+    """A table replaced by another schema."""
+    path = scratch_path(s.spark, "table")
+    sinks.overwrite(s.partners(), path)
+    sinks.overwrite(s.angels(), path)
+    return s.spark.read.parquet(path)
+
+
+@query
+def snapshot_days(s: Samples) -> DataFrame:
+    """Snapshots of two days, one written twice."""
+    path = scratch_path(s.spark, "snapshots")
+    for day, rows in ((1, s.angels()), (2, s.partners()), (1, s.integrations())):
+        sinks.append_snapshot(rows.select(F.element_at(F.array(*rows.columns), 1).alias("id")), path, dt.date(2024, 1, day))
+    return s.spark.read.parquet(path).groupBy(F.col("snapshot_date").cast("date").alias("snapshot_date")).agg(F.count("*").alias("rows"))
+
+
+@query
+def merged_state(s: Samples) -> DataFrame:
+    """Last status of each company after three batches, the last of them late."""
+    root = scratch_path(s.spark, "state")
+    rows = s.orders().select("company_id", "created_at", "order_id", "order_status")
+    newest = F.struct("created_at", "order_id").alias("at")
+    for low, high in ((1992, 1996), (1999, 2002), (1996, 1999)):
+        batch = rows.filter((F.year("created_at") >= low) & (F.year("created_at") < high)).select("company_id", newest, "order_status")
+        sinks.merge_current(batch, root, "company_id", "at", forward=True)
+    sinks.drop_versions(s.spark, root, 2)
+    return sinks.read_current(s.spark, root).select("company_id", F.col("at.order_id").alias("order_id"), "order_status")
+
+
+@query
+def replaced_keys(s: Samples) -> DataFrame:
+    """All lines of a supplier replaced by its lines of the second batch."""
+    root = scratch_path(s.spark, "lines")
+    rows = s.receivables().select("company_id", "rec_id", "gross", "rec_status")
+    sinks.replace_keys(rows.filter("rec_status = 'paid'"), root, "company_id")
+    sinks.replace_keys(rows.filter("rec_status <> 'paid' and cast(company_id as bigint) % 2 = 0"), root, "company_id")
+    return sinks.read_current(s.spark, root).groupBy("company_id", "rec_status").agg(F.count("*").alias("lines"), F.sum("gross").alias("gross"))
+
+
+@query
+def guard_outcomes(s: Samples) -> DataFrame:
+    """What the guards say of whole, empty, status-less and shrunken inputs."""
+    rows = s.orders()
+    mart = rows.groupBy("company_id").agg(F.sum("total").alias("value"), F.count("*").alias("orders"))
+    half = mart.filter("cast(company_id as bigint) % 2 = 0")
+    cases = [
+        ("orders", lambda: quality.guard_orders(rows)),
+        ("orders empty", lambda: quality.guard_orders(rows.limit(0))),
+        ("orders without status", lambda: quality.guard_orders(rows.withColumn("payment_status", F.lit("")))),
+        ("mart", lambda: quality.guard_regression(mart, mart)),
+        ("mart shrunken", lambda: quality.guard_regression(half, mart)),
+        ("rows", lambda: quality.guard_row_loss(mart, half)),
+        ("rows lost", lambda: quality.guard_row_loss(half, mart)),
+    ]
+    out = []
+    for name, guard in cases:
+        try:
+            out.append((name, True, len(guard() or [])))
+        except quality.QualityError:
+            out.append((name, False, 0))
+    return s.spark.createDataFrame(out, "guard string, passed boolean, warnings int")
+
+
+@query
+def numbered_without_dates(s: Samples) -> DataFrame:
+    """Positions of companies of which some have no creation time and some no domain."""
+    rows = s.companies().withColumns({
+        "created_at": F.when(F.col("status") == 1, F.col("created_at")),
+        "domain_id": F.when(F.col("company_id").cast("long") % 50 != 0, F.col("domain_id")),
+    })
+    return cohorts.with_row_number(rows).select("company_id", "domain_id", "row_num")

@@ -886,6 +886,70 @@ select brand, week, string_agg(event_type || '=' || n, ',' order by event_type)
 _BODIES["risk_counts"] = f"select risk, count(*) companies from ({_BODIES['churn_score']}) group by 1"
 
 
+_BODIES |= {
+    "payment_churn_active": """
+with o as (select domain_id, date_trunc('month', created_at) as month, sum(total) v from v_orders where payment_method <> 'BOLETO' group by 1, 2),
+m as (select o.*, row_number() over (partition by o.domain_id order by o.month desc) rn from o join v_payment_churn c on c.domain_id = o.domain_id
+  where v > 0 and o.month <= date_trunc('month', last_payment) - interval 1 month)
+select c.domain_id, domain_name, coalesce(n_name, '') as owner, DAY[last_payment] last_payment, DAY[last_order] last_order, payment_orders,
+  DAY[date_trunc('month', last_payment) + interval 1 month] churn_month, D[coalesce(v, 0)] value_lost
+from v_payment_churn c join v_active a on cast(a.domain_id as varchar) = c.domain_id left join nation on cast(n_nationkey as varchar) = angel_id
+  left join m on m.domain_id = c.domain_id and rn = 1""",
+    "payment_churn_pivot": """
+select DAY[m] churn_month, owner, count(*) clients from (
+  select date_trunc('month', last_payment) + interval 1 month m, coalesce(n_name, '') as owner from v_payment_churn c join v_active a on cast(a.domain_id as varchar) = c.domain_id
+  left join nation on cast(n_nationkey as varchar) = angel_id) group by m, owner""",
+    "payment_churn_history": """
+select domain_id, DAY[m] as month, D[pix] pix, D[card] card from (
+  select domain_id, date_trunc('month', created_at) m, sum(case when payment_method = 'PIX' then total else 0 end) pix, sum(case when payment_method = 'CREDIT_CARD' then total else 0 end) card
+  from v_orders where payment_method <> 'BOLETO' and domain_id in (select c.domain_id from v_payment_churn c join v_active a on cast(a.domain_id as varchar) = c.domain_id) group by 1, 2)
+where pix + card > 0""",
+    "sheet_snapshot_merge": """
+with a as (select domain_id, order_number, operator = 'A' fresh, cast(sum(cents) / 100 as decimal(18,2)) posting, max(operator) operator from v_close group by 1, 2, 3)
+select domain_id, order_number, D[posting] posting, operator from a
+where fresh or not exists (select 1 from a b where b.fresh and b.domain_id = a.domain_id and b.order_number = a.order_number)""",
+    "csv_read_back": """
+select p_partkey note_id, strftime(date '2025-01-01' + to_months(cast(p_size % 12 as integer)), '%Y-%m') as month,
+  '"' || (p_size // 5) || ',5 - ' || p_name || ' (' || lower(p_type) || ')' || chr(10) || (p_size // 5) || ' - ' || p_brand || chr(10) || 'sem nota ' || p_name || '"; x' as note from part""",
+    "csv_typed_read_back": "select order_id, order_number, D[total] total, is_paid from v_orders",
+    "json_read_back": "select cast(s_suppkey as varchar) company_id, s_name company_label, s_acctbal < 0 fee_enabled from supplier",
+    "purchase_documents": """
+select transaction_id purchase_id, workspace_id, order_id, status purchase_status, amount amount_cents, anticipation, strftime(cast(created as date) - 1, '%Y-%m-%d') created_on,
+  '["company_' || l_suppkey || '","order_' || l_orderkey || '","customer_' || l_partkey || '"]' tags from v_purchases""",
+    "instalment_documents": """
+select cast(k as integer) installment_number, count(*) n, sum(cents // l_linenumber) cents, strftime(min(cast(created as date) + cast(30 * k as integer)), '%Y-%m-%d') first_due
+from (select *, unnest(range(1, l_linenumber + 1)) k from v_purchases) group by k""",
+    "datasets_read_back": """
+select delivery_provider brand, count(*) as rows, false skipped, D[sum(total)] total from v_orders group by 1 union all select 'broken', null, true, null""",
+    "catalog_scan": "select order_id, D[total] total from v_orders where is_paid",
+    "model_columns": "select domain_id, domain_name as name from v_domains",
+    "text_fallbacks": """
+select c_custkey, case when c_acctbal > 0 then c_mktsegment else c_name end as name, c_name client, strftime(make_date(2024, cast(c_nationkey % 12 + 1 as integer), 1), '%Y-%m-%d') as month,
+  left('["' || c_name || '","' || c_mktsegment || '"]', 20) tags from customer""",
+    "stamped_rows": "select distinct c_mktsegment partner_id, lower(c_mktsegment) partner, 'register' as source, 0 as rank from customer",
+    "overwritten_table": "select cast(n_nationkey as varchar) angel_id, n_name angel_name from nation",
+    "snapshot_days": """
+select '2024-01-01' snapshot_date, count(*) as rows from region union all select '2024-01-02', count(distinct c_mktsegment) from customer""",
+    "merged_state": """
+select company_id, order_id, order_status from (select *, row_number() over (partition by company_id order by created_at desc, order_id desc) rn from v_orders where year(created_at) between 1992 and 2001) where rn = 1""",
+    "replaced_keys": """
+with r as (select *, cast(company_id as bigint) % 2 = 0 even from v_receivables),
+k as (select distinct company_id from r where rec_status <> 'paid' and even)
+select company_id, rec_status, count(*) lines, D[sum(gross)] gross from r
+where (rec_status = 'paid' and company_id not in (select company_id from k)) or (rec_status <> 'paid' and even) group by 1, 2""",
+    "guard_outcomes": """
+with f as (select avg(case when payment_status is null then 1.0 else 0 end) share from v_orders),
+m as (select company_id, sum(total) v, count(*) n from v_orders group by 1),
+t as (select count(*) c, sum(v) v, sum(n) n, count(*) filter (cast(company_id as bigint) % 2 = 0) hc, sum(v) filter (cast(company_id as bigint) % 2 = 0) hv, sum(n) filter (cast(company_id as bigint) % 2 = 0) hn from m)
+select 'orders' guard, share <= 0.6 passed, cast(case when share between 0.2 and 0.6 then 1 else 0 end as integer) warnings from f
+union all select 'orders empty', false, 0 union all select 'orders without status', false, 0 union all select 'mart', true, 0
+union all select 'mart shrunken', hc >= 0.8 * c and hv >= 0.5 * v and hn >= 0.5 * n, 0 from t union all select 'rows', true, 0 union all select 'rows lost', hc >= 0.9 * c, 0 from t""",
+    "numbered_without_dates": """
+select company_id, d domain_id, row_number() over (partition by d order by made_at nulls first, company_id) row_num from (
+  select company_id, case when cast(company_id as bigint) % 50 <> 0 then domain_id end d, case when status = 1 then created_at end made_at from v_companies)""",
+}
+
+
 def _nested(body: str) -> str:
     """A body that starts with its own CTEs becomes a subquery behind the views."""
     return f"select * from ({body})" if body.lstrip().startswith("with") else body

@@ -108,6 +108,26 @@ def payment_churn(
     return rows.filter(_inside(F.col("churn_month"), start, as_of))
 
 
+def active_payment_churn(churned: DataFrame, domains: DataFrame, angels: DataFrame) -> DataFrame:
+    """Payment churn of active domains only, with domain name and owner."""
+    names = domains.select(F.col("domain_id").cast("string").alias("domain_id"), "domain_name", "angel_id").join(angels, "angel_id", "left")
+    return churned.join(names.select("domain_id", "domain_name", F.coalesce("angel_name", F.lit("")).alias("owner")), "domain_id")
+
+
+def payment_churn_pivot(churned: DataFrame) -> DataFrame:
+    """Churned domains by month and owner."""
+    return churned.groupBy("churn_month", "owner").agg(F.count("*").alias("clients"))
+
+
+def payment_history(churned: DataFrame, orders: DataFrame) -> DataFrame:
+    """Pix and card value of churned domains by month with value."""
+    pix, card, nil = F.col("payment_method") == "PIX", F.col("payment_method") == "CREDIT_CARD", F.lit(0).cast(MONEY)
+    monthly = orders.filter(pix | card).groupBy("domain_id", F.trunc("created_at", "MM").alias("month")).agg(
+        F.sum(F.when(pix, F.col("total")).otherwise(nil)).alias("pix"), F.sum(F.when(card, F.col("total")).otherwise(nil)).alias("card")
+    )
+    return monthly.filter(F.col("pix") + F.col("card") > 0).join(churned.select("domain_id").distinct(), "domain_id", "left_semi")
+
+
 def value_lost(churned: DataFrame, orders: DataFrame, same_month: bool = False) -> DataFrame:
     """Payment value of the month before the last payment, else of the latest
     earlier month with value, else zero.
