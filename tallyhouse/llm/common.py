@@ -215,3 +215,27 @@ def packed_keys(keys: np.ndarray) -> bytes:
 
 def unpacked(raw: bytes, kind=U64) -> np.ndarray:
     return np.frombuffer(raw, dtype=kind)
+
+
+def packed_ints(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 as planes of bytes, as many as the largest needs: high planes are mostly zero and shrink in any codec."""
+    values = np.ascontiguousarray(values).astype(U64)
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked_ints(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    planes = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = planes.T
+    return out.view(U64).ravel()
+
+
+def packed_sorted(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys by their differences."""
+    return packed_ints(np.diff(keys, prepend=U64(0)))
+
+
+def unpacked_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_ints(raw), dtype=U64)

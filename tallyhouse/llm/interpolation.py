@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import _BASE, U64, Slice, batch_of, buckets, cuts, mix, packed_keys, units, unpacked, words, written
+from .common import _BASE, U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, units, unpacked, unpacked_ints, unpacked_sorted, words, written
 
 END = U64(0x1F3D5B79ACE02468)
 BUCKETS = 32
@@ -62,9 +62,6 @@ class _Keys:
         self.pairs, self.pair_at = np.unique(pair, return_inverse=True)
         self.word_count = np.bincount(self.word_at[learn], minlength=len(self.words))
         self.pair_count = np.bincount(self.pair_at[learn], minlength=len(self.pairs))
-        end = np.searchsorted(self.words, END)
-        self.before_at = np.concatenate([[end], self.word_at[:-1]]).astype(np.int64) if len(self.token) else self.word_at
-        self.learn = learn
 
 
 def _requests(docs: DataFrame, n: int) -> DataFrame:
@@ -76,8 +73,8 @@ def _requests(docs: DataFrame, n: int) -> DataFrame:
             k = _Keys(s, s.column("training").astype(bool))
             a, b = cuts(k.words, n), cuts(k.pairs, n)
             rows = [i for i in range(n) if a[i] < a[i + 1] or b[i] < b[i + 1]]
-            columns = ((k.words, a), (k.word_count.astype(np.uint32), a), (k.pairs, b), (k.pair_count.astype(np.uint32), b))
-            yield batch_of(schema, rows, [unit] * len(rows), *[[packed_keys(v[at[i] : at[i + 1]]) for i in rows] for v, at in columns])
+            columns = ((k.words, a, packed_sorted), (k.word_count, a, packed_ints), (k.pairs, b, packed_sorted), (k.pair_count, b, packed_ints))
+            yield batch_of(schema, rows, [unit] * len(rows), *[[pack(v[at[i] : at[i + 1]]) for i in rows] for v, at, pack in columns])
 
     return docs.mapInArrow(run, "bucket int, unit long, words binary, word_counts binary, pairs binary, pair_counts binary")
 
@@ -92,15 +89,14 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def _answer(table: pa.Table) -> pa.Table:
     rows = table.select(["bucket", "unit", "words", "word_counts", "pairs", "pair_counts"]).to_pylist()
-    total, word = _summed([unpacked(r["words"]) for r in rows], [unpacked(r["word_counts"], np.uint32) for r in rows])
-    _, pair = _summed([unpacked(r["pairs"]) for r in rows], [unpacked(r["pair_counts"], np.uint32) for r in rows])
-    # Counts as 64-bit integers: they stay small once compressed, and never overflow.
+    total, word = _summed([unpacked_sorted(r["words"]) for r in rows], [unpacked_ints(r["word_counts"]) for r in rows])
+    _, pair = _summed([unpacked_sorted(r["pairs"]) for r in rows], [unpacked_ints(r["pair_counts"]) for r in rows])
     return pa.table(
         {
             "bucket": pa.array([r["bucket"] for r in rows] + [rows[0]["bucket"]], pa.int32()),
             "unit": pa.array([r["unit"] for r in rows] + [-1], pa.int64()),
-            "word_totals": pa.array([packed_keys(x) for x in word] + [b""], pa.binary()),
-            "pair_totals": pa.array([packed_keys(x) for x in pair] + [b""], pa.binary()),
+            "word_totals": pa.array([packed_ints(x) for x in word] + [b""], pa.binary()),
+            "pair_totals": pa.array([packed_ints(x) for x in pair] + [b""], pa.binary()),
             "distinct": pa.array([0] * len(rows) + [int(np.count_nonzero(total))], pa.int64()),
             "tokens": pa.array([0] * len(rows) + [int(total.sum())], pa.int64()),
         }
@@ -135,50 +131,60 @@ def learned_weights(cells: np.ndarray, counts: np.ndarray, vocabulary: int, roun
     return weight
 
 
-_MET = "doc_ids array<bigint>, training binary, rows binary, before_at binary, word_at binary, pair_at binary, word_totals binary, pair_totals binary"
+_MET = "doc_ids array<bigint>, sizes binary, training binary, ends long, word binary, pair binary"
 
 
 def _met(docs: DataFrame, answers: DataFrame, n: int) -> DataFrame:
-    """One row for each unit: its tokens as places in its own tables of words and bigrams, with their corpus counts."""
-    names = ["training", "rows", "before_at", "word_at", "pair_at", "word_totals", "pair_totals"]
-    schema = pa.schema([("doc_ids", pa.list_(pa.int64())), *[(c, pa.binary()) for c in names]])
+    """One row for each unit: its documents, and the corpus counts of the word and the bigram of each token."""
+    schema = pa.schema(
+        [("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("training", pa.binary()), ("ends", pa.int64()), ("word", pa.binary()), ("pair", pa.binary())]
+    )
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("unit", pa.int64()), ("doc_ids", pa.list_(pa.int64())), *[(c, pa.binary()) for c in names[:5]], ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
+        out = pa.schema(
+            [("unit", pa.int64()), ("doc_ids", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("sizes", "training", "word_at", "pair_at")],
+             ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("end_at", pa.int64())]
+        )
         for unit, s in units(batches):
             training = s.column("training").astype(bool)
             k = _Keys(s, training)
-            small = [packed_keys(v.astype(np.uint32)) for v in (k.row, k.before_at, k.word_at, k.pair_at)]
-            yield batch_of(out, [unit], [s.batch.column("doc_id").to_pylist()], [packed_keys(training)], *[[v] for v in small], [cuts(k.words, n)], [cuts(k.pairs, n)])
+            sizes = np.bincount(k.row, minlength=len(s))
+            yield batch_of(
+                out, [unit], [s.batch.column("doc_id").to_pylist()], [packed_ints(sizes)], [packed_keys(training)], [packed_ints(k.word_at)], [packed_ints(k.pair_at)],
+                [cuts(k.words, n)], [cuts(k.pairs, n)], [int(np.searchsorted(k.words, END))],
+            )
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
         unit = left.to_pylist()[0]
         a, b = unit["a"], unit["b"]
-        word, pair = np.zeros(a[-1], dtype=np.int64), np.zeros(b[-1], dtype=np.int64)
-        for r in right.to_pylist():
+        word, pair = np.zeros(a[-1], dtype=U64), np.zeros(b[-1], dtype=U64)
+        answered = 0
+        for r in right.select(["bucket", "word_totals", "pair_totals"]).to_pylist():
             k = r["bucket"]
-            word[a[k] : a[k + 1]] = unpacked(r["word_totals"], np.int64)
-            pair[b[k] : b[k + 1]] = unpacked(r["pair_totals"], np.int64)
-        row = {c: unit[c] for c in ("doc_ids", *names[:5])} | {"word_totals": packed_keys(word), "pair_totals": packed_keys(pair)}
+            word[a[k] : a[k + 1]] = unpacked_ints(r["word_totals"])
+            pair[b[k] : b[k + 1]] = unpacked_ints(r["pair_totals"])
+            answered += a[k + 1] - a[k]
+        if answered != a[-1]:
+            raise RuntimeError("a unit was read differently the second time")
+        row = {c: unit[c] for c in ("doc_ids", "sizes", "training")} | {"ends": int(word[unit["end_at"]])}
+        row |= {"word": packed_ints(word[unpacked_ints(unit["word_at"])]), "pair": packed_ints(pair[unpacked_ints(unit["pair_at"])])}
         return pa.Table.from_pylist([row], schema=schema)
 
-    types = "unit long, doc_ids array<bigint>, training binary, rows binary, before_at binary, word_at binary, pair_at binary, a array<bigint>, b array<bigint>"
+    types = "unit long, doc_ids array<bigint>, sizes binary, training binary, word_at binary, pair_at binary, a array<bigint>, b array<bigint>, end_at long"
     asked = docs.mapInArrow(ask, types)
     return asked.groupBy("unit").cogroup(answers.where("unit >= 0").groupBy("unit")).applyInArrow(merge, _MET)
 
 
 class _Unit:
-    """A unit's tokens with their counts."""
+    """A unit's tokens with their counts; a token's context is the word before it in the unit."""
 
     def __init__(self, r: dict):
         self.doc_ids, self.training = r["doc_ids"], unpacked(r["training"], bool)
-        self.row = unpacked(r["rows"], np.uint32).astype(np.int64)
-        word, pair = unpacked(r["word_totals"], np.int64), unpacked(r["pair_totals"], np.int64)
-        self.context = word[unpacked(r["before_at"], np.uint32)]
-        self.word = word[unpacked(r["word_at"], np.uint32)]
-        self.pair = pair[unpacked(r["pair_at"], np.uint32)]
+        self.row = np.repeat(np.arange(len(self.doc_ids)), unpacked_ints(r["sizes"]).astype(np.int64))
+        self.word, self.pair = unpacked_ints(r["word"]).astype(np.int64), unpacked_ints(r["pair"]).astype(np.int64)
+        self.context = np.concatenate([[r["ends"]], self.word[:-1]])
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -197,8 +203,8 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                u = _Unit(r)
+            for k in range(batch.num_rows):
+                u = _Unit(batch.slice(k, 1).to_pylist()[0])
                 learn = u.training[u.row]
                 context, word, pair = u.context[learn], u.word[learn], u.pair[learn]
                 two = np.where(context > 1, (pair - 1) / np.maximum(context - 1, 1), 0.0)
@@ -215,8 +221,8 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                u = _Unit(r)
+            for k in range(batch.num_rows):
+                u = _Unit(batch.slice(k, 1).to_pylist()[0])
                 rows = len(u.doc_ids)
                 w = weight[_bucket(u.context)]
                 two = np.where(u.context > 0, u.pair / np.maximum(u.context, 1), 0.0)

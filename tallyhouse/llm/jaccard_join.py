@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_keys, shingles, slices, units, unpacked, words, written
+from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, shingles, slices, units, unpacked, unpacked_ints, unpacked_sorted, words, written
 from .components import components
 
 GROUPS = 64
@@ -79,11 +79,11 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
             head = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, dtype=np.int64)
             count = np.diff(np.append(head, len(found)))
             many = count > 3
-            keys, count = found[head[many]], count[many].astype(np.uint32)
+            keys, count = found[head[many]], count[many]
             at = cuts(keys, n)
             rows = [k for k in range(n) if at[k] < at[k + 1]]
             none = [None] * len(rows)
-            parts = [[packed_keys(v[at[k] : at[k + 1]]) for k in rows] for v in (keys, count)]
+            parts = [[pack(v[at[k] : at[k + 1]]) for k in rows] for v, pack in ((keys, packed_sorted), (count, packed_ints))]
             yield batch_of(schema, none, none, none, none, rows, *parts)
 
     return docs.mapInArrow(run, "doc_id long, size long, a long, b long, bucket int, keys binary, counts binary")
@@ -94,8 +94,8 @@ def _frequent(repeats: DataFrame) -> np.ndarray:
     out = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
 
     def total(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([unpacked(x) for x in table.column("keys").to_pylist()])
-        counts = np.concatenate([unpacked(x, np.uint32) for x in table.column("counts").to_pylist()])
+        keys = np.concatenate([unpacked_sorted(x) for x in table.column("keys").to_pylist()])
+        counts = np.concatenate([unpacked_ints(x) for x in table.column("counts").to_pylist()])
         value, place = np.unique(keys, return_inverse=True)
         return pa.Table.from_arrays([pa.array(value.view(np.int64)), pa.array(np.bincount(place, weights=counts).astype(np.int64))], schema=out)
 
@@ -138,15 +138,16 @@ def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFram
         for _, s in units(batches):
             keys, size, member = _prefixes(s, last, rank, percent)
             order = np.argsort(keys, kind="stable")
-            keys, size, member = keys[order], size[order].astype(np.uint32), member[order]
+            keys, size, member = keys[order], size[order], member[order]
             at = cuts(keys, n)
             rows = [k for k in range(n) if at[k] < at[k + 1]]
-            parts = [[packed_keys(v[at[k] : at[k + 1]]) for k in rows] for v in (keys, size, member)]
+            parts = [[pack(v[at[k] : at[k + 1]]) for k in rows] for v, pack in ((keys, packed_sorted), (size, packed_ints), (member, packed_keys))]
             yield batch_of(schema, rows, *parts)
 
     def shared(table: pa.Table) -> pa.Table:
-        keys, member = (np.concatenate([unpacked(x) for x in table.column(c).to_pylist()]) for c in ("keys", "members"))
-        size = np.concatenate([unpacked(x, np.uint32) for x in table.column("sizes").to_pylist()])
+        keys, size, member = (
+            np.concatenate([read(x) for x in table.column(c).to_pylist()]) for c, read in (("keys", unpacked_sorted), ("sizes", unpacked_ints), ("members", unpacked))
+        )
         value, count = np.unique(keys, return_counts=True)
         often = value[count > 1]
         at = np.searchsorted(often, keys)

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_keys, prefix_sums, range_hash, units, unpacked, with_units, written
+from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_keys, packed_sorted, prefix_sums, range_hash, units, unpacked, unpacked_sorted, with_units, written
 
 LENGTH = 200
 ANCHOR = 48
@@ -107,7 +107,8 @@ def _requests(docs: DataFrame, n: int, length: int) -> DataFrame:
             region, twice, anchor, only = _asked(Regions(s.data, s.offsets, length))
             a, b = cuts(region, n), cuts(anchor, n)
             rows = [k for k in range(n) if a[k] < a[k + 1] or b[k] < b[k + 1]]
-            parts = [[packed_keys(v[c[k] : c[k + 1]]) for k in rows] for v, c in ((region, a), (twice, a), (anchor, b), (only, b))]
+            columns = ((region, a, packed_sorted), (twice, a, packed_keys), (anchor, b, packed_sorted), (only, b, packed_keys))
+            parts = [[pack(v[c[k] : c[k + 1]]) for k in rows] for v, c, pack in columns]
             yield batch_of(schema, rows, [unit] * len(rows), *parts)
 
     return docs.select("doc_id", "text").mapInArrow(run, "bucket int, unit long, region binary, twice binary, anchor binary, only binary")
@@ -116,11 +117,12 @@ def _requests(docs: DataFrame, n: int, length: int) -> DataFrame:
 def _answer(table: pa.Table) -> pa.Table:
     """For each asking unit: which of its regions repeat, which of its anchors have several regions."""
     rows = table.select(["unit", "region", "twice", "anchor", "only"]).to_pylist()
-    sizes = [(len(r["region"]) // 8, len(r["anchor"]) // 8) for r in rows]
-    _, count, place = _distinct(np.concatenate([unpacked(r["region"]) for r in rows]))
+    regions, anchors = ([unpacked_sorted(r[c]) for r in rows] for c in ("region", "anchor"))
+    sizes = [(len(x), len(y)) for x, y in zip(regions, anchors)]
+    _, count, place = _distinct(np.concatenate(regions))
     twice = np.concatenate([unpacked(r["twice"], bool) for r in rows])
     again = np.bincount(place, weights=twice, minlength=len(count)) + count > 1
-    anchor, _, at = _distinct(np.concatenate([unpacked(r["anchor"]) for r in rows]))
+    anchor, _, at = _distinct(np.concatenate(anchors))
     only = np.concatenate([unpacked(r["only"]) for r in rows])
     low, high = np.full(len(anchor), ~U64(0)), np.zeros(len(anchor), dtype=U64)
     np.minimum.at(low, at, only)
