@@ -22,8 +22,7 @@ HEADLINE = [
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    # Small files: cut them finer than the default, so that all cores read.
-    spark = build_session(os.environ.get("BENCH_CPUS", "8"), "bench", **{"spark.sql.files.maxPartitionBytes": "2m"})
+    spark = build_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/region.parquet").groupBy("r_name").count().collect()
     seconds = {}

@@ -931,8 +931,8 @@ def domain_freight_audit(s: Samples) -> DataFrame:
     """Freight orders of the domain with most postings against the sheet."""
     sheet = freight.postings(s.freight_close())
     busiest = sheet.groupBy("domain_id").agg(F.count("*").alias("n")).agg(F.min(F.struct((-F.col("n")).alias("n"), "domain_id"))["domain_id"])
-    whole = freight.reconcile(sheet, freight.freight_orders(s.orders(), s.freight_close()), dt.date(1995, 1, 1), dt.date(2001, 12, 31))
-    return freight.domain_audit(whole, busiest.scalar()).select("domain_id", "order_number", "sheet_posting", "system_posting", "outcome")
+    found = freight.domain_audit(sheet, freight_order_list(s), busiest.scalar(), dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+    return found.select("domain_id", "order_number", "sheet_posting", "system_posting", "outcome")
 
 
 @query

@@ -42,7 +42,8 @@ def freight_orders(orders: DataFrame, close: DataFrame, zero_quote_is_missing: b
     """
     posted = orders.filter(is_posted(F.col("delivery_provider"))).withColumn("domain_id", clean_domain_id(F.col("domain_id")))
     dated = posted.filter("domain_id is not null and created_at is not null")
-    rows = hot_join(dated, postings(close), ["domain_id", "order_number"])
+    # A domain has an order number once, so no key of this join is hot.
+    rows = dated.join(postings(close), ["domain_id", "order_number"], "left")
     quote = F.when(F.col("quoted") > 0, F.col("quoted")) if zero_quote_is_missing else F.col("quoted")
     up = _marked_up(F.col("posting"))
     return rows.select(
@@ -60,33 +61,33 @@ def _not_postable() -> Column:
 
 
 def reconcile(
-    sheet: DataFrame, system: DataFrame, start: dt.date, end: dt.date
+    sheet: DataFrame, system: DataFrame, start: dt.date, end: dt.date, only: Column | None = None
 ) -> DataFrame:
     """Sheet against system orders of one half month.
 
     `sheet` is the output of `postings`; `system` has domain_id, order_number,
     day, is_canceled, order_status and posting. System orders are compared
     within the days the sheet covers. Each row carries an outcome: ok,
-    different, only_sheet, only_system or ignored, and the differences.
+    different, only_sheet, only_system or ignored, and the differences. With
+    `only`, a condition on domain_id, other rows are left out before they meet.
     """
     # Written once: the days it covers are read off it before the join.
     window = cut_lineage(sheet.filter(F.col("posted_on").between(day(start), day(end))))
+    days = [window.agg(f("posted_on")).scalar() for f in (F.min, F.max)]
+    if only is not None:
+        window, system = window.filter(only), system.filter(only)
     left = window.select(
         "domain_id", "order_number", F.col("posting").alias("sheet_posting"), "sheet_status", "posted_on",
         F.lit(True).alias("_sheet"),
     )
-    covered = F.col("day").between(
-        window.agg(F.min("posted_on")).scalar(), window.agg(F.max("posted_on")).scalar()
+    keys = ["domain_id", "order_number"]
+    # Only the covered days of the system are read in full.
+    right = system.filter(F.col("day").between(*days)).select(
+        *keys, "day", "is_canceled", "order_status", "quoted", "has_label", F.col("posting").alias("system_posting"), F.lit(True).alias("_system")
     )
-    right = system.select(
-        "domain_id", "order_number", "day", "is_canceled", "order_status", "quoted", "has_label",
-        F.col("posting").alias("system_posting"), F.lit(True).alias("_system"), F.coalesce(covered, F.lit(False)).alias("_covered"),
-    )
-    both = left.join(right, ["domain_id", "order_number"], "full").filter("_sheet or _covered")
     # A sheet order the system holds on another day is no sheet-only order.
-    both = both.withColumn("_exists", F.col("_system"))
-    for name in ("day", "is_canceled", "order_status", "quoted", "has_label", "system_posting", "_system"):
-        both = both.withColumn(name, F.when(F.col("_covered"), F.col(name)))
+    elsewhere = system.select(*keys).join(left.select(*keys), keys, "left_semi").distinct().withColumn("_exists", F.lit(True))
+    both = left.join(right, keys, "full").join(elsewhere, keys, "left")
     gap = F.abs(F.col("sheet_posting") - F.col("system_posting")) > F.lit("0.01").cast(MONEY)
     found = F.array_compact(
         F.array(
@@ -105,7 +106,7 @@ def reconcile(
     )
     return both.withColumn("outcome", outcome).withColumn(
         "differences", F.when(paired, F.array_join(found, ",")).otherwise("")
-    ).drop("_sheet", "_system", "_exists", "_covered")
+    ).drop("_sheet", "_system", "_exists")
 
 
 def reconcile_summary(rows: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def reapply_sheet(orders: DataFrame, sheet: DataFrame) -> DataFrame:
         "domain_id", "order_number", F.col("posting").alias("_post"), F.col("posted_on").alias("_day"),
         F.col("sheet_status").alias("_status"),
     )
-    joined = hot_join(orders, theirs, ["domain_id", "order_number"])
+    joined = orders.join(theirs, ["domain_id", "order_number"], "left")
     hit, quoted = F.col("_post").isNotNull(), F.col("quoted") > 0
     up = _marked_up(F.col("_post"))
     values = {
@@ -200,9 +201,9 @@ def client_brands(orders: DataFrame, n: int = 5) -> DataFrame:
     return top_n(counts, ["doc"], [F.desc("orders"), F.asc("domain_id")], n, "position")
 
 
-def domain_audit(rows: DataFrame, domain_id: int | Column) -> DataFrame:
-    """Reconciliation of one domain."""
-    return rows.filter(F.col("domain_id") == domain_id)
+def domain_audit(sheet: DataFrame, system: DataFrame, domain_id: int | Column, start: dt.date, end: dt.date) -> DataFrame:
+    """Reconciliation of one domain within the days that the whole sheet covers."""
+    return reconcile(sheet, system, start, end, only=F.col("domain_id") == domain_id)
 
 
 def company_freight(rows: DataFrame) -> DataFrame:

@@ -58,11 +58,12 @@ def receivable_lines(
     marks = F.col("_stays") & (F.col("anticipates") | (zero(F.col("anticipation")) > 0))
     paid_on = F.when(F.col("_stays"), F.to_date(to_local(F.col("paid_at"), zone)))
     per_order = lines.groupBy("order_id").agg(
-        F.count("*").alias("_lines"), F.bool_or(marks).alias("order_anticipates"), F.max(paid_on).alias("customer_paid_on")
+        F.bool_or(marks).alias("order_anticipates"), F.max(paid_on).alias("customer_paid_on")
     )
     # Everything about an order first, so that its lines are joined once.
     facts = per_order.join(heads.drop("company_id", "domain_id", "_order_paid_on", "_own"), "order_id", "left")
-    present = hot_join(lines.filter("_stays").drop("paid_at"), facts, ["order_id"], weight="_lines").drop("_lines")
+    # An order has few lines, so no key of this join is hot.
+    present = lines.filter("_stays").drop("paid_at").join(facts, "order_id", "left")
     absent = checked(
         heads.join(per_order, "order_id", "left_anti").select(
             *[c for c in heads.columns if c != "_own"], *[F.col(f"_own.{c}").alias(c) for c in LINE]
@@ -177,7 +178,7 @@ def duplicate_orders(purchases: DataFrame) -> DataFrame:
 
 def duplicate_payments(purchases: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Every payment of a duplicated order, the first one marked."""
-    return hot_join(purchases, duplicates.select("order_id", "first_id", "payments"), ["order_id"], "inner", "payments").select(
+    return purchases.join(duplicates.select("order_id", "first_id", "payments"), "order_id").select(
         "order_id", "transaction_id", "created", cents(F.col("amount")).alias("value"),
         F.size("installments").alias("parts"),
         (F.col("transaction_id") == F.col("first_id")).alias("is_first"),
@@ -202,7 +203,7 @@ def cancellations(purchases: DataFrame, orders: DataFrame) -> DataFrame:
         F.concat(F.round(hours.cast("decimal(18,6)"), 1).cast("string"), F.lit("h"))
     )
     voided = purchases.filter("status = 'voided'")
-    return hot_join(voided, totals, ["order_id"]).select(
+    return voided.join(totals, "order_id", "left").select(
         "transaction_id", "order_id", "brand", "order_number", "order_total",
         F.greatest(F.size("installments"), F.lit(1)).alias("parts"),
         F.col("updated").alias("canceled_at"), text.alias("time_to_cancel"),
