@@ -12,7 +12,7 @@ from .plans import billing, churn, cohorts, crm, freight, groups, kpi, mart, ord
 from .session import cut_lineage, scratch_path
 from .sources import readers, schemas, sinks
 from .sources.edge import plain
-from .sources.samples import AS_OF_EVENTS, AS_OF_ORDERS, Samples
+from .sources.samples import AS_OF_ORDERS, Samples
 
 MAX_TOTAL = 400_000  # the test orders go up to 499,978
 START = dt.date(1995, 3, 1)

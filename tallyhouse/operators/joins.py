@@ -69,13 +69,3 @@ def newest_by_key(sources: Sequence[DataFrame], key: str, ties: Sequence[str] =
     body = F.struct(*[c for c in pool.columns if c not in (key, "_level")])
     rank = F.struct("_level", *ties)
     return pool.groupBy(key).agg(F.min_by(body, rank).alias("_row")).select(key, "_row.*")
-
-
-def tag_lookup(rows: DataFrame, sources: Sequence[tuple[DataFrame, str]], value: str) -> DataFrame:
-    """Column `value` from the first look-up that has one; each source is (frame, key)."""
-    out, found = rows, []
-    for i, (frame, key) in enumerate(sources):
-        name = f"_v{i}"
-        out = hot_join(out, frame.select(key, F.col(value).alias(name)), [key], counted=rows)
-        found.append(F.col(name))
-    return out.withColumn(value, F.coalesce(*found)).drop(*[f"_v{i}" for i in range(len(sources))])

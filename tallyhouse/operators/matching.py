@@ -2,7 +2,8 @@
 
 Containment is an equality between one name and a substring of the other, so
 every tier joins on a key that is unique on one side, and the best partner per
-key is aggregated before the join. No tier pairs all names of a block.
+key is aggregated before the join. The word score may relate a short word to
+every longer word that starts with it; see `word_scored`.
 """
 
 from __future__ import annotations

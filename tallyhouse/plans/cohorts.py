@@ -13,10 +13,6 @@ from .orders import MAX_TOTAL, clean_orders, payment_split, split_measures
 SPLIT = ["pix_value", "card_value", "value", "pix_orders", "card_orders", "orders"]
 
 
-def first_orders(orders: DataFrame, max_total: float = MAX_TOTAL) -> DataFrame:
-    return clean_orders(orders, max_total).groupBy("domain_id").agg(F.min("created_at").alias("first_at"))
-
-
 def first_full_month(
     orders: DataFrame, as_of: dt.date, start: dt.date | None = None, max_total: float = MAX_TOTAL
 ) -> DataFrame:

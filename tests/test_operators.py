@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import skew
 from tallyhouse.operators.asof import asof_join
 from tallyhouse.operators.components import linked_groups
-from tallyhouse.operators.joins import attach_to_headquarters, fallback_key, newest_by_key, overlay, summed_union, tag_lookup
+from tallyhouse.operators.joins import attach_to_headquarters, fallback_key, newest_by_key, overlay, summed_union
 from tallyhouse.operators.matching import containing, prefixing, word_scored
 from tallyhouse.operators.multiset import surplus
 from tallyhouse.operators.ranking import globally_numbered, nth, numbered, top_n
@@ -252,6 +252,3 @@ def test_small_joins(spark):
     two = spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int")
     assert {r["k"]: r["v"] for r in summed_union([one, two], ["k"], ["v"]).collect()} == {"a": 3, "b": 3}
     assert {r["k"]: r["v"] for r in newest_by_key([one, two], "k").collect()} == {"a": 1, "b": 3}
-    rows = spark.createDataFrame([("a", "x"), ("z", "y"), ("z", "q")], "k string, t string")
-    tags = spark.createDataFrame([("y", 9)], "t string, v int")
-    assert {r["t"]: r["v"] for r in tag_lookup(rows, [(one, "k"), (tags, "t")], "v").collect()} == {"x": 1, "y": 9, "q": None}
