@@ -28,7 +28,7 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def repeats_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Take repeated passages out of the texts; n_chars follows the text."""
     found = suffix_dedup.deduplicated(docs)
-    columns = {c: F.col(f"rest.{c}") for c in docs.columns if c not in ("doc_id", "text")} | {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    columns = {c: F.col("rest").getField(c) for c in docs.columns if c not in ("doc_id", "text")} | {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in columns:
         columns["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
     return found.select(*[columns[c].alias(c) for c in docs.columns])

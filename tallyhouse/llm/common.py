@@ -128,18 +128,38 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def row_parts(offsets: np.ndarray, budget: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Runs of rows first..last-1 of about `budget` bytes: what is computed byte by byte stays small."""
+    first = 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + budget, "right")) - 1)
+        yield first, last
+        first = last
+
+
 def words(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, first byte, end byte and hash of each word of a slice, in order."""
-    data = _LOWER_TABLE[s.data]
+    found = []
+    for first, last in row_parts(s.offsets):
+        base = s.offsets[first]
+        row, start, end, key = _words(s.data[base : s.offsets[last]], s.offsets[first : last + 1] - base)
+        found.append((row + first, start + base, end + base, key))
+    if not found:
+        return (*[np.zeros(0, dtype=np.int64)] * 3, np.zeros(0, dtype=U64))
+    return found[0] if len(found) == 1 else tuple(np.concatenate(v) for v in zip(*found))
+
+
+def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    data = _LOWER_TABLE[raw]
     space = _SPACE_TABLE[data]
-    inner = s.offsets[(s.offsets < len(data))]
+    inner = offsets[offsets < len(data)]
     before, after = np.ones(len(data) + 1, dtype=bool), np.ones(len(data) + 1, dtype=bool)
     before[1:], after[:-1] = space, np.append(space[1:], True)
     before[inner] = True
     after[inner[inner > 0] - 1] = True
     start = np.flatnonzero(~space & before[:-1])
     end = np.flatnonzero(~space & after[:-1]) + 1
-    row = np.searchsorted(s.offsets, start, "right") - 1
+    row = np.searchsorted(offsets, start, "right") - 1
     return row, start, end, range_hash(prefix_sums(data), start, end)
 
 

@@ -27,9 +27,9 @@ LANES = 8192
 MIN_STEPS = 256
 _HEAD = struct.Struct("<4sIIII")
 _SLOTS = 1 << 17
-_REFRESH = 32  # steps between two rebuilds of the order-0 table
+_REFRESH = 48  # steps between two rebuilds of the order-0 table
 _STEP = 12  # what a seen id adds to its frequency; each id has one at least
-_MOST = 1 << 20  # frequencies are halved where their sum passes this
+_MOST = 1 << 19  # frequencies are halved where their sum passes this
 _SHARES = 64  # parts of the interval that the predictors share
 _TOP = np.uint64(48)
 _BOTTOM = np.uint64(1 << 32)
@@ -92,9 +92,10 @@ class _Model:
     def learn(self, ids: np.ndarray) -> None:
         """Lanes update in order; where two share a slot the last one's id stays."""
         self.cells += np.bincount(self.outcome, minlength=96).reshape(32, 3)
+        newer = ids << 2
         for table, slot, packed, guess in zip(self.tables, self.slots, self.packed, self.guess):
-            trust = packed & 3
-            table[slot] = np.where(guess == ids, packed + (trust < 3), np.where(trust < 2, ids << 2, packed - 1))
+            # A right guess gains confidence, up to 3; a wrong one gives way.
+            table[slot] = np.where(guess == ids, np.minimum(packed + 1, packed | 3), newer)
         self.before, self.last = self.last, ids
         self.seen.append(ids)
         self.steps += 1
@@ -119,7 +120,7 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
     table = np.ascontiguousarray(table.reshape(lanes, steps).T)
     model = _Model(vocabulary, lanes, inverse=False)
     low, wide = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-    out, at = np.zeros((lanes, steps * 2 + 8), dtype=np.uint16), np.zeros(lanes, dtype=np.int64)
+    out = _Words(lanes, steps * 2 + 8)
     for step in range(steps):
         now = table[step]
         model.predict()
@@ -128,32 +129,48 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
         unit = wide // model.range
         low += unit * start
         wide = unit * width
-        _emit(low, wide, out, at)
+        out.write(low, wide)
         model.learn(now)
     for _ in range(4):
-        out[np.arange(lanes), at] = (low >> _TOP).astype(np.uint16)
-        at += 1
+        out.put(np.arange(lanes), low)
         low <<= _WORD
-    streams = b"".join([out[k, : at[k]].astype("<u2").tobytes() for k in range(lanes)])
+    streams = b"".join([out.words[k, : out.at[k]].astype("<u2").tobytes() for k in range(lanes)])
     raw = ids.astype("<u4").tobytes()
-    return _HEAD.pack(MAGIC, n, vocabulary, lanes, zlib.crc32(raw)) + at.astype("<u4").tobytes() + streams
+    return _HEAD.pack(MAGIC, n, vocabulary, lanes, zlib.crc32(raw)) + out.at.astype("<u4").tobytes() + streams
 
 
-def _emit(low: np.ndarray, wide: np.ndarray, out: np.ndarray, at: np.ndarray) -> None:
-    """Write the settled top words of each lane and widen its interval again."""
+def _ready(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Lanes whose top word goes out: it is settled, or the interval is narrow and is cut short where it straddles a word."""
     settled = ((low ^ (low + wide)) >> _TOP) == 0
     narrow = wide < _BOTTOM
-    lane = np.flatnonzero(settled | narrow)
-    while len(lane):
-        a, w, done = low[lane], wide[lane], settled[lane]
-        w = np.where(done, w, (np.uint64(0) - a) & (_BOTTOM - np.uint64(1)))
-        out[lane, at[lane]] = (a >> _TOP).astype(np.uint16)
-        at[lane] += 1
-        a, w = a << _WORD, w << _WORD
-        low[lane], wide[lane] = a, w
-        again = (((a ^ (a + w)) >> _TOP) == 0) | (w < _BOTTOM)
-        lane = lane[again]
-        settled[lane] = ((low[lane] ^ (low[lane] + wide[lane])) >> _TOP) == 0
+    cut = np.flatnonzero(narrow & ~settled)
+    if len(cut):
+        wide[cut] = (np.uint64(0) - low[cut]) & (_BOTTOM - np.uint64(1))
+    return settled | narrow
+
+
+class _Words:
+    """Words written so far by each lane."""
+
+    def __init__(self, lanes: int, most: int):
+        self.words = np.zeros((lanes, most), dtype=np.uint16)
+        self.flat = self.words.reshape(-1)
+        self.start = np.arange(lanes) * most
+        self.at = np.zeros(lanes, dtype=np.int64)
+
+    def put(self, lane: np.ndarray, low: np.ndarray) -> None:
+        self.flat[self.start[lane] + self.at[lane]] = low[lane] >> _TOP
+        self.at[lane] += 1
+
+    def write(self, low: np.ndarray, wide: np.ndarray) -> None:
+        """Write the settled top words of each lane and widen its interval again."""
+        ready = _ready(low, wide)
+        while ready.any():
+            self.put(np.flatnonzero(ready), low)
+            shift = ready * _WORD
+            low <<= shift
+            wide <<= shift
+            ready = _ready(low, wide)
 
 
 def decode_block(block: bytes) -> np.ndarray:
@@ -191,17 +208,16 @@ def decode_block(block: bytes) -> np.ndarray:
         start, width = model.interval(now, kind)
         low += unit * start
         wide = unit * width
-        settled = ((low ^ (low + wide)) >> _TOP) == 0
-        lane = np.flatnonzero(settled | (wide < _BOTTOM))
-        while len(lane):
-            a, w = low[lane], wide[lane]
-            w = np.where(settled[lane], w, (np.uint64(0) - a) & (_BOTTOM - np.uint64(1)))
-            code[lane] = (code[lane] << _WORD) | words[np.minimum(at[lane], end)]
+        ready = _ready(low, wide)
+        while ready.any():
+            lane = np.flatnonzero(ready)
+            shift = ready * _WORD
+            code <<= shift
+            code[lane] |= words[np.minimum(at[lane], end)]
             at[lane] += 1
-            a, w = a << _WORD, w << _WORD
-            low[lane], wide[lane] = a, w
-            lane = lane[(((a ^ (a + w)) >> _TOP) == 0) | (w < _BOTTOM)]
-            settled[lane] = ((low[lane] ^ (low[lane] + wide[lane])) >> _TOP) == 0
+            low <<= shift
+            wide <<= shift
+            ready = _ready(low, wide)
         table[step] = now
         model.learn(now)
     ids = np.ascontiguousarray(table.T).reshape(-1)[:n]

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_keys, packed_sorted, prefix_sums, range_hash, units, unpacked, unpacked_sorted, with_units, written
+from .common import U64, batch_of, buckets, cuts, mix, packed_keys, packed_sorted, prefix_sums, range_hash, row_parts, units, unpacked, unpacked_sorted, with_units, written
 
 LENGTH = 200
 ANCHOR = 48
@@ -48,11 +48,19 @@ class Regions:
     """Runs of string starts with one anchor: starts first..last, anchor key and key of all bytes covered."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
+        found = [(np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=U64),) * 2]
+        for first, last in row_parts(offsets):
+            base = offsets[first]
+            begin, end, key, whole = self._found(data[base : offsets[last]], offsets[first : last + 1] - base, length, anchor)
+            found.append((begin + base, end + base, key, whole))
+        self.first, self.last, self.anchor, self.key = (np.concatenate(v) for v in zip(*found))
+
+    @staticmethod
+    def _found(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
         n, wide = len(data), length - anchor + 1
-        self.first = self.last = self.at = np.zeros(0, dtype=np.int64)
-        self.anchor = self.key = np.zeros(0, dtype=U64)
+        none = (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=U64),) * 2
         if n < length:
-            return
+            return none
         sums = prefix_sums(data)
         begin = np.arange(n - anchor + 1)
         grams = range_hash(sums, begin, begin + anchor)
@@ -68,16 +76,14 @@ class Regions:
         whole = np.arange(length, n + 1) <= offsets[row + 1]
         start = np.flatnonzero(whole)
         if not len(start):
-            return
+            return none
         low, row = low[start], row[start]
         new = np.ones(len(start), dtype=bool)
         new[1:] = (low[1:] != low[:-1]) | (row[1:] != row[:-1])
         head = np.flatnonzero(new)
-        self.first = start[head]
-        self.last = start[np.append(head[1:], len(start)) - 1]
-        self.at = (low[head] & ((U64(1) << bits) - U64(1))).astype(np.int64)
-        self.anchor = grams[self.at]
-        self.key = mix(range_hash(sums, self.first, self.last + length) ^ self.anchor)
+        first, last = start[head], start[np.append(head[1:], len(start)) - 1]
+        key = grams[(low[head] & ((U64(1) << bits) - U64(1))).astype(np.int64)]
+        return first, last, key, mix(range_hash(sums, first, last + length) ^ key)
 
     def __len__(self) -> int:
         return len(self.first)
@@ -139,8 +145,8 @@ def _answer(table: pa.Table) -> pa.Table:
     )
 
 
-_DOCUMENT = "unit long, row int, doc_id long, n_bytes long, text binary, spans array<bigint>, regions array<struct<anchor:bigint,start:bigint,starts:bigint>>, rest "
-_REGION = pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("starts", pa.int64())])
+_DOCUMENT = "unit long, row int, doc_id long, n_bytes long, text binary, spans array<bigint>, regions array<struct<anchor:bigint,start:bigint,starts:bigint,again:boolean>>, rest "
+_REGION = pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("starts", pa.int64()), ("again", pa.bool_())])
 
 
 def _learned(docs: DataFrame, length: int) -> DataFrame:
@@ -181,7 +187,7 @@ def _learned(docs: DataFrame, length: int) -> DataFrame:
                     continue
                 sent.add(int(r.key[k]))
             crossed[rows[k]].append(
-                {"anchor": int(r.anchor[k].view(np.int64)), "start": int(r.first[k] - offsets[rows[k]]), "starts": int(r.last[k] - r.first[k] + 1)}
+                {"anchor": int(r.anchor[k].view(np.int64)), "start": int(r.first[k] - offsets[rows[k]]), "starts": int(r.last[k] - r.first[k] + 1), "again": bool(state[k] == AGAIN)}
             )
         return pa.table(
             {
@@ -266,11 +272,16 @@ def repeated_starts(data: np.ndarray, start: np.ndarray, length: int) -> np.ndar
 
 
 def _compared(regions: DataFrame, length: int) -> DataFrame:
-    """Starts (unit, row, start) of regions (anchor, unit, row, start, body) whose string occurs at another start."""
+    """Starts (unit, row, start) of regions (anchor, unit, row, start, body, again) whose string occurs at another start.
+
+    Regions known to repeat (`again`) are only there for others to meet: equal ones
+    are met once, and nothing is said of them.
+    """
     schema = pa.schema([("unit", pa.int64()), ("row", pa.int32()), ("start", pa.int64())])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
+        group: dict[bytes, dict] = {}
 
         def closed() -> pa.RecordBatch:
             body = np.frombuffer(b"".join([r["body"] for r in held]), dtype=np.uint8)
@@ -279,17 +290,25 @@ def _compared(regions: DataFrame, length: int) -> DataFrame:
             inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             hit = repeated_starts(body, np.repeat(at, count) + inner, length)
             which, inner = np.repeat(np.arange(len(held)), count)[hit], inner[hit]
+            new = ~np.array([r["again"] for r in held])[which]
+            which, inner = which[new], inner[new]
             unit, row, start = (np.array([r[c] for r in held], dtype=np.int64) for c in ("unit", "row", "start"))
             return batch_of(schema, unit[which], row[which], start[which] + inner)
 
         for batch in batches:
             for r in batch.to_pylist():
-                if size >= CHUNK and r["anchor"] != last:
-                    yield closed()
-                    held, size = [], 0
-                held.append(r)
-                size += len(r["body"])
-                last = r["anchor"]
+                if r["anchor"] != last:
+                    if len(group) > 1:  # strings of one region differ: they have one anchor at different places
+                        held += group.values()
+                        size += sum(map(len, group))
+                        if size >= CHUNK:
+                            yield closed()
+                            held, size = [], 0
+                    group = {}
+                    last = r["anchor"]
+                group.setdefault(r["body"], r)
+        if len(group) > 1:
+            held += group.values()
         if held:
             yield closed()
 
@@ -300,15 +319,15 @@ def _compared(regions: DataFrame, length: int) -> DataFrame:
                 start = np.arange(len(data) - length + 1)
                 key = range_hash(prefix_sums(data), start, start + length)
                 m = len(start)
-                yield batch_of(keyed, key.view(np.int64), [r["unit"]] * m, [r["row"]] * m, start + r["start"])
+                yield batch_of(keyed, key.view(np.int64), [r["unit"]] * m, [r["row"]] * m, start + r["start"], [r["again"]] * m)
 
-    keyed = pa.schema([("key", pa.int64()), ("unit", pa.int64()), ("row", pa.int32()), ("start", pa.int64())])
+    keyed = pa.schema([("key", pa.int64()), ("unit", pa.int64()), ("row", pa.int32()), ("start", pa.int64()), ("again", pa.bool_())])
     crowded = regions.groupBy("anchor").count().where(F.col("count") > CROWD).select("anchor")
     few = regions.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
     sorted_ = few.mapInArrow(sort, "unit long, row int, start long")
-    many = regions.join(crowded, "anchor", "left_semi").mapInArrow(strings, "key long, unit long, row int, start long")
+    many = regions.join(crowded, "anchor", "left_semi").mapInArrow(strings, "key long, unit long, row int, start long, again boolean")
     twice = many.groupBy("key").count().where("count > 1").select("key")
-    return sorted_.unionByName(many.join(twice, "key", "left_semi").select("unit", "row", "start"))
+    return sorted_.unionByName(many.where("not again").join(twice, "key", "left_semi").select("unit", "row", "start"))
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -318,7 +337,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     known = written(_learned(docs, length), "suffix-regions")
     asked = known.where(F.size("regions") > 0).select("unit", "row", "text", F.explode("regions").alias("r"))
     regions = asked.select(
-        F.col("r.anchor").alias("anchor"), "unit", "row", F.col("r.start").alias("start"),
+        F.col("r.anchor").alias("anchor"), "unit", "row", F.col("r.start").alias("start"), F.col("r.again").alias("again"),
         F.substring("text", F.col("r.start").cast("int") + 1, (F.col("r.starts") + length - 1).cast("int")).alias("body"),
     )
     found = _compared(regions, length).groupBy("unit", "row").agg(F.collect_list("start").alias("more"))  # starts of one document

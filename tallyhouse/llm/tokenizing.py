@@ -20,11 +20,13 @@ from functools import lru_cache
 import numpy as np
 
 END_ID = 1
-CACHE = 1_000_000  # plain pieces that a worker keeps; later ones are encoded each time
-MARKED = 200_000  # pieces with punctuation that it keeps; later ones are put together from their parts
+CACHE = 600_000  # plain pieces that a worker keeps; later ones are encoded each time
+MARKED = 100_000  # pieces with punctuation that it keeps; later ones are put together from their parts
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the capital I with a dot, whose lower case ends in a mark
 _MARKED = re.compile(f"(?<=[{_LETTER}])(?=[!-&(-/:-@[-`{{-~])")
+_LETTERS = frozenset(chr(c) for c in range(0x250) if re.match(f"[{_LETTER}]", chr(c)))
+_ENDS = frozenset(".,;:!?|")
 
 
 def _latin(text: str) -> bool:
@@ -46,7 +48,10 @@ class _Pieces(dict):
         return array("I", self.encode_piece(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        parts = _MARKED.split(piece)
+        if piece[-1:] in _ENDS and piece[-2:-1] in _LETTERS:  # the usual mark after a word
+            parts = (piece[:-1], piece[-1])
+        else:
+            parts = _MARKED.split(piece)
         if len(parts) > 1:
             ids = b"".join([self[p] for p in parts])
             if self.marked:
