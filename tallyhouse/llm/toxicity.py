@@ -119,7 +119,7 @@ def swap_penalty(kept: np.ndarray, terms: list[str] = IDENTITY) -> np.ndarray:
     return table
 
 
-def fit(label: np.ndarray, row: np.ndarray, column: np.ndarray, mentions: np.ndarray, kept: np.ndarray, penalty: float = SWAP_PENALTY, rounds: int = 300) -> Model:
+def fit(label: np.ndarray, row: np.ndarray, column: np.ndarray, mentions: np.ndarray, kept: np.ndarray, penalty: float = SWAP_PENALTY, rounds: int = 600) -> Model:
     """Logistic regression on (row, column) pairs; mentions: how many documents name each term."""
     n, k = len(label), len(kept)
     weight, bias = np.zeros(k), float(np.log((label.mean() + 1e-3) / (1 - label.mean() + 1e-3)))
@@ -128,7 +128,7 @@ def fit(label: np.ndarray, row: np.ndarray, column: np.ndarray, mentions: np.nda
     share = mentions / max(n, 1)
     for _ in range(rounds):
         miss = label - _sigmoid(np.bincount(row, weights=weight[column], minlength=n) + bias)
-        gradient = np.bincount(column, weights=miss[row], minlength=k) / n - 1e-4 * weight
+        gradient = np.bincount(column, weights=miss[row], minlength=k) / n - 1e-5 * weight
         value = terms @ weight
         # d/dw of sum over mentions of the mean over other terms of (value - other)^2 / 2
         gap = share * (value[:-1] - value.mean())
