@@ -34,6 +34,7 @@ BUCKETS = 32
 GRID = 2  # cells to a factor of two
 CELLS = 64 * GRID  # of each probability; the last one is zero
 ROUNDS = 60
+RANGES = 4  # key ranges of a shuffle partition: their keys are sorted one range at a time
 
 
 def tokens(s: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -79,26 +80,27 @@ def _requests(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, unit long, words binary, word_counts binary, pairs binary, pair_counts binary")
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Totals by key, and the totals of each asker's keys in its order."""
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
+    """Totals by key, and the totals of each asker's keys in its order, packed."""
+    at = np.cumsum([0] + [len(k) for k in keys])
     value, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, weights=np.concatenate(counts), minlength=len(value)).astype(np.int64)
-    at = np.cumsum([0] + [len(k) for k in keys])
-    return total, [total[place[i:j]] for i, j in zip(at, at[1:])]
+    return total, [packed_ints(total[place[i:j]]) for i, j in zip(at, at[1:])]
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    rows = table.select(["bucket", "unit", "words", "word_counts", "pairs", "pair_counts"]).to_pylist()
-    total, word = _summed([unpacked_sorted(r["words"]) for r in rows], [unpacked_ints(r["word_counts"]) for r in rows])
-    _, pair = _summed([unpacked_sorted(r["pairs"]) for r in rows], [unpacked_ints(r["pair_counts"]) for r in rows])
+    column = lambda c: table.column(c).to_pylist()
+    buckets_, askers = column("bucket"), column("unit")
+    total, word = _summed([unpacked_sorted(x) for x in column("words")], [unpacked_ints(x) for x in column("word_counts")])
+    _, pair = _summed([unpacked_sorted(x) for x in column("pairs")], [unpacked_ints(x) for x in column("pair_counts")])
     return pa.table(
         {
-            "bucket": pa.array([r["bucket"] for r in rows] + [rows[0]["bucket"]], pa.int32()),
-            "unit": pa.array([r["unit"] for r in rows] + [-1], pa.int64()),
-            "word_totals": pa.array([packed_ints(x) for x in word] + [b""], pa.binary()),
-            "pair_totals": pa.array([packed_ints(x) for x in pair] + [b""], pa.binary()),
-            "distinct": pa.array([0] * len(rows) + [int(np.count_nonzero(total))], pa.int64()),
-            "tokens": pa.array([0] * len(rows) + [int(total.sum())], pa.int64()),
+            "bucket": pa.array([*buckets_, buckets_[0]], pa.int32()),
+            "unit": pa.array([*askers, -1], pa.int64()),
+            "word_totals": pa.array([*word, b""], pa.binary()),
+            "pair_totals": pa.array([*pair, b""], pa.binary()),
+            "distinct": pa.array([0] * len(askers) + [int(np.count_nonzero(total))], pa.int64()),
+            "tokens": pa.array([0] * len(askers) + [int(total.sum())], pa.int64()),
         }
     )
 
@@ -190,7 +192,7 @@ class _Unit:
 def scored(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, training): doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
     docs = docs.select("doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
-    n = buckets(docs.sparkSession)
+    n = RANGES * buckets(docs.sparkSession)
     answers = _requests(docs, n).groupBy("bucket").applyInArrow(
         _answer, "bucket int, unit long, word_totals binary, pair_totals binary, distinct long, tokens long"
     )
