@@ -19,6 +19,8 @@ from ..session import ensure_checkpoint_dir
 
 SLICE = 1 << 20
 SHINGLE = 5
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long, and a batch is held on both sides
+BROADCAST_ROWS = 500_000  # rows of a few numbers each that may be broadcast, once they are counted
 U64 = np.uint64
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -31,10 +33,38 @@ _BASE_INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 _powers = [np.ones(1, dtype=U64), np.ones(1, dtype=U64)]
 
 
+_scratch: list[str] = []
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (spark.checkpoint.dir)."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def scratch_mark() -> int:
+    """A point in time for drop_scratch."""
+    return len(_scratch)
+
+
+def drop_scratch(spark: SparkSession, since: int, until: int) -> None:
+    """Delete the tables that were written between two marks, once nothing reads them any more."""
+    for k in range(since, until):
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch[k])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Give workers BATCH_ROWS rows at a time, unless the session asks for fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast what is counted to be small; Spark joins the rest by shuffle. df should be cheap to read twice."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -45,6 +75,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 

@@ -9,8 +9,8 @@ at least: no containing document is lost. Documents, long and unsketched, probe
 the sketches with all their shingles; documents that hit are read again, and the
 shared shingles are counted exactly, as words.
 
-Only sketches and items are broadcast, and only where their counted size is below
-`broadcast_limit`; beyond it Spark joins them by shuffle.
+Sketches, items and ids of documents are broadcast only where their counted rows
+are below `broadcast_limit`; beyond it Spark joins them by shuffle.
 
 Defined cases: null or empty texts and items hold no shingle and match nothing; an
 item text that repeats under an item_id counts once, different texts under one
@@ -25,8 +25,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import BROADCAST_ROWS, small, written
+
 SHINGLE = 5
-BROADCAST_LIMIT = 500_000  # index rows of two or three numbers each
 PATTERN = r"([^\x20\x09-\x0D]+)"
 
 
@@ -70,29 +71,25 @@ def item_sketches(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return whole.drop("hashes"), sketches
 
 
-def _small(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast what is counted to be small."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
-def contained(docs: DataFrame, items: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+def contained(docs: DataFrame, items: DataFrame, broadcast_limit: int = BROADCAST_ROWS) -> DataFrame:
     """Pairs (doc_id, item_id, n_shingles, n_shared, containment) with at least 80 % of the item's shingles in the document."""
-    whole, sketches = item_sketches(items)
+    whole, sketches = (written(df, "items") for df in item_sketches(items))
     widths = sorted(r.width for r in whole.select("width").distinct().collect())  # at most five numbers
     if not widths:
         none = "doc_id long, item_id long, n_shingles long, n_shared long, containment double"
         return docs.sparkSession.createDataFrame([], none)
-    read = docs.where("doc_id is not null and text is not null").select("doc_id", _words("text").alias("words"))
-    probes = read.select("doc_id", _word_hashes(F.col("words")).alias("words"))
+    docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    probes = docs.select("doc_id", _word_hashes(_words("text")).alias("words"))
     probes = reduce(DataFrame.unionByName, [probes.select("doc_id", F.explode(_hashes(F.col("words"), n)).alias("hash")) for n in widths])
-    candidates = probes.join(_small(sketches.select("item", "hash").distinct(), broadcast_limit), "hash").select("doc_id", "item").distinct()
+    candidates = probes.join(small(sketches.select("item", "hash").distinct(), broadcast_limit), "hash").select("doc_id", "item").distinct()
+    candidates = written(candidates, "candidates")
 
     runs = whole.select("item", "item_id", "size", "width", F.explode(_texts(F.col("words"), F.col("width"))).alias("run"))
-    held = read.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
+    held = docs.join(small(candidates.select("doc_id").distinct(), broadcast_limit), "doc_id", "left_semi").select("doc_id", _words("text").alias("words"))
     held = reduce(
         DataFrame.unionByName, [held.where(F.size("words") >= n).select("doc_id", F.lit(n).alias("width"), F.explode(_texts(F.col("words"), n)).alias("run")) for n in widths]
     )
-    shared = held.join(_small(runs, broadcast_limit), ["width", "run"]).select("doc_id", "item", "item_id", "size", "run").distinct()
+    shared = held.join(small(runs, broadcast_limit), ["width", "run"]).select("doc_id", "item", "item_id", "size", "run").distinct()
     counted = shared.groupBy("doc_id", "item", "item_id", "size").agg(F.count("*").alias("n_shared"))
     exact = counted.where(F.col("n_shared") >= needed(F.col("size"))).join(candidates, ["doc_id", "item"], "left_semi")
     best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("size")).alias("containment"), "size", "n_shared")).alias("best"))
@@ -103,7 +100,8 @@ def contained(docs: DataFrame, items: DataFrame, broadcast_limit: int = BROADCAS
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that contain an item; rows without doc_id stay."""
-    return docs.join(contained(docs, items).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    found = written(contained(docs, items).select("doc_id").distinct(), "contaminated")
+    return docs.join(small(found), "doc_id", "left_anti").select(*docs.columns)
 
 
 SQL = r"""

@@ -1,8 +1,8 @@
 """N-gram Jaccard join by count vectors in packed R-trees.
 
 A document's set is its distinct shingles of five words. The shingles of a set are
-hashed into GROUPS groups; the counts are a point, and the sum over groups of the
-smaller count bounds the overlap of two sets from above. An R-tree packs the points
+hashed into groups; the counts are a point, and the sum over groups of the smaller
+count bounds the overlap of two sets from above. An R-tree packs the points
 of a block in order of size and coordinates; pairs of nodes, and then of points,
 whose bound is below what the wanted similarity needs are left out, and the
 surviving pairs are verified on the sets themselves.
@@ -13,7 +13,8 @@ many units repeat last, by a count over all documents; it decides how large bloc
 are, not what is found. Equal sets are one class from the start and travel once a unit.
 
 1. Each shared prefix shingle is a block. Every member is compared with the block's
-   smallest member, linear work however large the block; the links found are merged.
+   smallest member, and where it stays apart with the member that shares most: linear
+   work however large the block. The links found are merged.
 2. Blocks whose members are by now in one component are done. The others are compared
    whole, in tiles of bounded size, without pairs already in one component.
 In both, R-trees over the count vectors of a tile name the pairs; only for those do
@@ -33,13 +34,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, shingles, slices, units, unpacked, unpacked_ints, unpacked_sorted, words, written
+from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, shingles, slices, small, units, unpacked, unpacked_ints, unpacked_sorted, words, written
 from .components import components
 
-GROUPS = 64
+GROUPS = 64  # of the tree; larger sets have more, folded to these there
 NODE = 16  # points of a leaf
 TILE = 128  # sets on one side of a tile
-FREQUENT = 100_000  # shingles that are put last; only an order
+FREQUENT = 200_000  # shingles that are put last; only an order
 
 
 def sets_of(s: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +79,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
             found = np.sort(found)
             head = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, dtype=np.int64)
             count = np.diff(np.append(head, len(found)))
-            many = count > 3
+            many = count > 1
             keys, count = found[head[many]], count[many]
             at = cuts(keys, n)
             rows = [k for k in range(n) if at[k] < at[k + 1]]
@@ -128,9 +129,9 @@ def _prefixes(s: Slice, last: np.ndarray, rank: np.ndarray, percent: int) -> tup
 
 
 def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFrame:
-    """Rows (block, member, size, pivot, the pivot's size, members of the block) of prefix shingles shared by several sets; blocks of equal members are one."""
+    """Rows (block, member, size, pivot, the pivot's size, number and mark of all members) of prefix shingles shared by several sets."""
     schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("members", pa.binary())])
-    out = pa.schema([("block", pa.int64()), ("member", pa.int64()), ("size", pa.int64()), ("pivot", pa.int64()), ("other", pa.int64()), ("members", pa.int64())])
+    out = pa.schema([("block", pa.int64()), ("member", pa.int64()), ("size", pa.int64()), ("pivot", pa.int64()), ("other", pa.int64()), ("members", pa.int64()), ("mark", pa.int64())])
     by = np.argsort(last)
     last, rank = last[by], by
 
@@ -163,7 +164,7 @@ def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFram
         head, count = head[count > 1], count[count > 1]
         # Blocks with the same members ask the same question.
         sums = np.concatenate([[U64(0)], np.cumsum(mix(member))]).astype(U64)
-        _, pick = np.unique(sums[head + count] - sums[head], return_index=True)
+        mark, pick = np.unique(sums[head + count] - sums[head], return_index=True)
         head, count = head[pick], count[pick]
         inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         where = np.repeat(head, count) + inner
@@ -171,21 +172,33 @@ def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFram
         return pa.Table.from_arrays(
             [
                 as_long(np.repeat(keys[head], count)), as_long(member[where]), size[where].astype(np.int64), as_long(np.repeat(member[head], count)),
-                np.repeat(size[head], count).astype(np.int64), np.repeat(count, count),
+                np.repeat(size[head], count).astype(np.int64), np.repeat(count, count), as_long(np.repeat(mark, count)),
             ],
             schema=out,
         )
 
     sent = docs.select("doc_id", "text").mapInArrow(run, "bucket int, keys binary, sizes binary, members binary")
-    return sent.groupBy("bucket").applyInArrow(shared, "block long, member long, size long, pivot long, other long, members long")
+    return sent.groupBy("bucket").applyInArrow(shared, "block long, member long, size long, pivot long, other long, members long, mark long")
 
 
-def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
-    """Counts of each set's shingles by group."""
-    out = np.zeros((len(sets), GROUPS), dtype=np.int32)
-    for k, s in enumerate(sets):
-        out[k] = np.bincount((s >> U64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return out
+def groups_of(size: int) -> int:
+    """Groups for a set: a power of two, one or two to a shingle. Fewer could not tell a similarity of 0.75 from one of 0.8."""
+    return max(GROUPS, 1 << max(0, (size - 1).bit_length()))
+
+
+def count_vector(shingle_set: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles by group; groups are ranges of the hash, so that neighbours can be folded."""
+    n = groups_of(len(shingle_set))
+    return np.bincount((shingle_set >> U64(64 - (n.bit_length() - 1))).astype(np.int64), minlength=n)
+
+
+def folded(vector: np.ndarray, n: int) -> np.ndarray:
+    return vector if len(vector) == n else vector.reshape(n, -1).sum(axis=1)
+
+
+def may_reach(bound, sizes, percent: int):
+    """Whether an overlap of `bound` allows Jaccard >= percent / 100 for sets whose sizes add up to `sizes`."""
+    return bound * (100 + percent) >= percent * sizes
 
 
 class RTree:
@@ -208,8 +221,7 @@ class RTree:
         for level in range(len(self.levels) - 1, -1, -1):
             high, small, large = (v[at] for v in self.levels[level])
             bound = np.minimum(high, point).sum(axis=1)
-            # overlap * (100 + percent) >= percent * (sizes): needed by Jaccard >= percent / 100
-            fits = (bound * (100 + percent) >= percent * (size + small)) & (100 * large >= percent * size) & (100 * size >= percent * small)
+            fits = may_reach(bound, size + small, percent) & (100 * large >= percent * size) & (100 * size >= percent * small)
             at = at[fits]
             if level:
                 at = (at[:, None] * NODE + np.arange(NODE)).ravel()
@@ -226,15 +238,19 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def near_pairs(labels: list[int], sides: list[int], points: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def near_pairs(labels: list[int], sides: list[int], vectors: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Places of pairs whose counts allow the similarity. Sides: 0 and 1 are compared with each other, 2 with all; equal labels are not."""
-    tree, pairs = RTree(points), []
+    points = np.stack([folded(v, GROUPS) for v in vectors])
+    tree, sizes, pairs = RTree(points), points.sum(axis=1), []
     for k in range(len(labels)):
         if sides[k] == 1:
             continue
         for other in tree.near(points[k], percent).tolist():
             if labels[other] != labels[k] and (sides[other] != sides[k] or (sides[k] == 2 and other > k)):
-                pairs.append((k, other))
+                n = min(len(vectors[k]), len(vectors[other]))
+                bound = np.minimum(folded(vectors[k], n), folded(vectors[other], n)).sum() if n > GROUPS else sizes[k]
+                if may_reach(bound, sizes[k] + sizes[other], percent):
+                    pairs.append((k, other))
     return pairs
 
 
@@ -246,8 +262,8 @@ def _candidates(tiles: DataFrame, keys: list[str], sets: DataFrame, percent: int
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.select(["member", "label", "side", "counts"]).to_pylist()
-        points = np.stack([unpacked(r["counts"], np.int32) for r in rows])
-        pairs = near_pairs([r["label"] for r in rows], [r["side"] for r in rows], points, percent)
+        vectors = [unpacked_ints(r["counts"]).astype(np.int64) for r in rows]
+        pairs = near_pairs([r["label"] for r in rows], [r["side"] for r in rows], vectors, percent)
         names = [(rows[i]["member"], rows[j]["member"]) for i, j in pairs]
         return pa.Table.from_arrays([pa.array([min(x) for x in names], pa.int64()), pa.array([max(x) for x in names], pa.int64())], schema=_PAIR)
 
@@ -281,12 +297,57 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             # Rows may share a doc_id: only the text that has the wanted set counts.
             kept = [(m, np.sort(found[i:j])) for m, k, i, j in zip(s.batch.column("member").to_pylist(), name, at, at[1:]) if m == k]
             sets = [x for _, x in kept]
-            yield batch_of(schema, [m for m, _ in kept], [packed_keys(x) for x in sets], [packed_keys(c) for c in count_vectors(sets)])
+            yield batch_of(schema, [m for m, _ in kept], [packed_keys(x) for x in sets], [packed_ints(count_vector(x)) for x in sets])
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("member", "text")
+    texts = docs.select("doc_id", "text").join(small(wanted), "doc_id").select("member", "text")
     return texts.mapInArrow(run, "member long, shingles binary, counts binary")
 
 
+def _against(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that the counts let through among (pivot, member, members), in tiles of a pivot and some TILE members."""
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    dealt = pairs.select("pivot", "member", tiles.alias("tiles")).select(
+        "pivot", "tiles", F.pmod(F.xxhash64("member"), "tiles").cast("int").alias("tile"), "member", F.lit(1).alias("side")
+    )
+    heads = dealt.select("pivot", "tiles", "tile").distinct().select("pivot", "tiles", "tile", F.col("pivot").alias("member"), F.lit(0).alias("side"))
+    rows = dealt.unionByName(heads).withColumn("label", F.col("member"))
+    return _candidates(rows, ["pivot", "tiles", "tile"], sets, percent)
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return written(components(links), "labels").select(F.col("node").alias("member"), "label")
+
+
+def _apart(met: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs (pivot, member) of different components."""
+    of_pivot = label.select(F.col("member").alias("pivot"), F.col("label").alias("pivot_label"))
+    both = met.join(label, "member", "left").join(of_pivot, "pivot", "left")
+    return both.where(F.coalesce("label", "member") != F.coalesce("pivot_label", "pivot")).select("pivot", "member")
+
+
+def _tiles(blocks: DataFrame) -> DataFrame:
+    """Rows (block, i, j, member, label, side) of tiles that bring each two members of different labels of a block together.
+
+    The members of a block's most frequent label need not meet each other: their
+    parts meet the parts of the other members, and those meet among themselves.
+    """
+    counts = blocks.groupBy("block", "label").agg(F.count("*").alias("n"))
+    per = counts.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    parts = lambda n: F.ceil(n / TILE).cast("int")
+    per = written(per.select("block", "main", parts(F.col("most")).alias("m"), parts(F.col("all") - F.col("most")).alias("o")), "block-parts")
+    rows = blocks.join(per, "block").withColumn("is_main", F.col("label") == F.col("main"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("member"), F.when(F.col("is_main"), F.col("m")).otherwise(F.col("o"))).cast("int"))
+    last = F.when(F.col("is_main"), F.col("o")).otherwise(F.col("o") + F.col("m")) - 1
+    rows = rows.select("block", "member", "label", "is_main", "own", "o", F.explode(F.sequence(F.lit(0), last)).alias("k"))
+    among = ~F.col("is_main") & (F.col("k") < F.col("o"))  # parts of others with each other
+    return rows.select(
+        "block", "member", "label",
+        F.when(F.col("is_main"), F.col("k")).when(among, F.least("own", "k")).otherwise(F.col("own")).alias("i"),
+        F.when(F.col("is_main"), F.col("o") + F.col("own")).when(among, F.greatest("own", "k")).otherwise(F.col("k")).alias("j"),
+        F.when(F.col("is_main"), 1).when(among & (F.col("own") == F.col("k")), 2).when(among & (F.col("own") > F.col("k")), 1).otherwise(0).alias("side"),
+    )
+
+
 def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per document of `docs` (doc_id, text): doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
@@ -296,40 +357,47 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     # A set's class: its smallest document. Its name on the way is the first half of its identity.
     classes = known.where("size > 0").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id"))
     named = written(classes.groupBy("a").agg(F.min("doc_id").alias("doc_id")).select(F.col("a").alias("member"), "doc_id"), "classes")
-    blocks = written(_blocks(docs, n, _frequent(read.where("bucket is not null")), percent), "blocks")
+    blocks = written(_blocks(docs, n, _frequent(read.where("bucket is not null")), percent), "all-blocks")
+    # Blocks with the same members, wherever their shingles were gathered, are one.
+    one = written(blocks.groupBy("mark", "members").agg(F.min("block").alias("block")).select("block"), "one-of-equal")
+    blocks = written(blocks.join(one, "block", "left_semi").drop("mark"), "blocks")
 
     fits = "100 * least(size, other) >= {0} * greatest(size, other)".format(percent)
     first = blocks.where("member <> pivot").where(fits).groupBy("pivot", "member").agg(F.max("members").alias("members"))
     first = written(first, "first-pairs")
     needed = first.select("member").union(first.select("pivot")).union(blocks.where("members > 2").select("member")).distinct()
-    sets = written(_sets(docs, named.join(needed, "member")), "shingles")
+    sets = written(_sets(docs, written(named.join(needed, "member"), "wanted")), "shingles")
 
-    # Every member against the pivot of its block, in tiles of one pivot and TILE members.
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    dealt = first.select("pivot", "member", tiles.alias("tiles")).select(
-        "pivot", "tiles", F.pmod(F.xxhash64("member"), "tiles").cast("int").alias("tile"), "member", F.lit(1).alias("side")
-    )
-    heads = dealt.select("pivot", "tiles", "tile").distinct().select("pivot", "tiles", "tile", F.col("pivot").alias("member"), F.lit(0).alias("side"))
-    rows = dealt.unionByName(heads).withColumn("label", F.col("member"))
-    pairs = written(_candidates(rows, ["pivot", "tiles", "tile"], sets, percent), "pairs")
+    # Every member against the smallest of its block.
+    pairs = written(_against(first, sets, percent), "pairs")
     found = written(_verified(pairs, sets, percent), "links")
-    label = written(components(found), "labels").select(F.col("node").alias("member"), "label")
-
-    # Blocks that still hold several components, whole.
-    open_ = blocks.where("members > 2").join(label, "member", "left").select("block", "member", "members", F.coalesce("label", "member").alias("label"))
-    open_ = written(open_, "labelled-blocks")
-    several = open_.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    several = written(several.select("block"), "several")
-    rest = open_.join(several, "block").withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("member"), "tiles").cast("int"))
-    # Tile (i, j) holds parts i and j of a block, i <= j.
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    rest = rest.select("block", "member", "label", "own", other).select(
-        "block", "member", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-    )
+    label = _labels(found)
+
+    # Those that are still apart, against the member of theirs that shares most: copies gather around what they were copied from.
+    large = blocks.where("members > 2")
+    met = written(large.where("member <> pivot").select("pivot", "member").distinct(), "met")
+    apart = written(_apart(met, label), "apart")
+    shared = blocks.groupBy("member").agg(F.sum("members").alias("shared"))
+    hubs = met.join(apart.select("pivot").distinct(), "pivot", "left_semi").join(shared, "member").groupBy("pivot").agg(
+        F.max_by("member", F.struct("shared", "member")).alias("hub"), F.count("*").alias("members")
+    )
+    ends = apart.unionByName(apart.select("pivot", F.col("pivot").alias("member")).distinct())
+    second = ends.join(written(hubs, "hubs"), "pivot").where("member <> hub").groupBy(F.col("hub").alias("pivot"), "member").agg(F.max("members").alias("members"))
+    second = _against(written(second, "second-pairs"), sets, percent).join(pairs, ["a", "b"], "left_anti")
+    second = written(second, "hub-pairs")
+    pairs = written(pairs.unionByName(second), "both-pairs")
+    found = written(found.unionByName(_verified(second, sets, percent)), "both-links")
+    label = _labels(found)
+
+    # Blocks that still hold several components, whole: some member is not with its pivot.
+    apart = written(_apart(met, label), "still-apart")
+    several = written(large.join(apart, ["pivot", "member"], "left_semi").select("block").distinct(), "several")
+    open_ = large.join(several, "block", "left_semi").join(label, "member", "left")
+    open_ = written(open_.select("block", "member", "members", F.coalesce("label", "member").alias("label")), "open-blocks")
+    rest = _tiles(open_)
     # Pairs that were verified before are not verified again.
-    more = _candidates(rest, ["block", "i", "j"], sets, percent).join(pairs, ["a", "b"], "left_anti")
-    links = written(found.unionByName(_verified(written(more, "more-pairs"), sets, percent)), "all-links")
+    more = written(_candidates(rest, ["block", "i", "j"], sets, percent), "more-pairs").join(pairs, ["a", "b"], "left_anti")
+    links = written(found.unionByName(_verified(written(more, "new-pairs"), sets, percent)), "all-links")
 
     # Names back to documents: equal sets and links between sets.
     first_of = named.select(F.col("member").alias("a"), F.col("doc_id").alias("x"))
@@ -350,7 +418,7 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     found = joined(docs, percent)
     kept = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
     ids = written(found.groupBy("doc_id").agg(kept.alias("kept"), F.count("*").alias("rows")), "kept-ids")
-    stay = docs.join(ids.where("kept = 0").select("doc_id"), "doc_id", "left_anti")
+    stay = docs.join(small(ids.where("kept = 0").select("doc_id")), "doc_id", "left_anti")
     repeated = ids.where("kept = 1 and rows > 1").select("doc_id")
     if repeated.isEmpty():
         return stay.select(*docs.columns)

@@ -250,3 +250,16 @@ def test_pipeline_stages_on_odd_tables(spark, docs, none, twice):
         corpus_pipeline.STAGES[-1][1](spark, frame, FOLDER).count()
     kept = corpus_pipeline.repeats_stage(spark, docs, FOLDER).collect()
     assert {r.unit for r in kept} == {1} and {r.rest for r in kept} == {4}
+
+
+def test_scratch_tables_of_a_stage_go_when_the_next_begins(spark, docs):
+    import os
+
+    import corpus_pipeline
+
+    begun = common.scratch_mark()
+    kept = common.written(corpus_pipeline.repeats_stage(spark, docs, FOLDER), "kept")
+    made = [p.removeprefix("file:") for p in common._scratch[begun:]]
+    assert all(os.path.exists(p) for p in made) and len(made) > 1
+    corpus_pipeline.quality_stage(spark, kept, FOLDER)
+    assert [os.path.exists(p) for p in made] == [False] * (len(made) - 1) + [True]

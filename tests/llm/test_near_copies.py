@@ -50,12 +50,17 @@ def test_bound_never_loses_a_pair():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64)) for _ in range(60)]
     sets += [np.sort(np.concatenate([s[:38], rng.integers(0, 2**63, int(rng.integers(0, 6)), dtype=np.uint64)])) for s in sets[:40]]
-    points = jaccard_join.count_vectors(sets)
+    sets += [np.unique(rng.integers(0, 2**63, 4000, dtype=np.uint64) * np.uint64(2)) for _ in range(20)]
+    sets += [np.sort(np.concatenate([s[:3800], rng.integers(0, 2**63, 300, dtype=np.uint64)])) for s in sets[-20:]]
+    vectors = [jaccard_join.count_vector(s) for s in sets]
+    points = np.stack([jaccard_join.folded(v, jaccard_join.GROUPS) for v in vectors])
+    assert (points.sum(axis=1) == [len(s) for s in sets]).all()
     tree = jaccard_join.RTree(points)
     for k, s in enumerate(sets):
-        near = set(tree.near(points[k], 80).tolist())
-        assert {j for j, t in enumerate(sets) if jaccard_join.similar(s, t, 80)} <= near
-        assert len(near) < 60  # most others are left out by their counts
+        assert {j for j, t in enumerate(sets) if jaccard_join.similar(s, t, 80)} <= set(tree.near(points[k], 80).tolist())
+    pairs = set(jaccard_join.near_pairs(list(range(len(sets))), [2] * len(sets), vectors, 80))
+    true = {(j, k) for k, s in enumerate(sets) for j, t in enumerate(sets[:k]) if jaccard_join.similar(s, t, 80)}
+    assert len(true) > 40 and true <= pairs and len(pairs) < 4 * len(true)  # most others are left out by their counts
 
 
 def test_components_of_chains_stars_and_rings(spark):
