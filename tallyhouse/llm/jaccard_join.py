@@ -424,3 +424,22 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
         return stay.select(*docs.columns)
     once = stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return stay.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach AS (
+  SELECT doc_id AS src, doc_id AS dst FROM documents UNION SELECT src, b FROM reach JOIN links ON a = dst
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT src AS doc_id, min(dst) AS component_id FROM reach GROUP BY 1) c USING (doc_id)
+"""

@@ -101,3 +101,6 @@ def op6_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", "doc_id", "text").withColumn("training", F.coalesce(fold("doc_id", 7) != 2, F.lit(True)))
     scored = interpolation.scored(docs)
     return scored.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+ORACLES["op3_jaccard_join"] = jaccard_join.SQL
