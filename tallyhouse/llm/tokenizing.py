@@ -20,8 +20,8 @@ from functools import lru_cache
 import numpy as np
 
 END_ID = 1
-CACHE = 500_000  # plain pieces that a worker keeps; later ones are encoded each time
-MARKED = 100_000  # pieces with punctuation that it keeps; later ones are put together from their parts
+CACHE = 1_200_000  # plain pieces that a worker keeps; later ones are encoded each time
+MARKED = 200_000  # pieces with punctuation that it keeps; later ones are put together from their parts
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the capital I with a dot, whose lower case ends in a mark
 _MARKED = re.compile(f"(?<=[{_LETTER}])(?=[!-&(-/:-@[-`{{-~])")
