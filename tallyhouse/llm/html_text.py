@@ -6,7 +6,8 @@ length and mean punctuation, less what is link text, make the path's ratio. Rati
 over neighbouring blocks, fused with the ratio of the element that holds most of
 the weighted text, and paths above a threshold are content: a low one inside that
 element, a high one outside. Elements that are never article text (menus, forms,
-page headers and the like, by tag or by class and id words) are left out before.
+page headers and the like, by tag or by class and id words) are left out before,
+unless they are wrappers around the page's article or most of its text.
 
 Defined cases: null or empty html gives an empty text; unclosed elements end
 where a parent or a like element ends; an unclosed comment, script or style runs
@@ -48,6 +49,8 @@ SIDE_WORDS = set(
     "sidebar side aside footer header masthead topbar cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login "
     "share sharing social related recommended comment comments reply replies respond disqus widget toolbar pagination pager search".split()
 )
+HEADER_WORDS = {"header", "masthead"}  # content inside an article
+MAYBE, SIDE = 1, 2  # marks: a side word within a class or id, or a form; a class or id that is a side word, or another element of NEVER
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -58,6 +61,21 @@ def _labels(attributes: str) -> list[str]:
     return [w for m in NAMES.findall(attributes) for w in re.split(r"[^a-z0-9]+", "".join(m).lower()) if w] if attributes else []
 
 
+def _mark(name: str, attributes: str, in_article: bool) -> int:
+    """How surely an element is not article text, by its tag, classes, id and role."""
+    if name == "form":
+        return MAYBE
+    if name in NEVER or (name == "header" and not in_article):
+        return SIDE
+    if name in ("html", "body") or not attributes:
+        return 0
+    words = SIDE_WORDS - HEADER_WORDS if in_article else SIDE_WORDS
+    values = [v for m in NAMES.findall(attributes) for v in "".join(m).lower().split()]
+    if not words.isdisjoint(values):
+        return SIDE
+    return MAYBE if any(not words.isdisjoint(re.split(r"[^a-z0-9]+", v)) for v in values) else 0
+
+
 class Block:
     __slots__ = ("text", "path", "chain", "links")
 
@@ -65,17 +83,52 @@ class Block:
         self.text, self.path, self.chain, self.links = text, path, chain, links
 
 
+def _left_out(found: list[Block], elements: list[tuple[str, int, tuple[int, ...]]]) -> set[int]:
+    """Numbers of the marked elements (tag, mark, chain) that are no wrappers.
+
+    The page's article is the article element with the most text that is neither
+    marked SIDE nor in such an element, or else main. A marked element stays where it
+    holds that or main; one marked MAYBE also with more than half of the text of the
+    article around it or of the page, one marked SIDE on a page without an article
+    with more than 0.8 of it.
+    """
+    marked = {k for k, (tag, mark, _) in enumerate(elements) if mark and tag not in ("article", "main")}
+    if not marked:
+        return marked
+    held, total = defaultdict(int), 0
+    for b in found:
+        w = max(len(b.text) - b.links, 0)
+        total += w
+        for e in b.chain:
+            held[e] += w
+    named = [k for k, (tag, _, _) in enumerate(elements) if tag in ("article", "main") and held[k]]
+    clean = [k for k in named if elements[k][0] == "article" and not any(elements[e][1] == SIDE for e in elements[k][2])]
+    mains = [k for k in named if elements[k][0] == "main"]
+    article = max(clean or mains, key=lambda k: held[k], default=None)
+    kept = {e for k in [*mains, *([] if article is None else [article])] for e in elements[k][2]}
+    for e in marked:
+        around = held[article] if article in elements[e][2] else total
+        if elements[e][1] == MAYBE:
+            wrapper = held[e] > 0.5 * around
+        else:
+            wrapper = article is None and held[e] > 0.8 * total
+        if wrapper:
+            kept.add(e)
+    return marked - kept
+
+
 def blocks(html: str) -> list[Block]:
     """Text blocks of a page in order, without what lies in elements that are never article text."""
     found: list[Block] = []
-    stack: list[tuple[str, str, int, bool]] = []  # tag, path step, element number, left out
+    stack: list[tuple[str, str, int]] = []  # tag, path step, element number
+    elements: list[tuple[str, int, tuple[int, ...]]] = []  # tag, mark, element numbers down to it
     parts: list[str] = []
-    state = {"links": 0, "number": 0}
+    state = {"links": 0}
     link = False
 
     def close() -> None:
         text = SPACE.sub(" ", unescape("".join(parts))).strip()
-        if text and not (stack and stack[-1][3]):
+        if text:
             found.append(Block(text, "/".join(x[1] for x in stack), tuple(x[2] for x in stack), state["links"]))
         parts.clear()
         state["links"] = 0
@@ -122,13 +175,12 @@ def blocks(html: str) -> list[Block]:
                 break
         labels = _labels(m[3])
         in_article = any(x[0] in ("article", "main") for x in stack)
-        out = bool(stack and stack[-1][3]) or name in NEVER or (name == "header" and not in_article)
-        out = out or (name not in ("html", "body", "article", "main") and not SIDE_WORDS.isdisjoint(labels))
-        state["number"] += 1
         if not m[3].rstrip().endswith("/"):
-            stack.append((name, ".".join([name, *labels[:2]]), state["number"], out))
+            stack.append((name, ".".join([name, *labels[:2]]), len(elements)))
+            elements.append((name, _mark(name, m[3], in_article), tuple(x[2] for x in stack)))
     close()
-    return found
+    out = _left_out(found, elements)
+    return [b for b in found if out.isdisjoint(b.chain)] if out else found
 
 
 def main_text(html: str) -> str:
@@ -162,9 +214,9 @@ def main_text(html: str) -> str:
     at, around = max(((b.chain, b.path.split("/")) for b in found), key=lambda c: sum(e in large for e in c[0]))
     inner = [(e, step.split(".")[0]) for e, step in zip(at, around) if e in large]
     named = [e for e, tag in inner if tag in ("article", "main")]
-    core = named[-1] if named else inner[-1][0] if inner else 0
+    core = named[-1] if named else inner[-1][0] if inner else None
     best = max(fused.values())
-    kept = [b.text for b in found if ratio[b.path] > 0 and fused[b.path] >= (INSIDE if core in b.chain or not core else OUTSIDE) * best]
+    kept = [b.text for b in found if ratio[b.path] > 0 and fused[b.path] >= (INSIDE if core is None or core in b.chain else OUTSIDE) * best]
     return "\n".join(kept)
 
 

@@ -191,6 +191,28 @@ def test_page_text(html, want):
     assert html_text.main_text(html or "") == want
 
 
+STORY = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+STORY_TEXT = f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<div class='content-sidebar-wrap'><article>{STORY}</article><div class='sidebar'>{LONG}</div></div>",
+        f"<div class='no-sidebar'><div class='story'>{STORY}</div></div><div class='site-footer'>legal, text.</div>",
+        f"<div class='post has-comments'><main>{STORY}</main></div><div id='comments'><article><p>{LONG * 9}</p></article></div>",
+        f"<form id='aspnetForm'><div class='menu'>menu.</div><article class='post has-ads'><div class='entry no-share'>{STORY}</div></article></form>",
+        f"<article><header class='entry-header'><h1>T</h1></header><p>{LONG}</p><p>{LONG}</p><div class='share-buttons'>Share this.</div></article>",
+        f"<article><div class='article-header'><h1>T</h1></div><p>{LONG}</p><p>{LONG}</p><div class='related'>{LONG}</div></article>",
+        f"<div class='sidebar'><article>{STORY}</article></div>",
+        f"<article>{STORY}</article><div class='comments'><article><p>{LONG * 9}</p></article></div><div class='related-posts'><article><p>{LONG}</p></article></div>",
+        f"<div class='story'>{STORY}</div><div class='comments'><article><p>{LONG}</p></article></div>",
+    ],
+)
+def test_wrappers_with_side_words(html):
+    assert html_text.main_text(f"<body class='has-sidebar'>{html}</body>") == STORY_TEXT
+
+
 def test_pages_frame(spark):
     pages = spark.createDataFrame([(1, "u", "<p>é &eacute;</p>"), (1, "u", "<p>é &eacute;</p>"), (2, None, None), (None, "v", "")], "page_id long, url string, html string")
     got = sorted([tuple(r) for r in html_text.extracted(pages.withColumn("text", F.lit("clash"))).collect()], key=str)
