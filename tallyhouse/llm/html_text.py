@@ -10,8 +10,10 @@ page headers and the like, by tag or by class and id words) are left out before,
 unless they are wrappers around the page's article or most of its text.
 
 Defined cases: null or empty html gives an empty text; unclosed elements end
-where a parent or a like element ends; an unclosed comment, script or style runs
-to the end of the page; repeated rows are extracted one by one; other columns are
+where a parent or a like element ends; an unclosed comment, script, style or textarea
+runs to the end of the page, any other unclosed element without text (a video or
+select, say) to the end of its parent or the next block; one that closes itself
+with "/>" holds nothing; repeated rows are extracted one by one; other columns are
 ignored.
 """
 
@@ -32,6 +34,8 @@ INSIDE, OUTSIDE = 0.02, 0.6  # thresholds, as a share of the best path's ratio
 
 # Element names by role.
 RAW = set("script style textarea title noscript template iframe svg math select object canvas audio video".split())
+TO_THE_END = {"script", "style", "textarea"}  # their content is no markup, whatever it holds
+LITERAL = {name: re.compile(rf"</?(?:{name}|head|body)\b[^>]*>?" if name not in TO_THE_END else rf"</?{name}\b[^>]*>?", re.I) for name in (*TO_THE_END, "title", "iframe")}
 NEVER = set("head nav footer aside form button menu dialog fieldset label".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
@@ -54,6 +58,7 @@ MAYBE, SIDE = 1, 2  # marks: a side word within a class or id, or a form; a clas
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]*/$""")
 SPACE = re.compile(r"\s+")
 
 
@@ -83,6 +88,76 @@ class Block:
         self.text, self.path, self.chain, self.links = text, path, chain, links
 
 
+def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
+    """Tags of a page (start, end, name, closing, attributes); an element of RAW is one nameless tag over all its content.
+
+    What stands between the end of a tag and the start of the next is text.
+    """
+    tags: list[tuple[int, int, str, bool, str]] = []
+    ends: dict[int, int] = {}  # place of an opening tag of RAW, place of the tag that ends it
+    opened: list[tuple[str, int]] = []
+    count: dict[str, int] = defaultdict(int)
+    at = 0
+    while m := TAG.search(html, at):
+        at = m.end()
+        name, closing, attributes = (m[2] or "").lower(), bool(m[1]), m[3] or ""
+        place = len(tags)
+        tags.append((m.start(), at, name, closing, attributes))
+        if not name or name in VOID:
+            continue
+        if closing:
+            while count[name]:
+                top, where = opened.pop()
+                count[top] -= 1
+                if top == name:
+                    ends[where] = place
+                    break
+            continue
+        if attributes.rstrip().endswith("/") and not UNQUOTED_END.search(attributes.rstrip()) and name not in TO_THE_END:
+            ends[place] = place
+            continue
+        if name in LITERAL:
+            end = LITERAL[name].search(html, at)
+            own = end and end[0].lower().startswith(f"</{name}")
+            if own or (name in TO_THE_END and not attributes.rstrip().endswith("/")):
+                while end and not end[0].startswith("</"):
+                    end = LITERAL[name].search(html, end.end())
+                at = end.end() if end else len(html)
+                tags[-1] = (m.start(), at, name, closing, attributes)
+                ends[place] = place
+                continue
+            if name in TO_THE_END:  # closes itself, and no end tag comes before the next of its kind
+                ends[place] = place
+                continue
+        opened.append((name, place))
+        count[name] += 1
+    out, k = [], 0
+    while k < len(tags):
+        start, end, name, closing, attributes = tags[k]
+        if closing or name not in RAW:
+            out.append(tags[k])
+            k += 1
+        elif k in ends:
+            out.append((start, tags[ends[k]][1], "", False, ""))
+            k = ends[k] + 1
+        else:
+            upto = k + 1
+            inner: dict[str, int] = defaultdict(int)
+            while upto < len(tags):
+                other, shut = tags[upto][2], tags[upto][3]
+                if other in BLOCKS or (shut and not inner[other]):
+                    break
+                if upto in ends and (other in RAW or ends[upto] == upto):
+                    upto = ends[upto] + 1
+                    continue
+                if other and other not in VOID:
+                    inner[other] += -1 if shut else 1
+                upto += 1
+            out.append((start, tags[upto][0] if upto < len(tags) else len(html), "", False, ""))
+            k = upto
+    return out
+
+
 def _left_out(found: list[Block], elements: list[tuple[str, int, tuple[int, ...]]]) -> set[int]:
     """Numbers of the marked elements (tag, mark, chain) that are no wrappers.
 
@@ -140,28 +215,20 @@ def blocks(html: str) -> list[Block]:
                 state["links"] += len(text.strip())
 
     at = 0
-    while True:
-        m = TAG.search(html, at)
-        write(html[at : m.start() if m else len(html)])
-        if not m:
-            break
-        at = m.end()
-        name = (m[2] or "").lower()
+    for start, end, name, closing, attributes in _tags(html):
+        write(html[at:start])
+        at = end
         if not name:
             continue
-        if name in RAW and not m[1]:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(html, at)
-            at = end.end() if end else len(html)
-            continue
         if name == "a":
-            link = not m[1]
+            link = not closing
         elif name == "br":
             write(" ")
         if name not in BLOCKS or name in VOID:
             continue
         close()
         link = False
-        if m[1]:
+        if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     del stack[k:]
@@ -173,11 +240,12 @@ def blocks(html: str) -> list[Block]:
                 del stack[k:]
             elif stack[k][0] in HOLDERS or stack[k][0] not in ended:
                 break
-        labels = _labels(m[3])
+        labels = _labels(attributes)
         in_article = any(x[0] in ("article", "main") for x in stack)
-        if not m[3].rstrip().endswith("/"):
+        if not attributes.rstrip().endswith("/"):
             stack.append((name, ".".join([name, *labels[:2]]), len(elements)))
-            elements.append((name, _mark(name, m[3], in_article), tuple(x[2] for x in stack)))
+            elements.append((name, _mark(name, attributes, in_article), tuple(x[2] for x in stack)))
+    write(html[at:])
     close()
     out = _left_out(found, elements)
     return [b for b in found if out.isdisjoint(b.chain)] if out else found

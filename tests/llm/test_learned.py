@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -213,6 +214,31 @@ def test_wrappers_with_side_words(html):
     assert html_text.main_text(f"<body class='has-sidebar'>{html}</body>") == STORY_TEXT
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<p>One<svg class='icon'/> two.</p><math /><p>Three.</p>", "One two.\nThree."),
+        ("<p>One <video src=x/></p><p>Two <iframe src='y' /> three.</p><script src='z'/><p>Four.</p>", "One\nTwo three.\nFour."),
+        *[(f"<div><p>One.</p><p><{t} data-x=y>lost</p><p>Two.</p></div><p>Three <{t}>lost</{t}>.</p>", "One.\nTwo.\nThree .") for t in ("object", "video", "audio", "select", "noscript", "svg", "iframe")],
+        ("<div><p>One.</p><select><option>a<option>b</div><p>Two.</p>", "One.\nTwo."),
+        ("<article><p>One.</p><object data=x><param name=y><b>lost</b><p>Two.</p></article>", "One.\nTwo."),
+        ("<p>One <noscript><p>lost</p><svg><svg></svg></svg></noscript>two.</p><p>Three <video src=a><svg><p>x</p></svg></p>", "One two.\nThree"),
+        ("<head><title>lost</head><body><p>One.</p><svg><title>lost</title></svg></body>", "One."),
+        ("<title>a <!-- b</title><p>One.</p><textarea><p>never</p>", "One."),
+        ("<p>One.</p><script src=/a/>lost</script><p>Two.</p><style>never<p>never</p>", "One.\nTwo."),
+    ],
+)
+def test_elements_without_text(html, want):
+    assert html_text.main_text(html) == want
+
+
+def test_many_unclosed_elements_take_linear_time():
+    begun = time.process_time()
+    assert html_text.main_text("<svg><p>a.</p>" * 20_000 + "</svg>")
+    html_text.main_text("<svg>" * 50_000 + "</svg><p>a.</p>")
+    assert time.process_time() - begun < 20
+
+
 def test_pages_frame(spark):
     pages = spark.createDataFrame([(1, "u", "<p>é &eacute;</p>"), (1, "u", "<p>é &eacute;</p>"), (2, None, None), (None, "v", "")], "page_id long, url string, html string")
     got = sorted([tuple(r) for r in html_text.extracted(pages.withColumn("text", F.lit("clash"))).collect()], key=str)
