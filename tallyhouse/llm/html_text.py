@@ -3,9 +3,10 @@
 A page is read as text blocks, each with the path of block elements above it.
 Blocks with the same path are taken together: the logarithms of their mean text
 length and mean punctuation, less what is link text, make the path's ratio. Ratios are smoothed
-over neighbouring blocks, fused with the ratio of the element that holds most of
-the weighted text, and paths above a threshold are content: a low one inside that
-element, a high one outside. Elements that are never article text (menus, forms,
+over neighbouring blocks and fused with them, and paths above a threshold are
+content: a high one finds the core, the innermost element that holds nearly all text
+of such paths (an article or main around it takes its place), a low one holds inside
+the core and for the title before it. Link text counts there as any other. Elements that are never article text (menus, forms,
 page headers and the like, by tag or by class and id words) are left out before,
 unless they are wrappers around the page's article or most of its text.
 
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from .common import batch_of, slices
 
 INSIDE, OUTSIDE = 0.02, 0.6  # thresholds, as a share of the best path's ratio
+NEARLY_ALL = 0.9  # share of the content paths' text that the core holds at least
 
 # Element names by role.
 RAW = set("script style textarea title noscript template iframe svg math select object canvas audio video".split())
@@ -58,6 +60,7 @@ MAYBE, SIDE = 1, 2  # marks: a side word within a class or id, or a form; a clas
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+TITLE = re.compile(r"(?:^|/)h[1-6]\b[^/]*$|\.(?:title|headline)\b[^/]*(?:/[^/]*)?$")
 UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]*/$""")
 SPACE = re.compile(r"\s+")
 
@@ -251,6 +254,64 @@ def blocks(html: str) -> list[Block]:
     return [b for b in found if out.isdisjoint(b.chain)] if out else found
 
 
+def _core(found: list[Block], content: list[bool]) -> tuple[list[int], list[int]]:
+    """Places of the blocks in the core, and of those whose links are text as any other.
+
+    The core is the innermost element of several blocks with NEARLY_ALL of the text of
+    content blocks, widened until it holds all blocks of the content paths in it, and on
+    to an article or main element around it. Links are text everywhere in an article
+    and where content blocks are the core's own children; in html, body and elements that
+    hold the article in parts, only from the first part to the last.
+    """
+    weight = [max(len(b.text) - b.links, 0) * c for b, c in zip(found, content)]
+    held, size, total = defaultdict(int), defaultdict(int), sum(weight)
+    for b, w in zip(found, weight):
+        for e in b.chain:
+            held[e] += w
+            size[e] += 1
+    if not total:
+        return list(range(len(found))), []
+    # Elements that hold nearly all lie within each other; `deep` of them are around the innermost, the page itself at 0.
+    depth = [sum(held[e] >= NEARLY_ALL * total for e in b.chain) for b in found]
+    heavy = found[max(range(len(found)), key=depth.__getitem__)]
+    chain, tags, deep = heavy.chain, [step.split(".")[0] for step in heavy.path.split("/")], max(depth)
+    while deep and size[chain[deep - 1]] == 1 < len(found):
+        deep -= 1
+    paths = {b.path for b, c in zip(found, content) if c and b.chain[:deep] == chain[:deep]}
+    first = deep
+    for b in found:
+        while deep and b.path in paths and chain[deep - 1] not in b.chain:
+            deep -= 1
+    named = [k + 1 for k in range(deep) if tags[k] in ("article", "main")]
+    deep = named[-1] if named else deep
+    page = not deep or tags[deep - 1] in ("html", "body")
+    within = [k for k, b in enumerate(found) if b.chain[:deep] == chain[:deep]]
+    parts = [k for k in within if content[k]]
+    direct = any(len(found[k].chain) <= deep + 1 for k in parts)
+    run = [k for k in within if parts[0] <= k <= parts[-1]]
+    if named or (direct and not page):
+        return within, within
+    if not direct:
+        holders = {found[k].chain[deep] for k in parts}
+        whole = [k for k in within if len(found[k].chain) > deep and found[k].chain[deep] in holders]
+        run = [k for k in within if whole[0] <= k <= whole[-1]]
+        if page:  # between the parts there may be menus
+            return (run if deep < first else within), whole
+    return within, run
+
+
+def _title(found: list[Block], first: int) -> int:
+    """Where the text begins: at a title shortly before it, if it has none of its own."""
+    if TITLE.search(found[first].path):
+        return first
+    for k in range(first - 1, max(first - 5, -1), -1):
+        if 2 * found[k].links > len(found[k].text):
+            break
+        if TITLE.search(found[k].path):
+            return k
+    return first
+
+
 def main_text(html: str) -> str:
     """Content blocks of a page, one to a line."""
     found = blocks(html)
@@ -270,21 +331,19 @@ def main_text(html: str) -> str:
     fused = defaultdict(float)
     for b, s in zip(found, smooth):
         fused[b.path] += (ratio[b.path] + s) / 2 / count[b.path]
-    weight = [len(b.text) * (1 - min(b.links, len(b.text)) / len(b.text)) for b in found]
-    held, size = defaultdict(float), defaultdict(int)
-    for b, w in zip(found, weight):
-        for element in b.chain:
-            held[element] += w
-            size[element] += 1
-    total = sum(weight)
-    # The innermost element with most of the text in several blocks; an article or main element around it takes its place.
-    large = {e for e, w in held.items() if w >= 0.6 * total and (size[e] > 1 or len(found) == 1)}
-    at, around = max(((b.chain, b.path.split("/")) for b in found), key=lambda c: sum(e in large for e in c[0]))
-    inner = [(e, step.split(".")[0]) for e, step in zip(at, around) if e in large]
-    named = [e for e, tag in inner if tag in ("article", "main")]
-    core = named[-1] if named else inner[-1][0] if inner else None
     best = max(fused.values())
-    kept = [b.text for b in found if ratio[b.path] > 0 and fused[b.path] >= (INSIDE if core is None or core in b.chain else OUTSIDE) * best]
+    content = [ratio[b.path] > 0 and fused[b.path] >= OUTSIDE * best for b in found]
+    core, text = (set(x) for x in _core(found, content))
+    if text:
+        title = range(_title(found, min(text)), min(text))
+        core.update(title)
+        text.update(title)
+    plain = {p: log1p(length[p] / n) * (1 + log1p(points[p] / n)) for p, n in count.items()}
+    kept = []
+    for k, b in enumerate(found):
+        score = max(fused[b.path], plain[b.path]) if k in text else fused[b.path] * (ratio[b.path] > 0)
+        if score > 0 and score >= (INSIDE if k in core else OUTSIDE) * best:
+            kept.append(b.text)
     return "\n".join(kept)
 
 

@@ -232,6 +232,40 @@ def test_elements_without_text(html, want):
     assert html_text.main_text(html) == want
 
 
+PARAGRAPH = "One of the paragraphs, " + "with rather many words in it " * 13 + "and marks, as these: yes, no, so. "
+LINKED = "<ul><li><a href=a>Linked one</a></li><li><a href=b>Linked two</a></li><li><a href=c>Linked three</a></li></ul>"
+MENU = "<div class='top'><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></div>"
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (
+            f"{MENU}<div class=story><section><h2>First</h2><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></section><section><h2>Then some more</h2><p>{PARAGRAPH}</p><ul><li>item</ul><p>Short.</p></section></div>",
+            ["First", PARAGRAPH, PARAGRAPH, "Then some more", PARAGRAPH, "item", "Short."],
+        ),
+        (
+            f"{MENU}<section><h2>First</h2>{f'<p>{PARAGRAPH}</p>' * 2}</section><section><h2>Then some more</h2><p>{PARAGRAPH}</p><ul><li>item</ul></section>",
+            ["First", PARAGRAPH, PARAGRAPH, "Then some more", PARAGRAPH, "item"],
+        ),
+        (
+            f"{MENU}<section><h2>First</h2>{f'<p>{PARAGRAPH}</p>' * 12}</section>{MENU}<section><h2>Then some more</h2><p>{PARAGRAPH}</p><ul><li>item</ul></section>{MENU}",
+            ["First", *[PARAGRAPH] * 12, "Then some more", PARAGRAPH, "item"],
+        ),
+        (f"{MENU}<div class=page><h1>The title</h1><div class=by>By X.</div><div class=story>{f'<p>{PARAGRAPH}</p>' * 3}</div></div>", ["The title", "By X.", *[PARAGRAPH] * 3]),
+        (f"{MENU}<div class=title>The title</div><div class=story>{f'<p>{PARAGRAPH}</p>' * 3}</div><div class=legal>Legal.</div>", ["The title", *[PARAGRAPH] * 3]),
+        (f"{MENU}<article><h1>T</h1>{f'<p>{PARAGRAPH}</p>' * 2}{LINKED}</article>{LINKED}", ["T", PARAGRAPH, PARAGRAPH, "Linked one", "Linked two", "Linked three"]),
+        (f"{MENU}<div class=story><h1>T</h1><p>{PARAGRAPH}</p>{LINKED}<p>{PARAGRAPH}</p></div>{LINKED}", ["T", PARAGRAPH, "Linked one", "Linked two", "Linked three", PARAGRAPH]),
+        (f"{MENU}<h1>T</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p class=by>By X.</p>{MENU}", ["T", PARAGRAPH, PARAGRAPH, "By X."]),
+        (LINKED, []),
+    ],
+)
+def test_articles_in_parts(html, want):
+    want = "\n".join(w.strip() for w in want)
+    assert html_text.main_text(html) == want
+    assert html_text.main_text(f"<html><head><title>t</title></head><body>{html}</body></html>") == want
+
+
 def test_many_unclosed_elements_take_linear_time():
     begun = time.process_time()
     assert html_text.main_text("<svg><p>a.</p>" * 20_000 + "</svg>")
