@@ -6,8 +6,9 @@ three predictors speak about the next id of each lane:
 - order 2: the id that last followed the two previous ids;
 - order 1: the id that last followed the previous id;
 - order 0: adaptive frequencies of all ids in the block.
-How much each is worth is learned in the block: a cell for (confidence of order 2,
-confidence of order 1, do they agree) counts which predictor was right, and these
+Order 1 has a place for each id; order 2 has hashed places with a check of the pair, so
+that another pair's guess is not taken for its own. How much each is worth is learned
+in the block: a cell for (confidence of order 2 or none, the same of order 1, do they agree) counts which predictor was right, and these
 counts weigh the three shares of the coding interval. The model starts afresh in
 every block, so a block needs nothing but its own bytes.
 
@@ -22,15 +23,17 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMX1"
+MAGIC = b"CMX2"
 LANES = 8192
 MIN_STEPS = 256
 _HEAD = struct.Struct("<4sIIII")
-_SLOTS = 1 << 17
-_REFRESH = 48  # steps between two rebuilds of the order-0 table
-_STEP = 12  # what a seen id adds to its frequency; each id has one at least
-_MOST = 1 << 19  # frequencies are halved where their sum passes this
+_SLOTS = 1 << 18
+_REFRESH = 8  # steps between two rebuilds of the order-0 table
+_STEP = 24  # what a seen id adds to its frequency; each id has one at least
+_MOST = 1 << 24  # frequencies are halved where their sum passes this: the range, _SHARES times it, stays below _BOTTOM
 _SHARES = 64  # parts of the interval that the predictors share
+_PAIR, _HIGH, _LOW = np.uint64(32), np.uint64(64 - 18), np.uint64(15)  # bits of a pair, of its slot and of its check
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(48)
 _BOTTOM = np.uint64(1 << 32)
 _WORD = np.uint64(16)
@@ -39,11 +42,12 @@ _WORD = np.uint64(16)
 class _Model:
     """State shared by coder and decoder; both call predict() and learn() with the same values."""
 
-    def __init__(self, vocabulary: int, lanes: int, inverse: bool):
+    def __init__(self, vocabulary: int, lanes: int):
         self.frequency = np.ones(vocabulary, dtype=np.int64)
-        self.inverse = inverse
-        self.tables = [np.zeros(_SLOTS, dtype=np.int32) for _ in range(2)]  # id * 4 + confidence
-        self.cells = np.ones((32, 3), dtype=np.int64)
+        # (id + 1) * 4 + confidence, 0 where nothing is known.
+        self.tables = [np.zeros(_SLOTS, dtype=np.int32), np.zeros(vocabulary, dtype=np.int32)]
+        self.checks = np.zeros(_SLOTS, dtype=np.int32)
+        self.cells = np.ones((50, 3), dtype=np.int64)
         self.cells[:, 2] = 2
         self.last = np.zeros(lanes, dtype=np.int32)
         self.before = np.zeros(lanes, dtype=np.int32)
@@ -56,8 +60,6 @@ class _Model:
         self.bounds = np.zeros(len(self.frequency) + 1, dtype=np.int64)
         np.cumsum(self.frequency, out=self.bounds[1:])
         self.total = int(self.bounds[-1])
-        if self.inverse:
-            self.at = np.repeat(np.arange(len(self.frequency), dtype=np.int32), self.frequency)
         self.weigh()
 
     def weigh(self) -> None:
@@ -72,12 +74,16 @@ class _Model:
         self.range = np.uint64(_SHARES * self.total)
 
     def predict(self) -> None:
-        """Guesses of both orders and each lane's cell."""
-        last, before = self.last, self.before
-        self.slots = [(last * np.int32(40503) + before * np.int32(2033369)) & (_SLOTS - 1), (last * np.int32(30011)) & (_SLOTS - 1)]
-        self.packed = [table[slot] for table, slot in zip(self.tables, self.slots)]
-        self.guess = [packed >> 2 for packed in self.packed]
-        self.cell = (self.packed[0] & 3) * 4 + (self.packed[1] & 3) + 16 * (self.guess[0] == self.guess[1])
+        """Guesses of both orders, -1 for none, and each lane's cell."""
+        mixed = (self.last.astype(np.uint64) << _PAIR | self.before.astype(np.uint64)) * _SPREAD
+        self.slots = [(mixed >> _HIGH).astype(np.int64), self.last]
+        self.check = (mixed >> _LOW).astype(np.int32)
+        self.held = [table[slot] for table, slot in zip(self.tables, self.slots)]
+        self.own = self.checks[self.slots[0]] == self.check
+        known = [self.held[0] * self.own, self.held[1]]
+        self.guess = [packed // 4 - 1 for packed in known]
+        two, one = [(packed & 3) + (packed > 0) for packed in known]
+        self.cell = two * 5 + one + 25 * (self.guess[0] == self.guess[1])
 
     def interval(self, ids: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ids in the range, by the predictor that names them (0: order 2, 1: order 1, 2: order 0)."""
@@ -91,11 +97,12 @@ class _Model:
 
     def learn(self, ids: np.ndarray) -> None:
         """Lanes update in order; where two share a slot the last one's id stays."""
-        self.cells += np.bincount(self.outcome, minlength=96).reshape(32, 3)
-        newer = ids << 2
-        for table, slot, packed, guess in zip(self.tables, self.slots, self.packed, self.guess):
-            # A right guess gains confidence, up to 3; a wrong one gives way.
-            table[slot] = np.where(guess == ids, np.minimum(packed + 1, packed | 3), newer)
+        self.cells += np.bincount(self.outcome, minlength=150).reshape(50, 3)
+        newer = (ids + 1) << 2
+        for table, slot, packed, guess in zip(self.tables, self.slots, self.held, self.guess):
+            # A right guess gains confidence, up to 3; a wrong one or another pair's loses one, and gives way below 2.
+            table[slot] = np.where(guess == ids, np.minimum(packed + 1, packed | 3), np.where(packed & 2, packed - 1, newer))
+        self.checks[self.slots[0]] = np.where(self.own | (self.held[0] & 2 == 0), self.check, self.checks[self.slots[0]])
         self.before, self.last = self.last, ids
         self.seen.append(ids)
         self.steps += 1
@@ -118,7 +125,7 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
     table = np.zeros(lanes * steps, dtype=np.int32)
     table[:n] = ids
     table = np.ascontiguousarray(table.reshape(lanes, steps).T)
-    model = _Model(vocabulary, lanes, inverse=False)
+    model = _Model(vocabulary, lanes)
     low, wide = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
     out = _Words(lanes, steps * 2 + 8)
     for step in range(steps):
@@ -191,7 +198,7 @@ def decode_block(block: bytes) -> np.ndarray:
     for _ in range(4):
         code = (code << _WORD) | words[np.minimum(at, end)]
         at += 1
-    model = _Model(vocabulary, lanes, inverse=True)
+    model = _Model(vocabulary, lanes)
     low, wide = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
     table = np.zeros((steps, lanes), dtype=np.int32)
     for step in range(steps):
@@ -202,9 +209,8 @@ def decode_block(block: bytes) -> np.ndarray:
         now = np.where(kind == 0, model.guess[0], model.guess[1])
         zero = np.flatnonzero(kind == 2)
         cell = model.cell[zero]
-        # Whole numbers far below 2^53: half a unit keeps the quotient's floor right.
-        place = ((point[zero] - model.both[cell] + 0.5) / model.rest[cell]).astype(np.int64)
-        now[zero] = model.at[place]
+        place = (point[zero] - model.both[cell]) // model.rest[cell]
+        now[zero] = np.searchsorted(model.bounds, place, "right") - 1
         start, width = model.interval(now, kind)
         low += unit * start
         wide = unit * width
