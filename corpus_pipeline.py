@@ -63,8 +63,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 @stage
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pack the kept documents into training sequences."""
-    return packing.packed(docs, tokenizer_file("byte_bpe_50k.json"))
+    """Pack the kept documents into training sequences, with the ids of each piece."""
+    return packing.packed(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

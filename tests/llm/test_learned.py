@@ -334,6 +334,20 @@ def test_pipeline_stages_on_odd_tables(spark, docs, none, twice):
     assert {r.unit for r in kept} == {1} and {r.rest for r in kept} == {4}
 
 
+def test_pipeline_delivers_ids(spark, docs):
+    import corpus_pipeline
+
+    from tallyhouse.llm.queries import tokenizer_file
+    from tallyhouse.llm.tokenizing import encoder
+
+    encode = encoder(tokenizer_file("byte_bpe_50k.json")).document
+    whole = {}
+    for r in sorted(corpus_pipeline.packing_stage(spark, docs, FOLDER).collect(), key=lambda r: r.start):
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        whole[r.doc_id] = whole.get(r.doc_id, b"") + r.ids
+    assert whole == {r.doc_id: encode(r.text or "") for r in docs.collect()}
+
+
 def test_scratch_tables_of_a_stage_go_when_the_next_begins(spark, docs):
     import os
 
