@@ -1245,6 +1245,25 @@ def snapshot_days(s: Samples) -> DataFrame:
     return s.spark.read.parquet(path).groupBy(F.col("snapshot_date").cast("date").alias("snapshot_date")).agg(F.count("*").alias("rows"))
 
 
+@query
+def overwritten_orders(s: Samples) -> DataFrame:
+    """All receivables replaced by all orders, with another schema."""
+    path = scratch_path(s.spark, "table")
+    sinks.overwrite(s.receivables().select("rec_id", "gross"), path)
+    sinks.overwrite(s.orders().select("order_id", "company_id", "order_status", "total"), path)
+    return s.spark.read.parquet(path)
+
+
+@query
+def snapshot_orders(s: Samples) -> DataFrame:
+    """All orders as one snapshot for each status; the first day is written twice, and the second time counts."""
+    path = scratch_path(s.spark, "snapshots")
+    rows = s.orders().select("order_id", "order_status", "total")
+    for day, status in ((1, "WAITING"), (2, "WAITING"), (3, "CANCELED"), (1, "DELIVERED")):
+        sinks.append_snapshot(rows.where(F.col("order_status") == status), path, dt.date(2024, 1, day))
+    return s.spark.read.parquet(path).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 @query
 def merged_state(s: Samples) -> DataFrame:
     """Last status of each company after three batches, the last of them late."""

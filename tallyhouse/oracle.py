@@ -930,6 +930,9 @@ select c_custkey, case when c_acctbal > 0 then c_mktsegment else c_name end as n
     "overwritten_table": "select cast(n_nationkey as varchar) angel_id, n_name angel_name from nation",
     "snapshot_days": """
 select '2024-01-01' snapshot_date, count(*) as rows from region union all select '2024-01-02', count(distinct c_mktsegment) from customer""",
+    "overwritten_orders": "select order_id, company_id, order_status, D[total] total from v_orders",
+    "snapshot_orders": """
+select order_id, order_status, D[total] total, case order_status when 'DELIVERED' then '2024-01-01' when 'WAITING' then '2024-01-02' else '2024-01-03' end snapshot_date from v_orders""",
     "merged_state": """
 select company_id, order_id, order_status from (select *, row_number() over (partition by company_id order by created_at desc, order_id desc) rn from v_orders where year(created_at) between 1992 and 2001) where rn = 1""",
     "replaced_keys": """
