@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, html_text, interpolation, jaccard_join, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
+from . import decontamination, html_text, interpolation, jaccard_join, license_scan, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
 from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,12 @@ def op6_interpolation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op3_jaccard_join"] = jaccard_join.SQL
+
+
+@query
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return license_scan.scanned(read_table(spark, folder, "documents", "doc_id", "text"))
+
+
+ORACLES["op13_license_scan"] = license_scan.SQL
