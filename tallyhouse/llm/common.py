@@ -93,6 +93,23 @@ def word_list(column):
     return F.regexp_extract_all(lowered(column), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
 
 
+def usable_vectors(rows: DataFrame, limit: float) -> DataFrame:
+    """Rows whose `embedding` (as doubles here) has only entries below `limit` in magnitude, and the most common length; the longer of equally common ones."""
+    kept = rows.where("embedding is not null").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    # NaN is larger than every number here, so it fails the bound as infinity does.
+    kept = kept.where((F.size("embedding") > 0) & F.forall("embedding", lambda c: c.isNotNull() & (F.abs(c) < limit)))
+    lengths = kept.groupBy(F.size("embedding").alias("length")).count()
+    common = lengths.agg(F.max_by("length", F.struct("count", "length")).alias("length")).first()["length"]
+    return kept.where(F.size("embedding") == F.lit(common)) if common else kept
+
+
+def scaled_vectors(batch: pa.RecordBatch, scale: int) -> np.ndarray:
+    """floor(scale * entry) of the usable vectors of a batch, a row each."""
+    column = batch.column("embedding")
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.floor(scale * flat.astype(np.float64)).astype(np.int64).reshape(len(column), -1)
+
+
 class Slice:
     """Rows of a batch: texts as one byte array, row i at data[offsets[i]:offsets[i+1]]."""
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, html_text, interpolation, jaccard_join, license_scan, line_quality, packing, simhash, suffix_dedup, token_files, toxicity
+from . import decontamination, hard_negatives, html_text, interpolation, jaccard_join, license_scan, line_quality, packing, simhash, suffix_dedup, token_files, toxicity, whitening
 from .common import fold, read_table, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,20 @@ def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op13_license_scan"] = license_scan.SQL
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings whitened on the eight largest components."""
+    return whitening.whitened(read_table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of all anchors among all embeddings; every seventh id has its label moved on."""
+    rows = read_table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved))
+
+
+ORACLES["op11_hard_negatives"] = hard_negatives.SQL
