@@ -1272,17 +1272,60 @@ def merged_state(s: Samples) -> DataFrame:
     newest = F.struct("created_at", "order_id").alias("at")
     for low, high in ((1992, 1996), (1999, 2002), (1996, 1999)):
         batch = rows.filter((F.year("created_at") >= low) & (F.year("created_at") < high)).select("company_id", newest, "order_status")
-        sinks.merge_current(batch, root, "company_id", "at", forward=True)
+        sinks.merge_current(batch, root, "company_id", "at", forward=True, buckets=8)
     sinks.drop_versions(s.spark, root, 2)
     return sinks.read_current(s.spark, root).select("company_id", F.col("at.order_id").alias("order_id"), "order_status")
 
 
+@query
+def merged_state_buckets(s: Samples) -> DataFrame:
+    """The last state of each order after five batches of a bucketed table, of which each touches its own part of the keys, some of them again."""
+    root = scratch_path(s.spark, "state")
+    rows = s.orders().select("order_id", "company_id", "order_status", "total", F.lit(0).alias("batch"))
+    sinks.merge_current(rows, root, "order_id", "batch", buckets=16)
+    for batch, (modulus, status) in enumerate(((2, "SENT"), (3, "RETURNED"), (7, "CLOSED"), (1000, "LOST")), 1):
+        changed = rows.filter(F.col("order_id").cast("long") % modulus == 0)
+        sinks.merge_current(changed.withColumns({"order_status": F.lit(status), "batch": F.lit(batch)}), root, "order_id", "batch", forward=True)
+    late = rows.filter(F.col("order_id").cast("long") % 5 == 0).withColumn("order_status", F.lit("LATE"))  # as old as the first batch
+    sinks.merge_current(late.withColumn("batch", F.lit(-1)), root, "order_id", "batch", forward=True)
+    sinks.drop_versions(s.spark, root, 1)
+    return sinks.read_current(s.spark, root)
+
+
+@query
+def published_after_audit(s: Samples) -> DataFrame:
+    """The published orders after five audited writes, of which the guards refuse three; and what each write said."""
+    root = scratch_path(s.spark, "audited")
+    rows = s.orders().select("order_id", "company_id", "created_at", "payment_status", "total")
+    floors = {"orders": 0.5}
+    cases = [
+        ("whole", rows.withColumn("payment_status", F.coalesce("payment_status", F.lit("UNKNOWN")))),
+        ("empty", rows.filter("false")),
+        ("without status", rows.withColumn("payment_status", F.lit(""))),
+        ("shrunken", rows.filter(F.col("order_id").cast("long") % 4 == 0)),
+        ("half", rows.filter((F.col("order_id").cast("long") % 4 != 0) & (F.col("order_id").cast("long") % 9 != 0))),
+    ]
+    said = []
+    for name, frame in cases:
+        try:
+            version, warnings = sinks.publish_audited(
+                frame, root, quality.order_measures(), lambda now, before: quality.check_orders(now) + quality.check_regression(now, before, floors)
+            )
+            said.append((name, version, len(warnings)))
+        except quality.QualityError:
+            said.append((name, None, 0))
+    published = sinks.read_current(s.spark, root).groupBy("payment_status").agg(F.count("*").alias("orders"), F.sum("total").alias("total"))
+    outcomes = s.spark.createDataFrame(said, "write string, version string, warnings int")
+    kept = published.agg(F.sum("orders").alias("orders"), F.sum("total").alias("total")).withColumn("write", F.lit("half"))
+    return outcomes.join(kept, "write", "left")
+
+
 @query
 def replaced_keys(s: Samples) -> DataFrame:
     """All lines of a supplier replaced by its lines of the second batch."""
     root = scratch_path(s.spark, "lines")
     rows = s.receivables().select("company_id", "rec_id", "gross", "rec_status")
-    sinks.replace_keys(rows.filter("rec_status = 'paid'"), root, "company_id")
+    sinks.replace_keys(rows.filter("rec_status = 'paid'"), root, "company_id", buckets=8)
     sinks.replace_keys(rows.filter("rec_status <> 'paid' and cast(company_id as bigint) % 2 = 0"), root, "company_id")
     return sinks.read_current(s.spark, root).groupBy("company_id", "rec_status").agg(F.count("*").alias("lines"), F.sum("gross").alias("gross"))
 

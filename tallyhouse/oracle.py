@@ -935,6 +935,20 @@ select '2024-01-01' snapshot_date, count(*) as rows from region union all select
 select order_id, order_status, D[total] total, case order_status when 'DELIVERED' then '2024-01-01' when 'WAITING' then '2024-01-02' else '2024-01-03' end snapshot_date from v_orders""",
     "merged_state": """
 select company_id, order_id, order_status from (select *, row_number() over (partition by company_id order by created_at desc, order_id desc) rn from v_orders where year(created_at) between 1992 and 2001) where rn = 1""",
+    "merged_state_buckets": """
+select order_id, company_id, D[total] total,
+  case when cast(order_id as bigint) % 1000 = 0 then 'LOST' when cast(order_id as bigint) % 7 = 0 then 'CLOSED' when cast(order_id as bigint) % 3 = 0 then 'RETURNED'
+       when cast(order_id as bigint) % 2 = 0 then 'SENT' else order_status end order_status,
+  case when cast(order_id as bigint) % 1000 = 0 then 4 when cast(order_id as bigint) % 7 = 0 then 3 when cast(order_id as bigint) % 3 = 0 then 2
+       when cast(order_id as bigint) % 2 = 0 then 1 else 0 end batch
+from v_orders""",
+    "published_after_audit": """
+with o as (select cast(order_id as bigint) k, payment_status, total from v_orders),
+half as (select * from o where k % 4 <> 0 and k % 9 <> 0),
+t as (select count(*) orders, D[sum(total)] total, avg(case when payment_status is null then 1.0 else 0 end) share from half)
+select 'whole' "write", 'v000000001' version, 0 warnings, cast(null as bigint) orders, cast(null as double) total
+union all select 'empty', null, 0, null, null union all select 'without status', null, 0, null, null union all select 'shrunken', null, 0, null, null
+union all select 'half', 'v000000002', case when share > 0.2 then 1 else 0 end, orders, total from t""",
     "replaced_keys": """
 with r as (select *, cast(company_id as bigint) % 2 = 0 even from v_receivables),
 k as (select distinct company_id from r where rec_status <> 'paid' and even)
