@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .functions import dates, money, text
 from .plans import billing, churn, cohorts, crm, freight, groups, kpi, mart, orders, panel, quality, receivables
 from .session import cut_lineage, scratch_path
-from .sources import readers, schemas, sinks
+from .sources import checked, files, readers, schemas, sinks
 from .sources.edge import plain
-from .sources.samples import AS_OF_ORDERS, Samples
+from .sources.samples import AS_OF_ORDERS, Samples, blank
 
 MAX_TOTAL = 400_000  # the test orders go up to 499,978
 START = dt.date(1995, 3, 1)
@@ -1182,11 +1182,65 @@ def datasets_read_back(s: Samples) -> DataFrame:
     for name in found:
         s.spark.read.parquet(f"{root}/by_provider/{name}").write.parquet(f"{root}/sets/{name.split('=')[1]}")
     s.spark.createDataFrame([("no table",)], "value string").write.text(f"{root}/sets/broken")
-    rows, report = readers.read_datasets(s.spark, f"{root}/sets", "order_id string, total decimal(18,2)")
+    rows, report = checked.read_datasets(s.spark, f"{root}/sets", "order_id string, total decimal(18,2)")
     totals = rows.groupBy("brand").agg(F.sum("total").alias("total"))
     return report.select("brand", "rows", F.col("error").isNotNull().alias("skipped")).join(totals, "brand", "left")
 
 
+@query
+def datasets_with_damaged_pages(s: Samples) -> DataFrame:
+    """One folder per provider; the data pages of one are cut out of its files, whose footers stay readable."""
+    root = scratch_path(s.spark, "datasets")
+    rows = s.orders().select("order_id", "total", "delivery_provider")
+    for name in sorted(r.delivery_provider for r in rows.select("delivery_provider").distinct().collect()):
+        rows.filter(F.col("delivery_provider") == name).select("order_id", "total").write.option("compression", "gzip").parquet(f"{root}/{name}")
+    damaged = f"{root}/Jadlog"
+    for file in files.names(s.spark, damaged):
+        if file.startswith("part-"):
+            blank(s.spark, f"{damaged}/{file}", 0.2, 0.3)
+    found, report = checked.read_datasets(s.spark, root, "order_id string, total decimal(18,2)")
+    totals = found.groupBy("brand").agg(F.count("*").alias("orders"), F.sum("total").alias("total"))
+    return report.select("brand", "rows", F.col("error").like("part-%could be decoded").alias("damaged")).join(totals, "brand", "left")
+
+
+@query
+def checked_purchase_documents(s: Samples) -> DataFrame:
+    """Purchase documents, of which those of every hundredth order are damaged in one of three ways: good ones with their amount, bad ones with the reason."""
+    path, out = scratch_path(s.spark, "purchases"), scratch_path(s.spark, "checked")
+    rows = s.purchases().select("transaction_id", "order_id", "amount", F.expr("cast(split_part(transaction_id, '-', 2) as int) % 3").alias("kind"))
+    rows = rows.withColumn("kind", F.when(F.col("order_id").cast("long") % 100 == 0, F.col("kind")).otherwise(3))
+    amount = F.when(F.col("kind") == 1, F.lit("x")).otherwise(F.col("amount").cast("string"))
+    document = F.to_json(F.struct(F.col("transaction_id").alias("transactionId"), F.struct(F.col("transaction_id").alias("purchaseId"), amount.alias("amount")).alias("purchase")))
+    other = F.to_json(F.struct(F.col("transaction_id").alias("transactionId"), F.lit(5).alias("purchase")))
+    line = F.when(F.col("kind") == 0, F.left(document, F.length(document) - 12)).when(F.col("kind") == 2, other).otherwise(document)
+    rows.select(line.alias("value")).write.text(path)
+    good, bad = checked.quarantined(checked.read_purchases(s.spark, path), out)
+    named = bad.select(F.regexp_extract("record", '"transactionId":"([^"]*)"', 1).alias("transaction_id"), F.lit(None).cast("long").alias("amount_cents"), "reason")
+    flat = readers.flatten_purchases(good).select("transaction_id", "amount_cents", F.lit(None).cast("string").alias("reason"))
+    return flat.unionByName(named)
+
+
+@query
+def checked_csv_orders(s: Samples) -> DataFrame:
+    """Orders through CSV, every hundredth line damaged in one of three ways: good lines with their total, bad ones with the reason."""
+    path = scratch_path(s.spark, "csv")
+    number = F.col("order_number")
+    kind = F.when(number % 100 == 0, F.floor(number / 100) % 3).otherwise(3)
+    fields = F.concat_ws(
+        ",", "order_id", "order_number", F.when(kind == 0, F.lit("x")).otherwise(F.col("total").cast("string")),
+        F.when(kind == 1, F.lit("perhaps")).otherwise(F.col("is_paid").cast("string")), F.when(kind == 2, F.lit("more")),
+    )
+    s.orders().select(fields.alias("value")).write.text(path)
+    header = s.spark.createDataFrame([("order_id,order_number,total,is_paid",)], "value string")
+    header.coalesce(1).write.text(f"{path}-header")
+    parts = [f"{path}/{n}" for n in files.names(s.spark, path) if n.startswith("part-")]
+    heads = [f"{path}-header/{n}" for n in files.names(s.spark, f"{path}-header") if n.startswith("part-")]
+    files.join_files(s.spark, [*heads, *parts], f"{path}-all/orders.csv")
+    good, bad = checked.split_bad(checked.read_csv(s.spark, f"{path}-all", "order_id string, order_number bigint, total decimal(18,2), is_paid boolean"))
+    named = bad.select(F.split_part("record", F.lit(","), F.lit(1)).alias("order_id"), F.lit(None).cast("decimal(18,2)").alias("total"), "reason")
+    return good.select("order_id", "total", F.lit(None).cast("string").alias("reason")).unionByName(named)
+
+
 @query
 def catalog_scan(s: Samples) -> DataFrame:
     """A catalog table with pushed columns and rows, where it exists."""

@@ -921,6 +921,16 @@ select cast(k as integer) installment_number, count(*) n, sum(cents // l_linenum
 from (select *, unnest(range(1, l_linenumber + 1)) k from v_purchases) group by k""",
     "datasets_read_back": """
 select delivery_provider brand, count(*) as rows, false skipped, D[sum(total)] total from v_orders group by 1 union all select 'broken', null, true, null""",
+    "datasets_with_damaged_pages": """
+select delivery_provider brand, case when delivery_provider <> 'Jadlog' then count(*) end as rows, case when delivery_provider = 'Jadlog' then true end damaged,
+  case when delivery_provider <> 'Jadlog' then count(*) end orders, case when delivery_provider <> 'Jadlog' then D[sum(total)] end total
+from v_orders group by 1""",
+    "checked_purchase_documents": """
+select transaction_id, case when kind = 3 then amount end amount_cents, case kind when 0 then 'no JSON' when 1 then 'purchase.amount: x is no value' when 2 then 'another structure' end reason
+from (select *, case when l_orderkey % 100 = 0 then l_linenumber % 3 else 3 end kind from v_purchases)""",
+    "checked_csv_orders": """
+select order_id, case when kind = 3 then D[total] end total, case kind when 0 then 'total: x is no decimal(18,2)' when 1 then 'is_paid: perhaps is no boolean' when 2 then 'more than 4 fields' end reason
+from (select *, case when order_number % 100 = 0 then order_number // 100 % 3 else 3 end kind from v_orders)""",
     "catalog_scan": "select order_id, D[total] total from v_orders where is_paid",
     "model_columns": "select domain_id, domain_name as name from v_domains",
     "text_fallbacks": """

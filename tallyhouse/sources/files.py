@@ -99,7 +99,7 @@ def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
     jvm = spark._jvm
     path, fs = _at(spark, target)
     paths = [jvm.org.apache.hadoop.fs.Path(p) for p in parts]
-    stream = fs.create(path, False)
+    stream = fs.create(path, False)  # makes the folder as well
     try:
         for part in paths:
             source = fs.open(part)

@@ -6,12 +6,12 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import LOCAL_ZONE, in_months, parse_day, sheet_month, to_local
 from ..operators.joins import newest_by_key
+from . import files
 from .schemas import HEADER_TEXT, INSTALMENT_TEXT, PURCHASE_DOCUMENT, PURCHASE_TEXT, snake
 
 
@@ -112,33 +112,9 @@ def flatten_instalments(documents: DataFrame, zone: str = LOCAL_ZONE) -> DataFra
     )
 
 
-def read_datasets(spark: SparkSession, root: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
-    """The same table out of one folder per brand, and a report on the folders.
-
-    A dataset is read whole or not at all: one that a count cannot read is
-    skipped. The report has brand, rows and, for skipped ones, the error. The
-    folder name becomes column `brand`.
-    """
-    kept, report = [], []
-    for name in sorted(folders(spark, root)):
-        path = f"{root}/{name}"
-        brand = unquote(name)
-        try:
-            report.append((brand, spark.read.schema(schema).parquet(path).count(), None))
-            kept.append(path)
-        except Exception as error:  # whatever keeps this dataset from being read is its report
-            report.append((brand, None, str(error).splitlines()[0][:200]))
-    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
-    empty = spark.createDataFrame([], schema).withColumn("brand", F.lit(""))
-    df = spark.read.schema(schema).parquet(*kept).select("*", F.url_decode(folder).alias("brand")) if kept else empty
-    return df, spark.createDataFrame(report, "brand string, rows long, error string")
-
-
 def folders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in a folder, on whatever store it lies."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return [s.getPath().getName() for s in found if s.isDirectory() and s.getPath().getName()[0] not in "._"]
+    return [n for n in files.names(spark, root, only_folders=True) if n[0] not in "._"]
 
 
 def latest_sheet(lines: DataFrame, sheet: str = "sheet") -> DataFrame:

@@ -401,3 +401,17 @@ class Samples:
             F.expr("date_format(add_months(date'2025-01-01', p_size % 12), 'yyyy-MM')").alias("month"),
             F.expr(text).alias("note"),
         )
+
+
+def blank(spark: SparkSession, path: str, start: float, end: float) -> None:
+    """Set a part of a small file's bytes, given as shares of its length, to zero: what a damaged disk leaves."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.open(path)
+    raw = bytearray(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    stream.close()
+    first, last = int(len(raw) * start), int(len(raw) * end)
+    raw[first:last] = bytes(last - first)
+    out = fs.create(path, True)
+    out.write(raw)
+    out.close()

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tallyhouse.sources import readers, schemas, sinks
+from tallyhouse.sources import checked, readers, schemas, sinks
 from tallyhouse.streaming import incremental
 
 
@@ -72,7 +72,7 @@ def test_one_folder_per_brand(spark, tmp_path):
         spark.range(2).write.parquet(str(tmp_path / "sets" / brand))
     (tmp_path / "sets" / "broken").mkdir()
     (tmp_path / "sets" / "broken" / "x.parquet").write_text("no parquet")
-    got, report = readers.read_datasets(spark, str(tmp_path / "sets"), T.StructType.fromDDL("id bigint"))
+    got, report = checked.read_datasets(spark, str(tmp_path / "sets"), T.StructType.fromDDL("id bigint"))
     assert {(r["brand"], r["count"]) for r in got.groupBy("brand").count().collect()} == {("Loja Um", 2), ("loja-dois", 2)}
     assert {r.brand: (r.rows, r.error is None) for r in report.collect()} == {"Loja Um": (2, True), "loja-dois": (2, True), "broken": (None, False)}
 
