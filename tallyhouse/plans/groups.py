@@ -180,7 +180,7 @@ def match_panels(companies: DataFrame, panels: DataFrame) -> DataFrame:
     return tiers(keyed, steps).filter("tier is not null").select("company_id", "tier", F.col("pick").alias("panel"))
 
 
-def match_tickets(tickets: DataFrame, companies: DataFrame, ignored: Sequence[str] = ("eventos",), product_words: Sequence[str] = (), hot: int = 200) -> DataFrame:
+def match_tickets(tickets: DataFrame, companies: DataFrame, ignored: Sequence[str] = ("eventos",), product_words: Sequence[str] = (), hot: int = 50) -> DataFrame:
     """Company of each ticket by equal name, contained name or shared words."""
     name = normalise_name(subject_to_brand(F.col("subject"), list(product_words)))
     keyed = tickets.withColumn("_name", name)
@@ -191,7 +191,7 @@ def match_tickets(tickets: DataFrame, companies: DataFrame, ignored: Sequence[st
     same = asked.join(offered, "name")
     left = asked.join(offered, "name", "left_anti")
     near = cut_lineage(containing(left, offered))
-    scored = word_scored(left.join(near, "name", "left_anti"), offered, hot=hot)
+    scored = cut_lineage(word_scored(left.join(near, "name", "left_anti"), offered, hot=hot))
     steps = [
         ("name", "_name", same.withColumnRenamed("name", "_name")),
         ("part of name", "_name", near.withColumnRenamed("name", "_name")),

@@ -214,6 +214,8 @@ def test_containing_and_prefixing(spark):
     a, o = frames(spark, asked, offered)
     cases = [
         (containing(a, o), lambda x, y: x in y or y in x),
+        (containing(a, o, common=3), lambda x, y: x in y or y in x),
+        (containing(a, o, common=0), lambda x, y: x in y or y in x),
         (containing(a, o, min_len=5), lambda x, y: len(x) >= 5 and len(y) >= 5 and (x in y or y in x)),
         (prefixing(a, o, 4), lambda x, y: len(y) >= 4 and (x.startswith(y) or y.startswith(x))),
     ]

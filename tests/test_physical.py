@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.catalog import QUERIES
-from tallyhouse.operators.matching import word_scored
+from tallyhouse.operators.matching import containing, index_rows, word_scored
 from tallyhouse.plans import cohorts, freight, orders, receivables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -110,3 +110,45 @@ def test_hot_client_keeps_five_brands(spark):
     )
     rows = freight.client_brands(df)
     assert rows.filter("doc = '1'").count() == 5
+
+
+def join_rows(df):
+    """Rows that each join and generator of a frame's last job put out."""
+    df.collect()
+    found = []
+
+    def walk(plan):
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(plan.executedPlan())
+        if "QueryStage" in name:
+            return walk(plan.plan())
+        rows = plan.metrics().get("numOutputRows")
+        if rows.isDefined() and ("Join" in name or name == "Generate"):
+            found.append((name, rows.get().value()))
+        for k in range(plan.children().size()):
+            walk(plan.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_a_short_word_before_many_long_ones_makes_no_pairs(spark):
+    """300 asked names share a word that 3,000 offered words start with: 900,000 pairs of names."""
+    asked = spark.range(300).select(F.format_string("abc zz%04d", "id").alias("name"))
+    offered = spark.range(3000).select(F.format_string("abc%04d yy%04d", "id", "id").alias("name"), F.format_string("%04d", "id").alias("pick"))
+    out = word_scored(asked, offered, accept=1)
+    rows = join_rows(out)
+    assert sum(n for _, n in rows) < 20_000
+    assert {(r.pick, r.score) for r in out.collect()} == {("0000", 1)} and out.count() == 300
+
+
+def test_containment_sends_few_pieces(spark):
+    """Long names: what reaches a join is a small multiple of the names, not all their substrings."""
+    wide = spark.range(4000).select(F.format_string("comercio de roupas numero %06d ltda", F.col("id") * 7).alias("name"), F.col("id").alias("pick"))
+    narrow = spark.range(1000).select(F.format_string("numero %06d", F.col("id") * 7).alias("name")).unionByName(spark.createDataFrame([("roupas",), ("de",)], "name string"))
+    rare, whole = index_rows(narrow, wide)
+    assert rare.count() == 1000 and whole.count() == 8000  # two names that every wide name holds
+    found = containing(narrow, wide, common=100)
+    assert {r.name: r.pick for r in found.collect()} == {f"numero {7 * k:06d}": k for k in range(1000)} | {"roupas": 0, "de": 0}
+    assert sum(n for name, n in join_rows(found) if "Join" in name) < 12 * 5000
