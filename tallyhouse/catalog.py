@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .functions import dates, money, text
 from .plans import billing, churn, cohorts, crm, freight, groups, kpi, mart, orders, panel, quality, receivables
 from .session import cut_lineage, scratch_path
-from .sources import checked, files, readers, schemas, sinks
+from .sources import bucketed, checked, files, readers, schemas, sinks
 from .sources.edge import plain
 from .sources.samples import AS_OF_ORDERS, Samples, blank
+from .streaming import incremental
 
 MAX_TOTAL = 400_000  # the test orders go up to 499,978
 START = dt.date(1995, 3, 1)
@@ -350,6 +351,21 @@ def purchase_merge_latest(s: Samples) -> DataFrame:
     return receivables.merge_purchases(fresh, refreshed, rows.withColumn("status", F.lit("old")), _workspace_defaults(s))
 
 
+@query
+def purchase_history_merged(s: Samples) -> DataFrame:
+    """The same merge where the previous state is a table bucketed by transaction, and so is the next."""
+    path = scratch_path(s.spark, "history")
+    table = "purchases_" + path.rsplit("-", 1)[1]
+    rows = s.purchases().select("transaction_id", "workspace_id", "status", "amount", "anticipation", "updated")
+    bucketed.write(rows.withColumn("status", F.lit("old")), f"{table}_1", f"{path}/1", "transaction_id", 16)
+    s.spark.sql(f"DROP TABLE {table}_1")  # as after a restart: the files name themselves again
+    history = bucketed.attach(s.spark, f"{table}_1", f"{path}/1", "transaction_id", 16)
+    fresh, refreshed = rows.filter("status = 'paid'"), rows.filter("status = 'created'")
+    merged = receivables.merge_into_history(fresh, refreshed, history, cut_lineage(_workspace_defaults(s)), 16)
+    bucketed.write(merged, f"{table}_2", f"{path}/2", "transaction_id", 16, dealt=True)
+    return s.spark.read.parquet(f"{path}/2")
+
+
 @query
 def purchases_missing_now(s: Samples) -> DataFrame:
     rows = s.purchases().select("transaction_id", "order_id", "status")
@@ -687,9 +703,9 @@ def global_month_series(s: Samples) -> DataFrame:
     return mart.month_series(_months(s))
 
 
-def _mart(s: Samples) -> DataFrame:
+def _mart_inputs(s: Samples) -> dict:
+    """What the mart takes beside the monthly orders."""
     register = cut_lineage(_register(s))
-    months = orders.merchant_months(s.orders(), max_total=MAX_TOTAL)
     bills = _unique(s).join(s.customer_bridge(), "customer_id")
     named = register.select("company_id", "domain_id", F.col("trade_name").alias("name"))
     match = cut_lineage(groups.match_invoices(named, s.customer_bridge().select("domain_id"), s.raw("part").select(F.col("p_name").alias("brand"))))
@@ -699,10 +715,20 @@ def _mart(s: Samples) -> DataFrame:
     controls = s.companies().select("company_id", F.when(inactive, F.lit(99)).cast("decimal(18,2)").alias("manual_fee"))
     tickets = s.companies().select("company_id", F.when(inactive, "Parado").otherwise("Fila").alias("stage"))
     activity = links_clicks_canonical(s).groupBy(F.col("hq_id").alias("company_id")).agg(F.sum("links").alias("links"), F.sum("clicks").alias("clicks"))
-    rows = mart.company_mart(register, months, invoices, freight_charge(s), plans, controls, tickets, AS_OF_ORDERS, [activity])
+    return {
+        "register": register, "invoices": invoices, "freight": freight_charge(s), "plans": plans, "controls": controls, "tickets": tickets,
+        "as_of": AS_OF_ORDERS, "extras": [activity],
+    }
+
+
+def _built(rows: DataFrame) -> DataFrame:
     return rows.fillna(0, ["links", "clicks"]).fillna("", ["bill_status"])
 
 
+def _mart(s: Samples) -> DataFrame:
+    return _built(mart.company_mart(months=orders.merchant_months(s.orders(), max_total=MAX_TOTAL), **_mart_inputs(s)))
+
+
 MART_COLUMNS = [
     "company_id", "domain_id", "name", "is_hq", "orders", "paid", "canceled", "value", "pix_value", "card_orders", "last3", "prev3",
     "bill_paid", "bills", "bill_status", "links", "clicks", "freight_cost", "fee", "has_integration", "has_payment", "score", "risk", "reasons",
@@ -714,6 +740,21 @@ def company_mart(s: Samples) -> DataFrame:
     return _mart(s).select(*MART_COLUMNS)
 
 
+@query
+def mart_refreshed(s: Samples) -> DataFrame:
+    """The mart after one order in a hundred is new: only companies that the new orders reach are computed again."""
+    whole = s.orders()
+    is_new = F.col("order_number") % 100 == 0
+    inputs = _mart_inputs(s)
+    months = cut_lineage(orders.merchant_months(whole.filter(~is_new), max_total=MAX_TOTAL))
+    before = cut_lineage(_built(mart.company_mart(months=months, **inputs)))
+    more = orders.merchant_months(whole.filter(is_new), max_total=MAX_TOTAL)
+    domains = more.select("domain_id").distinct()
+    # The columns that `_built` fills are filled again in the part that is new.
+    after = mart.refreshed_mart(before, months=mart.add_months(months, more), domains=domains, companies=domains.select(F.lit("").alias("company_id")).limit(0), **inputs)
+    return _built(after).select(*MART_COLUMNS)
+
+
 @query
 def company_siblings(s: Samples) -> DataFrame:
     return mart.siblings(_register(s))
@@ -734,6 +775,32 @@ def table_profile(s: Samples) -> DataFrame:
     return quality.exact_profile(s.raw("documents").select("doc_id", "text", "lang", "source", "n_chars"))
 
 
+@query
+def profile_of_days(s: Samples) -> DataFrame:
+    """A profile of all orders from sketches stored for each month; whether the estimates lie within their bound of the exact counts."""
+    path = scratch_path(s.spark, "sketches")
+    rows = s.orders().select("order_id", "company_id", "domain_id", "customer_doc", "total", "paid_at", F.trunc("created_at", "MM").alias("day"))
+    quality.day_sketches(rows, "day").write.partitionBy("day").parquet(path)
+    found = quality.sketched_profile(s.spark.read.parquet(path))
+    columns = [c for c in rows.columns if c != "day"]
+    exact = rows.agg(*[F.countDistinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "exact")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.ceil(F.col("exact") * quality.ERROR)
+    return found.join(exact, "column").select("column", "rows", "filled", near.alias("near"))
+
+
+@query
+def weekly_counts_streamed(s: Samples) -> DataFrame:
+    """Weekly event counts of a stream that lands in two parts, the second with a third of the first again; the query restarts between them."""
+    root = scratch_path(s.spark, "stream")
+    rows = s.raw("events").select("event_id", F.col("user_id").alias("brand"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("event"))
+    schema = rows.schema
+    for part, when in enumerate((F.col("event_id") % 2 == 0, (F.col("event_id") % 2 == 1) | (F.col("event_id") % 3 == 0))):
+        rows.filter(when).repartition(2).write.parquet(f"{root}/landed/{part}")
+        stream = s.spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+        incremental.keep_weekly_events(stream, f"{root}/weeks", f"{root}/checkpoint", "60 days").awaitTermination()
+    return sinks.read_current(s.spark, f"{root}/weeks").select("brand", "event", "week", "n")
+
+
 @query
 def value_counts(s: Samples) -> DataFrame:
     return quality.value_counts(s.raw("documents"), "source")

@@ -11,15 +11,15 @@ CATEGORIES = ["plano", "integracao", "assistente", "filial", "outros", "desconto
 
 # Labels of a structured invoice text.
 LABEL_PATTERNS = {
-    "plano": r"(?i)Mensalidade\s*R\$\s*([0-9.,]*)",
-    "integracao": r"(?i)Integra[cç][aã]o\s*R\$\s*([0-9.,]*)",
-    "assistente": r"(?i)Assistente\s+do\s+Vendedor\s*R\$\s*([0-9.,]*)",
-    "filial": r"(?i)Filiais?\s*R\$\s*([0-9.,]*)",
-    "desconto": r"(?i)Desconto\s+concedido\s*-\s*R\$\s*([0-9.,]*)",
+    "plano": r"(?i)Mensalidade\s*R\$\s*([\d.,]*)",
+    "integracao": r"(?i)Integra[cç][aã]o\s*R\$\s*([\d.,]*)",
+    "assistente": r"(?i)Assistente\s+do\s+Vendedor\s*R\$\s*([\d.,]*)",
+    "filial": r"(?i)Filiais?\s*R\$\s*([\d.,]*)",
+    "desconto": r"(?i)Desconto\s+concedido\s*-\s*R\$\s*([\d.,]*)",
 }
 
 # Plain invoice texts outside the subscription classes.
-OTHER_WORDS = r"catálogo|catalogo|portal|conecta|setup|juros|multa|adicional|\bmes\b|\bmês\b"
+OTHER_WORDS = r"catálogo|catalogo|portal|conecta|setup|juros|multa|adicional|mes |mês "
 EXCLUDED_PLANS = r"(?i)(^\s*starter\b|assinatura:\s*starter\b)"
 
 # Plan names by level. Product brands come in as a parameter.

@@ -6,21 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .ranking import ranged
 
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    left_ts: str,
-    right_ts: str,
-    tie: Sequence[str],
-    slice_unit: str = "hour",
-) -> DataFrame:
+
+def asof_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, tie: Sequence[str]) -> DataFrame:
     """Each left row with struct `match` of the latest right row not after it.
 
-    Among right rows of the same instant the smallest `tie` columns win. Both
-    sides are cut into (key, time slice); the last right row before each slice
-    is carried in from pre-aggregated slices, so no task sees a whole key.
+    Among right rows of the same instant the smallest `tie` columns win. A prefix
+    scan: both sides are cut into ranges of (key, time), each range hands its last
+    right row on to the next, and rows look back inside their range or to what was handed
+    on. So a key with all rows, in one hour or in one instant, spreads over all tasks.
     """
     payload = [right_ts, *[c for c in right.columns if c not in (on, right_ts, *tie)]]
     instants = (
@@ -29,25 +24,28 @@ def asof_join(
         .agg(F.min(F.struct(*tie, *payload)).alias("_match"))
     )
     usable = F.col(on).isNotNull() & F.col(left_ts).isNotNull()
-    lines = (
-        left.filter(usable)
-        .select(on, F.col(left_ts).alias("_ts"), F.struct(*left.columns).alias("_row"))
-        .unionByName(instants, allowMissingColumns=True)
-        .withColumn("_slice", F.date_trunc(slice_unit, "_ts"))
-    )
-    earlier = Window.partitionBy(on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.when(F.col("_match").isNotNull(), F.struct("_ts", "_match")))
-    carried = (
-        lines.groupBy(on, "_slice")
-        .agg(last.alias("_last"))
-        .select(on, "_slice", F.max("_last").over(earlier)["_match"].alias("_carried"))
+    hashable = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    lines = left.filter(usable).select(
+        on, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.xxhash64(*hashable).alias("_tie"), F.struct(*left.columns).alias("_row")
     )
     # Right rows sort before left rows of the same instant.
-    inside = Window.partitionBy(on, "_slice").orderBy("_ts", F.col("_row").isNotNull())
+    both = lines.unionByName(instants.withColumns({"_side": F.lit(0), "_tie": F.lit(0).cast("long")}), allowMissingColumns=True)
+    spread = ranged(both, [F.col(on), F.col("_ts"), F.col("_side")], F.col("_tie"))
+
+    right_row = F.when(F.col("_match").isNotNull(), F.struct(F.col(on).alias("_on"), "_ts", "_match"))
+    ends = spread.groupBy("_range").agg(F.max(right_row).alias("_end"))
+    # One row for each range: the last right row of all ranges before it.
+    handed = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    everyone = left.sparkSession.range(ranges).select(F.col("id").cast("int").alias("_range")).join(F.broadcast(ends), "_range", "left")
+    carried = everyone.select("_range", F.last("_end", ignorenulls=True).over(handed).alias("_carried"))
+    inside = Window.partitionBy("_range", on).orderBy("_ts", "_side")
+    own = F.last("_match", ignorenulls=True).over(inside)
+    earlier = F.when(F.col("_carried._on") == F.col(on), F.col("_carried._match"))
     matched = (
-        lines.join(carried, [on, "_slice"])
-        .withColumn("match", F.coalesce(F.last("_match", ignorenulls=True).over(inside), "_carried"))
+        spread.withColumn("_own", own)
         .filter(F.col("_row").isNotNull())
-        .select("_row.*", "match")
+        .join(F.broadcast(carried), "_range")
+        .select("_row.*", F.coalesce("_own", earlier).alias("match"))
     )
     return matched.unionByName(left.filter(~F.coalesce(usable, F.lit(False))), allowMissingColumns=True)

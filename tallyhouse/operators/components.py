@@ -41,7 +41,7 @@ def linked_groups(nodes: DataFrame, node: str, limits: dict[str, int], max_round
         targets = near.select(F.col("node").alias("near"), F.col("near").alias("far"))
         # The labels of the last round are counted: they show which ones are hot.
         counted = labels.select(F.col("label").alias("near"))
-        jumped = hot_join(near, targets, ["near"], "inner", counted=counted)
+        jumped = hot_join(near, targets, ["near"], "inner", counted=counted, unique=True)
         moved = jumped.select("node", "label", F.least("near", "far").alias("next"))
         moved = cut_lineage(moved)
         labels = moved.select("node", F.col("next").alias("label"))

@@ -34,7 +34,7 @@ def fallback_key(rows: DataFrame, first: str, second: str, registry: DataFrame,
     known = registry.select(F.col(first).alias("_known")).distinct()
     by_second = registry.groupBy(second).agg(F.min(first).alias("_owner"))
     known = known.select(F.col("_known").alias(first), "_known")
-    joined = hot_join(hot_join(rows, known, [first]), by_second, [second], counted=rows)
+    joined = hot_join(hot_join(rows, known, [first], unique=True), by_second, [second], counted=rows, unique=True)
     found = joined.withColumn(owner, F.coalesce("_known", "_owner")).drop("_known", "_owner")
     return found.filter(F.col(owner).isNotNull())
 

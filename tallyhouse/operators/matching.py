@@ -236,7 +236,7 @@ def _by_frequent_keys(looked: DataFrame, offers: DataFrame, frequent: DataFrame,
         return F.transform(F.sequence(F.lit(1), F.col(times)), lambda k: F.concat(F.col("key"), F.lit("#"), k.cast("string")))
 
     mine = looked.join(frequent.select("key", "most"), "key").select("name", F.explode(tokens("most")).alias("token"), "weight")
-    theirs = hot_join(offers, frequent.select("key", "n"), ["key"], "inner", "n").select("offer_name", F.explode(tokens("times")).alias("token"))
+    theirs = hot_join(offers, frequent.select("key", "n"), ["key"], "inner", "n", unique=True).select("offer_name", F.explode(tokens("times")).alias("token"))
     asks = cut_lineage(mine.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("token", "weight"))).alias("t")))
     sets = theirs.groupBy("offer_name").agg(F.sort_array(F.collect_list("token")).alias("t")).join(picks, "offer_name")
     sets = cut_lineage(sets.groupBy("t").agg(F.min("pick").alias("pick")))

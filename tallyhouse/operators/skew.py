@@ -12,10 +12,14 @@ SHARE = 1000
 
 def hot_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", weight: str | None = None,
-    counted: DataFrame | None = None,
+    counted: DataFrame | None = None, unique: bool = False,
 ) -> DataFrame:
     """Equi-join to a right side that is unique on `on`: left, inner, left_semi or left_anti.
 
+    A key that repeats on the right stops the job, where it would multiply rows; only
+    `unique`, for a right side that was just grouped by these keys, leaves that check out. For
+    left_semi and left_anti repeats do no harm. A null key on the right matches nothing.
+
     Adaptive execution splits a hot partition only where both sides come
     straight out of a shuffle, which a right side aggregated on the key does
     not. Here hot keys are found by counting; their right rows, fewer than SHARE
@@ -28,12 +32,26 @@ def hot_join(
     frame with the same keys that is cheaper to read than a left side made of joins.
     """
     on = list(on)
+    right = right.dropna(subset=on)
     payload = [c for c in right.columns if c not in on]
-    packed = right.select(*on, F.struct(F.lit(True).alias("_hit"), *payload).alias("_found"))
+    body = F.struct(F.lit(True).alias("_hit"), *payload)
+    if how in ("left_semi", "left_anti"):
+        right = right.select(*on, *([weight] if weight else [])).distinct()
+        payload = [c for c in right.columns if c not in on]
+        body = F.struct(F.lit(True).alias("_hit"), *payload)
+    elif not unique:
+        # Grouped by the join keys, so a side that is partitioned by them is not shuffled again.
+        right = right.groupBy(*on).agg(F.first(body).alias("_body"), F.count("*").alias("_rows"))
+        named = F.concat_ws(", ", *[F.col(key).cast("string") for key in on])
+        repeated = F.raise_error(F.concat(F.lit(f"the right side repeats a key of ({', '.join(on)}): "), named))
+        body = F.when(F.col("_rows") == 1, F.col("_body")).otherwise(repeated.cast(right.schema["_body"].dataType))
+        right = right.select(*on, body.alias("_found")).select(*on, *[F.col(f"_found.{c}").alias(c) for c in payload], "_found")
+        body = F.col("_found")
+    packed = right.select(*on, body.alias("_found"))
     if weight:
         counts = right.select(*on, F.col(weight).alias("_n"))
         total = counts.agg(F.sum("_n")).scalar()
-        hot = right.filter(F.col(weight) * SHARE > total).select(*on, F.struct(F.lit(True).alias("_hit"), *payload).alias("_found"))
+        hot = right.filter(F.col(weight) * SHARE > total).select(*on, body.alias("_found"))
     else:
         counts = (left if counted is None else counted).groupBy(*on).agg(F.count("*").alias("_n"))
         total = counts.agg(F.sum("_n")).scalar()

@@ -976,6 +976,15 @@ select company_id, d domain_id, row_number() over (partition by d order by made_
   select company_id, case when cast(company_id as bigint) % 50 <> 0 then domain_id end d, case when status = 1 then created_at end made_at from v_companies)""",
 }
 
+_BODIES["purchase_history_merged"] = _BODIES["purchase_merge_latest"]
+_BODIES["mart_refreshed"] = _BODIES["company_mart"]
+_BODIES["weekly_counts_streamed"] = """
+select user_id brand, event_type event, strftime(date_trunc('week', ts), '%Y-%m-%d') as week, count(*) n from events group by 1, 2, 3"""
+_BODIES["profile_of_days"] = " union all ".join(
+    f"select '{c}' as column, count(*) as rows, count({v}) filled, true as near from v_orders"
+    for c, v in (("order_id", "order_id"), ("company_id", "company_id"), ("domain_id", "domain_id"), ("customer_doc", "customer_doc"), ("total", "total"), ("paid_at", "case when is_paid then 1 end"))
+)
+
 
 def _nested(body: str) -> str:
     """A body that starts with its own CTEs becomes a subquery behind the views."""

@@ -76,7 +76,7 @@ def headquarters(companies: DataFrame) -> DataFrame:
 def with_row_number(companies: DataFrame) -> DataFrame:
     """Position of each company in its domain; 1 is the headquarters."""
     order = [F.col("created_at"), F.col("company_id")]
-    return numbered(companies, ["domain_id"], order, F.to_date("created_at"), "row_num")
+    return numbered(companies, ["domain_id"], order, "row_num")
 
 
 def new_payment_customers(

@@ -58,7 +58,7 @@ def drop_idle_copies(companies: DataFrame) -> DataFrame:
     """Drop companies without orders whose tax id has orders elsewhere."""
     keyed = companies.withColumn("_doc", F.coalesce(digits(F.col("tax_document")), F.lit("")))
     busy = keyed.filter("orders > 0 and _doc <> ''").select("_doc", F.lit(True).alias("_busy")).distinct()
-    return hot_join(keyed, busy, ["_doc"]).filter("orders > 0 or _busy is null").drop("_doc", "_busy")
+    return hot_join(keyed, busy, ["_doc"], unique=True).filter("orders > 0 or _busy is null").drop("_doc", "_busy")
 
 
 def company_groups(companies: DataFrame, max_root: int = 20, max_domain: int = 15) -> DataFrame:
@@ -85,7 +85,7 @@ def company_groups(companies: DataFrame, max_root: int = 20, max_domain: int = 1
     hq = per.join(heads, "group_id").select(
         "group_id", "size", F.when(F.col("roots") == 1, F.col("by_branch")).otherwise(F.col("by_orders")).alias("hq_id")
     )
-    return hot_join(groups, hq, ["group_id"], "inner", "size").select(
+    return hot_join(groups, hq, ["group_id"], "inner", "size", unique=True).select(
         "company_id", "group_id", "size", "hq_id", (F.col("company_id") == F.col("hq_id")).alias("is_hq")
     )
 
@@ -214,7 +214,7 @@ def survey_users(answers: DataFrame, users: DataFrame) -> DataFrame:
     known = users.select(phone_key(F.col("phone")).alias("_phone"), "user_id", "domain_id").filter("_phone <> ''")
     first = known.groupBy("_phone").agg(F.min(F.struct("user_id", "domain_id")).alias("_u"))
     keyed = answers.withColumn("_phone", phone_key(F.col("phone")))
-    return hot_join(keyed, first, ["_phone"]).select(*answers.columns, "_u.user_id", "_u.domain_id")
+    return hot_join(keyed, first, ["_phone"], unique=True).select(*answers.columns, "_u.user_id", "_u.domain_id")
 
 
 def labelled(rows: DataFrame, code: str, labels: DataFrame, label: str = "label") -> DataFrame:

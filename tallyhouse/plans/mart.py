@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.money import MONEY
 from ..session import cut_lineage
 from ..operators.skew import hot_join
-from ..operators.joins import attach_to_headquarters
+from ..operators.joins import attach_to_headquarters, summed_union
 from .churn import churn_score, quarter_sums
 from .groups import drop_idle_copies
 
@@ -60,6 +60,19 @@ def company_invoices(match: DataFrame, buckets: DataFrame, current: DataFrame, k
     return hot_join(match.select("company_id", "invoice_key"), totals.join(latest, "invoice_key", "left"), ["invoice_key"], "inner").drop("invoice_key")
 
 
+def side_by_side(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    """Columns of frames that are each unique by a key, by one shuffle of all of them; a repeated key stops the job."""
+    pool = None
+    for i, frame in enumerate(frames):
+        part = frame.select(key, F.struct(*[c for c in frame.columns if c != key]).alias(f"_{i}"))
+        pool = part if pool is None else pool.unionByName(part, allowMissingColumns=True)
+    single = pool.groupBy(key).agg(
+        *[F.first(f"_{i}", ignorenulls=True).alias(f"_{i}") for i in range(len(frames))], F.greatest(*[F.count(f"_{i}") for i in range(len(frames))], F.lit(0)).alias("_n")
+    )
+    once = F.when(F.col("_n") <= 1, F.col(key)).otherwise(F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string"))).cast(single.schema[key].dataType))
+    return single.select(once.alias(key), *[f"_{i}.{c}" for i, frame in enumerate(frames) for c in frame.columns if c != key])
+
+
 def company_mart(
     register: DataFrame,
     months: DataFrame,
@@ -89,9 +102,7 @@ def company_mart(
         invoices, plans.select("company_id", "plan", F.col("total").alias("plan_total")), controls.select("company_id", "manual_fee"),
         tickets.select("company_id", "stage"), *extras,
     ]
-    wide = rows.join(cost, "domain_id", "left")
-    for frame in by_company:
-        wide = wide.join(frame, "company_id", "left")
+    wide = rows.join(cost, "domain_id", "left").join(side_by_side(by_company, "company_id"), "company_id", "left")
     nil = F.lit(0).cast(MONEY)
     fees = [F.when(F.col(c) > 0, F.col(c)) for c in ("bill_fee", "manual_fee", "plan_total")]
     wide = wide.withColumns(
@@ -106,6 +117,53 @@ def company_mart(
     return churn_score(wide)
 
 
+def affected_companies(register: DataFrame, domains: DataFrame, companies: DataFrame) -> DataFrame:
+    """(company_id, domain_id) of mart rows that a change may reach.
+
+    Changed `companies` (company_id) change their whole domain, as its headquarters may carry their
+    totals; all companies of changed `domains` (domain_id) follow, and those that share a tax id with one of
+    them, as an idle copy stays or goes by the orders of the others.
+    """
+    own = register.join(companies.select("company_id").distinct(), "company_id", "left_semi").select("domain_id")
+    hit = own.unionByName(domains.select("domain_id")).distinct()
+    doc = F.nullif(F.regexp_replace(F.coalesce("tax_document", F.lit("")), "[^0-9]", ""), F.lit(""))
+    keyed = register.select("company_id", "domain_id", doc.alias("_doc"))
+    first = keyed.join(hit, "domain_id", "left_semi")
+    docs = first.select("_doc").where("_doc is not null").distinct()
+    copies = keyed.join(docs, "_doc", "left_semi")
+    return first.unionByName(copies.select(*first.columns)).select("company_id", "domain_id").distinct()
+
+
+def add_months(months: DataFrame, more: DataFrame) -> DataFrame:
+    """The monthly order table with the measures of new orders added; months and domains that have none stay as they are."""
+    return summed_union([months, more], ["domain_id", "month"], ORDER_MEASURES).select(*months.columns)
+
+
+def refreshed_mart(
+    before: DataFrame, register: DataFrame, months: DataFrame, invoices: DataFrame, freight: DataFrame, plans: DataFrame, controls: DataFrame,
+    tickets: DataFrame, as_of: dt.date, domains: DataFrame, companies: DataFrame, extras: Sequence[DataFrame] = (),
+) -> DataFrame:
+    """The mart `before`, with only those companies computed again that changed domains or companies may reach.
+
+    The other arguments are those of `company_mart` and hold the new state; each is cut to
+    the affected companies before anything is joined. The result equals a full build where `as_of` is that of `before`.
+    """
+    touched = cut_lineage(affected_companies(register, domains, companies))
+    ids, homes = touched.select("company_id"), touched.select("domain_id").distinct()
+
+    def of_companies(df: DataFrame) -> DataFrame:
+        return df.join(ids, "company_id", "left_semi")
+
+    def of_domains(df: DataFrame) -> DataFrame:
+        return df.join(homes, "domain_id", "left_semi")
+
+    part = company_mart(
+        of_companies(register), of_domains(months), of_companies(invoices), of_domains(freight), of_companies(plans), of_companies(controls),
+        of_companies(tickets), as_of, [of_companies(e) for e in extras],
+    )
+    return before.join(ids, "company_id", "left_anti").unionByName(part)
+
+
 def risk_counts(mart: DataFrame) -> DataFrame:
     return mart.groupBy("risk").agg(F.count("*").alias("companies"))
 

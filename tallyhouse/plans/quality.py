@@ -138,3 +138,32 @@ def exact_profile(df: DataFrame) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n"))
+
+
+# --- profiles of many days from stored sketches --------------------------------
+
+PRECISION = 12  # log2 of a sketch's registers; one sketch takes some KB at most
+ERROR = 3 * 1.04 / 2 ** (PRECISION / 2)  # three standard errors of an estimate
+
+
+def day_sketches(df: DataFrame, day: str) -> DataFrame:
+    """Rows, filled values and a sketch of the distinct values of each column, for each day: one row for each (day, column).
+
+    Sketches merge, so a profile of many days reads none of them again. One aggregation, no row is multiplied.
+    """
+    columns = [c for c in df.columns if c != day]
+    per = df.groupBy(F.col(day).alias("day")).agg(
+        F.count("*").alias("rows"),
+        *[F.count(c).alias(f"f_{i}") for i, c in enumerate(columns)],
+        *[F.hll_sketch_agg(F.col(c).cast("string"), PRECISION).alias(f"s_{i}") for i, c in enumerate(columns)],
+    )
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("rows"), F.col(f"f_{i}").alias("filled"), F.col(f"s_{i}").alias("sketch")) for i, c in enumerate(columns)
+    ])
+    return per.select("day", F.inline(entries))
+
+
+def sketched_profile(sketches: DataFrame) -> DataFrame:
+    """Rows, filled values and about how many distinct values per column, over all days of the sketches."""
+    united = sketches.groupBy("column").agg(F.sum("rows").alias("rows"), F.sum("filled").alias("filled"), F.hll_union_agg("sketch").alias("sketch"))
+    return united.select("column", "rows", "filled", F.hll_sketch_estimate("sketch").alias("distinct"))

@@ -11,6 +11,7 @@ from ..functions.money import cents, zero
 from ..functions.text import tag_value
 from ..operators.joins import newest_by_key
 from ..operators.skew import hot_join
+from ..sources import bucketed
 
 # What an order row and an instalment both tell about an instalment.
 LINE = ["rec_id", "installment", "due_at", "rec_paid_at", "rec_status", "net", "gross", "fee", "anticipation"]
@@ -146,6 +147,29 @@ def merge_purchases(fresh: DataFrame, refreshed: DataFrame, previous: DataFrame,
     return joined.withColumn("anticipation", raised).drop("anticipates_default")
 
 
+DEFAULTS = 100_000  # workspaces whose defaults are broadcast, once they are counted
+
+
+def merge_into_history(fresh: DataFrame, refreshed: DataFrame, history: DataFrame, defaults: DataFrame, buckets: int) -> DataFrame:
+    """`merge_purchases` where the previous state is a table bucketed by transaction (`sources.bucketed`).
+
+    Only the new copies are shuffled; rows come out in the buckets of the history.
+    """
+    batch = newest_by_key([fresh, refreshed], "transaction_id", ["updated"])
+
+    def choose(c: str) -> Column:
+        return F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}"))
+
+    merged = bucketed.merged(history, batch, "transaction_id", buckets, choose)
+    known = defaults.select("workspace_id", "anticipates_default")
+    if known.limit(DEFAULTS + 1).count() <= DEFAULTS:
+        joined = merged.join(F.broadcast(known), "workspace_id", "left")
+    else:
+        joined = hot_join(merged, known, ["workspace_id"], counted=history)
+    raised = F.coalesce("anticipation", F.lit(False)) | F.coalesce("anticipates_default", F.lit(False))
+    return joined.withColumn("anticipation", raised).select(*history.columns)
+
+
 def missing_now(previous: DataFrame, fresh: DataFrame) -> DataFrame:
     """Purchases seen before that the fresh pull lacks."""
     return previous.join(fresh.select("transaction_id"), "transaction_id", "left_anti")
@@ -203,7 +227,7 @@ def cancellations(purchases: DataFrame, orders: DataFrame) -> DataFrame:
         F.concat(F.round(hours.cast("decimal(18,6)"), 1).cast("string"), F.lit("h"))
     )
     voided = purchases.filter("status = 'voided'")
-    return hot_join(voided, totals, ["order_id"]).select(
+    return hot_join(voided, totals, ["order_id"], unique=True).select(
         "transaction_id", "order_id", "brand", "order_number", "order_total",
         F.greatest(F.size("installments"), F.lit(1)).alias("parts"),
         F.col("updated").alias("canceled_at"), text.alias("time_to_cancel"),
@@ -234,7 +258,7 @@ def purchase_order_data(purchases: DataFrame, by_transaction: DataFrame, by_orde
     tagged = purchases.withColumn("tag_order", tag_value(F.col("tags"), "order_"))
     first = by_transaction.groupBy("transaction_id").agg(F.min("order_number").alias("_by_tx"))
     second = by_order.groupBy(F.col("order_id").alias("tag_order")).agg(F.max("order_number").alias("_by_tag"))
-    joined = hot_join(tagged.join(first, "transaction_id", "left"), second, ["tag_order"], counted=tagged)
+    joined = hot_join(tagged.join(first, "transaction_id", "left"), second, ["tag_order"], counted=tagged, unique=True)
     defaults = workspaces.select("workspace_id", "anticipates_default")
     joined = hot_join(joined, defaults, ["workspace_id"], counted=tagged)
     source = F.when(F.col("_by_tx").isNotNull(), "transaction").when(F.col("_by_tag").isNotNull(), "tag").otherwise("none")
@@ -263,7 +287,7 @@ def payment_key_register(keys: DataFrame, companies: DataFrame) -> DataFrame:
     newest = companies.groupBy(F.lower("name").alias("_name")).agg(
         F.max_by(F.struct("company_id", "domain_id"), F.struct("domain_id", "company_id")).alias("_c")
     )
-    joined = hot_join(keys.withColumn("_name", F.lower("brand")), newest, ["_name"])
+    joined = hot_join(keys.withColumn("_name", F.lower("brand")), newest, ["_name"], unique=True)
     return joined.select(*keys.columns, "_c.company_id", "_c.domain_id")
 
 

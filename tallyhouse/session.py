@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed partition even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Bucketed tables with one file for each bucket are read as sorted.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.ui.enabled": "false",
 }
 

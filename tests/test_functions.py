@@ -135,7 +135,9 @@ def test_item_classes(spark):
         "Integração ERP": (0, 100, 0, 0, 0, 0),
         "Multa de atraso": (0, 0, 0, 0, 100, 0),
         "Referente ao mês passado": (0, 0, 0, 0, 100, 0),
-        "homes plano": (100, 0, 0, 0, 0, 0),
+        "homes plano": (0, 0, 0, 0, 100, 0),  # any text that holds "mes " or "mês "
+        "Plano de 12 meses": (100, 0, 0, 0, 0, 0),
+        "Pago no mês": (100, 0, 0, 0, 0, 0),
         "Plano Pro": (100, 0, 0, 0, 0, 0),
         "Assinatura: Starter": None,
     }

@@ -152,3 +152,46 @@ def test_containment_sends_few_pieces(spark):
     found = containing(narrow, wide, common=100)
     assert {r.name: r.pick for r in found.collect()} == {f"numero {7 * k:06d}": k for k in range(1000)} | {"roupas": 0, "de": 0}
     assert sum(n for name, n in join_rows(found) if "Join" in name) < 12 * 5000
+
+
+@pytest.mark.parametrize("same", ["hour", "instant"])
+def test_a_key_with_all_rows_spreads_over_the_asof_join(spark, monkeypatch, same):
+    """One company whose meetings and deals all fall into one hour, or whose deals fall into one instant."""
+    from tallyhouse.operators import asof, ranking
+
+    seen = []
+    monkeypatch.setattr(asof, "ranged", lambda *a: seen.append(ranking.ranged(*a)) or seen[-1])
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("id") % 3000 if same == "hour" else F.lit(10)))
+    left = spark.range(20_000).select(F.lit("k").alias("k"), at.alias("ts"), F.col("id").alias("did"))
+    right = spark.range(40).select(F.lit("k").alias("k"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 5).alias("start"), F.col("id").alias("mid"))
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8"}):
+        rows = asof.asof_join(left, right, "k", "ts", "start", ["mid"]).select("did", "match.mid").collect()
+        sizes = [r["count"] for r in seen[0].groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    assert {r.did: r.mid for r in rows} == {k: min(39, (k % 3000 if same == "hour" else 10) // 5) for k in range(20_000)}
+
+
+def test_a_key_with_all_rows_spreads_over_the_numbering(spark, monkeypatch):
+    from tallyhouse.operators import ranking
+
+    seen, ranged = [], ranking.ranged
+    monkeypatch.setattr(ranking, "ranged", lambda *a: seen.append(ranged(*a)) or seen[-1])
+    df = spark.range(20_000).select(F.when(F.col("id") % 50 != 0, F.lit("k")).alias("k"), F.timestamp_seconds(F.lit(7)).alias("at"), "id")
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8"}):
+        rows = ranking.numbered(df, ["k"], [F.col("at"), F.col("id")]).collect()
+        sizes = [r["count"] for r in seen[0].groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    hot = {r.id: r.rn for r in rows if r.k}
+    assert [hot[i] for i in sorted(hot)] == list(range(1, 19_601)) and sorted(r.rn for r in rows if not r.k) == list(range(1, 401))
+
+
+def test_a_repeated_key_on_the_right_stops_the_join(spark):
+    from tallyhouse.operators.skew import hot_join
+
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    right = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), (None, 4), (None, 5)], "k string, w int")
+    with pytest.raises(Exception, match=r"repeats a key of \(k\): b"):
+        hot_join(left, right, ["k"]).collect()
+    assert sorted((r.v, r.w) for r in hot_join(left, right.filter("w <> 2"), ["k"]).collect() if r.w) == [(1, 1), (2, 1)]
+    assert sorted(r.v for r in hot_join(left, right, ["k"], "left_semi").collect()) == [1, 2]  # no row twice
+    assert [r.v for r in hot_join(left, right, ["k"], "left_anti").collect()] == [3]
