@@ -74,6 +74,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW_GROUP = 16 << 20  # bytes that a Parquet writer holds back, where memory is short
+
+
+def written_small(df: DataFrame, name: str) -> DataFrame:
+    """`written` for large tables beside large workers: small row groups, which a writer holds in memory, and a denser codec."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of jobs that are done: Spark deletes them when the driver collects its garbage, every half hour unless asked."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
@@ -243,12 +258,12 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
 UNIT = 4 << 20  # bytes of text whose keys travel together
 
 
-def units(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[int, Slice]]:
-    """Slices of about UNIT bytes with a number that is the same whenever the same input is read again."""
+def units(batches: Iterable[pa.RecordBatch], text: str = "text", budget: int = UNIT) -> Iterator[tuple[int, Slice]]:
+    """Slices of about `budget` bytes with a number that is the same whenever the same input is read again."""
     from pyspark import TaskContext
 
     first = TaskContext.get().partitionId() << 24
-    for k, s in enumerate(slices(batches, text, UNIT)):
+    for k, s in enumerate(slices(batches, text, budget)):
         yield first + k, s
 
 

@@ -34,12 +34,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, shingles, slices, small, units, unpacked, unpacked_ints, unpacked_sorted, words, written
+from .common import (
+    U64, Slice, batch_of, buckets, cuts, drop_scratch, free_shuffles, mix, packed_ints, packed_keys, packed_sorted, scratch_mark, shingles, slices, small, units,
+    unpacked, unpacked_ints, unpacked_sorted, words, written, written_small,
+)
 from .components import components
 
 GROUPS = 64  # of the tree; larger sets have more, folded to these there
 NODE = 16  # points of a leaf
 TILE = 128  # sets on one side of a tile
+UNIT = 2 << 20  # bytes of text whose sets are in memory at a time
 FREQUENT = 200_000  # shingles that are put last; only an order
 
 
@@ -71,7 +75,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s in units(batches):
+        for _, s in units(batches, budget=UNIT):
             row, found = sets_of(s)
             size, a, b = _identity(row, found, len(s))
             none = [None] * len(s)
@@ -136,7 +140,7 @@ def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFram
     last, rank = last[by], by
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s in units(batches):
+        for _, s in units(batches, budget=UNIT):
             keys, size, member = _prefixes(s, last, rank, percent)
             order = np.argsort(keys, kind="stable")
             keys, size, member = keys[order], size[order], member[order]
@@ -352,25 +356,32 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per document of `docs` (doc_id, text): doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     n = buckets(docs.sparkSession)
-    read = written(_described(docs, n), "sets")
+    spark = docs.sparkSession
+    read = written_small(_described(docs, n), "sets")
     known = read.where("bucket is null").select("doc_id", "size", "a", "b")
     # A set's class: its smallest document. Its name on the way is the first half of its identity.
     classes = known.where("size > 0").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id"))
     named = written(classes.groupBy("a").agg(F.min("doc_id").alias("doc_id")).select(F.col("a").alias("member"), "doc_id"), "classes")
-    blocks = written(_blocks(docs, n, _frequent(read.where("bucket is not null")), percent), "all-blocks")
+    begun = scratch_mark()
+    blocks = written_small(_blocks(docs, n, _frequent(read.where("bucket is not null")), percent), "all-blocks")
     # Blocks with the same members, wherever their shingles were gathered, are one.
     one = written(blocks.groupBy("mark", "members").agg(F.min("block").alias("block")).select("block"), "one-of-equal")
-    blocks = written(blocks.join(one, "block", "left_semi").drop("mark"), "blocks")
+    ended = scratch_mark()
+    blocks = written_small(blocks.join(one, "block", "left_semi").drop("mark"), "blocks")
+    drop_scratch(spark, begun, ended)
+    free_shuffles(spark)
 
     fits = "100 * least(size, other) >= {0} * greatest(size, other)".format(percent)
     first = blocks.where("member <> pivot").where(fits).groupBy("pivot", "member").agg(F.max("members").alias("members"))
     first = written(first, "first-pairs")
     needed = first.select("member").union(first.select("pivot")).union(blocks.where("members > 2").select("member")).distinct()
-    sets = written(_sets(docs, written(named.join(needed, "member"), "wanted")), "shingles")
+    sets = written_small(_sets(docs, written(named.join(needed, "member"), "wanted")), "shingles")
+    free_shuffles(spark)
 
     # Every member against the smallest of its block.
     pairs = written(_against(first, sets, percent), "pairs")
     found = written(_verified(pairs, sets, percent), "links")
+    free_shuffles(spark)
     label = _labels(found)
 
     # Those that are still apart, against the member of theirs that shares most: copies gather around what they were copied from.
@@ -387,6 +398,7 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     second = written(second, "hub-pairs")
     pairs = written(pairs.unionByName(second), "both-pairs")
     found = written(found.unionByName(_verified(second, sets, percent)), "both-links")
+    free_shuffles(spark)
     label = _labels(found)
 
     # Blocks that still hold several components, whole: some member is not with its pivot.
@@ -397,7 +409,9 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     rest = _tiles(open_)
     # Pairs that were verified before are not verified again.
     more = written(_candidates(rest, ["block", "i", "j"], sets, percent), "more-pairs").join(pairs, ["a", "b"], "left_anti")
+    free_shuffles(spark)
     links = written(found.unionByName(_verified(written(more, "new-pairs"), sets, percent)), "all-links")
+    free_shuffles(spark)
 
     # Names back to documents: equal sets and links between sets.
     first_of = named.select(F.col("member").alias("a"), F.col("doc_id").alias("x"))
