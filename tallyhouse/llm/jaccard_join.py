@@ -44,6 +44,7 @@ GROUPS = 64  # of the tree; larger sets have more, folded to these there
 NODE = 16  # points of a leaf
 TILE = 128  # sets on one side of a tile
 UNIT = 2 << 20  # bytes of text whose sets are in memory at a time
+DROPPED = U64(16)  # low bits that travelling sets leave out: 48 are kept, and five bytes a shingle instead of eight
 FREQUENT = 200_000  # shingles that are put last; only an order
 
 
@@ -279,14 +280,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.select(["a", "member", "shingles"]).to_pylist()
-        head = next(unpacked(r["shingles"]) for r in rows if r["member"] == r["a"])
-        found = [r["member"] for r in rows if r["member"] != r["a"] and similar(unpacked(r["shingles"]), head, percent)]
+        head = next(unpacked_sorted(r["shingles"]) for r in rows if r["member"] == r["a"])
+        found = [r["member"] for r in rows if r["member"] != r["a"] and similar(unpacked_sorted(r["shingles"]), head, percent)]
         return pa.Table.from_arrays([pa.array([rows[0]["a"]] * len(found), pa.int64()), pa.array(found, pa.int64())], schema=_PAIR)
 
     counted = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "pair-counts")
     pairs = pairs.join(counted, "a").select("a", F.pmod(F.xxhash64("b"), "tiles").cast("int").alias("tile"), F.col("b").alias("member"))
     heads = pairs.select("a", "tile").distinct().withColumn("member", F.col("a"))
-    return pairs.unionByName(heads).join(sets.select("member", "shingles"), "member").groupBy("a", "tile").applyInArrow(run, "a long, b long")
+    rows = written(pairs.unionByName(heads), "pair-tiles")
+    asked = sets.select("member", "shingles").join(small(rows.select("member").distinct()), "member", "left_semi")
+    return rows.join(asked, "member").groupBy("a", "tile").applyInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -301,7 +304,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             # Rows may share a doc_id: only the text that has the wanted set counts.
             kept = [(m, np.sort(found[i:j])) for m, k, i, j in zip(s.batch.column("member").to_pylist(), name, at, at[1:]) if m == k]
             sets = [x for _, x in kept]
-            yield batch_of(schema, [m for m, _ in kept], [packed_keys(x) for x in sets], [packed_ints(count_vector(x)) for x in sets])
+            yield batch_of(schema, [m for m, _ in kept], [packed_sorted(x >> DROPPED) for x in sets], [packed_ints(count_vector(x)) for x in sets])
 
     texts = docs.select("doc_id", "text").join(small(wanted), "doc_id").select("member", "text")
     return texts.mapInArrow(run, "member long, shingles binary, counts binary")
