@@ -16,7 +16,8 @@ are, not what is found. Equal sets are one class from the start and travel once
    smallest member, and where it stays apart with the member that shares most: linear
    work however large the block. The links found are merged.
 2. Blocks whose members are by now in one component are done. The others are compared
-   whole, in tiles of bounded size, without pairs already in one component.
+   in tiles of bounded size, without pairs already in one component and without pairs
+   whose sizes are too far apart.
 In both, R-trees over the count vectors of a tile name the pairs; only for those do
 the sets themselves travel.
 
@@ -28,11 +29,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import (
     U64, Slice, batch_of, buckets, cuts, drop_scratch, free_shuffles, mix, packed_ints, packed_keys, packed_sorted, scratch_mark, shingles, slices, small, units,
@@ -332,27 +334,46 @@ def _apart(met: DataFrame, label: DataFrame) -> DataFrame:
     return both.where(F.coalesce("label", "member") != F.coalesce("pivot_label", "pivot")).select("pivot", "member")
 
 
-def _tiles(blocks: DataFrame) -> DataFrame:
-    """Rows (block, i, j, member, label, side) of tiles that bring each two members of different labels of a block together.
+def _tiles(blocks: DataFrame, percent: int) -> DataFrame:
+    """Rows (block, kind, i, j, member, label, side) of tiles that bring those members of a block together that differ in label and may be similar by size.
 
-    The members of a block's most frequent label need not meet each other: their
-    parts meet the parts of the other members, and those meet among themselves.
+    Sizes fall into classes whose bounds grow by the largest ratio of similar sets, so a
+    member meets its own class and the next one only. In a class the members of the block's most frequent
+    label (main) and the others are dealt to parts: others meet all of both classes, main members meet others.
     """
+    width = math.log(100 / percent) if percent < 100 else 1e-9
+    sized = blocks.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / F.lit(width)).cast("int"))
     counts = blocks.groupBy("block", "label").agg(F.count("*").alias("n"))
-    per = counts.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    main = written(counts.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("main")), "block-mains")
+    rows = sized.join(main, "block").withColumn("is_main", F.col("label") == F.col("main"))
     parts = lambda n: F.ceil(n / TILE).cast("int")
-    per = written(per.select("block", "main", parts(F.col("most")).alias("m"), parts(F.col("all") - F.col("most")).alias("o")), "block-parts")
-    rows = blocks.join(per, "block").withColumn("is_main", F.col("label") == F.col("main"))
+    per = rows.groupBy("block", "class").agg(parts(F.count_if("is_main")).alias("m"), parts(F.count_if(~F.col("is_main"))).alias("o"))
+    along = Window.partitionBy("block").orderBy("class")  # classes of one block: as many as the logarithm of the largest size
+
+    def beside(step: int, c: str) -> Column:
+        found = F.lead if step > 0 else F.lag
+        return F.coalesce(F.when(found("class").over(along) == F.col("class") + step, found(c).over(along)), F.lit(0))
+
+    per = per.select("block", "class", "m", "o", beside(1, "m").alias("m_up"), beside(1, "o").alias("o_up"), beside(-1, "m").alias("m_down"), beside(-1, "o").alias("o_down"))
+    per = written(per, "block-parts")
+    rows = rows.join(per, ["block", "class"])
     rows = rows.withColumn("own", F.pmod(F.xxhash64("member"), F.when(F.col("is_main"), F.col("m")).otherwise(F.col("o"))).cast("int"))
-    last = F.when(F.col("is_main"), F.col("o")).otherwise(F.col("o") + F.col("m")) - 1
-    rows = rows.select("block", "member", "label", "is_main", "own", "o", F.explode(F.sequence(F.lit(0), last)).alias("k"))
-    among = ~F.col("is_main") & (F.col("k") < F.col("o"))  # parts of others with each other
-    return rows.select(
-        "block", "member", "label",
-        F.when(F.col("is_main"), F.col("k")).when(among, F.least("own", "k")).otherwise(F.col("own")).alias("i"),
-        F.when(F.col("is_main"), F.col("o") + F.col("own")).when(among, F.greatest("own", "k")).otherwise(F.col("k")).alias("j"),
-        F.when(F.col("is_main"), 1).when(among & (F.col("own") == F.col("k")), 2).when(among & (F.col("own") > F.col("k")), 1).otherwise(0).alias("side"),
-    )
+
+    def met(kind: int, shift: int, others: str, first: bool) -> Column:
+        """Tiles of the own part with each of the others' parts; the own part is the first side or the second."""
+        own, at = F.col("own"), (F.col("class") + shift) * 8 + kind
+        each = F.transform(F.sequence(F.lit(0), F.col(others) - 1), lambda k: F.struct(
+            at.alias("kind"), (own if first else k).alias("i"), (k if first else own).alias("j"), F.lit(0 if first else 1).alias("side")
+        ))
+        return F.when(F.col(others) > 0, each).otherwise(F.array().cast("array<struct<kind: int, i: int, j: int, side: int>>"))
+
+    among = F.transform(F.sequence(F.lit(0), F.col("o") - 1), lambda k: F.struct(
+        (F.col("class") * 8).alias("kind"), F.least("own", k).alias("i"), F.greatest("own", k).alias("j"),
+        F.when(F.col("own") == k, 2).when(F.col("own") > k, 1).otherwise(0).alias("side"),
+    ))
+    of_main = F.concat(met(1, 0, "o", True), met(2, 0, "o_up", True), met(3, -1, "o_down", False))
+    of_others = F.concat(among, met(1, 0, "m", False), met(2, -1, "m_down", False), met(3, 0, "m_up", True), met(4, 0, "o_up", True), met(4, -1, "o_down", False))
+    return rows.select("block", "member", "label", F.explode(F.when(F.col("is_main"), of_main).otherwise(of_others)).alias("t")).select("block", "t.*", "member", "label")
 
 
 def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -408,10 +429,10 @@ def joined(docs: DataFrame, percent: int = 80) -> DataFrame:
     apart = written(_apart(met, label), "still-apart")
     several = written(large.join(apart, ["pivot", "member"], "left_semi").select("block").distinct(), "several")
     open_ = large.join(several, "block", "left_semi").join(label, "member", "left")
-    open_ = written(open_.select("block", "member", "members", F.coalesce("label", "member").alias("label")), "open-blocks")
-    rest = _tiles(open_)
+    open_ = written(open_.select("block", "member", "size", F.coalesce("label", "member").alias("label")), "open-blocks")
+    rest = _tiles(open_, percent)
     # Pairs that were verified before are not verified again.
-    more = written(_candidates(rest, ["block", "i", "j"], sets, percent), "more-pairs").join(pairs, ["a", "b"], "left_anti")
+    more = written(_candidates(rest, ["block", "kind", "i", "j"], sets, percent), "more-pairs").join(pairs, ["a", "b"], "left_anti")
     free_shuffles(spark)
     links = written(found.unionByName(_verified(written(more, "new-pairs"), sets, percent)), "all-links")
     free_shuffles(spark)
