@@ -2,12 +2,14 @@
 
 A test item is its distinct shingles of five words (an item of fewer words is one
 shingle of all its words). Items are partitioned by size, in powers of two, and
-each partition has its own sketch length: the `size - ceil(0.8 size) + 1` shingles
-of smallest hash for the partition's largest size. A document that holds 80 % of
-an item's shingles misses fewer than that, so it holds one shingle of the sketch
-at least: no containing document is lost. Documents, long and unsketched, probe
-the sketches with all their shingles; documents that hit are read again, and the
-shared shingles are counted exactly, as words.
+each partition has its own sketch length: `size - ceil(0.8 size) + 1` for the partition's
+largest size. A sketch holds that many of the item's shingles, those of fewest items first and
+of smallest hash among these. A document that holds 80 % of an item's shingles misses at
+most `size - ceil(0.8 size)` of them, in the sketch too: one that holds fewer of the sketch than
+its length less that is no candidate, and no containing document is lost. Documents, long and unsketched, probe
+the sketches with all their shingles; candidates are read again, and the
+shared shingles are counted exactly, as words. So a passage that many items and documents
+share, and that is a small part of each item, makes no candidates.
 
 Sketches, items and ids of documents are broadcast only where their counted rows
 are below `broadcast_limit`; beyond it Spark joins them by shuffle.
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import BROADCAST_ROWS, small, written
 
 SHINGLE = 5
+BROADCAST_BYTES = 64 << 20  # of shingle texts
 PATTERN = r"([^\x20\x09-\x0D]+)"
 
 
@@ -57,7 +60,7 @@ def needed(size: Column) -> Column:
 
 
 def item_sketches(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Items (item, item_id, words, width, size) and their sketches (item, hash)."""
+    """Items (item, item_id, words, width, size) and their sketches (item, hash; least: how many of them a candidate holds)."""
     read = items.where("item_id is not null").select("item_id", _words("text").alias("words")).distinct().where(F.size("words") > 0)
     read = read.withColumns({"item": F.xxhash64("item_id", "words"), "width": F.least(F.lit(SHINGLE), F.size("words"))})
     by_width = [
@@ -67,7 +70,11 @@ def item_sketches(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = reduce(DataFrame.unionByName, by_width).withColumn("size", F.size("hashes"))
     largest = (F.pow(F.lit(2), F.floor(F.log2("size")) + 1) - 1).cast("long")  # of the item's size partition
     length = F.least(largest - needed(largest) + 1, F.col("size")).cast("int")
-    sketches = whole.select("item", "width", F.explode(F.slice(F.array_sort("hashes"), F.lit(1), length)).alias("hash"))
+    each = whole.select("item", "size", length.alias("length"), F.explode("hashes").alias("hash"))
+    held = each.join(each.groupBy("hash").agg(F.count("*").alias("items")), "hash")
+    gathered = held.groupBy("item", "size", "length").agg(F.sort_array(F.collect_list(F.struct("items", "hash"))).alias("all"))  # shingles of one item
+    least = F.col("length") - (F.col("size") - needed(F.col("size")))
+    sketches = gathered.select("item", least.cast("int").alias("least"), F.explode(F.slice(F.transform("all", lambda s: s["hash"]), F.lit(1), F.col("length"))).alias("hash"))
     return whole.drop("hashes"), sketches
 
 
@@ -80,8 +87,10 @@ def contained(docs: DataFrame, items: DataFrame, broadcast_limit: int = BROADCAS
         return docs.sparkSession.createDataFrame([], none)
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     probes = docs.select("doc_id", _word_hashes(_words("text")).alias("words"))
-    probes = reduce(DataFrame.unionByName, [probes.select("doc_id", F.explode(_hashes(F.col("words"), n)).alias("hash")) for n in widths])
-    candidates = probes.join(small(sketches.select("item", "hash").distinct(), broadcast_limit), "hash").select("doc_id", "item").distinct()
+    probes = reduce(DataFrame.unionByName, [probes.select("doc_id", F.explode(F.array_distinct(_hashes(F.col("words"), n))).alias("hash")) for n in widths])
+    hits = probes.join(small(sketches.select("item", "least", "hash").distinct(), broadcast_limit), "hash")
+    # Rows that share a doc_id are one document: at worst they make a candidate more.
+    candidates = hits.groupBy("doc_id", "item", "least").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("least")).select("doc_id", "item")
     candidates = written(candidates, "candidates")
 
     runs = whole.select("item", "item_id", "size", "width", F.explode(_texts(F.col("words"), F.col("width"))).alias("run"))
@@ -89,7 +98,9 @@ def contained(docs: DataFrame, items: DataFrame, broadcast_limit: int = BROADCAS
     held = reduce(
         DataFrame.unionByName, [held.where(F.size("words") >= n).select("doc_id", F.lit(n).alias("width"), F.explode(_texts(F.col("words"), n)).alias("run")) for n in widths]
     )
-    shared = held.join(small(runs, broadcast_limit), ["width", "run"]).select("doc_id", "item", "item_id", "size", "run").distinct()
+    room = runs.agg(F.coalesce(F.sum(F.octet_length("run")), F.lit(0)).alias("bytes")).first()["bytes"]
+    runs = small(runs, broadcast_limit) if room <= BROADCAST_BYTES else runs
+    shared = held.join(runs, ["width", "run"]).select("doc_id", "item", "item_id", "size", "run").distinct()
     counted = shared.groupBy("doc_id", "item", "item_id", "size").agg(F.count("*").alias("n_shared"))
     exact = counted.where(F.col("n_shared") >= needed(F.col("size"))).join(candidates, ["doc_id", "item"], "left_semi")
     best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("size")).alias("containment"), "size", "n_shared")).alias("best"))
