@@ -4,9 +4,9 @@ A page is read as text blocks, each with the path of block elements above it.
 Blocks with the same path are taken together: the logarithms of their mean text
 length and mean punctuation, less what is link text, make the path's ratio. Ratios are smoothed
 over neighbouring blocks and fused with them, and paths above a threshold are
-content: a high one finds the core, the innermost element that holds nearly all text
-of such paths (an article or main around it takes its place), a low one holds inside
-the core and for the title before it. Link text counts there as any other. Elements that are never article text (menus, forms,
+content: they show the core, the innermost element that holds nearly all text
+of such paths (an article or main around it takes its place), in which every block is kept, however
+short, and the title before it. Link text counts there as any other. Elements that are never article text (menus, forms,
 page headers and the like, by tag or by class and id words) are left out before,
 unless they are wrappers around the page's article or most of its text.
 
@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 
 from .common import batch_of, slices
 
-INSIDE, OUTSIDE = 0.02, 0.6  # thresholds, as a share of the best path's ratio
+OUTSIDE = 0.6  # threshold, as a share of the best path's ratio
 NEARLY_ALL = 0.9  # share of the content paths' text that the core holds at least
 
 # Element names by role.
-RAW = set("script style textarea title noscript template iframe svg math select object canvas audio video".split())
+RAW = set("script style textarea title noscript template iframe svg annotation select object canvas audio video".split())
 TO_THE_END = {"script", "style", "textarea"}  # their content is no markup, whatever it holds
 LITERAL = {name: re.compile(rf"</?(?:{name}|head|body)\b[^>]*>?" if name not in TO_THE_END else rf"</?{name}\b[^>]*>?", re.I) for name in (*TO_THE_END, "title", "iframe")}
 NEVER = set("head nav footer aside form button menu dialog fieldset label".split())
@@ -338,13 +338,8 @@ def main_text(html: str) -> str:
         title = range(_title(found, min(text)), min(text))
         core.update(title)
         text.update(title)
-    plain = {p: log1p(length[p] / n) * (1 + log1p(points[p] / n)) for p, n in count.items()}
-    kept = []
-    for k, b in enumerate(found):
-        score = max(fused[b.path], plain[b.path]) if k in text else fused[b.path] * (ratio[b.path] > 0)
-        if score > 0 and score >= (INSIDE if k in core else OUTSIDE) * best:
-            kept.append(b.text)
-    return "\n".join(kept)
+    # All of the text; beside it in the core what is not links alone; elsewhere what reads like the best path.
+    return "\n".join(b.text for k, b in enumerate(found) if k in text or ratio[b.path] > 0 and (k in core or fused[b.path] >= OUTSIDE * best))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -359,3 +359,14 @@ def test_scratch_tables_of_a_stage_go_when_the_next_begins(spark, docs):
     assert all(os.path.exists(p) for p in made) and len(made) > 1
     corpus_pipeline.quality_stage(spark, kept, FOLDER)
     assert [os.path.exists(p) for p in made] == [False] * (len(made) - 1) + [True]
+
+
+def test_nothing_inside_an_article_is_dropped():
+    """Short items beside very long paragraphs, and formulas."""
+    long = "Paragraph with words, marks and more. " * 60
+    page = f"<html><body><nav><a href=x>Menu</a></nav><article><p>{long}</p><h2>A b</h2><ul><li>a</li><li>b</li><li>c</li><li>d</li></ul><p>{long}</p></article><footer>f</footer></body></html>"
+    assert html_text.main_text(page).split("\n") == [long.strip(), "A b", "a", "b", "c", "d", long.strip()]
+    page = f"<html><body><article><p>{long * 32}</p><div>Yes</div><ul><li>Tea</li><li>Ham</li></ul></article></body></html>"
+    assert html_text.main_text(page).split("\n")[1:] == ["Yes", "Tea", "Ham"]
+    page = f"<article><p>{long}</p><p>where <math>x=<mn>3</mn><annotation encoding='t'>x=3</annotation></math> holds.</p></article>"
+    assert html_text.main_text(page).split("\n")[1] == "where x=3 holds."

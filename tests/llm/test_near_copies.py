@@ -190,3 +190,45 @@ def test_all_fingerprints_within_a_radius(spark):
         asked = {r.fingerprint for r in frame.limit(30).collect()} - {None}
         want = {(a, b, ((a ^ b) & (2**64 - 1)).bit_count()) for a in asked for b in signed if a != b and ((a ^ b) & (2**64 - 1)).bit_count() <= radius}
         assert got == want
+
+
+def test_a_shared_passage_makes_no_candidates(spark, monkeypatch):
+    """300 items and 400 documents share 14 words: no pair of them is counted, and real containment is found."""
+    rng = random.Random(3)
+    passage = " ".join(f"common{k}" for k in range(14))
+
+    def own(n):
+        return " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+
+    items = [(k, f"{own(20)} {passage} {own(20)}") for k in range(300)]
+    docs = [(k, f"{own(100)} {passage} {own(50)}") for k in range(400)] + [(1000 + k, f"{own(30)} {items[k][1]} {own(30)}") for k in range(5)]
+    seen, write = {}, decontamination.written
+    monkeypatch.setattr(decontamination, "written", lambda df, name: seen.setdefault(name, write(df, name)) if name == "candidates" else write(df, name))
+    found = decontamination.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.containment) for r in found.collect()) == [(1000 + k, k, 1.0) for k in range(5)]
+    assert seen["candidates"].count() <= 10
+
+
+def test_tiles_meet_all_pairs_of_near_sizes(spark):
+    """Each pair of a block with different labels and near sizes meets in one tile, in some order of sides; few others do."""
+    rng = random.Random(4)
+    members = [(b, k, rng.choice([1, 2, 5, 20, 21, 24, 25, 26, 30, 100, 400]) + rng.randrange(3), rng.choice([-1, -1, -1, k % 5])) for b in range(3) for k in range(150)]
+    monkey = jaccard_join.TILE
+    jaccard_join.TILE = 8
+    try:
+        rows = jaccard_join._tiles(spark.createDataFrame(members, "block long, member long, size long, label long"), 80).collect()
+    finally:
+        jaccard_join.TILE = monkey
+    tiles = {}
+    for r in rows:
+        tiles.setdefault((r.block, r.kind, r.i, r.j), []).append(r)
+    met = {}
+    for (block, *_), tile in tiles.items():
+        assert len([r for r in tile if r.side == 0]) < 40
+        for a in tile:
+            for b in tile:
+                if a.member < b.member and (a.side != b.side or a.side == 2) and a.label != b.label:
+                    met[block, a.member, b.member] = met.get((block, a.member, b.member), 0) + 1
+    assert set(met.values()) == {1}
+    want = {(b, k, m) for b, k, s, x in members for c, m, t, y in members if b == c and k < m and x != y and 100 * min(s, t) >= 80 * max(s, t)}
+    assert want <= set(met) and len(met) < 3 * len(want)
