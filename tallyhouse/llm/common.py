@@ -7,6 +7,7 @@ text longer than that makes a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -255,6 +256,21 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+_lean = False
+
+
+def lean_worker() -> None:
+    """Have this Python process give freed arrays back to the system: workers live on between stages beside the executor's JVM."""
+    global _lean
+    if not _lean:
+        _lean = True
+        pa.set_memory_pool(pa.system_memory_pool())
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):  # glibc: a fixed bound beyond which blocks are mapped alone, and an early trim
+            libc.mallopt(-3, 1 << 20)
+            libc.mallopt(-1, 1 << 20)
+
+
 UNIT = 4 << 20  # bytes of text whose keys travel together
 
 
@@ -262,6 +278,7 @@ def units(batches: Iterable[pa.RecordBatch], text: str = "text", budget: int = U
     """Slices of about `budget` bytes with a number that is the same whenever the same input is read again."""
     from pyspark import TaskContext
 
+    lean_worker()
     first = TaskContext.get().partitionId() << 24
     for k, s in enumerate(slices(batches, text, budget)):
         yield first + k, s
