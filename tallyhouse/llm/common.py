@@ -272,35 +272,40 @@ def lean_worker() -> None:
 
 
 UNIT = 4 << 20  # bytes of text whose keys travel together
+RANGE = 64 << 20  # bytes of text to a key range, where that makes more ranges than shuffle partitions
 
 
-def units(batches: Iterable[pa.RecordBatch], text: str = "text", budget: int = UNIT) -> Iterator[tuple[int, Slice]]:
-    """Slices of about `budget` bytes with a number that is the same whenever the same input is read again."""
-    from pyspark import TaskContext
-
+def units(batches: Iterable[pa.RecordBatch], text: str = "text", budget: int = UNIT) -> Iterator[Slice]:
+    """Slices of about `budget` bytes, for work that reads its input once."""
     lean_worker()
-    first = TaskContext.get().partitionId() << 24
-    for k, s in enumerate(slices(batches, text, budget)):
-        yield first + k, s
+    yield from slices(batches, text, budget)
+
+
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, by one pass over that column."""
+    return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
 
 
-def with_units(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, rest) with their unit and their row in it; a null text becomes empty."""
-    fields = [("unit", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string())]
+def with_units(docs: DataFrame, size: int) -> DataFrame:
+    """docs (doc_id, text, and more) with a unit of about UNIT bytes for each row, where all texts have `size` bytes.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, s in units(batches):
-            rest = s.batch.column("rest")
-            schema = pa.schema([*fields, ("rest", rest.type)])
-            yield batch_of(schema, [unit] * len(s), np.arange(len(s)), s.batch.column("doc_id"), s.texts(), rest)
+    A row's unit follows from its doc_id and text alone. So units are the same whenever
+    the input is read again, however its files are split and whichever executors are left.
+    """
+    units_ = F.lit(max(1, -(-size // UNIT)))
+    return docs.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), units_))
 
-    rest = docs.schema["rest"].dataType.simpleString()
-    return docs.select("doc_id", "text", "rest").mapInArrow(run, f"unit long, row int, doc_id long, text string, rest {rest}")
+
+def unit_slice(table: pa.Table, *ties: str) -> Slice:
+    """All rows of a unit as one slice, by doc_id, text and `ties`: their order does not depend on how they arrived."""
+    lean_worker()
+    ordered = table.sort_by([(c, "ascending") for c in ("doc_id", "text", *ties)]).combine_chunks()
+    return next(slices(ordered.to_batches(), budget=1 << 60))
 
 
-def buckets(spark: SparkSession) -> int:
-    """Key ranges of an exchange: as many as shuffle partitions, which a cluster sizes to its data."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def buckets(spark: SparkSession, size: int = 0) -> int:
+    """Key ranges of an exchange: as many as shuffle partitions, and more where `size` bytes of text would make one range too large for a worker."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE))
 
 
 def cuts(keys: np.ndarray, n: int) -> list[int]:

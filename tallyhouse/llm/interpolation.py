@@ -12,7 +12,8 @@ owners of the key ranges for the corpus counts of each distinct key once; so a v
 common word costs one row a unit, and no table of counts is held whole anywhere.
 The answers meet their units again, where the held-out counts are summed up on a
 grid of logarithms (bounded, whatever the corpus) for the driver's EM, and documents
-are scored.
+are scored. A document's unit is a hash of its id and text, so both sides of that
+meeting agree after an executor is lost, and one shuffle of the texts serves both.
 
 Defined cases: a null or empty text has one token, its end; without training
 documents all counts are 0 and the model is the uniform floor; repeated rows count
@@ -27,7 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import _BASE, U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, units, unpacked, unpacked_ints, unpacked_sorted, words, written
+from .common import (
+    _BASE, U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, text_bytes, unit_slice, unpacked, unpacked_ints, unpacked_sorted,
+    with_units, words, written,
+)
 
 END = U64(0x1F3D5B79ACE02468)
 BUCKETS = 32
@@ -65,19 +69,20 @@ class _Keys:
         self.pair_count = np.bincount(self.pair_at[learn], minlength=len(self.pairs))
 
 
-def _requests(docs: DataFrame, n: int) -> DataFrame:
+def _requests(placed: DataFrame, n: int) -> DataFrame:
     names = ("words", "word_counts", "pairs", "pair_counts")
     schema = pa.schema([("bucket", pa.int32()), ("unit", pa.int64()), *[(c, pa.binary()) for c in names]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, s in units(batches):
-            k = _Keys(s, s.column("training").astype(bool))
-            a, b = cuts(k.words, n), cuts(k.pairs, n)
-            rows = [i for i in range(n) if a[i] < a[i + 1] or b[i] < b[i + 1]]
-            columns = ((k.words, a, packed_sorted), (k.word_count, a, packed_ints), (k.pairs, b, packed_sorted), (k.pair_count, b, packed_ints))
-            yield batch_of(schema, rows, [unit] * len(rows), *[[pack(v[at[i] : at[i + 1]]) for i in rows] for v, at, pack in columns])
+    def run(table: pa.Table) -> pa.Table:
+        unit, s = table.column("unit")[0].as_py(), unit_slice(table, "training")
+        k = _Keys(s, s.column("training").astype(bool))
+        a, b = cuts(k.words, n), cuts(k.pairs, n)
+        rows = [i for i in range(n) if a[i] < a[i + 1] or b[i] < b[i + 1]]
+        columns = ((k.words, a, packed_sorted), (k.word_count, a, packed_ints), (k.pairs, b, packed_sorted), (k.pair_count, b, packed_ints))
+        parts = [[pack(v[at[i] : at[i + 1]]) for i in rows] for v, at, pack in columns]
+        return pa.Table.from_batches([batch_of(schema, rows, [unit] * len(rows), *parts)])
 
-    return docs.mapInArrow(run, "bucket int, unit long, words binary, word_counts binary, pairs binary, pair_counts binary")
+    return placed.groupBy("unit").applyInArrow(run, "bucket int, unit long, words binary, word_counts binary, pairs binary, pair_counts binary")
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
@@ -96,7 +101,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "bucket": pa.array([*buckets_, buckets_[0]], pa.int32()),
-            "unit": pa.array([*askers, -1], pa.int64()),
+            "unit": pa.array([*askers, -1 - buckets_[0]], pa.int64()),  # totals of a range travel as a unit of their own
             "word_totals": pa.array([*word, b""], pa.binary()),
             "pair_totals": pa.array([*pair, b""], pa.binary()),
             "distinct": pa.array([0] * len(askers) + [int(np.count_nonzero(total))], pa.int64()),
@@ -133,50 +138,37 @@ def learned_weights(cells: np.ndarray, counts: np.ndarray, vocabulary: int, roun
     return weight
 
 
-_MET = "doc_ids array<bigint>, sizes binary, training binary, ends long, word binary, pair binary"
+_MET = "doc_ids array<bigint>, sizes binary, training binary, ends long, word binary, pair binary, distinct long, tokens long"
 
 
-def _met(docs: DataFrame, answers: DataFrame, n: int) -> DataFrame:
-    """One row for each unit: its documents, and the corpus counts of the word and the bigram of each token."""
+def _met(placed: DataFrame, answers: DataFrame, n: int) -> DataFrame:
+    """One row for each unit: its documents, and the corpus counts of the word and the bigram of each token. One row for each key range: its totals."""
     schema = pa.schema(
-        [("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("training", pa.binary()), ("ends", pa.int64()), ("word", pa.binary()), ("pair", pa.binary())]
-    )
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema(
-            [("unit", pa.int64()), ("doc_ids", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("sizes", "training", "word_at", "pair_at")],
-             ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("end_at", pa.int64())]
-        )
-        for unit, s in units(batches):
-            training = s.column("training").astype(bool)
-            k = _Keys(s, training)
-            sizes = np.bincount(k.row, minlength=len(s))
-            yield batch_of(
-                out, [unit], [s.batch.column("doc_id").to_pylist()], [packed_ints(sizes)], [packed_keys(training)], [packed_ints(k.word_at)], [packed_ints(k.pair_at)],
-                [cuts(k.words, n)], [cuts(k.pairs, n)], [int(np.searchsorted(k.words, END))],
-            )
+        [("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("training", pa.binary()), ("ends", pa.int64()), ("word", pa.binary()), ("pair", pa.binary()),
+         ("distinct", pa.int64()), ("tokens", pa.int64())]
+    )
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return schema.empty_table()
-        unit = left.to_pylist()[0]
-        a, b = unit["a"], unit["b"]
+            return pa.Table.from_pylist(right.select(["distinct", "tokens"]).to_pylist(), schema=schema)
+        s = unit_slice(left, "training")
+        training = s.column("training").astype(bool)
+        k = _Keys(s, training)
+        a, b = cuts(k.words, n), cuts(k.pairs, n)
         word, pair = np.zeros(a[-1], dtype=U64), np.zeros(b[-1], dtype=U64)
         answered = 0
         for r in right.select(["bucket", "word_totals", "pair_totals"]).to_pylist():
-            k = r["bucket"]
-            word[a[k] : a[k + 1]] = unpacked_ints(r["word_totals"])
-            pair[b[k] : b[k + 1]] = unpacked_ints(r["pair_totals"])
-            answered += a[k + 1] - a[k]
+            i = r["bucket"]
+            word[a[i] : a[i + 1]] = unpacked_ints(r["word_totals"])
+            pair[b[i] : b[i + 1]] = unpacked_ints(r["pair_totals"])
+            answered += a[i + 1] - a[i]
         if answered != a[-1]:
-            raise RuntimeError("a unit was read differently the second time")
-        row = {c: unit[c] for c in ("doc_ids", "sizes", "training")} | {"ends": int(word[unit["end_at"]])}
-        row |= {"word": packed_ints(word[unpacked_ints(unit["word_at"])]), "pair": packed_ints(pair[unpacked_ints(unit["pair_at"])])}
+            raise RuntimeError("the answers to a unit are not whole")
+        row = {"doc_ids": s.batch.column("doc_id").to_pylist(), "sizes": packed_ints(np.bincount(k.row, minlength=len(s))), "training": packed_keys(training)}
+        row |= {"ends": int(word[np.searchsorted(k.words, END)]), "word": packed_ints(word[k.word_at]), "pair": packed_ints(pair[k.pair_at])}
         return pa.Table.from_pylist([row], schema=schema)
 
-    types = "unit long, doc_ids array<bigint>, sizes binary, training binary, word_at binary, pair_at binary, a array<bigint>, b array<bigint>, end_at long"
-    asked = docs.mapInArrow(ask, types)
-    return asked.groupBy("unit").cogroup(answers.where("unit >= 0").groupBy("unit")).applyInArrow(merge, _MET)
+    return placed.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(merge, _MET)
 
 
 class _Unit:
@@ -192,14 +184,16 @@ class _Unit:
 def scored(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, training): doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
     docs = docs.select("doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
-    n = RANGES * buckets(docs.sparkSession)
-    answers = _requests(docs, n).groupBy("bucket").applyInArrow(
+    size = text_bytes(docs)
+    n = RANGES * buckets(docs.sparkSession, size)
+    placed = with_units(docs, size)
+    answers = _requests(placed, n).groupBy("bucket").applyInArrow(
         _answer, "bucket int, unit long, word_totals binary, pair_totals binary, distinct long, tokens long"
     )
-    answers = written(answers, "counts")
-    whole = answers.where("unit < 0").agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()
+    met = written(_met(placed, answers, n), "unit-counts")
+    whole = met.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()
     vocabulary, total = int(whole.v), int(whole.n)
-    met = written(_met(docs, answers, n), "unit-counts")
+    met = met.where("doc_ids is not null").drop("distinct", "tokens")
 
     held = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
 

@@ -78,7 +78,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s in units(batches, budget=UNIT):
+        for s in units(batches, budget=UNIT):
             row, found = sets_of(s)
             size, a, b = _identity(row, found, len(s))
             none = [None] * len(s)
@@ -143,7 +143,7 @@ def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFram
     last, rank = last[by], by
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s in units(batches, budget=UNIT):
+        for s in units(batches, budget=UNIT):
             keys, size, member = _prefixes(s, last, rank, percent)
             order = np.argsort(keys, kind="stable")
             keys, size, member = keys[order], size[order], member[order]

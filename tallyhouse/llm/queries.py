@@ -62,8 +62,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of all documents, their edited texts and their likeness."""
-    return simhash.edit_report(read_table(spark, folder, "documents", "doc_id", "text"))
+    """Fingerprints of all documents, their edited texts and their likeness; near documents of every twentieth id among all."""
+    report = simhash.edit_report(read_table(spark, folder, "documents", "doc_id", "text"))
+    return simhash.near_counts(report, F.col("doc_id") % 20 == 0)
 
 
 @query

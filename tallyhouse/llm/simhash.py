@@ -11,7 +11,7 @@ blocks, permuted to the front as the key, finds them all; a bit count verifies.
 
 Defined cases: a null text is empty; rows that share a doc_id are ordered by text;
 the last row's next row is the first, also where it is the only one; other columns
-are ignored.
+are ignored. `near_counts` counts rows, so repeated rows are near each other.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import SLICE, U64, Slice, batch_of, mix, slices, words, written
+from .common import SLICE, U64, Slice, batch_of, mix, slices, small, words, written
 
 BITS = 64
 RADIUS = 3
@@ -147,16 +147,41 @@ def edit_report(docs: DataFrame) -> DataFrame:
     return rows.where(F.col("kind") == BODY).select(*names).unionByName(ends.mapInArrow(finish, _TYPES))
 
 
-def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (query, found, distance) of distinct `fingerprint` (bigint) values at most `radius` bits apart, a value with itself left out."""
+def _tables(radius: int) -> list[int]:
+    """Bit masks of the tables, as signed 64-bit values: one for each choice of three of radius + 3 blocks."""
     blocks = radius + 3
     bounds = [round(BITS * k / blocks) for k in range(blocks + 1)]
     masks = [((1 << (b - a)) - 1) << (BITS - b) for a, b in zip(bounds, bounds[1:])]
-    signed = lambda x: x - (1 << BITS) if x >> (BITS - 1) else x
-    tables = [signed(sum(masks[k] for k in chosen)) for chosen in combinations(range(blocks), 3)]
+    whole = [sum(masks[k] for k in chosen) for chosen in combinations(range(blocks), 3)]
+    return [x - (1 << BITS) if x >> (BITS - 1) else x for x in whole]
+
+
+def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (query, found, distance) of distinct `fingerprint` (bigint) values at most `radius` bits apart, a value with itself left out.
+
+    Two values meet in every table whose blocks they share, and count in the first of
+    those only, so pairs need no shuffle to be distinct. The queries' keys are broadcast
+    where they are counted to be few. Otherwise both sides come straight out of a shuffle,
+    and adaptive execution splits a table's hot keys.
+    """
+    tables = _tables(radius)
     keys = F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in tables])).alias("table", "key")
     left = queries.where("fingerprint is not null").select("fingerprint").distinct().select(F.col("fingerprint").alias("query"), keys)
     right = prints.where("fingerprint is not null").select("fingerprint").distinct().select(F.col("fingerprint").alias("found"), keys)
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
-    near = left.join(right, ["table", "key"]).where((distance <= radius) & (F.col("query") != F.col("found")))
-    return near.select("query", "found", distance.alias("distance")).distinct()
+    apart = F.col("query").bitwiseXOR(F.col("found"))
+    first = F.coalesce(*[F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(k)) for k, m in enumerate(tables)])
+    near = right.join(small(left), ["table", "key"]).where((F.bit_count(apart) <= radius) & (F.col("query") != F.col("found")) & (F.col("table") == first))
+    return near.select("query", "found", F.bit_count(apart).alias("distance"))
+
+
+def near_counts(report: DataFrame, asked: Column, radius: int = RADIUS) -> DataFrame:
+    """`report` (doc_id, fingerprint, and more) with near_docs: how many other rows have a fingerprint at most `radius` bits away, null where `asked` does not hold."""
+    kept = [c for c in report.columns if c != "near_docs"]
+    marked = report.select(F.struct(*kept).alias("row"), F.coalesce(asked, F.lit(False)).alias("asked"), F.conv("fingerprint", BITS // 4, -10).cast("long").alias("fingerprint"))
+    held = written(marked.groupBy("fingerprint").agg(F.count("*").alias("rows"), F.max("asked").alias("asked")), "prints")
+    queries = held.where("asked").select("fingerprint", "rows")
+    found = within_radius(queries, held, radius).join(small(held.select(F.col("fingerprint").alias("found"), "rows")), "found")
+    others = found.groupBy(F.col("query").alias("fingerprint")).agg(F.sum("rows").alias("others"))
+    near = queries.join(others, "fingerprint", "left").select("fingerprint", (F.coalesce("others", F.lit(0)) + F.col("rows") - 1).alias("near"))
+    counted = marked.join(small(written(near, "near-prints")), "fingerprint", "left")
+    return counted.select("row.*", F.when(F.col("asked"), F.col("near")).alias("near_docs"))

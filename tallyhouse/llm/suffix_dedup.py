@@ -18,7 +18,9 @@ make a region, and only regions whose anchor occurs elsewhere can repeat.
 3. Documents remove the union of what they learned.
 
 A key that many documents share is sent once by each unit, so no owner gets more
-than one row a unit for it.
+than one row a unit for it. A document's unit is a hash of its id and text, so
+questions and answers fit after an executor is lost, and one shuffle of the texts
+serves both.
 
 Defined cases: a null text is empty; texts shorter than `length` keep all bytes;
 repeated rows are documents like any other and lose what they share; what is kept
@@ -35,7 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, batch_of, buckets, cuts, mix, packed_keys, packed_sorted, prefix_sums, range_hash, row_parts, units, unpacked, unpacked_sorted, with_units, written
+from .common import (
+    U64, batch_of, buckets, cuts, mix, packed_keys, packed_sorted, prefix_sums, range_hash, row_parts, text_bytes, unit_slice, unpacked, unpacked_sorted, with_units, written,
+)
 
 LENGTH = 200
 ANCHOR = 48
@@ -105,19 +109,19 @@ def _asked(r: Regions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return region, count > 1, anchor, np.where(low == high, np.maximum(low, U64(1)), U64(0))
 
 
-def _requests(docs: DataFrame, n: int, length: int) -> DataFrame:
+def _requests(placed: DataFrame, n: int, length: int) -> DataFrame:
     schema = pa.schema([("bucket", pa.int32()), ("unit", pa.int64()), *[(c, pa.binary()) for c in ("region", "twice", "anchor", "only")]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, s in units(batches):
-            region, twice, anchor, only = _asked(Regions(s.data, s.offsets, length))
-            a, b = cuts(region, n), cuts(anchor, n)
-            rows = [k for k in range(n) if a[k] < a[k + 1] or b[k] < b[k + 1]]
-            columns = ((region, a, packed_sorted), (twice, a, packed_keys), (anchor, b, packed_sorted), (only, b, packed_keys))
-            parts = [[pack(v[c[k] : c[k + 1]]) for k in rows] for v, c, pack in columns]
-            yield batch_of(schema, rows, [unit] * len(rows), *parts)
+    def run(table: pa.Table) -> pa.Table:
+        unit, s = table.column("unit")[0].as_py(), unit_slice(table)
+        region, twice, anchor, only = _asked(Regions(s.data, s.offsets, length))
+        a, b = cuts(region, n), cuts(anchor, n)
+        rows = [k for k in range(n) if a[k] < a[k + 1] or b[k] < b[k + 1]]
+        columns = ((region, a, packed_sorted), (twice, a, packed_keys), (anchor, b, packed_sorted), (only, b, packed_keys))
+        parts = [[pack(v[c[k] : c[k + 1]]) for k in rows] for v, c, pack in columns]
+        return pa.Table.from_batches([batch_of(schema, rows, [unit] * len(rows), *parts)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, unit long, region binary, twice binary, anchor binary, only binary")
+    return placed.groupBy("unit").applyInArrow(run, "bucket int, unit long, region binary, twice binary, anchor binary, only binary")
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -151,17 +155,20 @@ _REGION = pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("starts", p
 
 def _learned(docs: DataFrame, length: int) -> DataFrame:
     """Each document with the starts that surely repeat (pairs first, last) and its regions that must be compared."""
-    spark = docs.sparkSession
-    n = buckets(spark)
-    answers = _requests(docs, n, length).groupBy("bucket").applyInArrow(_answer, "unit long, bucket int, again binary, several binary")
+    size = text_bytes(docs)
+    n = buckets(docs.sparkSession, size)
+    rest = docs.schema["rest"].dataType.simpleString()
+    # Workers return their columns as nullable, so what they are given is declared alike.
+    placed = with_units(docs.withColumn("rest", F.col("rest").cast(rest)), size)
+    answers = _requests(placed, n, length).groupBy("bucket").applyInArrow(_answer, "unit long, bucket int, again binary, several binary")
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({})
-        left = left.sort_by("row").combine_chunks()
-        raw = [t.encode() for t in left.column("text").to_pylist()]
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
-        r = Regions(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets, length)
+        unit, s = left.column("unit")[0].as_py(), unit_slice(left)
+        offsets = s.offsets
+        raw = [s.data[i:j].tobytes() for i, j in zip(offsets, offsets[1:])]
+        r = Regions(s.data, offsets, length)
         region, _, anchor, _ = _asked(r)
         a, b = cuts(region, n), cuts(anchor, n)
         again, several = np.zeros(len(region), dtype=bool), np.zeros(len(anchor), dtype=bool)
@@ -171,7 +178,7 @@ def _learned(docs: DataFrame, length: int) -> DataFrame:
             several[b[k] : b[k + 1]] = np.unpackbits(unpacked(y, np.uint8), count=b[k + 1] - b[k]).astype(bool)
             answered += a[k + 1] - a[k]
         if answered != len(region):
-            raise RuntimeError("a unit was read differently the second time")
+            raise RuntimeError("the answers to a unit are not whole")
         state = np.where(again[np.searchsorted(region, r.key)], AGAIN, np.where(several[np.searchsorted(anchor, r.anchor)], CROSSED, ONCE))
         # Regions that repeat are compared as well where others share their anchor: those may hold part of them.
         open_ = several[np.searchsorted(anchor, r.anchor)] if len(anchor) else np.zeros(0, dtype=bool)
@@ -191,13 +198,13 @@ def _learned(docs: DataFrame, length: int) -> DataFrame:
             )
         return pa.table(
             {
-                "unit": left.column("unit"), "row": left.column("row"), "doc_id": left.column("doc_id"), "n_bytes": pa.array([len(t) for t in raw], pa.int64()),
-                "text": pa.array(raw, pa.binary()), "spans": pa.array(spans, pa.list_(pa.int64())), "regions": pa.array(crossed, pa.list_(_REGION)), "rest": left.column("rest"),
+                "unit": pa.array([unit] * len(s), pa.int64()), "row": pa.array(range(len(s)), pa.int32()), "doc_id": s.batch.column("doc_id"),
+                "n_bytes": pa.array(np.diff(offsets), pa.int64()), "text": pa.array(raw, pa.binary()), "spans": pa.array(spans, pa.list_(pa.int64())),
+                "regions": pa.array(crossed, pa.list_(_REGION)), "rest": s.batch.column("rest"),
             }
         )
 
-    placed = with_units(docs)
-    return placed.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(merge, _DOCUMENT + docs.schema["rest"].dataType.simpleString())
+    return placed.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(merge, _DOCUMENT + rest)
 
 
 def suffix_order(data: np.ndarray, length: int) -> np.ndarray:

@@ -6,9 +6,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from near_copies_brute import components_of, pairs_of, roots, shingle_set, without_repeats
 
-from tallyhouse.llm import decontamination, jaccard_join, simhash, suffix_dedup
+from tallyhouse.llm import common, decontamination, jaccard_join, simhash, suffix_dedup
 from tallyhouse.llm.components import components
 
 @pytest.mark.parametrize("percent", [80, 60])
@@ -192,6 +193,50 @@ def test_all_fingerprints_within_a_radius(spark):
         assert got == want
 
 
+def near_by_brute_force(report, asked):
+    prints = [int(r.fingerprint, 16) for r in report]
+    return {
+        (r.doc_id, p): sum((p ^ q).bit_count() <= 3 for q in prints) - 1 if r.doc_id is not None and asked(r.doc_id) else None for r, p in zip(report, prints)
+    }
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_near_documents_of_a_whole_table(spark, docs, twice, none, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(simhash, "small", lambda df: df)
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for frame in (docs, twice, given):
+        report = simhash.edit_report(frame)
+        got = simhash.near_counts(report, F.col("doc_id") % 5 == 0).collect()
+        assert {(r.doc_id, int(r.fingerprint, 16)): r.near_docs for r in got} == near_by_brute_force(report.collect(), lambda d: d % 5 == 0)
+        assert len(got) == frame.count()
+    assert simhash.near_counts(simhash.edit_report(none), F.col("doc_id") % 5 == 0).count() == 0
+
+
+def test_near_documents_under_one_hot_key(spark):
+    # All values share their upper blocks, so most tables have one key for all rows.
+    rng = random.Random(5)
+    prints = [rng.getrandbits(64) >> 44 for _ in range(1500)]
+    frame = spark.createDataFrame([(k, f"{p:016x}", "x") for k, p in enumerate(prints)], "doc_id long, fingerprint string, near string")
+    got = simhash.near_counts(frame, F.col("doc_id") % 20 == 0).collect()
+    assert {(r.doc_id, int(r.fingerprint, 16)): r.near_docs for r in got} == near_by_brute_force(frame.collect(), lambda d: d % 20 == 0)
+
+
+def test_a_unit_is_the_same_however_it_is_read(docs, twice):
+    for frame in (docs, twice):
+        size = common.text_bytes(frame)
+        read = []
+        for parts in (1, 5):
+            placed = common.with_units(frame.select("doc_id", "text").repartition(parts), 3 * common.UNIT + size)
+            slices = {}
+            for unit in {r.unit for r in placed.select("unit").distinct().collect()}:
+                s = common.unit_slice(placed.where(F.col("unit") == unit).toArrow())
+                slices[unit] = s.batch.column("doc_id").to_pylist(), s.data.tobytes(), s.offsets.tolist()
+            read.append(slices)
+        assert read[0] == read[1] and sum(len(ids) for ids, _, _ in read[0].values()) == frame.count()
+        assert len(read[0]) > 1
+
+
 def test_a_shared_passage_makes_no_candidates(spark, monkeypatch):
     """300 items and 400 documents share 14 words: no pair of them is counted, and real containment is found."""
     rng = random.Random(3)
