@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
