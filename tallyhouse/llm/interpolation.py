@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import (
     _BASE, U64, Slice, batch_of, buckets, cuts, mix, packed_ints, packed_keys, packed_sorted, text_bytes, unit_slice, unpacked, unpacked_ints, unpacked_sorted,
-    with_units, words, written,
+    with_units, words, written_small,
 )
 
 END = U64(0x1F3D5B79ACE02468)
@@ -190,7 +190,7 @@ def scored(docs: DataFrame) -> DataFrame:
     answers = _requests(placed, n).groupBy("bucket").applyInArrow(
         _answer, "bucket int, unit long, word_totals binary, pair_totals binary, distinct long, tokens long"
     )
-    met = written(_met(placed, answers, n), "unit-counts")
+    met = written_small(_met(placed, answers, n), "unit-counts")
     whole = met.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()
     vocabulary, total = int(whole.v), int(whole.n)
     met = met.where("doc_ids is not null").drop("distinct", "tokens")
