@@ -149,8 +149,12 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", bom: bool = True, single
     _publish(spark, path, write)
 
 
+JSON_ROWS = 500_000  # rows of a file: a compressed file is read by one task
+
+
 def write_json(df: DataFrame, path: str) -> None:
-    _publish(df.sparkSession, path, lambda staged: df.write.json(staged))
+    """Objects, one to a line, in compressed files: names repeat in every line, so a tenth or so of the bytes is left."""
+    _publish(df.sparkSession, path, lambda staged: df.write.option("compression", "gzip").option("maxRecordsPerFile", JSON_ROWS).json(staged))
 
 
 def chunk_map(counts: DataFrame, size: int = 50) -> DataFrame:

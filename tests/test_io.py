@@ -131,6 +131,16 @@ def test_exports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o")).columns == ["a"]
 
 
+def test_json_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "JSON_ROWS", 3000)
+    df = spark.range(10_000).selectExpr("cast(id as string) purchaseId", "concat('tag_', id % 7) orderNumber", "array(id, id + 1) installments").coalesce(1)
+    sinks.write_json(df, str(tmp_path / "j"))
+    parts = list((tmp_path / "j").glob("part-*"))
+    assert len(parts) == 4 and all(p.name.endswith(".json.gz") for p in parts)
+    assert sum(p.stat().st_size for p in parts) * 4 < df.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    assert sorted(map(str, spark.read.schema(df.schema).json(str(tmp_path / "j")).collect())) == sorted(map(str, df.collect()))
+
+
 def test_chunks_of_companies(spark, tmp_path):
     counts = spark.range(120).selectExpr("lpad(cast(id as string), 3, '0') company_id", "id % 3 orders")
     chunks = sinks.chunk_map(counts, 50)
