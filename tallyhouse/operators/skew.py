@@ -12,7 +12,7 @@ SHARE = 1000
 
 def hot_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", weight: str | None = None,
-    counted: DataFrame | None = None, unique: bool = False,
+    counted: DataFrame | None = None, unique: bool = False, few: int = 0,
 ) -> DataFrame:
     """Equi-join to a right side that is unique on `on`: left, inner, left_semi or left_anti.
 
@@ -30,6 +30,9 @@ def hot_join(
     `weight` names a right column that already holds the left rows per key.
     Otherwise the rows of `counted` are counted, by default the left side: a
     frame with the same keys that is cheaper to read than a left side made of joins.
+
+    A right side that turns out to have at most `few` rows is broadcast whole and the left side
+    not shuffled at all. It is counted for that, so it should be cheap to read twice.
     """
     on = list(on)
     right = right.dropna(subset=on)
@@ -48,6 +51,8 @@ def hot_join(
         right = right.select(*on, body.alias("_found")).select(*on, *[F.col(f"_found.{c}").alias(c) for c in payload], "_found")
         body = F.col("_found")
     packed = right.select(*on, body.alias("_found"))
+    if few and packed.select(*on).limit(few + 1).count() <= few:
+        return _matched(left.join(F.broadcast(packed.withColumnRenamed("_found", "_match")), on, "left"), left.columns, payload, how)
     if weight:
         counts = right.select(*on, F.col(weight).alias("_n"))
         total = counts.agg(F.sum("_n")).scalar()
@@ -70,11 +75,15 @@ def hot_join(
     # Zero, but not a literal, which the optimizer would take out of the join key.
     cold = packed.withColumn("_slice", F.pmod(F.xxhash64(*on), F.lit(1))).withColumnRenamed("_found", "_cold")
     joined = marked.join(cold, [*on, "_slice"], "left")
-    found = joined.withColumn("_match", F.coalesce("_hot._found", "_cold"))
+    return _matched(joined.withColumn("_match", F.coalesce("_hot._found", "_cold")), left.columns, payload, how)
+
+
+def _matched(found: DataFrame, columns: Sequence[str], payload: Sequence[str], how: str) -> DataFrame:
+    """Rows that the kind of join keeps, with what `_match` found for them."""
     if how in ("inner", "left_semi"):
         found = found.filter("_match._hit")
     elif how == "left_anti":
         found = found.filter("_match._hit is null")
     if how in ("left_semi", "left_anti"):
-        return found.select(*left.columns)
-    return found.select(*left.columns, *[F.col(f"_match.{c}").alias(c) for c in payload])
+        return found.select(*columns)
+    return found.select(*columns, *[F.col(f"_match.{c}").alias(c) for c in payload])

@@ -11,6 +11,7 @@ from ..functions.money import cents, zero
 from ..functions.text import tag_value
 from ..operators.joins import newest_by_key
 from ..operators.skew import hot_join
+from ..session import cut_lineage
 from ..sources import bucketed
 
 # What an order row and an instalment both tell about an instalment.
@@ -202,9 +203,9 @@ def duplicate_orders(purchases: DataFrame) -> DataFrame:
 
 def duplicate_payments(purchases: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Every payment of a duplicated order, the first one marked."""
-    return hot_join(purchases, duplicates.select("order_id", "first_id", "payments"), ["order_id"], "inner", "payments").select(
-        "order_id", "transaction_id", "created", cents(F.col("amount")).alias("value"),
-        F.size("installments").alias("parts"),
+    used = purchases.select("order_id", "transaction_id", "created", cents(F.col("amount")).alias("value"), F.size("installments").alias("parts"))
+    return hot_join(used, duplicates.select("order_id", "first_id", "payments"), ["order_id"], "inner", "payments").select(
+        "order_id", "transaction_id", "created", "value", "parts",
         (F.col("transaction_id") == F.col("first_id")).alias("is_first"),
     )
 
@@ -226,12 +227,13 @@ def cancellations(purchases: DataFrame, orders: DataFrame) -> DataFrame:
     text = F.when(hours < 1, F.concat(minutes.cast("string"), F.lit("m"))).otherwise(
         F.concat(F.round(hours.cast("decimal(18,6)"), 1).cast("string"), F.lit("h"))
     )
-    voided = purchases.filter("status = 'voided'")
-    return hot_join(voided, totals, ["order_id"], unique=True).select(
-        "transaction_id", "order_id", "brand", "order_number", "order_total",
-        F.greatest(F.size("installments"), F.lit(1)).alias("parts"),
+    voided = purchases.filter("status = 'voided'").select(
+        "transaction_id", "order_id", "brand", F.greatest(F.size("installments"), F.lit(1)).alias("parts"),
         F.col("updated").alias("canceled_at"), text.alias("time_to_cancel"),
     )
+    return hot_join(voided, totals, ["order_id"], unique=True).select(
+        "transaction_id", "order_id", "brand", "order_number", "order_total", "parts", "canceled_at", "time_to_cancel"
+    )
 
 
 def purchase_rows(documents: DataFrame) -> DataFrame:
@@ -254,13 +256,17 @@ def instalment_rows(documents: DataFrame) -> DataFrame:
 
 
 def purchase_order_data(purchases: DataFrame, by_transaction: DataFrame, by_order: DataFrame, workspaces: DataFrame) -> DataFrame:
-    """Order number by transaction id, else by tagged order; anticipation by workspace default."""
-    tagged = purchases.withColumn("tag_order", tag_value(F.col("tags"), "order_"))
+    """Order number by transaction id, else by tagged order; anticipation by workspace default.
+
+    Only the four columns in use go through the shuffles: `hot_join` spreads rows by a hash of
+    all columns it gets, so the optimizer could not drop the others.
+    """
+    tagged = purchases.select("transaction_id", "workspace_id", "anticipation", tag_value(F.col("tags"), "order_").alias("tag_order"))
     first = by_transaction.groupBy("transaction_id").agg(F.min("order_number").alias("_by_tx"))
     second = by_order.groupBy(F.col("order_id").alias("tag_order")).agg(F.max("order_number").alias("_by_tag"))
     joined = hot_join(tagged.join(first, "transaction_id", "left"), second, ["tag_order"], counted=tagged, unique=True)
-    defaults = workspaces.select("workspace_id", "anticipates_default")
-    joined = hot_join(joined, defaults, ["workspace_id"], counted=tagged)
+    defaults = cut_lineage(workspaces.select("workspace_id", "anticipates_default"))
+    joined = hot_join(joined, defaults, ["workspace_id"], counted=tagged, few=DEFAULTS)
     source = F.when(F.col("_by_tx").isNotNull(), "transaction").when(F.col("_by_tag").isNotNull(), "tag").otherwise("none")
     return joined.select(
         "transaction_id", F.coalesce("_by_tx", "_by_tag").alias("order_number"), source.alias("found_by"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.catalog import QUERIES
 from tallyhouse.operators.matching import containing, index_rows, word_scored
+from tallyhouse.operators.skew import hot_join
 from tallyhouse.plans import cohorts, freight, orders, receivables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -221,3 +222,30 @@ def test_a_repeated_key_on_the_right_stops_the_join(spark):
     assert sorted((r.v, r.w) for r in hot_join(left, right.filter("w <> 2"), ["k"]).collect() if r.w) == [(1, 1), (2, 1)]
     assert sorted(r.v for r in hot_join(left, right, ["k"], "left_semi").collect()) == [1, 2]  # no row twice
     assert [r.v for r in hot_join(left, right, ["k"], "left_anti").collect()] == [3]
+
+
+def test_order_look_up_shuffles_only_what_it_uses(spark, tmp_path):
+    rows = [(f"t{i}", f"w{i % 3}" if i % 5 else None, i % 2 == 0, [f"order_{i % 7}"], "x" * 50) for i in range(40)]
+    path = str(tmp_path / "p")
+    spark.createDataFrame(rows, "transaction_id string, workspace_id string, anticipation boolean, tags array<string>, body string").write.parquet(path)
+    by_tx = spark.createDataFrame([("t1", 100), ("t1", 90), ("t2", 80)], "transaction_id string, order_number long")
+    by_order = spark.createDataFrame([("1", 1), ("3", 3), ("3", 4)], "order_id string, order_number long")
+    workspaces = spark.createDataFrame([("w1", True), ("w2", False)], "workspace_id string, anticipates_default boolean")
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        out = receivables.purchase_order_data(spark.read.parquet(path), by_tx, by_order, workspaces)
+        plan, got = plan_of(out), {r[0]: tuple(r)[1:] for r in out.collect()}
+    assert "body" not in plan and not re.search(r"hashpartitioning\(workspace_id#\d+, _slice", plan)
+    number = {i: {1: 90, 2: 80}.get(i, {1: 1, 3: 4}.get(i % 7)) for i in range(40)}
+    found = {i: "transaction" if i in (1, 2) else "tag" if i % 7 in (1, 3) else "none" for i in range(40)}
+    assert got == {f"t{i}": (number[i], found[i], i % 2 == 0 or (i % 3 == 1 and i % 5 != 0)) for i in range(40)}
+    with pytest.raises(Exception, match="the right side repeats a key"):
+        receivables.purchase_order_data(spark.read.parquet(path), by_tx, by_order, workspaces.unionByName(workspaces)).collect()
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_few_right_rows_leave_the_left_side_in_place(spark, how):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate("aabbc")] + [(None, 9)], "k string, v int").repartition(2)
+    right = spark.createDataFrame([("a", 1), ("c", None), (None, 3)], "k string, w int")
+    wide, narrow = hot_join(left, right, ["k"], how), hot_join(left, right, ["k"], how, few=2)
+    assert sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect())) and wide.columns == narrow.columns
+    assert "_slice" not in plan_of(narrow) and "_slice" in plan_of(hot_join(left, right, ["k"], how, few=1))
