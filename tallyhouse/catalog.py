@@ -357,12 +357,13 @@ def purchase_history_merged(s: Samples) -> DataFrame:
     path = scratch_path(s.spark, "history")
     table = "purchases_" + path.rsplit("-", 1)[1]
     rows = s.purchases().select("transaction_id", "workspace_id", "status", "amount", "anticipation", "updated")
-    bucketed.write(rows.withColumn("status", F.lit("old")), f"{table}_1", f"{path}/1", "transaction_id", 16)
+    buckets = bucketed.buckets_for(rows.count())
+    bucketed.write(rows.withColumn("status", F.lit("old")), f"{table}_1", f"{path}/1", "transaction_id", buckets)
     s.spark.sql(f"DROP TABLE {table}_1")  # as after a restart: the files name themselves again
-    history = bucketed.attach(s.spark, f"{table}_1", f"{path}/1", "transaction_id", 16)
+    history = bucketed.attach(s.spark, f"{table}_1", f"{path}/1", "transaction_id", buckets)
     fresh, refreshed = rows.filter("status = 'paid'"), rows.filter("status = 'created'")
-    merged = receivables.merge_into_history(fresh, refreshed, history, cut_lineage(_workspace_defaults(s)), 16)
-    bucketed.write(merged, f"{table}_2", f"{path}/2", "transaction_id", 16, dealt=True)
+    merged = receivables.merge_into_history(fresh, refreshed, history, cut_lineage(_workspace_defaults(s)), buckets)
+    bucketed.write(merged, f"{table}_2", f"{path}/2", "transaction_id", buckets, dealt=True)
     return s.spark.read.parquet(f"{path}/2")
 
 

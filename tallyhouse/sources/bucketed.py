@@ -3,7 +3,7 @@
 A table is a Parquet folder of Spark's own bucketed layout under a catalog name. Both sides of
 a merge meet bucket by bucket: the stored side is neither shuffled nor (with `spark.sql.legacy.bucketedTableScan.outputOrdering`) sorted, the batch is
 dealt to as many tasks, and each task writes its bucket of the next table. The number of buckets
-stays; take as many as keep a bucket at some hundred MB.
+stays; take as many as keep a bucket at some hundred MB (`buckets_for` a number of rows).
 """
 
 from __future__ import annotations
@@ -12,6 +12,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+
+ROWS = 1_000_000  # rows of a bucket, which one task sorts
+
+
+def buckets_for(rows: int, least: int = 16) -> int:
+    """Buckets of a new table, so that a bucket holds at most about ROWS rows however large the table is."""
+    return max(least, -(-rows // ROWS))
+
+
 def write(df: DataFrame, table: str, path: str, key: str, buckets: int, dealt: bool = False) -> None:
     """Write one sorted file for each bucket; `dealt` rows lie in their bucket's task already."""
     rows = df if dealt else df.repartition(buckets, key)

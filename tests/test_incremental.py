@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import catalog
 from tallyhouse.plans import mart, orders, quality, receivables
-from tallyhouse.sources import bucketed, sinks
+from tallyhouse.sources import bucketed, files, sinks
 from tallyhouse.sources.samples import Samples
 from tallyhouse.streaming import incremental
 
@@ -46,6 +46,23 @@ def test_history_is_neither_shuffled_nor_sorted(spark, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
+    assert [bucketed.buckets_for(n) for n in (0, 16_000_000, 16_000_001, 216_000_000)] == [16, 16, 17, 216]
+    monkeypatch.setattr(bucketed, "ROWS", 100)
+    made = []
+    write = bucketed.write
+    monkeypatch.setattr(bucketed, "write", lambda df, table, path, *rest, **more: (made.append(path), write(df, table, path, *rest, **more)))
+    rows = Samples(spark, FOLDER).purchases().count()
+    assert catalog.purchase_history_merged(Samples(spark, FOLDER)).count() == rows
+    assert len(made) == 2 and all(len([n for n in files.names(spark, path) if n.startswith("part-")]) == -(-rows // 100) for path in made)
+
+
+def test_large_tables_are_read_once_for_both_marts(spark):
+    inputs = catalog._mart_inputs(Samples(spark, FOLDER))
+    for frame in (inputs["invoices"], inputs["freight"], inputs["extras"][0]):
+        assert "FileScan" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_affected_companies(spark):
     register = spark.createDataFrame(
         [("a", 1, "11"), ("b", 1, "22"), ("c", 2, "2.2"), ("d", 2, None), ("e", 3, ""), ("f", 4, ""), ("g", 5, "55"), ("h", 6, "5-5")], "company_id string, domain_id int, tax_document string"
