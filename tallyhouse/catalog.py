@@ -705,20 +705,19 @@ def global_month_series(s: Samples) -> DataFrame:
 
 
 def _mart_inputs(s: Samples) -> dict:
-    """What the mart takes beside the monthly orders."""
+    """What the mart takes beside the monthly orders; what is computed from the large tables is written, so that several marts read it."""
     register = cut_lineage(_register(s))
-    bills = _unique(s).join(s.customer_bridge(), "customer_id")
     named = register.select("company_id", "domain_id", F.col("trade_name").alias("name"))
     match = cut_lineage(groups.match_invoices(named, s.customer_bridge().select("domain_id"), s.raw("part").select(F.col("p_name").alias("brand"))))
-    invoices = mart.company_invoices(match, billing.status_buckets(bills, "domain_id"), billing.current_invoice(bills, "domain_id"), "domain_id")
+    invoices = cut_lineage(mart.company_invoices(match, billing.invoice_states(_unique(s), s.customer_bridge()), "domain_id"))
     inactive = F.col("status") == 2
     plans = s.companies().select("company_id", F.col("social_name").alias("plan"), F.lit(77).cast("decimal(18,2)").alias("total"))
     controls = s.companies().select("company_id", F.when(inactive, F.lit(99)).cast("decimal(18,2)").alias("manual_fee"))
     tickets = s.companies().select("company_id", F.when(inactive, "Parado").otherwise("Fila").alias("stage"))
     activity = links_clicks_canonical(s).groupBy(F.col("hq_id").alias("company_id")).agg(F.sum("links").alias("links"), F.sum("clicks").alias("clicks"))
     return {
-        "register": register, "invoices": invoices, "freight": freight_charge(s), "plans": plans, "controls": controls, "tickets": tickets,
-        "as_of": AS_OF_ORDERS, "extras": [activity],
+        "register": register, "invoices": invoices, "freight": cut_lineage(freight_charge(s)), "plans": plans, "controls": controls, "tickets": tickets,
+        "as_of": AS_OF_ORDERS, "extras": [cut_lineage(activity)],
     }
 
 

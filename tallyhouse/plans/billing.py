@@ -91,22 +91,48 @@ def revenue_with_register(revenue: DataFrame, register: DataFrame) -> DataFrame:
 
 def unique_invoices(invoices: DataFrame) -> DataFrame:
     """One row per invoice; the smallest item and status stand for the repeats."""
+    # The order is also what is kept, so every field goes through the shuffle once.
+    pick = F.min(F.struct("item_id", "due_at", "status", "total_cents", "customer_id", "plan_name"))
     fields = ["customer_id", "status", "due_at", "total_cents", "plan_name"]
-    pick = F.min_by(F.struct(*fields), F.struct("item_id", "due_at", "status", "total_cents"))
-    return invoices.groupBy("invoice_id").agg(pick.alias("_i")).select("invoice_id", "_i.*")
+    return invoices.groupBy("invoice_id").agg(pick.alias("_i")).select("invoice_id", *[f"_i.{c}" for c in fields])
 
 
-def status_buckets(invoices: DataFrame, key: str) -> DataFrame:
-    """Invoice values by state per key, with the plan of the earliest invoice."""
+STATES = ["paid", "pending", "expired", "canceled"]
+
+
+def _buckets() -> list[Column]:
+    """Invoice values by state, their number and as `_first` the earliest invoice with a plan."""
     value, status = cents(F.col("total_cents")), F.col("status")
     plan = F.when(F.col("plan_name") != "", F.struct("due_at", "invoice_id", "plan_name"))
-    return invoices.groupBy(key).agg(
+    return [
         sum_if(status.isin("paid", "externally_paid"), value).alias("paid"),
-        sum_if(status == "pending", value).alias("pending"),
-        sum_if(status == "expired", value).alias("expired"),
-        sum_if(status == "canceled", value).alias("canceled"),
+        *[sum_if(status == state, value).alias(state) for state in STATES[1:]],
         F.count("*").alias("invoices"),
-        F.min(plan)["plan_name"].alias("plan"),
+        F.min(plan).alias("_first"),
+    ]
+
+
+def status_buckets(invoices: DataFrame, key: str) -> DataFrame:
+    """Invoice values by state per key, with the plan of the earliest invoice."""
+    return invoices.groupBy(key).agg(*_buckets()).select(key, *STATES, "invoices", F.col("_first.plan_name").alias("plan"))
+
+
+def invoice_states(invoices: DataFrame, bridge: DataFrame, key: str = "domain_id") -> DataFrame:
+    """`status_buckets` and `current_invoice` side by side, per key that a bridge gives customers.
+
+    Both come out of one pass: invoices meet once per customer, and only a row
+    per customer meets the bridge. `due_at` is a timestamp here.
+    """
+    newest = [F.col("due_at").isNull(), -F.unix_micros("due_at")]
+    latest = F.min(F.struct((F.col("status") == "canceled").alias("c"), newest[0].alias("n"), newest[1].alias("d"), "invoice_id", "status", "due_at", "total_cents"))
+    per = invoices.groupBy("customer_id").agg(*_buckets(), latest.alias("_latest"))
+    rows = per.join(bridge.select("customer_id", key), "customer_id").groupBy(key).agg(
+        *[F.sum(c).cast(per.schema[c].dataType).alias(c) for c in STATES],
+        F.sum("invoices").alias("invoices"), F.min("_first").alias("_first"), F.min("_latest").alias("_latest"),
+    )
+    return rows.select(
+        key, *STATES, "invoices", F.col("_first.plan_name").alias("plan"),
+        *[F.col(f"_latest.{c}").alias(c) for c in ("invoice_id", "status", "due_at")], cents(F.col("_latest.total_cents")).alias("fee"),
     )
 
 

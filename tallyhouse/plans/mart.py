@@ -50,14 +50,15 @@ def month_series(months: DataFrame, n: int = 18) -> DataFrame:
     return totals.orderBy(F.desc("month")).limit(n)
 
 
-def company_invoices(match: DataFrame, buckets: DataFrame, current: DataFrame, key: str) -> DataFrame:
-    """Invoice totals and the current invoice of each company, by its matched invoice key."""
-    totals = buckets.select(
+def company_invoices(match: DataFrame, states: DataFrame, key: str) -> DataFrame:
+    """Invoice totals and the current invoice (`billing.invoice_states`) of each company, by its matched invoice key."""
+    # Written once, a row per key: the join reads it for hot keys and for all others.
+    totals = cut_lineage(states.select(
         F.col(key).cast("string").alias("invoice_key"), F.col("paid").alias("bill_paid"), F.col("pending").alias("bill_pending"),
         F.col("expired").alias("bill_expired"), F.col("invoices").alias("bills"), F.col("plan").alias("billed_plan"),
-    )
-    latest = current.select(F.col(key).cast("string").alias("invoice_key"), F.col("status").alias("bill_status"), F.col("fee").alias("bill_fee"))
-    return hot_join(match.select("company_id", "invoice_key"), totals.join(latest, "invoice_key", "left"), ["invoice_key"], "inner").drop("invoice_key")
+        F.col("status").alias("bill_status"), F.col("fee").alias("bill_fee"),
+    ))
+    return hot_join(match.select("company_id", "invoice_key"), totals, ["invoice_key"], "inner").drop("invoice_key")
 
 
 def side_by_side(frames: Sequence[DataFrame], key: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Business rules on hand-made rows."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -271,6 +272,22 @@ def test_manual_postings_and_total(spark):
     assert freight.sheet_total(rows).first()[0] == Decimal("1234.50")
 
 
+def test_invoice_states_equal_both_operators(spark):
+    rng = random.Random(4)
+    states, days = ["paid", "externally_paid", "pending", "expired", "canceled", None], [None, *[dt.datetime(2024, 1, d) for d in (1, 2, 3)]]
+    rows = [(f"i{n:03}", rng.choice("abcdefg"), rng.choice(states), rng.choice(days), rng.choice([None, 5, 70]), rng.choice(["", None, "x", "y"])) for n in range(90)]
+    rows += [("i900", "h", "canceled", None, 1, "z"), ("i901", None, "paid", days[1], 1, "z")]
+    bills = spark.createDataFrame(rows, "invoice_id string, customer_id string, status string, due_at timestamp, total_cents bigint, plan_name string")
+    bridge = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "c"), (3, "d"), (3, "d"), (4, "e"), (5, "f"), (6, "g"), (7, "h"), (8, "none"), (9, None)], "domain_id int, customer_id string")
+    joined = bills.join(bridge, "customer_id")
+    want = billing.status_buckets(joined, "domain_id").join(billing.current_invoice(joined, "domain_id"), "domain_id")
+    got = billing.invoice_states(bills, bridge)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [customer_id") == 1 and "Window" not in plan
+
+
 def test_invoice_choices(spark):
     schema = "customer_id string, invoice_id string, status string, due_at int, total_cents bigint"
     df = spark.createDataFrame([("a", "1", "canceled", 9, 5), ("a", "2", "paid", 3, 6), ("b", "3", "canceled", 1, 7), ("b", "4", "canceled", 2, 8)], schema)
