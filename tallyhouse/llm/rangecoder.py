@@ -29,6 +29,7 @@ MIN_STEPS = 256
 _HEAD = struct.Struct("<4sIIII")
 _SLOTS = 1 << 18
 _REFRESH = 8  # steps between two rebuilds of the order-0 table
+_STRETCHES = 16  # bits of the number of stretches of the order-0 table whose first holder is kept at hand
 _STEP = 24  # what a seen id adds to its frequency; each id has one at least
 _MOST = 1 << 24  # frequencies are halved where their sum passes this: the range, _SHARES times it, stays below _BOTTOM
 _SHARES = 64  # parts of the interval that the predictors share
@@ -60,6 +61,7 @@ class _Model:
         self.bounds = np.zeros(len(self.frequency) + 1, dtype=np.int64)
         np.cumsum(self.frequency, out=self.bounds[1:])
         self.total = int(self.bounds[-1])
+        self.firsts = None
         self.weigh()
 
     def weigh(self) -> None:
@@ -73,6 +75,18 @@ class _Model:
         self.widths = np.stack([self.two, second * self.total, self.rest], axis=1).ravel()
         self.range = np.uint64(_SHARES * self.total)
 
+    def holders(self, place: np.ndarray) -> np.ndarray:
+        """The id whose part of the order-0 table holds each place."""
+        if self.firsts is None:  # the holder of the first place of every stretch of 2^near places
+            self.near = max(0, self.total.bit_length() - _STRETCHES)
+            self.firsts = np.zeros((self.total >> self.near) + 2, dtype=np.int64)
+            self.firsts[(self.bounds[:-1] + (1 << self.near) - 1) >> self.near] = np.arange(len(self.frequency))
+            np.maximum.accumulate(self.firsts, out=self.firsts)
+        found = self.firsts[place >> self.near]
+        later = np.flatnonzero(self.bounds[found + 1] <= place)
+        found[later] = np.searchsorted(self.bounds, place[later], "right") - 1
+        return found
+
     def predict(self) -> None:
         """Guesses of both orders, -1 for none, and each lane's cell."""
         mixed = (self.last.astype(np.uint64) << _PAIR | self.before.astype(np.uint64)) * _SPREAD
@@ -81,7 +95,7 @@ class _Model:
         self.held = [table[slot] for table, slot in zip(self.tables, self.slots)]
         self.own = self.checks[self.slots[0]] == self.check
         known = [self.held[0] * self.own, self.held[1]]
-        self.guess = [packed // 4 - 1 for packed in known]
+        self.guess = [(packed >> 2) - 1 for packed in known]
         two, one = [(packed & 3) + (packed > 0) for packed in known]
         self.cell = two * 5 + one + 25 * (self.guess[0] == self.guess[1])
 
@@ -210,7 +224,7 @@ def decode_block(block: bytes) -> np.ndarray:
         zero = np.flatnonzero(kind == 2)
         cell = model.cell[zero]
         place = (point[zero] - model.both[cell]) // model.rest[cell]
-        now[zero] = np.searchsorted(model.bounds, place, "right") - 1
+        now[zero] = model.holders(place)
         start, width = model.interval(now, kind)
         low += unit * start
         wide = unit * width

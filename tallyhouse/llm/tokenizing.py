@@ -9,6 +9,10 @@ cut depends on nothing but the characters beside it:
 A piece not seen yet is cut once more between a Latin letter and ASCII
 punctuation other than the apostrophe. Texts with the mark of a special token go to
 the tokenizer whole.
+
+A piece of plain letters is one word that normalizing and cutting leave as it is, so it
+goes straight to the tokenizer's model, in the letters that its byte level gives. Which letters
+are plain is asked of the tokenizer.
 """
 
 from __future__ import annotations
@@ -37,17 +41,39 @@ def _latin(text: str) -> bool:
     return True
 
 
+def _plain_letters(tokenizer) -> dict[str, str]:
+    """Letters that normalizing keeps and that stay in one word, with what the model reads for each; a space where it leads a word."""
+    normal, cut = tokenizer.normalizer, tokenizer.pre_tokenizer
+    kept = [c for c in sorted(_LETTERS) if ord(c) < 256 and (normal is None or normal.normalize_str(c) == c)]
+    read = {c: cut.pre_tokenize_str(c) for c in kept}
+    letters = {c: found[0][0] for c, found in read.items() if len(found) == 1}
+    led = cut.pre_tokenize_str(" a")
+    if normal is None and len(led) == 1 and led[0][0].endswith(letters["a"]):
+        letters[" "] = led[0][0][: -len(letters["a"])]
+    return letters
+
+
 class _Pieces(dict):
     """Piece -> its ids as little-endian 32-bit integers."""
 
     def __init__(self, tokenizer, room: int):
         super().__init__()
         self.encode_piece, self.room, self.marked = tokenizer.encode, room, MARKED
+        letters = _plain_letters(tokenizer)
+        self.word = tokenizer.model.tokenize
+        self.letters = str.maketrans(letters)
+        inner = "".join(c for c in letters if c != " ")
+        self.is_plain = re.compile(f"{' ?' * (' ' in letters)}[{inner}]+").fullmatch
 
     def encode(self, piece: str) -> bytes:
         return array("I", self.encode_piece(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
+        if self.is_plain(piece):
+            ids = array("I", [t.id for t in self.word(piece.translate(self.letters))]).tobytes()
+            if len(self) < self.room:
+                self[piece] = ids
+            return ids
         if piece[-1:] in _ENDS and piece[-2:-1] in _LETTERS:  # the usual mark after a word
             parts = (piece[:-1], piece[-1])
         else:
