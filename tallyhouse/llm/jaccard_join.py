@@ -30,6 +30,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,7 @@ from .common import (
 from .components import components
 
 GROUPS = 64  # of the tree; larger sets have more, folded to these there
+FINE = 512  # groups beyond which a set has half as many
 NODE = 16  # points of a leaf
 TILE = 128  # sets on one side of a tile
 UNIT = 2 << 20  # bytes of text whose sets are in memory at a time
@@ -189,8 +191,10 @@ def _blocks(docs: DataFrame, n: int, last: np.ndarray, percent: int) -> DataFram
 
 
 def groups_of(size: int) -> int:
-    """Groups for a set: a power of two, one or two to a shingle. Fewer could not tell a similarity of 0.75 from one of 0.8."""
-    return max(GROUPS, 1 << max(0, (size - 1).bit_length()))
+    """Groups for a set: a power of two, one or two to a shingle; half of that above FINE groups, where the bound varies less.
+    Fewer could not tell a similarity of 0.75 from one of 0.8."""
+    full = max(GROUPS, 1 << max(0, (size - 1).bit_length()))
+    return max(min(full, FINE), full // 2)
 
 
 def count_vector(shingle_set: np.ndarray) -> np.ndarray:
@@ -199,6 +203,16 @@ def count_vector(shingle_set: np.ndarray) -> np.ndarray:
     return np.bincount((shingle_set >> U64(64 - (n.bit_length() - 1))).astype(np.int64), minlength=n)
 
 
+def packed_counts(vector: np.ndarray) -> bytes:
+    """Counts by their Huffman code: most are 0, 1 or 2, and a vector travels once a tile."""
+    coder = zlib.compressobj(level=1, wbits=-15, strategy=zlib.Z_HUFFMAN_ONLY)
+    return coder.compress(packed_ints(vector)) + coder.flush()
+
+
+def unpacked_counts(raw: bytes) -> np.ndarray:
+    return unpacked_ints(zlib.decompress(raw, wbits=-15)).astype(np.int64)
+
+
 def folded(vector: np.ndarray, n: int) -> np.ndarray:
     return vector if len(vector) == n else vector.reshape(n, -1).sum(axis=1)
 
@@ -249,15 +263,26 @@ def near_pairs(labels: list[int], sides: list[int], vectors: list[np.ndarray], p
     """Places of pairs whose counts allow the similarity. Sides: 0 and 1 are compared with each other, 2 with all; equal labels are not."""
     points = np.stack([folded(v, GROUPS) for v in vectors])
     tree, sizes, pairs = RTree(points), points.sum(axis=1), []
-    for k in range(len(labels)):
-        if sides[k] == 1:
-            continue
-        for other in tree.near(points[k], percent).tolist():
-            if labels[other] != labels[k] and (sides[other] != sides[k] or (sides[k] == 2 and other > k)):
-                n = min(len(vectors[k]), len(vectors[other]))
-                bound = np.minimum(folded(vectors[k], n), folded(vectors[other], n)).sum() if n > GROUPS else sizes[k]
-                if may_reach(bound, sizes[k] + sizes[other], percent):
-                    pairs.append((k, other))
+    label, side, length = np.array(labels), np.array(sides), np.array([len(v) for v in vectors])
+    finer: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # vectors of at least n groups, folded to n, and their places there
+
+    def fine(n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n not in finer:
+            having = length >= n
+            finer[n] = np.stack([folded(vectors[i], n) for i in np.flatnonzero(having).tolist()]), np.cumsum(having) - 1
+        return finer[n]
+
+    for k in np.flatnonzero(side != 1).tolist():
+        others = tree.near(points[k], percent)
+        others = others[(label[others] != label[k]) & ((side[others] != side[k]) | ((side[k] == 2) & (others > k)))]
+        groups = np.minimum(length[others], length[k])
+        for n in np.unique(groups).tolist():
+            some = others[groups == n]
+            if n > GROUPS:
+                all_, at = fine(n)
+                bound = np.minimum(all_[at[some]], all_[at[k]]).sum(axis=1)
+                some = some[may_reach(bound, sizes[k] + sizes[some], percent)]
+            pairs += [(k, other) for other in some.tolist()]
     return pairs
 
 
@@ -267,14 +292,31 @@ _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def _candidates(tiles: DataFrame, keys: list[str], sets: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b), a < b, of the rows (keys, member, label, side) of each tile that the count vectors let through."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["member", "label", "side", "counts"]).to_pylist()
-        vectors = [unpacked_ints(r["counts"]).astype(np.int64) for r in rows]
-        pairs = near_pairs([r["label"] for r in rows], [r["side"] for r in rows], vectors, percent)
-        names = [(rows[i]["member"], rows[j]["member"]) for i, j in pairs]
-        return pa.Table.from_arrays([pa.array([min(x) for x in names], pa.int64()), pa.array([max(x) for x in names], pa.int64())], schema=_PAIR)
+    def found(rows: list[tuple]) -> list[tuple[int, int]]:
+        members, labels, sides, counts = zip(*rows)
+        if len(set(labels)) < 2:
+            return []
+        pairs = near_pairs(labels, sides, [unpacked_counts(c) for c in counts], percent)
+        return [(min(members[i], members[j]), max(members[i], members[j])) for i, j in pairs]
 
-    return tiles.join(sets.select("member", "counts"), "member").groupBy(*keys).applyInArrow(run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, rows = None, []
+        for batch in batches:
+            pairs: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in (*keys, "member", "label", "side", "counts")]
+            for name, row in zip(zip(*columns[: len(keys)]), zip(*columns[len(keys) :])):
+                if name != tile:
+                    pairs += found(rows) if rows else []
+                    tile, rows = name, []
+                rows.append(row)
+            yield batch_of(_PAIR, [x for x, _ in pairs], [y for _, y in pairs])
+        if rows:
+            pairs = found(rows)
+            yield batch_of(_PAIR, [x for x, _ in pairs], [y for _, y in pairs])
+
+    # Most tiles are tiny, so they are read one after another instead of being sent to a worker one by one.
+    rows = tiles.join(sets.select("member", "counts"), "member").select(*keys, "member", "label", "side", "counts")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -306,7 +348,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             # Rows may share a doc_id: only the text that has the wanted set counts.
             kept = [(m, np.sort(found[i:j])) for m, k, i, j in zip(s.batch.column("member").to_pylist(), name, at, at[1:]) if m == k]
             sets = [x for _, x in kept]
-            yield batch_of(schema, [m for m, _ in kept], [packed_sorted(x >> DROPPED) for x in sets], [packed_ints(count_vector(x)) for x in sets])
+            yield batch_of(schema, [m for m, _ in kept], [packed_sorted(x >> DROPPED) for x in sets], [packed_counts(count_vector(x)) for x in sets])
 
     texts = docs.select("doc_id", "text").join(small(wanted), "doc_id").select("member", "text")
     return texts.mapInArrow(run, "member long, shingles binary, counts binary")

@@ -277,3 +277,27 @@ def test_tiles_meet_all_pairs_of_near_sizes(spark):
     assert set(met.values()) == {1}
     want = {(b, k, m) for b, k, s, x in members for c, m, t, y in members if b == c and k < m and x != y and 100 * min(s, t) >= 80 * max(s, t)}
     assert want <= set(met) and len(met) < 3 * len(want)
+
+
+def test_tiles_travel_light_and_are_read_one_after_another(spark):
+    """Count vectors take a byte for three shingles at most; tiles of any size come out of one stream, cut where the key changes, as brute force has it."""
+    rng = np.random.default_rng(5)
+    base = [np.unique(rng.integers(0, 2**63, 600, dtype=np.uint64) * np.uint64(2)) for _ in range(30)]
+    sets = base + [np.unique(np.concatenate([s[:570], rng.integers(0, 2**63, 20, dtype=np.uint64)])) for s in base]
+    counts = [jaccard_join.packed_counts(jaccard_join.count_vector(s)) for s in sets]
+    assert all(3 * len(c) <= len(s) for c, s in zip(counts, sets))
+    tiles = [(block, m, m % 7, 2) for block in range(40) for m in rng.permutation(60)[: 2 + block].tolist()]
+    rows = spark.createDataFrame(tiles, "block long, member long, label long, side int").repartition(3)
+    vectors = spark.createDataFrame(list(enumerate(map(bytearray, counts))), "member long, counts binary")
+    limit = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # tiles span batches
+    try:
+        pairs = jaccard_join._candidates(rows, ["block"], vectors, 80)
+        plan = pairs._jdf.queryExecution().toString()
+        got = {(r.a, r.b) for r in pairs.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+    met = {(a, b) for x, a, p, _ in tiles for y, b, q, _ in tiles if x == y and a < b and p != q}
+    true = {(a, b) for a, b in met if jaccard_join.similar(sets[a], sets[b], 80)}
+    assert len(true) > 5 and true <= got <= met and len(got) < 2 * len(true)
+    assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan
