@@ -12,6 +12,7 @@ from tallyhouse.llm.common import drop_scratch, fold, read_table, scratch_mark,
 from tallyhouse.llm.queries import tokenizer_file
 
 QUALITY = 0.3
+PIECES = 300_000  # words whose ids a packing worker keeps: its executor has been through all stages before
 _marks: list[int] = []
 
 
@@ -64,7 +65,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 @stage
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pack the kept documents into training sequences, with the ids of each piece."""
-    return packing.packed(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=True)
+    return packing.packed(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=True, room=PIECES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -8,6 +8,7 @@ text longer than that makes a slice of its own.
 from __future__ import annotations
 
 import ctypes
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -170,7 +171,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) < n:
-        size = 1 << max(21, int(n - 1).bit_length())
+        size = max(SLICE + 4096, n + n // 4)  # slices of SLICE bytes share one size; a long text brings a larger one
         for k, base in enumerate((_BASE, _BASE_INVERSE)):
             table = np.full(size, base, dtype=U64)
             table[0] = 1
@@ -257,11 +258,16 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 _lean = False
+_trim = None
 
 
-def lean_worker() -> None:
-    """Have this Python process give freed arrays back to the system: workers live on between stages beside the executor's JVM."""
-    global _lean
+def lean_worker(encoders: bool = False) -> None:
+    """Have this Python process give freed arrays back to the system: workers live on between stages beside the executor's JVM.
+
+    The tokenizers of earlier tasks go with the pieces they keep, which are a worker's largest
+    holding, unless the task says that it encodes (`encoders`).
+    """
+    global _lean, _trim
     if not _lean:
         _lean = True
         pa.set_memory_pool(pa.system_memory_pool())
@@ -269,6 +275,17 @@ def lean_worker() -> None:
         if hasattr(libc, "mallopt"):  # glibc: a fixed bound beyond which blocks are mapped alone, and an early trim
             libc.mallopt(-3, 1 << 20)
             libc.mallopt(-1, 1 << 20)
+        _trim = getattr(libc, "malloc_trim", None)
+    held = sys.modules.get(f"{__package__}.tokenizing")  # not there: nothing is held
+    if not encoders and held and held.encoder.cache_info().currsize:
+        held.encoder.cache_clear()
+        trimmed()
+
+
+def trimmed() -> None:
+    """Give back what small freed blocks leave between others."""
+    if _trim:
+        _trim(0)
 
 
 UNIT = 4 << 20  # bytes of text whose keys travel together
@@ -279,6 +296,7 @@ def units(batches: Iterable[pa.RecordBatch], text: str = "text", budget: int = U
     """Slices of about `budget` bytes, for work that reads its input once."""
     lean_worker()
     yield from slices(batches, text, budget)
+    trimmed()
 
 
 def text_bytes(docs: DataFrame) -> int:

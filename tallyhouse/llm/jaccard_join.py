@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import (
-    U64, Slice, batch_of, buckets, cuts, drop_scratch, free_shuffles, mix, packed_ints, packed_keys, packed_sorted, scratch_mark, shingles, slices, small, units,
+    SLICE, U64, Slice, batch_of, buckets, cuts, drop_scratch, free_shuffles, mix, packed_ints, packed_keys, packed_sorted, scratch_mark, shingles, small, units,
     unpacked, unpacked_ints, unpacked_sorted, words, written, written_small,
 )
 from .components import components
@@ -341,7 +341,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     schema = pa.schema([("member", pa.int64()), ("shingles", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches):
+        for s in units(batches, budget=SLICE):
             row, found = sets_of(s)
             at = np.searchsorted(row, np.arange(len(s) + 1)).tolist()
             name = _identity(row, found, len(s))[1].view(np.int64).tolist()

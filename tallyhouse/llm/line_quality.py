@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Slice, batch_of, slices, words
+from .common import SLICE, Slice, batch_of, slices, units, words
 
 SAMPLE = 4000
 LONGEST = 300
@@ -249,7 +249,7 @@ def accepted(docs: DataFrame, model: Model | None, threshold: float) -> DataFram
     """Rows of `docs` (all columns) whose text scores `threshold` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches):
+        for s in units(batches, budget=SLICE):
             kept = model.score(s) >= threshold if model else np.full(len(s), 0.5 >= threshold)
             yield s.batch.filter(pa.array(kept))
 

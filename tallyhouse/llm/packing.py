@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import batch_of, slices
-from .tokenizing import encoder
+from .common import batch_of, lean_worker, slices
+from .tokenizing import CACHE, encoder
 
 TIERS = (2048, 1024, 512, 256, 128, 64)
 CHUNK = 1 << 21  # ids packed together
@@ -95,15 +95,19 @@ def step_groups(costs: list[int], groups: int) -> list[int]:
     return out
 
 
-def packed(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, chunk: int = CHUNK, with_ids: bool = False) -> DataFrame:
-    """Pieces of `docs` (doc_id, text): each id of a document lies in one piece, offsets in a sequence are gapless from 0."""
+def packed(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, chunk: int = CHUNK, with_ids: bool = False, room: int = CACHE) -> DataFrame:
+    """Pieces of `docs` (doc_id, text): each id of a document lies in one piece, offsets in a sequence are gapless from 0.
+
+    A worker keeps the ids of `room` words: fewer take less memory beside other work and more time.
+    """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
          ("sequence_id", pa.int64()), ("offset", pa.int64()), ("window", pa.int32()), ("step_group", pa.int64())] + [("ids", pa.binary())] * with_ids
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).document
+        lean_worker(encoders=True)
+        encode = encoder(tokenizer, room).document
         first = TaskContext.get().partitionId() << 33
         state = {"sequence": first, "group": first}
         ids, raw, held = [], [], 0

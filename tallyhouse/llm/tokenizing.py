@@ -25,7 +25,7 @@ import numpy as np
 
 END_ID = 1
 CACHE = 1_200_000  # plain pieces that a worker keeps; later ones are encoded each time
-MARKED = 200_000  # pieces with punctuation that it keeps; later ones are put together from their parts
+MARKED = 6  # one in so many of them may be kept beside for pieces with punctuation; later ones are put together from their parts
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the capital I with a dot, whose lower case ends in a mark
 _MARKED = re.compile(f"(?<=[{_LETTER}])(?=[!-&(-/:-@[-`{{-~])")
@@ -58,7 +58,7 @@ class _Pieces(dict):
 
     def __init__(self, tokenizer, room: int):
         super().__init__()
-        self.encode_piece, self.room, self.marked = tokenizer.encode, room, MARKED
+        self.encode_piece, self.room, self.marked = tokenizer.encode, room, room // MARKED
         letters = _plain_letters(tokenizer)
         self.word = tokenizer.model.tokenize
         self.letters = str.maketrans(letters)
@@ -121,9 +121,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, room: int = CACHE) -> Encoder:
     """One encoder per worker and vocabulary."""
-    return Encoder(path)
+    return Encoder(path, room)
 
 
 def as_ids(raw: bytes) -> np.ndarray:

@@ -183,3 +183,26 @@ def test_places_of_the_order_0_table_have_their_holder(total):
         model.rebuild()
         place = np.unique(np.clip(np.concatenate([model.bounds + d for d in (-1, 0, 1)] + [rng.integers(0, model.total, 500)]), 0, model.total - 1))
         assert (model.holders(place) == np.searchsorted(model.bounds, place, "right") - 1).all()
+
+
+def test_a_worker_keeps_no_more_pieces_than_it_has_room_for():
+    """Words and words with marks, one in six of the latter beside: what does not fit is encoded each time."""
+    encode, ours = plain(NAMES[1]), Encoder(str(P.path(NAMES[1])), room=60)
+    text = " ".join(f"{a}{b}{c}{end}" for a in "abcde" for b in "xyz" for c in "aeiou" for end in ("", ",", "?!"))
+    assert ours.document(text) == encode(text).tobytes()
+    assert 60 <= len(ours.pieces) <= 70
+
+
+def test_other_work_lets_go_of_the_encoder():
+    """Encoders with their pieces are kept from task to task of a packing, and go when the worker gets other work."""
+    import pyarrow as pa
+
+    from tallyhouse.llm import common, tokenizing
+
+    batch = pa.record_batch({"text": ["some text", None, "more"]})
+    tokenizing.encoder.cache_clear()
+    kept = tokenizing.encoder(str(P.path(NAMES[1])), 100)
+    common.lean_worker(encoders=True)
+    assert tokenizing.encoder(str(P.path(NAMES[1])), 100) is kept
+    assert [len(s) for s in common.units([batch])] == [3]
+    assert tokenizing.encoder.cache_info().currsize == 0
