@@ -221,14 +221,16 @@ def suffix_order(data: np.ndarray, length: int) -> np.ndarray:
     inner = after < len(change)
     smaller[inner] = data[inner] < data[change[after[inner]] + 1]
     small = np.flatnonzero(smaller)
+    small = small[np.argsort(data[small], kind="stable")]
+    first = np.searchsorted(data[small], np.arange(257)) if len(small) else np.zeros(257, dtype=np.int64)
     raw = data.tobytes()
-    keys = [raw[i : i + length] for i in small.tolist()]
-    small = small[sorted(range(len(keys)), key=keys.__getitem__)]
+    for c in range(256):  # a key is many times its suffix's place, so only those of one first byte are held at a time
+        some = small[first[c] : first[c + 1]].tolist()
+        small[first[c] : first[c + 1]] = sorted(some, key=lambda i: raw[i : i + length])
     total = np.bincount(data, minlength=256)
     start = np.cumsum(total) - total
     order = np.full(n, -1, dtype=np.int64)
     head, tail = start.copy(), start + total - np.bincount(data[small], minlength=256)
-    first = np.searchsorted(data[small], np.arange(257)) if len(small) else np.zeros(257, dtype=np.int64)
     for c in range(256):
         order[tail[c] : start[c] + total[c]] = small[first[c] : first[c + 1]]
 

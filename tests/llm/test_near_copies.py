@@ -301,3 +301,17 @@ def test_tiles_travel_light_and_are_read_one_after_another(spark):
     true = {(a, b) for a, b in met if jaccard_join.similar(sets[a], sets[b], 80)}
     assert len(true) > 5 and true <= got <= met and len(got) < 2 * len(true)
     assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+
+
+def test_sorting_suffixes_holds_the_strings_of_one_first_byte():
+    """30,000 sort keys of 2,000 bytes would be 60 MB at once; the order is that of plain sorting."""
+    import tracemalloc
+
+    data = np.random.default_rng(9).integers(97, 123, 60_000).astype(np.uint8)
+    tracemalloc.start()
+    order = suffix_dedup.suffix_order(data, 2000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    raw = data.tobytes()
+    assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i : i + 2000])
+    assert most < 20e6
