@@ -50,8 +50,8 @@ class _Model:
         self.checks = np.zeros(_SLOTS, dtype=np.int32)
         self.cells = np.ones((50, 3), dtype=np.int64)
         self.cells[:, 2] = 2
-        self.last = np.zeros(lanes, dtype=np.int32)
-        self.before = np.zeros(lanes, dtype=np.int32)
+        self.last = np.zeros(lanes, dtype=np.int64)  # as places in tables
+        self.before = np.zeros(lanes, dtype=np.int64)
         self.steps, self.seen = 0, []
         self.rebuild()
 
@@ -82,41 +82,43 @@ class _Model:
             self.firsts = np.zeros((self.total >> self.near) + 2, dtype=np.int64)
             self.firsts[(self.bounds[:-1] + (1 << self.near) - 1) >> self.near] = np.arange(len(self.frequency))
             np.maximum.accumulate(self.firsts, out=self.firsts)
-        found = self.firsts[place >> self.near]
-        later = np.flatnonzero(self.bounds[found + 1] <= place)
+        found = self.firsts.take(place >> self.near)
+        later = np.flatnonzero(self.bounds.take(found + 1) <= place)
         found[later] = np.searchsorted(self.bounds, place[later], "right") - 1
         return found
 
     def predict(self) -> None:
         """Guesses of both orders, -1 for none, and each lane's cell."""
-        mixed = (self.last.astype(np.uint64) << _PAIR | self.before.astype(np.uint64)) * _SPREAD
-        self.slots = [(mixed >> _HIGH).astype(np.int64), self.last]
+        mixed = (self.last.view(np.uint64) << _PAIR | self.before.view(np.uint64)) * _SPREAD
+        self.slots = [(mixed >> _HIGH).view(np.int64), self.last]
         self.check = (mixed >> _LOW).astype(np.int32)
-        self.held = [table[slot] for table, slot in zip(self.tables, self.slots)]
-        self.own = self.checks[self.slots[0]] == self.check
+        self.held = [table.take(slot) for table, slot in zip(self.tables, self.slots)]
+        self.checked = self.checks.take(self.slots[0])
+        self.own = self.checked == self.check
         known = [self.held[0] * self.own, self.held[1]]
         self.guess = [(packed >> 2) - 1 for packed in known]
         two, one = [(packed & 3) + (packed > 0) for packed in known]
-        self.cell = two * 5 + one + 25 * (self.guess[0] == self.guess[1])
+        self.cell = (two * 5 + one + 25 * (self.guess[0] == self.guess[1])).astype(np.int64)
 
     def interval(self, ids: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ids in the range, by the predictor that names them (0: order 2, 1: order 1, 2: order 0)."""
         self.outcome = self.cell * 3 + kind
-        start, width = self.starts[self.outcome], self.widths[self.outcome]
+        start, width = self.starts.take(self.outcome), self.widths.take(self.outcome)
         zero = np.flatnonzero(kind == 2)
-        parts, some = width[zero], ids[zero]
-        start[zero] += self.bounds[some] * parts
-        width[zero] = self.frequency[some] * parts
+        parts, some = width.take(zero), ids.take(zero)
+        start[zero] += self.bounds.take(some) * parts
+        width[zero] = self.frequency.take(some) * parts
         return start.view(np.uint64), width.view(np.uint64)
 
     def learn(self, ids: np.ndarray) -> None:
         """Lanes update in order; where two share a slot the last one's id stays."""
         self.cells += np.bincount(self.outcome, minlength=150).reshape(50, 3)
-        newer = (ids + 1) << 2
+        short = ids.astype(np.int32)
+        newer = (short + 1) << 2
         for table, slot, packed, guess in zip(self.tables, self.slots, self.held, self.guess):
             # A right guess gains confidence, up to 3; a wrong one or another pair's loses one, and gives way below 2.
-            table[slot] = np.where(guess == ids, np.minimum(packed + 1, packed | 3), np.where(packed & 2, packed - 1, newer))
-        self.checks[self.slots[0]] = np.where(self.own | (self.held[0] & 2 == 0), self.check, self.checks[self.slots[0]])
+            table[slot] = np.where(guess == short, np.minimum(packed + 1, packed | 3), np.where(packed & 2, packed - 1, newer))
+        self.checks[self.slots[0]] = np.where(self.own | (self.held[0] & 2 == 0), self.check, self.checked)
         self.before, self.last = self.last, ids
         self.seen.append(ids)
         self.steps += 1
@@ -136,7 +138,7 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
     ids = np.asarray(ids, dtype=np.int32)
     n = len(ids)
     lanes, steps = _layout(n, lanes)
-    table = np.zeros(lanes * steps, dtype=np.int32)
+    table = np.zeros(lanes * steps, dtype=np.int64)
     table[:n] = ids
     table = np.ascontiguousarray(table.reshape(lanes, steps).T)
     model = _Model(vocabulary, lanes)
@@ -180,8 +182,9 @@ class _Words:
         self.at = np.zeros(lanes, dtype=np.int64)
 
     def put(self, lane: np.ndarray, low: np.ndarray) -> None:
-        self.flat[self.start[lane] + self.at[lane]] = low[lane] >> _TOP
-        self.at[lane] += 1
+        at = self.at.take(lane)
+        self.flat[self.start.take(lane) + at] = low.take(lane) >> _TOP
+        self.at[lane] = at + 1
 
     def write(self, low: np.ndarray, wide: np.ndarray) -> None:
         """Write the settled top words of each lane and widen its interval again."""
@@ -219,11 +222,12 @@ def decode_block(block: bytes) -> np.ndarray:
         model.predict()
         unit = wide // model.range
         point = np.minimum(((code - low) // unit), model.range - np.uint64(1)).astype(np.int64)
-        kind = (point >= model.two[model.cell]) + (point >= model.both[model.cell]).astype(np.int64)
-        now = np.where(kind == 0, model.guess[0], model.guess[1])
+        both = model.both.take(model.cell)
+        kind = (point >= model.two.take(model.cell)) + (point >= both).astype(np.int64)
+        now = np.where(kind == 0, model.guess[0], model.guess[1]).astype(np.int64)
         zero = np.flatnonzero(kind == 2)
-        cell = model.cell[zero]
-        place = (point[zero] - model.both[cell]) // model.rest[cell]
+        rest = model.rest.take(model.cell.take(zero))
+        place = ((point.take(zero) - both.take(zero)).view(np.uint64) // rest.view(np.uint64)).view(np.int64)
         now[zero] = model.holders(place)
         start, width = model.interval(now, kind)
         low += unit * start
@@ -233,8 +237,9 @@ def decode_block(block: bytes) -> np.ndarray:
             lane = np.flatnonzero(ready)
             shift = ready * _WORD
             code <<= shift
-            code[lane] |= words[np.minimum(at[lane], end)]
-            at[lane] += 1
+            where = at.take(lane)
+            code[lane] |= words.take(np.minimum(where, end))
+            at[lane] = where + 1
             low <<= shift
             wide <<= shift
             ready = _ready(low, wide)
