@@ -33,9 +33,11 @@ _STRETCHES = 16  # bits of the number of stretches of the order-0 table whose fi
 _STEP = 24  # what a seen id adds to its frequency; each id has one at least
 _MOST = 1 << 24  # frequencies are halved where their sum passes this: the range, _SHARES times it, stays below _BOTTOM
 _SHARES = 64  # parts of the interval that the predictors share
-_PAIR, _HIGH, _LOW = np.uint64(32), np.uint64(64 - 18), np.uint64(15)  # bits of a pair, of its slot and of its check
+_PAIR, _HIGH = np.uint64(32), np.uint64(64 - 18)  # bits of a pair and of its slot
+_CHECK, _CHECKED = np.uint64(17), np.uint64((1 << 64) - (1 << 32))  # a pair's check: 32 bits of its hash, kept above its guess
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(48)
+_SETTLED = np.uint64(1 << 48)
 _BOTTOM = np.uint64(1 << 32)
 _WORD = np.uint64(16)
 
@@ -45,9 +47,8 @@ class _Model:
 
     def __init__(self, vocabulary: int, lanes: int):
         self.frequency = np.ones(vocabulary, dtype=np.int64)
-        # (id + 1) * 4 + confidence, 0 where nothing is known.
-        self.tables = [np.zeros(_SLOTS, dtype=np.int32), np.zeros(vocabulary, dtype=np.int32)]
-        self.checks = np.zeros(_SLOTS, dtype=np.int32)
+        # (id + 1) * 8 + 1 + confidence, 0 where nothing is known; those of order 2 have the pair's check in the upper half.
+        self.tables = [np.zeros(_SLOTS, dtype=np.int64), np.zeros(vocabulary, dtype=np.int32)]
         self.cells = np.ones((50, 3), dtype=np.int64)
         self.cells[:, 2] = 2
         self.last = np.zeros(lanes, dtype=np.int64)  # as places in tables
@@ -73,7 +74,7 @@ class _Model:
         # By cell and predictor; order 0 has its parts as width until the id is known.
         self.starts = np.stack([np.zeros_like(first), self.two, self.both], axis=1).ravel()
         self.widths = np.stack([self.two, second * self.total, self.rest], axis=1).ravel()
-        self.range = np.uint64(_SHARES * self.total)
+        self.range = np.full(len(self.last), _SHARES * self.total, dtype=np.uint64)  # a single divisor would take longer
 
     def holders(self, place: np.ndarray) -> np.ndarray:
         """The id whose part of the order-0 table holds each place."""
@@ -91,34 +92,39 @@ class _Model:
         """Guesses of both orders, -1 for none, and each lane's cell."""
         mixed = (self.last.view(np.uint64) << _PAIR | self.before.view(np.uint64)) * _SPREAD
         self.slots = [(mixed >> _HIGH).view(np.int64), self.last]
-        self.check = (mixed >> _LOW).astype(np.int32)
+        self.check = (mixed << _CHECK & _CHECKED).view(np.int64)
         self.held = [table.take(slot) for table, slot in zip(self.tables, self.slots)]
-        self.checked = self.checks.take(self.slots[0])
-        self.own = self.checked == self.check
-        known = [self.held[0] * self.own, self.held[1]]
-        self.guess = [(packed >> 2) - 1 for packed in known]
-        two, one = [(packed & 3) + (packed > 0) for packed in known]
-        self.cell = (two * 5 + one + 25 * (self.guess[0] == self.guess[1])).astype(np.int64)
-
-    def interval(self, ids: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of ids in the range, by the predictor that names them (0: order 2, 1: order 1, 2: order 0)."""
+        own = (self.held[0] ^ self.check).view(np.uint64) < _BOTTOM
+        known = [self.held[0].astype(np.int32) * own, self.held[1]]
+        self.guess = [(packed >> 3) - 1 for packed in known]
+        two, one = [packed & 7 for packed in known]
+        self.cell = (two * 5 + one + (self.guess[0] == self.guess[1]) * np.int32(25)).astype(np.int64)
+
+    def shares(self, kind: np.ndarray) -> None:
+        """Starts and widths by the predictor that names the ids (0: order 2, 1: order 1, 2: order 0, where the width is the parts)."""
         self.outcome = self.cell * 3 + kind
-        start, width = self.starts.take(self.outcome), self.widths.take(self.outcome)
-        zero = np.flatnonzero(kind == 2)
-        parts, some = width.take(zero), ids.take(zero)
-        start[zero] += self.bounds.take(some) * parts
-        width[zero] = self.frequency.take(some) * parts
-        return start.view(np.uint64), width.view(np.uint64)
+        self.start, self.width = self.starts.take(self.outcome), self.widths.take(self.outcome)
+        self.zero = np.flatnonzero(kind == 2)
+        self.parts = self.width.take(self.zero)
+
+    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of ids in the range, after shares()."""
+        some = ids.take(self.zero)
+        first = self.bounds.take(some)
+        self.start[self.zero] += first * self.parts
+        self.width[self.zero] = (self.bounds.take(some + 1) - first) * self.parts
+        return self.start.view(np.uint64), self.width.view(np.uint64)
 
     def learn(self, ids: np.ndarray) -> None:
         """Lanes update in order; where two share a slot the last one's id stays."""
         self.cells += np.bincount(self.outcome, minlength=150).reshape(50, 3)
         short = ids.astype(np.int32)
-        newer = (short + 1) << 2
-        for table, slot, packed, guess in zip(self.tables, self.slots, self.held, self.guess):
+        newer = (short + 1 << 3) + 1
+        for table, slot, packed, guess, fresh in zip(self.tables, self.slots, self.held, self.guess, (self.check | newer, newer)):
             # A right guess gains confidence, up to 3; a wrong one or another pair's loses one, and gives way below 2.
-            table[slot] = np.where(guess == short, np.minimum(packed + 1, packed | 3), np.where(packed & 2, packed - 1, newer))
-        self.checks[self.slots[0]] = np.where(self.own | (self.held[0] & 2 == 0), self.check, self.checked)
+            right, level = guess == short, (packed & 7).astype(np.int8)
+            gained = (right & (level < 4)).view(np.int8) - (~right).view(np.int8)
+            table[slot] = np.where(right | (level > 2), packed + gained, fresh)
         self.before, self.last = self.last, ids
         self.seen.append(ids)
         self.steps += 1
@@ -148,7 +154,8 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
         now = table[step]
         model.predict()
         kind = np.where(model.guess[0] == now, 0, 2 - (model.guess[1] == now))
-        start, width = model.interval(now, kind)
+        model.shares(kind)
+        start, width = model.interval(now)
         unit = wide // model.range
         low += unit * start
         wide = unit * width
@@ -164,10 +171,11 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
 
 def _ready(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
     """Lanes whose top word goes out: it is settled, or the interval is narrow and is cut short where it straddles a word."""
-    settled = ((low ^ (low + wide)) >> _TOP) == 0
+    settled = (low ^ (low + wide)) < _SETTLED
     narrow = wide < _BOTTOM
-    cut = np.flatnonzero(narrow & ~settled)
-    if len(cut):
+    straddles = narrow > settled
+    if straddles.any():
+        cut = np.flatnonzero(straddles)
         wide[cut] = (np.uint64(0) - low[cut]) & (_BOTTOM - np.uint64(1))
     return settled | narrow
 
@@ -221,15 +229,13 @@ def decode_block(block: bytes) -> np.ndarray:
     for step in range(steps):
         model.predict()
         unit = wide // model.range
-        point = np.minimum(((code - low) // unit), model.range - np.uint64(1)).astype(np.int64)
-        both = model.both.take(model.cell)
-        kind = (point >= model.two.take(model.cell)) + (point >= both).astype(np.int64)
+        point = np.minimum((code - low) // unit, model.range - np.uint64(1)).view(np.int64)
+        kind = (point >= model.two.take(model.cell)).astype(np.int64) + (point >= model.both.take(model.cell))
+        model.shares(kind)
         now = np.where(kind == 0, model.guess[0], model.guess[1]).astype(np.int64)
-        zero = np.flatnonzero(kind == 2)
-        rest = model.rest.take(model.cell.take(zero))
-        place = ((point.take(zero) - both.take(zero)).view(np.uint64) // rest.view(np.uint64)).view(np.int64)
-        now[zero] = model.holders(place)
-        start, width = model.interval(now, kind)
+        place = (point.take(model.zero) - model.start.take(model.zero)).astype(np.uint32) // model.parts.astype(np.uint32)
+        now[model.zero] = model.holders(place.astype(np.int64))
+        start, width = model.interval(now)
         low += unit * start
         wide = unit * width
         ready = _ready(low, wide)

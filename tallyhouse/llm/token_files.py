@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import batch_of, slices
+from .common import UNIT, batch_of, slices
 from .rangecoder import decode_block, encode_block
-from .tokenizing import as_ids, encoder
+from .tokenizing import encoder
 
 BLOCK = 1 << 21  # ids after which a block is closed
 VOCABULARY = 49_408
@@ -35,24 +35,29 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, vocabulary: int = VOCA
     """Write the ids of `docs` (doc_id, text) as blocks under `path`."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).document
+        encode = encoder(tokenizer).documents
         part, number, before = TaskContext.get().partitionId(), 0, 0
         ids, sizes, raw, held = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            body = encode_block(as_ids(b"".join(raw)), vocabulary)
+            body = encode_block(np.concatenate(raw), vocabulary)
             return pa.RecordBatch.from_pylist(
                 [{"part": part, "block": number, "before": before, "n_ids": held, "doc_ids": ids, "sizes": sizes, "coded": body}],
                 schema=schema,
             )
 
-        for s in slices(batches):
-            for doc, text in zip(s.batch.column("doc_id").to_pylist(), s.texts()):
-                found = encode(text)
-                ids.append(doc)
-                sizes.append(len(found) // 4)
-                raw.append(found)
-                held += sizes[-1]
+        for s in slices(batches, budget=UNIT):
+            found, lengths = encode(s.texts())
+            docs, ends = s.batch.column("doc_id").to_pylist(), np.cumsum(lengths)
+            first = start = 0
+            while first < len(docs):
+                last = min(len(docs), int(np.searchsorted(ends, start + block - held)) + 1)
+                end = int(ends[last - 1])
+                ids += docs[first:last]
+                sizes += lengths[first:last].tolist()
+                raw.append(found[start:end])
+                held += end - start
+                first, start = last, end
                 if held >= block:
                     yield closed()
                     number, before, held = number + 1, before + held, 0

@@ -13,6 +13,9 @@ the tokenizer whole.
 A piece of plain letters is one word that normalizing and cutting leave as it is, so it
 goes straight to the tokenizer's model, in the letters that its byte level gives. Which letters
 are plain is asked of the tokenizer.
+
+Where white space is dropped, many texts are cut at once: the cuts are found in their bytes, Arrow
+numbers the distinct pieces, and only these are looked up; their ids are then taken by number.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 END_ID = 1
 CACHE = 1_200_000  # plain pieces that a worker keeps; later ones are encoded each time
@@ -31,6 +35,8 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the capital I with a dot, whos
 _MARKED = re.compile(f"(?<=[{_LETTER}])(?=[!-&(-/:-@[-`{{-~])")
 _LETTERS = frozenset(chr(c) for c in range(0x250) if re.match(f"[{_LETTER}]", chr(c)))
 _ENDS = frozenset(".,;:!?|")
+_CUTS = bytes(chr(b) in "\n " or bool(_MARKED.match("a" + chr(b), 1)) for b in range(128)) + bytes(128)  # 1 for a byte at which a piece may end
+_ASCII_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 
 
 def _latin(text: str) -> bool:
@@ -62,15 +68,20 @@ class _Pieces(dict):
         letters = _plain_letters(tokenizer)
         self.word = tokenizer.model.tokenize
         self.letters = str.maketrans(letters)
-        inner = "".join(c for c in letters if c != " ")
-        self.is_plain = re.compile(f"{' ?' * (' ' in letters)}[{inner}]+").fullmatch
+        self.inner, self.leads = frozenset(letters) - {" "}, " " in letters
+        self.reads_ascii = all(letters.get(c) == c for c in "abcdefghijklmnopqrstuvwxyz")
+
+    def is_plain(self, piece: str) -> bool:
+        word = piece[1:] if self.leads and piece[:1] == " " else piece
+        return bool(word) and self.inner.issuperset(word)
 
     def encode(self, piece: str) -> bytes:
         return array("I", self.encode_piece(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if self.is_plain(piece):
-            ids = array("I", [t.id for t in self.word(piece.translate(self.letters))]).tobytes()
+        as_it_is = self.reads_ascii and piece.isascii() and piece.isalpha() and piece.islower()
+        if as_it_is or self.is_plain(piece):
+            ids = array("I", [t.id for t in self.word(piece if as_it_is else piece.translate(self.letters))]).tobytes()
             if len(self) < self.room:
                 self[piece] = ids
             return ids
@@ -119,6 +130,47 @@ class Encoder:
         """Ids of a text and the end id."""
         return self.ids(text) + END_ID.to_bytes(4, "little")
 
+    def documents(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, the end id after each, and how many each has with it."""
+        if self.keeps_space or not texts:
+            found = [self.document(text) for text in texts]
+            return as_ids(b"".join(found)), np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        whole, lines = {}, []
+        for k, text in enumerate(texts):
+            if "<|" in text:
+                whole[k], text = self.document(text), ""
+            elif _latin(text):
+                text = text.lower()
+            lines.append(text.encode())
+        closes = np.cumsum([len(line) + 1 for line in lines]) - 1  # the line feed after each text
+        lines.append(b"")
+        pieces, last = _distinct(b"\n".join(lines), closes)
+        found = [*map(self.pieces.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False)), END_ID.to_bytes(4, "little"), *whole.values()]
+        # After a text's last piece stands its end id, or all its ids where it went to the tokenizer whole.
+        ends = np.full(len(texts), len(pieces.dictionary), dtype=np.int32)
+        ends[list(whole)] = np.arange(len(whole)) + len(pieces.dictionary) + 1
+        order = np.insert(pieces.indices.to_numpy(), last + 1, ends)
+        taken = pa.array(found, pa.large_binary()).take(pa.array(order))
+        _, where, body = taken.buffers()
+        bounds = np.frombuffer(where, dtype=np.int64)[np.append(0, last + np.arange(len(texts)) + 2)] // 4
+        return as_ids(body)[: bounds[-1]], np.diff(bounds)
+
+
+def _distinct(raw: bytes, closes: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Pieces of UTF-8 texts that end in a line feed each (`closes`), numbered by distinct ones, and the last piece of each text."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    cuts = np.flatnonzero(np.frombuffer(raw.translate(_CUTS), dtype=bool))
+    space = data.take(cuts) <= 32
+    letter = data.take(cuts - 1)  # before the first byte the last one, a line feed
+    latin = (letter >= 0x80) & (letter != 0x97) & (letter != 0xB7) & (data.take(cuts - 2, mode="wrap") == 0xC3)
+    kept = np.flatnonzero(space | latin | _ASCII_LETTER.take(letter))
+    cuts, space = cuts.take(kept), space.take(kept)
+    bounds = np.zeros(len(cuts) + 1, dtype=np.int64)
+    bounds[1:] = cuts - (np.cumsum(space) - space)  # places without the white space
+    body = raw.translate(None, b"\n ")
+    pieces = pa.Array.from_buffers(pa.large_string(), len(cuts), [None, pa.py_buffer(bounds), pa.py_buffer(body)])
+    return pieces.dictionary_encode(), np.searchsorted(cuts, closes)
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str, room: int = CACHE) -> Encoder:

@@ -217,3 +217,58 @@ def test_blocks_keep_their_bytes_and_places_need_no_cast():
     model = _Model(700, 4)
     model.predict()
     assert {a.dtype for a in (model.last, model.before, *model.slots, model.cell)} == {np.dtype(np.intp)}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_documents_of_a_batch_have_the_ids_of_the_whole_texts(name, rows):
+    """Many texts at once, among them odd ones, empty ones and some that go to the tokenizer whole."""
+    encode, ours = plain(name), Encoder(str(P.path(name)), room=50)
+    rng = random.Random(8)
+    odd = [*"ab AB'.,!|\n\t 1é´ß÷×«\x00\x1c ñ漢Σ", "<|endoftext|>", "  ", "İ", "́", "H̱", "≮", "\xa0", "É,", "漢."]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 16))) for _ in range(1500)] + [t or "" for _, t in rows]
+    for some in (texts, texts[-1:], ["", ""], ["<|endoftext|>"], []):
+        ids, sizes = ours.documents(some)
+        expected = [encode(text) for text in some]
+        assert sizes.tolist() == [len(e) for e in expected]
+        assert ids.tobytes() == b"".join(e.tobytes() for e in expected)
+
+
+def test_words_of_a_batch_are_looked_up_once():
+    """A word that repeats, with or without a mark after it, is one look-up for all texts of a batch."""
+    ours, calls = Encoder(str(P.path(NAMES[0]))), []
+    pieces, texts = ours.pieces, ["One étape, one word; one ÉTAPE.", "word one!\nétape word?", "été« one"]
+    expected = b"".join(ours.document(text) for text in texts)
+
+    class Counted:
+        def __getitem__(self, piece):
+            calls.append(piece)
+            return pieces[piece]
+
+    ours.pieces = Counted()
+    assert ours.documents(texts)[0].tobytes() == expected
+    assert sorted(calls) == sorted({"one", "étape", "word", "été«", ",", ";", ".", "!", "?"})
+
+
+def test_blocks_end_with_the_document_that_fills_them(spark, docs, tmp_path):
+    path = str(tmp_path / "b")
+    token_files.write_ids(docs, path, str(P.path(NAMES[0])), block=2000)
+    parts = {}
+    for r in spark.read.parquet(path).orderBy("part", "block").collect():
+        assert r.n_ids == sum(r.sizes) and len(r.sizes) == len(r.doc_ids) and r.n_ids - r.sizes[-1] < 2000
+        parts.setdefault(r.part, []).append(r)
+    for blocks in parts.values():
+        assert [r.block for r in blocks] == list(range(len(blocks)))
+        assert [r.before for r in blocks] == [sum(b.n_ids for b in blocks[:k]) for k in range(len(blocks))]
+        assert all(r.n_ids >= 2000 for r in blocks[:-1])
+
+
+def test_a_pair_and_its_check_share_a_place():
+    """A step reads and writes one table for order 2; the bytes of a block in which pairs share slots stay those of two tables."""
+    from tallyhouse.llm.rangecoder import _Model
+
+    rng = np.random.default_rng(21)
+    runs = rng.integers(0, 40_000, (60_000, 8))
+    ids = runs[rng.zipf(1.2, 80_000) % len(runs)].ravel()
+    block = encode_block(ids, 40_000)
+    assert zlib.crc32(block) == 2243496510 and (decode_block(block) == ids).all()
+    assert not any(isinstance(v, np.ndarray) and len(v) == 1 << 18 for v in vars(_Model(700, 4)).values())  # none beside the tables
